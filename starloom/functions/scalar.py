@@ -80,3 +80,29 @@ def hash_int(salt: str, *keys) -> Column:
 def hash_random(salt: str, lo: int, hi: int, *keys) -> Column:
     """``TRUNC(DBMS_RANDOM.VALUE(lo, hi))``: an integer in ``[lo, hi)``."""
     return (F.lit(lo) + F.pmod(hash_int(salt, *keys), F.lit(hi - lo))).cast("bigint")
+
+
+def round_ratio(num, den, scale: int = 2) -> Column:
+    """``ROUND(num / den, scale)`` for integer ``num`` and positive integer
+    ``den``, rounding half away from zero in exact integer arithmetic (as
+    the source's NUMBER type does); DOUBLE; NULL when ``den`` is 0 or NULL.
+
+    SQL twin: ``sign(num) * ((abs(num) * 2 * 10^scale + den) // (2 * den)) / 10^scale``.
+    """
+    n = _c(num).cast("bigint")
+    d = F.nullif(_c(den).cast("bigint"), F.lit(0))
+    f = 10 ** scale
+    q = F.abs(n) * F.lit(2 * f) + d
+    two_d = F.lit(2) * d
+    whole = ((q - F.pmod(q, two_d)) / two_d).cast("bigint")  # exact multiple: exact quotient
+    return (F.signum(n) * whole / F.lit(float(f))).cast("double")
+
+
+def avg_round(total, count, scale: int = 2) -> Column:
+    """``ROUND(AVG(x), scale)`` from an integer sum and a row count."""
+    return round_ratio(total, count, scale)
+
+
+def pct_round(part, whole, scale: int = 2) -> Column:
+    """``ROUND(part * 100.0 / NULLIF(whole, 0), scale)`` for integer counts."""
+    return round_ratio(_c(part).cast("bigint") * 100, whole, scale)

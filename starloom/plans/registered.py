@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from starloom.operators import dedup, quality
 from starloom.operators.keys import surrogate_key
-from starloom.plans import calendar, dims, facts, retail
+from starloom.plans import calendar, dims, facts, library, retail
 from starloom.registry import register
 from starloom.sources.tables import LINE_ORDER
 
@@ -262,3 +262,30 @@ def _q(wh):  # noqa: F811
 @register("star_sales")
 def _q(wh):  # noqa: F811
     return facts.star_sales(wh)
+
+
+# --------------------------------------------------------------- library
+def _lib(key, fn):
+    register(key)(lambda wh: fn(wh))
+
+
+_lib("membership_utilisation_month", library.membership_utilisation_month)
+_lib("overdue_month", library.overdue_month)
+_lib("overdue_member_behaviour", library.overdue_member_behaviour)
+_lib("repeat_offenders", library.repeat_offenders)
+_lib("staff_workload", library.staff_workload)
+_lib("staff_buckets", library.staff_buckets)
+_lib("staff_report", library.staff_report)
+_lib("overdue_by_period", lambda wh: library.overdue_by_period(wh, "quarter", True))
+_lib("avg_utilisation", library.avg_utilisation)
+_lib("high_utilisation_members", library.high_utilisation_members)
+_lib("overdue_above_average", library.overdue_above_average)
+_lib("overdue_by_region", library.overdue_by_region)
+_lib("overdue_by_category", library.overdue_by_category)
+_lib("staff_month_average", library.staff_month_average)
+_lib("staff_underperforming", library.staff_underperforming)
+_lib("staff_top3", library.staff_top3)
+_lib("reservation_processing", library.reservation_processing)
+_lib("overdue_peak", library.overdue_peak)
+_lib("duration_vs_overdue", library.duration_vs_overdue)
+_lib("staff_member_interactions", library.staff_member_interactions)

@@ -5,8 +5,8 @@ same key; the warehouse roles come from ``starloom.sources.sql``."""
 from __future__ import annotations
 
 from starloom.plans.calendar import HOLIDAY_RULES
-from starloom.sources.sql import with_views
-from starloom.sources.tables import LINE_ORDER
+from starloom.sources.sql import VIEWS, window_views, with_views
+from starloom.sources.tables import LINE_ORDER, REPORT_END, REPORT_START
 
 _LINE_ORDER_SQL = ", ".join(f"{c} NULLS FIRST" for c in LINE_ORDER)
 
@@ -311,3 +311,212 @@ WHERE d.cal_year BETWEEN 1998 AND 2000
   AND c.country IN ('NATION_1', 'NATION_2', 'NATION_3')
   AND p.categoryname IN ('PROMO', 'SMALL', 'LARGE')
 GROUP BY c.country, d.cal_year, p.categoryname""", "sf", "cal", "cd", "pd")
+
+
+# --------------------------------------------------------------- library
+def rr(num: str, den: str, scale: int = 2) -> str:
+    """Twin of ``round_ratio``: exact half-away-from-zero rounding of num/den."""
+    f = 10 ** scale
+    n = f"CAST({num} AS BIGINT)"
+    d = f"nullif(CAST({den} AS BIGINT), 0)"
+    return f"(CAST(sign({n}) * ((abs({n}) * {2 * f} + {d}) // (2 * {d})) AS DOUBLE) / {float(f)})"
+
+
+def pct(part: str, whole: str) -> str:
+    return rr(f"CAST({part} AS BIGINT) * 100", whole)
+
+
+_OD = "CASE WHEN coalesce(overduedays, 0) > 0 THEN 1 ELSE 0 END"
+_YM = "strftime(loan_date, '%Y-%m')"
+_LIB = dict(window_views(REPORT_START, REPORT_END))
+_LIB["stf"] = VIEWS["stf"]
+
+
+def lsql(body: str, *names: str, extra: dict | None = None) -> str:
+    views = dict(_LIB)
+    if extra:
+        views.update(extra)
+    return sql(body, *names, extra=views)
+
+
+def _stats(keys: str, src: str = "loan") -> str:
+    return f"""SELECT {keys}, count(*) AS total_loans, CAST(sum({_OD}) AS BIGINT) AS overdue_loans,
+       {pct(f'sum({_OD})', 'count(*)')} AS overdue_rate_pct,
+       {rr('sum(coalesce(overduedays, 0))', 'count(*)')} AS avg_overdue_days
+FROM {src} GROUP BY {keys}"""
+
+
+ORACLE["membership_utilisation_month"] = lsql(f"""
+SELECT l.membershiptype, l.year_month, l.book_loans, l.avg_loan_days,
+       coalesce({pct('bh.hit_members', 'bh.denom_members')}, 0.0) AS hit_max_book_pct,
+       coalesce({pct('rh.hit_members', 'rh.denom_members')}, 0.0) AS hit_max_resv_pct,
+       l.total_overdue, l.avg_overdue_days
+FROM (SELECT membershiptype, {_YM} AS year_month, count(*) AS book_loans,
+             {rr('sum(coalesce(loandays, 0))', 'count(*)')} AS avg_loan_days,
+             CAST(sum({_OD}) AS BIGINT) AS total_overdue,
+             {rr('sum(coalesce(overduedays, 0))', 'count(*)')} AS avg_overdue_days
+      FROM loan GROUP BY membershiptype, {_YM}) l
+LEFT JOIN (SELECT membershiptype, year_month,
+                  count(DISTINCT CASE WHEN maxbookloan > 0 THEN memberid END) AS denom_members,
+                  count(DISTINCT CASE WHEN maxbookloan > 0 AND loans_in_month >= maxbookloan
+                                      THEN memberid END) AS hit_members
+           FROM (SELECT membershiptype, {_YM} AS year_month, memberid, maxbookloan,
+                        count(*) AS loans_in_month
+                 FROM loan GROUP BY membershiptype, {_YM}, memberid, maxbookloan) t
+           GROUP BY membershiptype, year_month) bh
+  ON bh.membershiptype = l.membershiptype AND bh.year_month = l.year_month
+LEFT JOIN (SELECT membershiptype, year_month,
+                  count(DISTINCT CASE WHEN maxreservation > 0 THEN memberid END) AS denom_members,
+                  count(DISTINCT CASE WHEN maxreservation > 0 AND resv_in_month >= maxreservation
+                                      THEN memberid END) AS hit_members
+           FROM (SELECT m.membershiptype, strftime(r.resv_date, '%Y-%m') AS year_month, m.memberid,
+                        m.maxreservation, count(*) AS resv_in_month
+                 FROM resv r JOIN mem m ON m.member_key = r.member_key
+                 WHERE upper(r.reservationstatus) = 'SUCCESS'
+                 GROUP BY 1, 2, 3, 4) t
+           GROUP BY membershiptype, year_month) rh
+  ON rh.membershiptype = l.membershiptype AND rh.year_month = l.year_month""", "loan", "resv", "mem")
+
+ORACLE["overdue_month"] = lsql(
+    f"SELECT * FROM ({_stats('year_month', f'(SELECT *, {_YM} AS year_month FROM loan) x')}) y", "loan")
+
+_AGE = "CAST(datesub('month', dob, DATE '2000-06-30') // 12 AS BIGINT)"
+_BAND = """CASE WHEN age IS NULL THEN 'Unknown' WHEN age < 18 THEN '<18'
+     WHEN age BETWEEN 18 AND 25 THEN '18-25' WHEN age BETWEEN 26 AND 40 THEN '26-40'
+     WHEN age BETWEEN 41 AND 60 THEN '41-60' ELSE '60+' END"""
+_TAGGED = f"""SELECT {_BAND} AS age_band, membershiptype, memberid, loans_all, loans_overdue,
+       CASE WHEN loans_all >= 3 AND loans_overdue * 1.0 / loans_all >= 0.5 THEN 1 ELSE 0 END
+         AS is_repeat_offender
+FROM (SELECT memberid, membershiptype, {_AGE} AS age, count(*) AS loans_all,
+             sum({_OD}) AS loans_overdue
+      FROM loan GROUP BY memberid, membershiptype, {_AGE}) pm"""
+_OFFENDERS = f"""SELECT age_band, membershiptype, count(*) AS members_with_activity,
+       CAST(sum(is_repeat_offender) AS BIGINT) AS repeat_offenders,
+       {pct('sum(is_repeat_offender)', 'count(*)')} AS repeat_offender_rate_pct
+FROM ({_TAGGED}) t GROUP BY age_band, membershiptype"""
+ORACLE["repeat_offenders"] = lsql(_OFFENDERS, "loan")
+ORACLE["overdue_member_behaviour"] = lsql(f"""
+SELECT b.age_band, b.membershiptype, b.total_loans, b.overdue_loans, b.overdue_rate_pct,
+       b.avg_overdue_days, coalesce(o.members_with_activity, 0) AS members_with_activity,
+       coalesce(o.repeat_offenders, 0) AS repeat_offenders,
+       coalesce(o.repeat_offender_rate_pct, 0.0) AS repeat_offender_rate_pct
+FROM ({_stats('age_band, membershiptype',
+              f'(SELECT *, {_BAND} AS age_band FROM (SELECT *, {_AGE} AS age FROM loan) a) x')}) b
+LEFT JOIN ({_OFFENDERS}) o ON o.age_band = b.age_band AND o.membershiptype = b.membershiptype""",
+                                          "loan")
+
+_WL = """SELECT s.staffid, s.salary, CAST(coalesce(l.loans, 0) + coalesce(r.resvs, 0) AS BIGINT) AS total_records,
+       CASE WHEN s.salary > 0 THEN CAST(coalesce(l.loans, 0) + coalesce(r.resvs, 0) AS DOUBLE)
+                                   / CAST(s.salary AS DOUBLE) END AS wps
+FROM stf s
+LEFT JOIN (SELECT staff_key, count(*) AS loans FROM loan GROUP BY staff_key) l ON l.staff_key = s.staff_key
+LEFT JOIN (SELECT staff_key, count(*) AS resvs FROM resv GROUP BY staff_key) r ON r.staff_key = s.staff_key
+WHERE s.salary IS NOT NULL"""
+_BUCKET = f"""SELECT category, CAST(sum(total_records) AS BIGINT) AS total_records, count(*) AS num_staff,
+       sum(coalesce(salary, 0)) AS total_salary
+FROM (SELECT b.*, CASE WHEN (s.max_wps - s.min_wps) = 0 THEN 'Qualified60'
+                       WHEN b.wps >= s.min_wps + 0.8 * (s.max_wps - s.min_wps) THEN 'Top20'
+                       WHEN b.wps < s.min_wps + 0.2 * (s.max_wps - s.min_wps) THEN 'Underperformance20'
+                       ELSE 'Qualified60' END AS category
+      FROM (SELECT staffid, salary, total_records, coalesce(wps, 0.0) AS wps FROM ({_WL}) w) b
+      CROSS JOIN (SELECT min(coalesce(wps, 0.0)) AS min_wps, max(coalesce(wps, 0.0)) AS max_wps
+                  FROM ({_WL}) w2) s) x
+GROUP BY category"""
+ORACLE["staff_workload"] = lsql(
+    f"SELECT staffid, CAST(salary AS DOUBLE) AS salary, total_records, wps FROM ({_WL}) w",
+    "stf", "loan", "resv")
+ORACLE["staff_buckets"] = lsql(f"""
+SELECT category, total_records, num_staff, CAST(total_salary AS DOUBLE) AS total_salary
+FROM ({_BUCKET}) b""", "stf", "loan", "resv")
+ORACLE["staff_report"] = lsql(f"""
+SELECT category, total_records, num_staff, CAST(total_salary AS DOUBLE) AS total_salary,
+       {rr('total_salary * 100', 'total_records * 100')} AS workload_salary
+FROM ({_BUCKET}) b""", "stf", "loan", "resv")
+
+_QTR = "CAST(year(loan_date) AS VARCHAR) || '-Q' || CAST(quarter(loan_date) AS VARCHAR)"
+ORACLE["overdue_by_period"] = lsql(
+    _stats("period, membershiptype", f"(SELECT *, {_QTR} AS period FROM loan) x"), "loan")
+ORACLE["overdue_peak"] = lsql(
+    _stats("period", f"(SELECT *, {_YM} AS period FROM loan) x")
+    + " ORDER BY overdue_rate_pct DESC, overdue_loans DESC, period LIMIT 1", "loan")
+ORACLE["overdue_by_region"] = lsql(_stats("region"), "loan")
+ORACLE["overdue_by_category"] = lsql(
+    _stats("category", "(SELECT l.*, t.category FROM loan l JOIN titles t ON l.booktitle_key = t.booktitle_key) x"),
+    "loan", "titles")
+ORACLE["duration_vs_overdue"] = lsql(f"""
+SELECT membershiptype, {_QTR} AS period, count(*) AS total_loans, CAST(sum({_OD}) AS BIGINT) AS overdue_loans,
+       {pct(f'sum({_OD})', 'count(*)')} AS overdue_rate_pct,
+       {rr('sum(coalesce(overduedays, 0))', 'count(*)')} AS avg_overdue_days,
+       {rr('sum(loanduration)', 'count(*)')} AS avg_loan_duration
+FROM loan GROUP BY membershiptype, {_QTR}""", "loan")
+ORACLE["overdue_above_average"] = lsql(f"""
+SELECT t.*, {pct('a.od', 'a.n')} AS overall_rate_pct
+FROM ({_stats('membershiptype')}) t,
+     (SELECT count(*) AS n, sum({_OD}) AS od FROM loan) a
+WHERE t.overdue_loans * a.n > a.od * t.total_loans""", "loan")
+
+ORACLE["avg_utilisation"] = lsql(f"""
+SELECT coalesce(l.membershiptype, r.membershiptype) AS membershiptype,
+       CAST(coalesce(l.mm, 0) AS BIGINT) AS loan_member_months,
+       {rr('l.loans', 'l.mm')} AS avg_monthly_loans, CAST(l.lim AS BIGINT) AS max_book_loan,
+       {pct('l.loans', 'l.mm * l.lim')} AS loan_utilisation_pct,
+       CAST(coalesce(r.mm, 0) AS BIGINT) AS resv_member_months,
+       {rr('r.resvs', 'r.mm')} AS avg_monthly_resvs, CAST(r.lim AS BIGINT) AS max_reservation,
+       {pct('r.resvs', 'r.mm * r.lim')} AS resv_utilisation_pct
+FROM (SELECT membershiptype, count(*) AS mm, sum(n) AS loans, max(maxbookloan) AS lim
+      FROM (SELECT membershiptype, memberid, {_YM} AS ym, maxbookloan, count(*) AS n
+            FROM loan GROUP BY 1, 2, 3, 4) x GROUP BY membershiptype) l
+FULL OUTER JOIN
+     (SELECT m.membershiptype, count(*) AS mm, sum(n) AS resvs, max(m.maxreservation) AS lim
+      FROM (SELECT member_key, strftime(resv_date, '%Y-%m') AS ym, count(*) AS n FROM resv
+            WHERE upper(reservationstatus) = 'SUCCESS' GROUP BY 1, 2) x
+      JOIN mem m ON m.member_key = x.member_key GROUP BY m.membershiptype) r
+  ON l.membershiptype = r.membershiptype""", "loan", "resv", "mem")
+ORACLE["high_utilisation_members"] = lsql(f"""
+SELECT membershiptype, count(*) AS member_months_over, count(DISTINCT memberid) AS members_over
+FROM (SELECT membershiptype, memberid, {_YM} AS ym, maxbookloan, count(*) AS n
+      FROM loan GROUP BY 1, 2, 3, 4) x
+WHERE maxbookloan > 0 AND n * 100 > maxbookloan * 90
+GROUP BY membershiptype""", "loan")
+
+_N_MONTHS = (REPORT_END.year - REPORT_START.year) * 12 + REPORT_END.month - REPORT_START.month + 1
+_STAFF_TOTAL = """SELECT s.staffid, CAST(coalesce(l.loans, 0) + coalesce(r.resvs, 0) AS BIGINT) AS total_records
+FROM stf s
+LEFT JOIN (SELECT staff_key, count(*) AS loans FROM loan GROUP BY staff_key) l ON l.staff_key = s.staff_key
+LEFT JOIN (SELECT staff_key, count(*) AS resvs FROM resv GROUP BY staff_key) r ON r.staff_key = s.staff_key"""
+ORACLE["staff_month_average"] = lsql(f"""
+SELECT staffid, total_records, {rr('total_records', str(_N_MONTHS))} AS avg_monthly_records
+FROM ({_STAFF_TOTAL}) t""", "stf", "loan", "resv")
+ORACLE["staff_top3"] = lsql(f"""
+SELECT staffid, total_records FROM ({_STAFF_TOTAL}) t
+ORDER BY total_records DESC, staffid LIMIT 3""", "stf", "loan", "resv")
+_UNDER = {
+    "months": f"""SELECT strftime(CAST(d AS DATE), '%Y-%m') AS year_month
+                  FROM generate_series(TIMESTAMP '{REPORT_START.isoformat()}',
+                                       TIMESTAMP '{REPORT_END.replace(day=1).isoformat()}',
+                                       INTERVAL 1 MONTH) t(d)""",
+    "sm": f"""SELECT staff_key, ym AS year_month, count(*) AS n
+              FROM (SELECT staff_key, {_YM} AS ym FROM loan
+                    UNION ALL SELECT staff_key, strftime(resv_date, '%Y-%m') AS ym FROM resv) u
+              GROUP BY 1, 2""",
+    "tot": "SELECT year_month, sum(n) AS tot FROM sm GROUP BY year_month",
+    "ns": "SELECT count(*) AS n_staff FROM stf",
+    "grid": """SELECT s.staffid, m.year_month, coalesce(sm.n, 0) AS n, coalesce(tot.tot, 0) AS tot
+               FROM stf s CROSS JOIN months m
+               LEFT JOIN sm ON sm.staff_key = s.staff_key AND sm.year_month = m.year_month
+               LEFT JOIN tot ON tot.year_month = m.year_month""",
+}
+EXTRA_DEPS.update({"sm": ["loan", "resv"], "tot": ["sm"], "ns": ["stf"],
+                   "grid": ["stf", "months", "sm", "tot"]})
+ORACLE["staff_underperforming"] = lsql(f"""
+SELECT staffid, months_below, CAST({_N_MONTHS} AS BIGINT) AS n_months
+FROM (SELECT g.staffid, CAST(count(*) FILTER (WHERE g.n * ns.n_staff < g.tot) AS BIGINT) AS months_below
+      FROM grid g, ns GROUP BY g.staffid) x
+WHERE months_below * 2 > {_N_MONTHS}""", "grid", "ns", extra=_UNDER)
+ORACLE["reservation_processing"] = lsql(f"""
+SELECT reservationstatus, count(*) AS n_reservations, {rr('sum(totaldays)', 'count(*)')} AS avg_total_days
+FROM resv GROUP BY reservationstatus""", "resv")
+ORACLE["staff_member_interactions"] = lsql("""
+SELECT staff_key AS staffid, count(DISTINCT member_key) AS n_members
+FROM (SELECT staff_key, member_key FROM loan UNION ALL SELECT staff_key, member_key FROM resv) u
+GROUP BY staff_key""", "loan", "resv")
