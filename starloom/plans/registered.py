@@ -6,9 +6,9 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from starloom.operators import dedup, quality
+from starloom.operators import dedup, quality, scd2
 from starloom.operators.keys import surrogate_key
-from starloom.plans import calendar, dims, facts, library, retail
+from starloom.plans import calendar, dims, facts, generate, library, retail
 from starloom.registry import register
 from starloom.sources.tables import LINE_ORDER
 
@@ -289,3 +289,62 @@ _lib("reservation_processing", library.reservation_processing)
 _lib("overdue_peak", library.overdue_peak)
 _lib("duration_vs_overdue", library.duration_vs_overdue)
 _lib("staff_member_interactions", library.staff_member_interactions)
+
+
+# ------------------------------------------------------------ generators
+@register("replicate_customers")
+def _q(wh):  # noqa: F811
+    return generate.replicate_customers(wh, 6)
+
+
+@register("generate_orders")
+def _q(wh):  # noqa: F811
+    o = generate.generate_orders(wh)
+    return o.withColumn("freight", F.col("freight").cast("double"))
+
+
+@register("generate_order_details")
+def _q(wh):  # noqa: F811
+    d = generate.generate_order_details(wh)
+    return (d.withColumn("unitprice", F.col("unitprice").cast("double"))
+            .withColumn("discount", F.col("discount").cast("double")))
+
+
+# ------------------------------------------------- enrollment and type 2
+def _enrollment_out(f):
+    return (f.withColumn("fee_per_credit", F.col("fee_per_credit").cast("double"))
+            .withColumn("total_fees", F.col("total_fees").cast("double")))
+
+
+@register("enrollment_fact")
+def _q(wh):  # noqa: F811
+    return _enrollment_out(facts.enrollment_fact(wh))
+
+
+@register("enrollment_fact_literal")
+def _q(wh):  # noqa: F811
+    """The source's load as written: every course version joins (fan-out)."""
+    return _enrollment_out(facts.enrollment_fact(wh, literal_course_join=True))
+
+
+@register("scd2_lookup")
+def _q(wh):  # noqa: F811
+    e = wh.enrollments().withColumn("register_date", F.to_date("register_ts"))
+    j = scd2.scd2_lookup(e, wh.courses(), "course_id", "register_date")
+    return j.select("se_id", "linenumber", "suppkey", "course_id", "register_date", "version")
+
+
+@register("scd2_apply")
+def _q(wh):  # noqa: F811
+    """Course titles as a type-2 dimension: first load as of 1900-01-01,
+    then a snapshot (titles of every fifth course re-written in capitals)
+    applied as of 1998-01-01."""
+    p = wh.raw("part").select(F.col("p_partkey").alias("course_id"), F.col("p_name"))
+    first = scd2.initial_versions(p.select("course_id", F.col("p_name").alias("course_title")),
+                                  ["course_id"], dt.date(1900, 1, 1), "sk", 1)
+    snap = p.select("course_id",
+                    F.when(F.col("course_id") % 5 == 0, F.upper("p_name")).otherwise(F.col("p_name"))
+                    .alias("course_title"))
+    return scd2.scd2_apply(first.select("sk", "course_id", "course_title", "effective_start_date",
+                                        "effective_end_date", "current_flag"),
+                           snap, ["course_id"], ["course_title"], dt.date(1998, 1, 1), "sk")

@@ -520,3 +520,115 @@ ORACLE["staff_member_interactions"] = lsql("""
 SELECT staff_key AS staffid, count(DISTINCT member_key) AS n_members
 FROM (SELECT staff_key, member_key FROM loan UNION ALL SELECT staff_key, member_key FROM resv) u
 GROUP BY staff_key""", "loan", "resv")
+
+
+# ------------------------------------------------------------ generators
+def hr(salt: str, lo, hi, *keys: str) -> str:
+    """Twin of ``hash_random``: lo + md5-derived integer mod (hi - lo)."""
+    parts = " || '|' || ".join([f"'{salt}'"] + [f"CAST({k} AS VARCHAR)" for k in keys])
+    h = f"CAST('0x' || substr(md5({parts}), 1, 8) AS BIGINT)"
+    return f"({lo} + {h} % ({hi} - ({lo})))"
+
+
+_GEN = {
+    "rep": """SELECT CAST(100001 + (k - 1) * 64 + copy AS BIGINT) AS new_customerid,
+                 substr(companyname, 1, 18) || '-' || CAST(100001 + (k - 1) * 64 + copy AS VARCHAR)
+                   AS companyname, city, region, postalcode, country
+              FROM (SELECT row_number() OVER (ORDER BY customerid) AS k, * FROM cust) c,
+                   range(0, 64) r(copy)""",
+    "gbounds": """SELECT CAST(min(o_orderdate) AS DATE) AS s, CAST(max(o_orderdate) AS DATE) AS e
+                  FROM orders""",
+    "gdays": f"""SELECT orderdate, {hr('orders_per_day', 10, 51, 'orderdate')} AS n
+                 FROM (SELECT CAST(unnest(generate_series(CAST(s AS TIMESTAMP), CAST(e AS TIMESTAMP),
+                                                          INTERVAL 1 DAY)) AS DATE) AS orderdate
+                       FROM gbounds) d""",
+    "gord": f"""SELECT CAST(row_number() OVER (ORDER BY orderdate, i) + 100000 AS BIGINT) AS orderid,
+                   CAST(r.lo + CAST('0x' || substr(md5('customer|' || CAST(orderdate AS VARCHAR) || '|'
+                        || CAST(i AS VARCHAR)), 1, 8) AS BIGINT) % (r.hi - r.lo + 1) AS BIGINT) AS customerid,
+                   CAST({hr('employee', 1, 10, 'orderdate', 'i')} AS BIGINT) AS employeeid,
+                   orderdate, orderdate + 7 AS requireddate, orderdate + 3 AS shippeddate,
+                   CAST({hr('shipper', 1, 7, 'orderdate', 'i')} AS BIGINT) AS shipvia,
+                   CAST(CAST({hr('freight', 599, 10000, 'orderdate', 'i')} AS DECIMAL(8,0)) / 100
+                        AS DECIMAL(6,2)) AS freight
+                FROM (SELECT orderdate, unnest(range(1, n + 1)) AS i FROM gdays) g,
+                     (SELECT min(new_customerid) AS lo, max(new_customerid) AS hi FROM rep) r""",
+    "glines": f"""SELECT x.*, p.unitprice FROM (
+                     SELECT orderid, ctr,
+                            CAST(pr.plo + CAST('0x' || substr(md5('product|' || CAST(orderid AS VARCHAR) || '|'
+                                 || CAST(ctr AS VARCHAR)), 1, 8) AS BIGINT) % (pr.phi - pr.plo + 1) AS BIGINT)
+                              AS productid,
+                            CAST({hr('quantity', 1, 11, 'orderid', 'ctr')} AS BIGINT) AS quantity,
+                            CAST(CAST({hr('discount', 5, 71, 'orderid', 'ctr')} AS DECIMAL(8,0)) / 100
+                                 AS DECIMAL(3,2)) AS discount
+                     FROM (SELECT orderid, unnest(range(1, {hr('lines_per_order', 1, 6, 'orderid')} + 1)) AS ctr
+                           FROM gord) l,
+                          (SELECT min(productid) AS plo, max(productid) AS phi FROM prod) pr) x
+                  JOIN prod p ON p.productid = x.productid""",
+}
+EXTRA_DEPS.update({"rep": ["cust"], "gdays": ["gbounds"], "gord": ["gdays", "rep"],
+                   "glines": ["gord", "prod"]})
+
+ORACLE["replicate_customers"] = sql("SELECT * FROM rep", "rep", extra=_GEN)
+ORACLE["generate_orders"] = sql(
+    "SELECT * REPLACE (CAST(freight AS DOUBLE) AS freight) FROM gord", "gord", extra=_GEN)
+ORACLE["generate_order_details"] = sql("""
+SELECT CAST(row_number() OVER (ORDER BY orderid, ctr) AS BIGINT) AS rec_no, orderid, productid,
+       CAST(unitprice AS DOUBLE) AS unitprice, quantity, CAST(discount AS DOUBLE) AS discount
+FROM glines""", "glines", extra=_GEN)
+
+# ------------------------------------------------- enrollment and type 2
+_ENR = {
+    "stud": """SELECT CAST(row_number() OVER (ORDER BY c.c_custkey) + 1233 AS BIGINT) AS s_key,
+                  c.c_custkey AS s_id
+               FROM customer c JOIN nr ON c.c_nationkey = nr.n_nationkey""",
+    "cbase": """SELECT p_partkey AS course_id, p_name AS course_title, p_type AS faculty_name,
+                   CAST(p_size AS BIGINT) AS max_capacity,
+                   CAST(p_retailprice AS DECIMAL(12,2)) AS fee_per_credit,
+                   CAST(p_size % 4 + 1 AS BIGINT) AS credit_hour FROM part""",
+    "cver": """SELECT *, 0 AS version, DATE '1900-01-01' AS effective_start_date,
+                  DATE '9999-12-31' AS effective_end_date FROM cbase WHERE course_id % 5 <> 0
+               UNION ALL
+               SELECT *, 1, DATE '1900-01-01', DATE '1997-12-31' FROM cbase WHERE course_id % 5 = 0
+               UNION ALL
+               SELECT *, 2, DATE '1998-01-01', DATE '9999-12-31' FROM cbase WHERE course_id % 5 = 0""",
+    "cdim": """SELECT CAST(row_number() OVER (ORDER BY course_id, effective_start_date) + 1233 AS BIGINT)
+                  AS course_key, * FROM cver""",
+    "enr": """SELECT l.l_orderkey AS se_id, o.o_custkey AS s_id, l.l_partkey AS course_id,
+                 l.l_linenumber AS linenumber, l.l_suppkey AS suppkey,
+                 CAST(l.l_shipdate AS DATE) AS register_date, l.l_returnflag AS grade
+              FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey""",
+}
+EXTRA_DEPS.update({"stud": ["nr"], "cver": ["cbase"], "cdim": ["cver"]})
+_ENR_SELECT = """
+SELECT sd.s_key, cd.course_key, CAST(strftime(e.register_date, '%Y%m%d') AS BIGINT) AS date_key,
+       e.se_id, e.register_date, e.grade, CAST(cd.fee_per_credit AS DOUBLE) AS fee_per_credit,
+       cd.credit_hour, CAST(CAST(cd.fee_per_credit * cd.credit_hour AS DECIMAL(18,2)) AS DOUBLE) AS total_fees
+FROM enr e JOIN stud sd ON sd.s_id = e.s_id
+JOIN cdim cd ON cd.course_id = e.course_id {cond}
+WHERE e.register_date IN (SELECT cal_date FROM cal)"""
+ORACLE["enrollment_fact"] = sql(_ENR_SELECT.format(
+    cond="AND e.register_date BETWEEN cd.effective_start_date AND cd.effective_end_date"),
+    "enr", "stud", "cdim", "cal", extra=_ENR)
+ORACLE["enrollment_fact_literal"] = sql(_ENR_SELECT.format(cond=""), "enr", "stud", "cdim", "cal",
+                                        extra=_ENR)
+ORACLE["scd2_lookup"] = sql("""
+SELECT e.se_id, e.linenumber, e.suppkey, e.course_id, e.register_date, c.version
+FROM enr e JOIN cver c ON c.course_id = e.course_id
+ AND e.register_date BETWEEN c.effective_start_date AND c.effective_end_date""", "enr", "cver", extra=_ENR)
+ORACLE["scd2_apply"] = sql("""
+WITH first AS (SELECT CAST(row_number() OVER (ORDER BY p_partkey) AS BIGINT) AS sk, p_partkey AS course_id,
+                      p_name AS course_title FROM part),
+     snap AS (SELECT p_partkey AS course_id,
+                     CASE WHEN p_partkey % 5 = 0 THEN upper(p_name) ELSE p_name END AS course_title FROM part),
+     chg AS (SELECT f.sk, f.course_id, f.course_title AS old_title, s.course_title AS new_title
+             FROM first f JOIN snap s ON f.course_id = s.course_id
+             WHERE f.course_title IS DISTINCT FROM s.course_title)
+SELECT sk, course_id, course_title, DATE '1900-01-01' AS effective_start_date,
+       CASE WHEN course_id IN (SELECT course_id FROM chg) THEN DATE '1997-12-31' ELSE DATE '9999-12-31' END
+         AS effective_end_date,
+       CASE WHEN course_id IN (SELECT course_id FROM chg) THEN 'N' ELSE 'Y' END AS current_flag
+FROM first
+UNION ALL
+SELECT CAST((SELECT max(sk) FROM first) + row_number() OVER (ORDER BY course_id) AS BIGINT) AS sk,
+       course_id, new_title AS course_title, DATE '1998-01-01', DATE '9999-12-31', 'Y'
+FROM chg""")
