@@ -76,7 +76,7 @@ def date_dim_from_bounds(bounds: DataFrame) -> DataFrame:
 
 def date_dim(wh: Warehouse) -> DataFrame:
     """Date dimension covering the order years of the warehouse."""
-    return date_dim_from_bounds(calendar_bounds(wh))
+    return wh.memo("date_dim", lambda: date_dim_from_bounds(calendar_bounds(wh)))
 
 
 def date_dim_between(spark: SparkSession, start: dt.date, end: dt.date) -> DataFrame:

@@ -25,6 +25,10 @@ def clean_customers(customers: DataFrame, default_postalcode: str = DEFAULT_POST
 
 
 def customer_dim(wh: Warehouse) -> DataFrame:
+    return wh.memo("customer_dim", lambda: _customer_dim(wh))
+
+
+def _customer_dim(wh: Warehouse) -> DataFrame:
     c = clean_customers(wh.customers())
     out = c.select("customerid",
                    *[F.upper(x).alias(x) for x in
@@ -34,6 +38,10 @@ def customer_dim(wh: Warehouse) -> DataFrame:
 
 
 def employee_dim(wh: Warehouse) -> DataFrame:
+    return wh.memo("employee_dim", lambda: _employee_dim(wh))
+
+
+def _employee_dim(wh: Warehouse) -> DataFrame:
     e = wh.employees().select(
         "employeeid", concat_nullsafe("firstname", F.lit(" "), "lastname").alias("emp_name"),
         "hiredate", "country", "city")
@@ -44,6 +52,10 @@ def employee_dim(wh: Warehouse) -> DataFrame:
 def product_dim(wh: Warehouse) -> DataFrame:
     """Product snowflake flattened: product -> category -> supplier (inner
     joins: a product without category or supplier is not loaded)."""
+    return wh.memo("product_dim", lambda: _product_dim(wh))
+
+
+def _product_dim(wh: Warehouse) -> DataFrame:
     p = wh.products()
     s = wh.suppliers().select(F.col("supplierid").alias("s_id"),
                               F.col("companyname").alias("sup_companyname"),

@@ -72,6 +72,14 @@ class Warehouse:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._memo: dict = {}
+
+    def memo(self, name: str, build):
+        """Build a derived table once per warehouse object (dimensions whose
+        keys are checkpointed are shared by every plan that joins them)."""
+        if name not in self._memo:
+            self._memo[name] = build()
+        return self._memo[name]
 
     # ---------------------------------------------------------------- raw
     def raw(self, name: str) -> DataFrame:
