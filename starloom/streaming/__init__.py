@@ -1,0 +1,6 @@
+"""Streaming.
+
+The source system has no stream, watermark, time window, stateful operator
+or late-data rule: every load is a batch INSERT ... SELECT. Nothing here is
+needed to cover it; batch loads are in ``starloom.plans.build``.
+"""
