@@ -11,6 +11,8 @@ data and are left to AQE, which broadcasts them only when measured small.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,36 +33,58 @@ def dedup_order_details(wh: Warehouse) -> DataFrame:
     return first.withColumn("net", net_amount("gross", "discount"))
 
 
-def sales_fact(wh: Warehouse, details: DataFrame | None = None) -> DataFrame:
+def sales_fact(wh: Warehouse, details: DataFrame | None = None, cal: DataFrame | None = None,
+               cust: DataFrame | None = None, prod: DataFrame | None = None,
+               order_window: tuple | None = None) -> DataFrame:
+    """SALES_FACT: one row per de-duplicated line with its four keys.
+
+    ``cal`` / ``cust`` / ``prod`` may be filtered dimensions (any extra
+    attribute columns they carry are kept on the fact rows); ``order_window``
+    = (first day, last day) filters the orders scan. Filtering the inputs
+    gives exactly the rows of the full fact that satisfy the filters, since
+    every lookup is an inner join and a line's (order, product) pair
+    decides its de-duplication.
+    """
     det = dedup_order_details(wh) if details is None else details
-    cal = F.broadcast(date_dim(wh).select("date_key", "cal_date"))
+    cal = date_dim(wh).select("date_key", "cal_date") if cal is None else cal
+    cust = customer_dim(wh).select("customer_key", "customerid") if cust is None else cust
+    prod = product_dim(wh).select("product_key", "productid") if prod is None else prod
     emp = F.broadcast(employee_dim(wh).select("employee_key", "employeeid"))
-    cust = customer_dim(wh).select("customer_key", "customerid")
-    prod = product_dim(wh).select("product_key", "productid")
-    o = (wh.orders().select("orderid", "customerid", "employeeid", "orderdate")
+    cal = F.broadcast(cal)  # days of the order years: bounded
+    orders = wh.orders(*order_window) if order_window else wh.orders()
+    o = (orders.select("orderid", "customerid", "employeeid", "orderdate")
          .join(cust, "customerid")
          .join(cal, F.col("orderdate") == F.col("cal_date"))
          .join(emp, "employeeid")
-         .select("orderid", "date_key", "customer_key", "employee_key"))
-    lines = det.join(prod, "productid")
+         .drop("customerid", "employeeid", "orderdate", "cal_date"))
+    lines = det.join(prod, "productid").drop("productid")
+    extra = [c for c in o.columns + lines.columns
+             if c not in ("orderid", "date_key", "customer_key", "employee_key", "product_key",
+                          "gross", "quantity", "discount", "net")]
     return lines.join(o, "orderid").select(
         "date_key", "customer_key", "product_key", "employee_key", "orderid",
         F.col("gross").alias("gross_amount"), F.col("quantity"), F.col("discount"),
-        F.col("net").alias("line_total"))
+        F.col("net").alias("line_total"), *extra)
 
 
 def star_sales(wh: Warehouse, years=(1998, 2000), countries=("NATION_1", "NATION_2", "NATION_3"),
-               categories=("PROMO", "SMALL", "LARGE"), fact: DataFrame | None = None) -> DataFrame:
+               categories=("PROMO", "SMALL", "LARGE")) -> DataFrame:
     """Line totals by country, year and category for the chosen members of
-    each dimension (the 3-dimensional star query)."""
-    f = sales_fact(wh) if fact is None else fact
-    d = F.broadcast(date_dim(wh).filter(F.col("cal_year").between(*years))
-                    .select("date_key", "cal_year"))
-    c = customer_dim(wh).filter(F.col("country").isin(list(countries))).select("customer_key", "country")
-    p = product_dim(wh).filter(F.col("categoryname").isin(list(categories))).select(
-        "product_key", "categoryname")
-    j = f.join(d, "date_key").join(c, "customer_key").join(p, "product_key")
-    return (j.groupBy("country", "cal_year", "categoryname")
+    each dimension (the 3-dimensional star query).
+
+    The dimension filters are applied before the fact rows are assembled
+    (years also prune the orders scan), and the dimension attributes ride
+    along the key lookups, so the fact is never re-joined to its dimensions.
+    """
+    d = (date_dim(wh).filter(F.col("cal_year").between(*years))
+         .select("date_key", "cal_date", "cal_year"))
+    c = (customer_dim(wh).filter(F.col("country").isin(list(countries)))
+         .select("customer_key", "customerid", "country"))
+    p = (product_dim(wh).filter(F.col("categoryname").isin(list(categories)))
+         .select("product_key", "productid", "categoryname"))
+    window = (dt.date(years[0], 1, 1), dt.date(years[1], 12, 31))
+    f = sales_fact(wh, cal=d, cust=c, prod=p, order_window=window)
+    return (f.groupBy("country", "cal_year", "categoryname")
             .agg(F.sum("line_total").alias("total_sales"))
             .select("country", "cal_year", "categoryname",
                     F.col("total_sales").cast("double").alias("total_sales")))

@@ -348,3 +348,6 @@ def _q(wh):  # noqa: F811
     return scd2.scd2_apply(first.select("sk", "course_id", "course_title", "effective_start_date",
                                         "effective_end_date", "current_flag"),
                            snap, ["course_id"], ["course_title"], dt.date(1998, 1, 1), "sk")
+_lib("overdue_by_year", lambda wh: library.overdue_by_period(wh, "year", True))
+_lib("overdue_by_holiday", lambda wh: library.overdue_by_period(wh, "holiday", False))
+_lib("overdue_by_academic_year", lambda wh: library.overdue_by_period(wh, "academic_year", False))

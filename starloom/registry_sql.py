@@ -632,3 +632,15 @@ UNION ALL
 SELECT CAST((SELECT max(sk) FROM first) + row_number() OVER (ORDER BY course_id) AS BIGINT) AS sk,
        course_id, new_title AS course_title, DATE '1998-01-01', DATE '9999-12-31', 'Y'
 FROM chg""")
+
+ORACLE["overdue_by_year"] = lsql(
+    _stats("period, membershiptype", "(SELECT *, CAST(year(loan_date) AS VARCHAR) AS period FROM loan) x"),
+    "loan")
+ORACLE["overdue_by_holiday"] = lsql(_stats("period", """(
+    SELECT l.*, CASE WHEN h.ev IS NOT NULL THEN 'Y' ELSE 'N' END AS period
+    FROM loan l LEFT JOIN hol h ON h.cal_date = l.loan_date) x"""), "loan", "hol")
+ORACLE["overdue_by_academic_year"] = lsql(_stats("period", """(
+    SELECT *, CASE WHEN loan_date <= make_date(sy + 1, 4, 25)
+                   THEN CAST(sy AS VARCHAR) || '/' || lpad(CAST((sy + 1) % 100 AS VARCHAR), 2, '0') END AS period
+    FROM (SELECT *, CASE WHEN month(loan_date) * 100 + day(loan_date) >= 616 THEN year(loan_date)
+                         ELSE year(loan_date) - 1 END AS sy FROM loan) a) x"""), "loan")
