@@ -8,7 +8,9 @@ from starloom.functions.scalar import (
     hash_random,
     money,
     net_amount,
-    ratio_pct,
+    pct_round,
+    round_ratio,
+    avg_round,
     to_double_money,
     year_month,
 )
@@ -21,7 +23,9 @@ __all__ = [
     "hash_random",
     "money",
     "net_amount",
-    "ratio_pct",
+    "pct_round",
+    "round_ratio",
+    "avg_round",
     "to_double_money",
     "year_month",
 ]

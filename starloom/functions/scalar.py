@@ -37,12 +37,6 @@ def to_double_money(c) -> Column:
     return F.round(_c(c), 2).cast("double")
 
 
-def ratio_pct(num, den, scale: int = 2) -> Column:
-    """``ROUND(num * 100.0 / NULLIF(den, 0), scale)`` as DOUBLE."""
-    return F.round(_c(num).cast("double") * 100.0 / F.nullif(_c(den), F.lit(0)).cast("double"),
-                   scale)
-
-
 def year_month(d) -> Column:
     """``TO_CHAR(d, 'YYYY-MM')``; sorts like the numeric year*100+month."""
     return F.date_format(_c(d), "yyyy-MM")

@@ -15,7 +15,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.functions.scalar import hash_int, to_double_money
+from starloom.functions.scalar import hash_int, round_ratio, to_double_money
 from starloom.plans.calendar import date_dim
 from starloom.sources.tables import Warehouse
 
@@ -177,8 +177,9 @@ def revenue_q1_compare(wh: Warehouse, year_x: int = 1997, year_y: int = 1998) ->
     return g.select(
         "country", to_double_money("vx").alias("revenue_x"), to_double_money("vy").alias("revenue_y"),
         to_double_money(F.col("vy") - F.col("vx")).alias("difference"),
-        F.round((F.col("vy") - F.col("vx")).cast("double") * 100.0
-                / F.nullif(F.col("vx"), F.lit(0)).cast("double"), 2).alias("pct_change"))
+        # exact: both sums are whole cents, so the % change is a ratio of integers
+        round_ratio(((F.col("vy") - F.col("vx")) * 100).cast("bigint") * 100,
+                    (F.col("vx") * 100).cast("bigint")).alias("pct_change"))
 
 
 def date_parts(wh: Warehouse) -> DataFrame:
