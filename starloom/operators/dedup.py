@@ -62,3 +62,9 @@ def duplicate_summary(lines: DataFrame) -> DataFrame:
     return per_pair.agg(F.sum("n").cast("bigint").alias("total_rows"),
                         F.count(F.lit(1)).cast("bigint").alias("distinct_pairs"),
                         (F.sum("n") - F.count(F.lit(1))).cast("bigint").alias("duplicate_rows"))
+
+
+def delete_by_rec_no(lines_with_rec: DataFrame, marked: DataFrame) -> DataFrame:
+    """``DELETE FROM t WHERE rec_no IN (SELECT rec_no FROM marked)`` as a
+    left anti join (NOT IN would turn a NULL into "delete nothing")."""
+    return lines_with_rec.join(marked.select("rec_no"), "rec_no", "left_anti")

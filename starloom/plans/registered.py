@@ -219,7 +219,7 @@ def _q(wh):  # noqa: F811
 
 # ------------------------------------------------------- de-duplication
 def _lines_with_rec(wh):
-    return surrogate_key(wh.order_lines().select(*LINE_ORDER), LINE_ORDER, "rec_no", 1)
+    return surrogate_key(wh.order_lines().select(*LINE_ORDER, "quantity"), LINE_ORDER, "rec_no", 1)
 
 
 @register("orders_with_duplicates")
@@ -351,3 +351,13 @@ def _q(wh):  # noqa: F811
 _lib("overdue_by_year", lambda wh: library.overdue_by_period(wh, "year", True))
 _lib("overdue_by_holiday", lambda wh: library.overdue_by_period(wh, "holiday", False))
 _lib("overdue_by_academic_year", lambda wh: library.overdue_by_period(wh, "academic_year", False))
+
+
+@register("delete_duplicates")
+def _q(wh):  # noqa: F811
+    """The source's literal path: number the lines, mark every line after
+    the first of its (order, product), delete the marked record numbers."""
+    rec = _lines_with_rec(wh)
+    kept = dedup.delete_by_rec_no(rec, dedup.duplicate_rec_nos(rec))
+    return kept.select("rec_no", "orderid", "productid", "quantity",
+                       F.col("l_discount").alias("discount"))

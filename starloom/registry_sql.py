@@ -644,3 +644,9 @@ ORACLE["overdue_by_academic_year"] = lsql(_stats("period", """(
                    THEN CAST(sy AS VARCHAR) || '/' || lpad(CAST((sy + 1) % 100 AS VARCHAR), 2, '0') END AS period
     FROM (SELECT *, CASE WHEN month(loan_date) * 100 + day(loan_date) >= 616 THEN year(loan_date)
                          ELSE year(loan_date) - 1 END AS sy FROM loan) a) x"""), "loan")
+
+ORACLE["delete_duplicates"] = sql("""
+SELECT rec_no, orderid, productid, quantity, l_discount AS discount
+FROM recs WHERE rec_no NOT IN (
+  SELECT rec_no FROM (SELECT rec_no, row_number() OVER (PARTITION BY orderid, productid ORDER BY rec_no) AS rn
+                      FROM recs) x WHERE rn > 1)""", "recs")

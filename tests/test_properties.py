@@ -93,3 +93,26 @@ def test_scd2_lookup_boundaries(spark):
                                   "course_id long, day date")
     got = {r.day: r.version for r in scd2.scd2_lookup(facts, dim, "course_id", "day").collect()}
     assert got == {dt.date(1997, 12, 31): 1, dt.date(1998, 1, 1): 2}
+
+
+def test_reference_day_span_of_the_order_generator(spark):
+    wh = Warehouse(spark, SMALL)
+    cust = spark.range(100002, 105826).withColumnRenamed("id", "new_customerid")
+    o = generate.generate_orders(wh, dt.date(2016, 6, 30), dt.date(2025, 7, 1), customers=cust)
+    days = o.groupBy("orderdate").count()
+    stats = days.agg(F.count(F.lit(1)), F.min("count"), F.max("count")).first()
+    assert stats[0] == 3289 and stats[1] >= 10 and stats[2] <= 50
+    ranges = o.agg(F.min("customerid"), F.max("customerid"), F.min("employeeid"), F.max("employeeid"),
+                   F.min("shipvia"), F.max("shipvia"), F.min("freight"), F.max("freight")).first()
+    assert 100002 <= ranges[0] and ranges[1] <= 105825
+    assert (ranges[2], ranges[3]) == (1, 9) and (ranges[4], ranges[5]) == (1, 6)
+    assert float(ranges[6]) >= 5.99 and float(ranges[7]) <= 99.99
+
+
+def test_dedup_counts_at_sf001(spark):
+    import __spark_entry__ as entry
+    q = entry.queries()
+    s = q["duplicate_summary"](spark, "/root/testdata/sf0.01").first()
+    assert (s.total_rows, s.duplicate_rows) == (60000, 55)
+    assert q["dedup_order_details"](spark, "/root/testdata/sf0.01").count() == 60000 - 55
+    assert q["delete_duplicates"](spark, "/root/testdata/sf0.01").count() == 60000 - 55
