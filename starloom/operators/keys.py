@@ -4,16 +4,19 @@
 row into one task. Instead:
 
 1. range-partition on the order columns and sort inside each partition, so
-   partition i holds only rows that sort before those of partition i+1;
-2. checkpoint that layout to the reliable checkpoint directory, so both
-   passes below see identical partitions even if an executor is lost
-   (a recomputed range partitioning may draw a different sample);
-3. count rows per partition (one tiny row per partition) and turn the
-   counts into starting offsets; that table has exactly one row per
-   partition, so broadcasting it is size-safe;
-4. key = start + offset(partition) + position inside the partition, where
-   the position comes from ``monotonically_increasing_id`` (partition id in
-   the upper bits, running row number in the lower 33 bits).
+   partition i holds only rows that sort before those of partition i+1
+   (AQE may merge adjacent small partitions, which keeps the order);
+2. tag every row with its partition id and its running position inside the
+   partition, and write the tagged rows as parquet under the shared
+   checkpoint folder. This cuts the lineage, and because the tags are
+   stored, the numbering cannot change if a task, an executor or the read
+   order changes later. A retried write task recomputes the same
+   partition: the range bounds are fixed once sampled, and the order
+   columns are a total order;
+3. count rows per partition id (a one-column scan), and turn the counts
+   into starting offsets; that table has one row per partition, so
+   broadcasting it is size-safe;
+4. key = start + offset(partition) + position inside the partition.
 
 The order columns must form a total order (append a unique column when
 they do not), otherwise ties are numbered in an unspecified order.
@@ -21,30 +24,41 @@ they do not), otherwise ties are numbered in an unspecified order.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.session import ensure_checkpoint_dir
 
+PID, POS = "_sk_pid", "_sk_pos"
+
+
+def materialize(df: DataFrame, tag: str = "table") -> DataFrame:
+    """Write ``df`` as parquet under the shared checkpoint folder and read it
+    back: a lineage cut that survives executor loss."""
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/starloom-{tag}-{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(path)
+    return spark.read.parquet(path)
+
 
 def surrogate_key(df: DataFrame, order_cols: list, key_col: str = "sk", start: int = 1,
                   num_partitions: int | None = None) -> DataFrame:
     """Add ``key_col`` = start, start+1, ... following ``order_cols``."""
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    n = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    laid_out = (df.repartitionByRange(n, *order_cols)
-                .sortWithinPartitions(*order_cols)
-                .checkpoint(eager=True))
-    tagged = (laid_out.withColumn("_sk_pid", F.spark_partition_id())
-              .withColumn("_sk_mid", F.monotonically_increasing_id()))
-    counts = tagged.groupBy("_sk_pid").agg(F.count(F.lit(1)).alias("_sk_n"))
+    ranged = (df.repartitionByRange(num_partitions, *order_cols) if num_partitions
+              else df.repartitionByRange(*order_cols))
+    tagged = (ranged.sortWithinPartitions(*order_cols)
+              .withColumn(PID, F.spark_partition_id())
+              .withColumn(POS, F.monotonically_increasing_id()
+                          - F.shiftleft(F.spark_partition_id().cast("bigint"), 33)))
+    stored = materialize(tagged, "keys")
+    counts = stored.groupBy(PID).agg(F.count(F.lit(1)).alias("_sk_n"))
     # one row per partition: a global window over it is trivially small
     offsets = counts.select(
-        "_sk_pid",
-        F.coalesce(F.sum("_sk_n").over(Window.orderBy("_sk_pid").rowsBetween(
+        PID, F.coalesce(F.sum("_sk_n").over(Window.orderBy(PID).rowsBetween(
             Window.unboundedPreceding, -1)), F.lit(0)).alias("_sk_off"))
-    pos = F.col("_sk_mid") - F.shiftleft(F.col("_sk_pid").cast("bigint"), 33)
-    return (tagged.join(F.broadcast(offsets), "_sk_pid")
-            .withColumn(key_col, (F.lit(start) + F.col("_sk_off") + pos).cast("bigint"))
-            .drop("_sk_pid", "_sk_mid", "_sk_off"))
+    return (stored.join(F.broadcast(offsets), PID)
+            .withColumn(key_col, (F.lit(start) + F.col("_sk_off") + F.col(POS)).cast("bigint"))
+            .drop(PID, POS, "_sk_off"))
