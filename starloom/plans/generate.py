@@ -44,7 +44,8 @@ def replicate_customers(wh: Warehouse, doublings: int = 6) -> DataFrame:
 
 
 def generate_orders(wh: Warehouse, start: dt.date | None = None, end: dt.date | None = None,
-                    per_day=(10, 50), customers: DataFrame | None = None) -> DataFrame:
+                    per_day=(10, 50), customers: DataFrame | None = None,
+                    doublings: int = 6) -> DataFrame:
     """Orders for every day from ``start`` to ``end`` (default: the span of
     the supplied orders): per_day[0]..per_day[1] orders a day, customer drawn
     from the replicated id range, employee 1-9, shipper 1-6, required +7 d,
@@ -55,9 +56,15 @@ def generate_orders(wh: Warehouse, start: dt.date | None = None, end: dt.date |
         bounds = o.agg(F.to_date(F.min("o_orderdate")).alias("s"), F.to_date(F.max("o_orderdate")).alias("e"))
     else:
         bounds = spark.range(1).select(F.lit(start).alias("s"), F.lit(end).alias("e"))
-    cust = replicate_customers(wh) if customers is None else customers
-    lo = cust.agg(F.min("new_customerid")).scalar()
-    hi = cust.agg(F.max("new_customerid")).scalar()
+    if customers is None:
+        # the replicated ids are NEW_ID_START .. NEW_ID_START + copies * n - 1:
+        # the range follows from the customer count without expanding copies
+        lo = F.lit(NEW_ID_START).cast("bigint")
+        hi = (F.lit(NEW_ID_START - 1)
+              + wh.customers().agg(F.count(F.lit(1)) * (2 ** doublings)).scalar()).cast("bigint")
+    else:
+        lo = customers.agg(F.min("new_customerid")).scalar()
+        hi = customers.agg(F.max("new_customerid")).scalar()
     days = bounds.select(F.explode(F.sequence("s", "e")).alias("orderdate"))
     days = days.withColumn("n", hash_random("orders_per_day", per_day[0], per_day[1] + 1, "orderdate"))
     # one row per day of the range: a running sum over it is small by construction
