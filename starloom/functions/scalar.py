@@ -100,3 +100,10 @@ def avg_round(total, count, scale: int = 2) -> Column:
 def pct_round(part, whole, scale: int = 2) -> Column:
     """``ROUND(part * 100.0 / NULLIF(whole, 0), scale)`` for integer counts."""
     return round_ratio(_c(part).cast("bigint") * 100, whole, scale)
+
+
+def scalar_row(df, **aggs) -> dict:
+    """Several aggregates of ``df`` as ONE scalar subquery (a struct),
+    evaluated once; returns ``{name: Column}`` for use in expressions."""
+    st = df.agg(F.struct(*[a.alias(k) for k, a in aggs.items()]).alias("_s")).scalar()
+    return {k: st.getField(k) for k in aggs}

@@ -22,7 +22,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starloom.functions.scalar import hash_int, hash_random
+from starloom.functions.scalar import hash_int, hash_random, scalar_row
 from starloom.operators.keys import surrogate_key
 from starloom.sources.tables import Warehouse
 
@@ -60,11 +60,11 @@ def generate_orders(wh: Warehouse, start: dt.date | None = None, end: dt.date |
         # the replicated ids are NEW_ID_START .. NEW_ID_START + copies * n - 1:
         # the range follows from the customer count without expanding copies
         lo = F.lit(NEW_ID_START).cast("bigint")
-        hi = (F.lit(NEW_ID_START - 1)
-              + wh.customers().agg(F.count(F.lit(1)) * (2 ** doublings)).scalar()).cast("bigint")
+        span = wh.customers().agg(F.count(F.lit(1)) * (2 ** doublings)).scalar()
     else:
-        lo = customers.agg(F.min("new_customerid")).scalar()
-        hi = customers.agg(F.max("new_customerid")).scalar()
+        st = scalar_row(customers, lo=F.min("new_customerid"),
+                        span=F.max("new_customerid") - F.min("new_customerid") + 1)
+        lo, span = st["lo"], st["span"]
     days = bounds.select(F.explode(F.sequence("s", "e")).alias("orderdate"))
     days = days.withColumn("n", hash_random("orders_per_day", per_day[0], per_day[1] + 1, "orderdate"))
     # one row per day of the range: a running sum over it is small by construction
@@ -75,7 +75,7 @@ def generate_orders(wh: Warehouse, start: dt.date | None = None, end: dt.date |
     d, i = F.col("orderdate"), F.col("i")
     return gen.select(
         (F.lit(NEW_ID_START) + F.col("before") + i - 1).cast("bigint").alias("orderid"),
-        (lo + F.pmod(hash_int("customer", d, i), hi - lo + F.lit(1))).cast("bigint").alias("customerid"),
+        (lo + F.pmod(hash_int("customer", d, i), span)).cast("bigint").alias("customerid"),
         hash_random("employee", 1, 10, d, i).alias("employeeid"),
         d.alias("orderdate"),
         F.date_add(d, 7).alias("requireddate"),
@@ -91,15 +91,14 @@ def generate_order_details(wh: Warehouse, orders: DataFrame | None = None,
     quantity 1-10, discount 0.05-0.70, unit price from the product."""
     o = generate_orders(wh) if orders is None else orders
     p = wh.products().select("productid", "unitprice")
-    plo = p.agg(F.min("productid")).scalar()
-    phi = p.agg(F.max("productid")).scalar()
+    st = scalar_row(p, lo=F.min("productid"), span=F.max("productid") - F.min("productid") + 1)
     per = o.select("orderid").withColumn(
         "n", hash_random("lines_per_order", lines_per_order[0], lines_per_order[1] + 1, "orderid"))
     lines = per.select("orderid", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))).alias("ctr"))
     k, c = F.col("orderid"), F.col("ctr")
     drawn = lines.select(
         "orderid", "ctr",
-        (plo + F.pmod(hash_int("product", k, c), phi - plo + F.lit(1))).cast("bigint").alias("productid"),
+        (st["lo"] + F.pmod(hash_int("product", k, c), st["span"])).cast("bigint").alias("productid"),
         hash_random("quantity", quantity[0], quantity[1] + 1, k, c).alias("quantity"),
         (hash_random("discount", discount_cents[0], discount_cents[1] + 1, k, c) / F.lit(100))
         .cast("decimal(3,2)").alias("discount"))

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions.scalar import (age_band, age_years, avg_round, pct_round, round_ratio,
-                                       year_month)
+                                       scalar_row, year_month)
 from starloom.plans.calendar import academic_year_rule, date_dim_holidays
 from starloom.sources.tables import REFERENCE_DATE, REPORT_END, REPORT_START, Warehouse
 
@@ -177,12 +177,12 @@ def staff_workload(wh: Warehouse, start=REPORT_START, end=REPORT_END) -> DataFra
 
 def _bucket_agg(wh: Warehouse, start, end) -> DataFrame:
     base = _staff_base(wh, start, end).withColumn("wps", F.coalesce("wps", F.lit(0.0)))
-    lo = base.agg(F.min("wps")).scalar()
-    hi = base.agg(F.max("wps")).scalar()
-    rng = hi - lo
-    cat = (F.when(rng == 0, "Qualified60")
-           .when(F.col("wps") >= lo + F.lit(0.8) * rng, "Top20")
-           .when(F.col("wps") < lo + F.lit(0.2) * rng, "Underperformance20")
+    lo, hi = F.min("wps"), F.max("wps")
+    st = scalar_row(base, rng=hi - lo, top=lo + F.lit(0.8) * (hi - lo),
+                    bottom=lo + F.lit(0.2) * (hi - lo))
+    cat = (F.when(st["rng"] == 0, "Qualified60")
+           .when(F.col("wps") >= st["top"], "Top20")
+           .when(F.col("wps") < st["bottom"], "Underperformance20")
            .otherwise("Qualified60"))
     return (base.withColumn("category", cat).groupBy("category")
             .agg(F.sum("total_records").cast("bigint").alias("total_records"),
@@ -301,11 +301,10 @@ def overdue_above_average(wh: Warehouse, start=REPORT_START, end=REPORT_END) ->
     as cross-multiplied integers)."""
     l = loans(wh, start, end)
     per = _loan_stats(l.groupBy("membershiptype"))
-    tot_loans = per.agg(F.sum("total_loans")).scalar()
-    tot_over = per.agg(F.sum("overdue_loans")).scalar()
-    return (per.filter(F.col("overdue_loans") * tot_loans > tot_over * F.col("total_loans"))
-            .select(*_overdue_cols(["membershiptype"]),
-                    pct_round(tot_over, tot_loans).alias("overall_rate_pct")))
+    tot = scalar_row(per, loans=F.sum("total_loans"), over=F.sum("overdue_loans"),
+                     rate=pct_round(F.sum("overdue_loans"), F.sum("total_loans")))
+    return (per.filter(F.col("overdue_loans") * tot["loans"] > tot["over"] * F.col("total_loans"))
+            .select(*_overdue_cols(["membershiptype"]), tot["rate"].alias("overall_rate_pct")))
 
 
 # ---------------------------------------------------------------- B14/15/21

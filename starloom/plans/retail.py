@@ -15,7 +15,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.functions.scalar import hash_int, round_ratio, to_double_money
+from starloom.functions.scalar import hash_int, round_ratio, scalar_row, to_double_money
 from starloom.plans.calendar import date_dim
 from starloom.sources.tables import Warehouse
 
@@ -219,11 +219,9 @@ def random_customers(wh: Warehouse, k: int = 100, salt: str = "cust") -> DataFra
     """k draws of a customer id uniformly from the id range [min, max]
     (hash-based, repeatable); draws that hit no customer return nothing."""
     c = wh.customers().select("customerid", "companyname")
-    lo = c.agg(F.min("customerid")).scalar()
-    hi = c.agg(F.max("customerid")).scalar()
-    span = hi - lo + F.lit(1)
+    st = scalar_row(c, lo=F.min("customerid"), span=F.max("customerid") - F.min("customerid") + 1)
     draws = wh.spark.range(k).select(
         F.col("id").alias("draw"),
-        (lo + F.pmod(hash_int(salt, F.col("id")), span)).alias("customerid"))
+        (st["lo"] + F.pmod(hash_int(salt, F.col("id")), st["span"])).alias("customerid"))
     return draws.join(c, "customerid").select("draw", "customerid", "companyname")
 
