@@ -176,3 +176,13 @@ def test_repeat_offender_thresholds(spark):
     wh = _staff_wh(spark, [(1, 1, 1)], loans)
     r = library.repeat_offenders(wh).collect()
     assert [(x.members_with_activity, x.repeat_offenders) for x in r] == [(3, 1)]  # only member 2 (2/4)
+
+
+def test_member_with_two_versions_is_not_double_counted(spark):
+    """D10: versions of one member must not multiply that member's loans."""
+    day, dob = D(1999, 5, 3), D(1970, 1, 1)
+    v1 = (1, 7, "Basic", 1, 1, 7, dob, "ASIA", 1, 1, day, 1, 1, 10, 5)        # version key 1
+    v2 = (2, 7, "Basic", 1, 1, 7, dob, "ASIA", 1, 1, day, 2, 1, 10, 0)        # version key 2
+    wh = _staff_wh(spark, [(1, 1, 1)], [v1, v2])
+    rows = library.overdue_member_behaviour(wh).collect()
+    assert [(r.total_loans, r.overdue_loans, r.members_with_activity) for r in rows] == [(2, 1, 1)]
