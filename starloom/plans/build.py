@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.plans.calendar import date_dim_holidays
-from starloom.plans.dims import customer_dim, employee_dim, product_dim
+from starloom.plans.dims import build_dims, customer_dim, employee_dim, product_dim
 from starloom.plans.facts import sales_fact
 from starloom.sources.io import read_table, write_table
 from starloom.sources.tables import Warehouse
@@ -25,6 +25,7 @@ def build_star(wh: Warehouse, out_dir: str) -> dict[str, str]:
     """Write the four dimensions and the sales fact under ``out_dir``."""
     out = out_dir.rstrip("/")
     paths = {t: f"{out}/{t}" for t in STAR_TABLES}
+    build_dims(wh)
     write_table(date_dim_holidays(wh), paths["date_dim"])
     write_table(customer_dim(wh), paths["customer_dim"])
     write_table(employee_dim(wh), paths["employee_dim"])

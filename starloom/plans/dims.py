@@ -6,6 +6,8 @@ surrogate key starting at 1234, numbered in natural-key order.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -73,3 +75,14 @@ def _product_dim(wh: Warehouse) -> DataFrame:
     return surrogate_key(out, ["productid"], "product_key", DIM_KEY_START).select(
         "product_key", "productid", "productname", "quantityperunit", "discontinued",
         "categoryname", "sup_companyname", "sup_country", "sup_city")
+
+
+def build_dims(wh: Warehouse, names=("customer_dim", "product_dim", "employee_dim")) -> None:
+    """Key the given dimensions concurrently. Each key build is a few
+    independent Spark jobs; submitting them from separate driver threads
+    lets the scheduler overlap them instead of running them back to back."""
+    builders = {"customer_dim": customer_dim, "product_dim": product_dim,
+                "employee_dim": employee_dim}
+    with ThreadPoolExecutor(max_workers=len(names)) as pool:
+        for f in [pool.submit(builders[n], wh) for n in names]:
+            f.result()

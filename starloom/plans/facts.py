@@ -21,7 +21,8 @@ from starloom.operators.dedup import first_per_pair
 from starloom.operators.keys import surrogate_key
 from starloom.operators.scd2 import scd2_lookup
 from starloom.plans.calendar import date_dim
-from starloom.plans.dims import DIM_KEY_START, customer_dim, employee_dim, product_dim
+from starloom.plans.dims import (DIM_KEY_START, build_dims, customer_dim, employee_dim,
+                                 product_dim)
 from starloom.sources.tables import LINE_ORDER, Warehouse
 
 
@@ -45,6 +46,7 @@ def sales_fact(wh: Warehouse, details: DataFrame | None = None, cal: DataFrame |
     every lookup is an inner join and a line's (order, product) pair
     decides its de-duplication.
     """
+    build_dims(wh)
     det = dedup_order_details(wh) if details is None else details
     cal = date_dim(wh).select("date_key", "cal_date") if cal is None else cal
     cust = customer_dim(wh).select("customer_key", "customerid") if cust is None else cust
@@ -76,6 +78,7 @@ def star_sales(wh: Warehouse, years=(1998, 2000), countries=("NATION_1", "NATION
     (years also prune the orders scan), and the dimension attributes ride
     along the key lookups, so the fact is never re-joined to its dimensions.
     """
+    build_dims(wh)
     d = (date_dim(wh).filter(F.col("cal_year").between(*years))
          .select("date_key", "cal_date", "cal_year"))
     c = (customer_dim(wh).filter(F.col("country").isin(list(countries)))
