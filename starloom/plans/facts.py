@@ -12,6 +12,7 @@ data and are left to AQE, which broadcasts them only when measured small.
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -102,9 +103,12 @@ def enrollment_fact(wh: Warehouse, literal_course_join: bool = False) -> DataFra
     ``literal_course_join=True``.
     """
     e = wh.enrollments().withColumn("register_date", F.to_date("register_ts"))
-    students = surrogate_key(wh.students().select("s_id"), ["s_id"], "s_key", DIM_KEY_START)
-    courses = surrogate_key(wh.courses(), ["course_id", "effective_start_date"], "course_key",
-                            DIM_KEY_START)
+    with ThreadPoolExecutor(max_workers=2) as pool:   # two independent key builds
+        fs = pool.submit(surrogate_key, wh.students().select("s_id"), ["s_id"], "s_key",
+                         DIM_KEY_START)
+        fc = pool.submit(surrogate_key, wh.courses(), ["course_id", "effective_start_date"],
+                         "course_key", DIM_KEY_START)
+        students, courses = fs.result(), fc.result()
     cal = F.broadcast(date_dim(wh).select("cal_date"))
     j = e.join(students, "s_id")
     if literal_course_join:
