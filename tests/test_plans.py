@@ -5,6 +5,10 @@ import contextlib
 import io
 
 from conftest import SMALL
+
+import sys as _sys
+import os as _os
+_sys.path.insert(0, _os.path.join(_os.path.dirname(_os.path.dirname(_os.path.abspath(__file__))), "scripts"))
 from starloom.plans import facts, library, retail
 from starloom.sources.tables import Warehouse
 
@@ -57,3 +61,13 @@ def test_fact_has_no_single_partition_shuffle_of_lines(spark):
 def test_calendar_and_employee_are_broadcast_in_the_fact(spark):
     p = plan(facts.sales_fact(Warehouse(spark, SMALL)), "simple")
     assert p.count("BroadcastExchange") >= 2
+
+
+def test_no_cartesian_nested_loop_or_python_in_any_query(spark):
+    import __spark_entry__ as entry
+
+    from plan_audit import BAD
+    for name, fn in sorted(entry.queries().items()):
+        p = plan(fn(spark, SMALL), "simple")
+        found = [b for b in BAD if b in p]
+        assert not found, f"{name}: {found}"
