@@ -5,10 +5,6 @@ import contextlib
 import io
 
 from conftest import SMALL
-
-import sys as _sys
-import os as _os
-_sys.path.insert(0, _os.path.join(_os.path.dirname(_os.path.dirname(_os.path.abspath(__file__))), "scripts"))
 from starloom.plans import facts, library, retail
 from starloom.sources.tables import Warehouse
 
