@@ -34,3 +34,14 @@ def append_by_name(df: DataFrame, path: str, spark: SparkSession,
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
+
+
+HOLIDAY_SCHEMA = "holiday_date date, festive_event string"
+
+
+def read_holidays(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
+    """A holiday table (date, event name) from CSV (header row) or parquet,
+    read with an explicit schema; it feeds ``calendar.apply_holidays``."""
+    if fmt == "csv":
+        return spark.read.schema(HOLIDAY_SCHEMA).option("header", "true").csv(path)
+    return spark.read.schema(HOLIDAY_SCHEMA).parquet(path)

@@ -33,3 +33,18 @@ def test_append_by_name(spark):
     assert sorted(tuple(r) for r in read_table(spark, path).collect()) == [(1, "a"), (2, "b")]
     with pytest.raises(ValueError):
         append_by_name(spark.createDataFrame([(3,)], "k long"), path, spark)
+
+
+def test_holidays_from_a_csv_file(spark):
+    import datetime as dt
+    import os
+
+    from starloom.plans import calendar
+    from starloom.sources.io import read_holidays
+    d = tempfile.mkdtemp(prefix="starloom-hol-")
+    with open(os.path.join(d, "h.csv"), "w") as fh:
+        fh.write("holiday_date,festive_event\n2024-05-01,Labour Day\n2024-05-01,Wesak Day\n")
+    dim = calendar.date_dim_between(spark, dt.date(2024, 4, 30), dt.date(2024, 5, 2))
+    out = {r.cal_date: r.festive_event for r in
+           calendar.apply_holidays(dim, read_holidays(spark, d)).collect()}
+    assert out[dt.date(2024, 5, 1)] == "Labour Day; Wesak Day" and out[dt.date(2024, 4, 30)] is None
