@@ -91,7 +91,8 @@ def star_sales(wh: Warehouse, years=(1998, 2000), countries=("NATION_1", "NATION
     return (f.groupBy("country", "cal_year", "categoryname")
             .agg(F.sum("line_total").alias("total_sales"))
             .select("country", "cal_year", "categoryname",
-                    F.col("total_sales").cast("double").alias("total_sales")))
+                    F.col("total_sales").cast("double").alias("total_sales"))
+            .orderBy("country", "cal_year", "categoryname"))
 
 
 def enrollment_fact(wh: Warehouse, literal_course_join: bool = False) -> DataFrame:

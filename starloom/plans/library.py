@@ -57,7 +57,7 @@ def loans(wh: Warehouse, start=REPORT_START, end=REPORT_END) -> DataFrame:
 
 # ------------------------------------------------------------------ A12
 def membership_utilisation_month(wh: Warehouse, start=REPORT_START, end=REPORT_END,
-                                 ordered: bool = False) -> DataFrame:
+                                 ordered: bool = True) -> DataFrame:
     """Per (membership type, month): loans, average loan days, % of active
     members reaching their loan limit, % reaching their reservation limit
     (successful reservations), overdue loans, average overdue days.
@@ -88,21 +88,21 @@ def membership_utilisation_month(wh: Warehouse, start=REPORT_START, end=REPORT_E
 
     out = (loans_m.join(resv_m, ["membershiptype", "year_month"], "left")
            .select("membershiptype", "year_month",
-                   F.col("n").cast("bigint").alias("book_loans"),
-                   avg_round("days", "n").alias("avg_loan_days"),
-                   F.coalesce(pct_round("b_hit", "b_den"), F.lit(0.0)).alias("hit_max_book_pct"),
-                   F.coalesce(pct_round("r_hit", "r_den"), F.lit(0.0)).alias("hit_max_resv_pct"),
-                   F.col("od").cast("bigint").alias("total_overdue"),
-                   avg_round("od_days", "n").alias("avg_overdue_days")))
+                   F.col("n").cast("bigint").alias("bookloaninmonths"),
+                   avg_round("days", "n").alias("avgloandurationdays"),
+                   F.coalesce(pct_round("b_hit", "b_den"), F.lit(0.0)).alias("hit_maxbookuti_perc"),
+                   F.coalesce(pct_round("r_hit", "r_den"), F.lit(0.0)).alias("hit_maxresruti_perc"),
+                   F.col("od").cast("bigint").alias("totaloverdue"),
+                   avg_round("od_days", "n").alias("avgoverduedays")))
     if ordered:
-        out = out.orderBy(_type_rank(), "year_month")
+        out = out.orderBy(_type_rank(), "membershiptype", "year_month")
     return out
 
 
 # ------------------------------------------------------------------ A13
 def overdue_month(wh: Warehouse, start=REPORT_START, end=REPORT_END) -> DataFrame:
-    return _loan_stats(loans(wh, start, end).groupBy("year_month")).select(
-        *_overdue_cols(["year_month"]))
+    return (_loan_stats(loans(wh, start, end).groupBy("year_month"))
+            .select(*_overdue_cols(["year_month"])).orderBy("year_month"))
 
 
 # ---------------------------------------------------------------- A14/15
@@ -130,7 +130,7 @@ def repeat_offenders(wh: Warehouse, start=REPORT_START, end=REPORT_END,
 
 
 def overdue_member_behaviour(wh: Warehouse, start=REPORT_START, end=REPORT_END,
-                             ref: dt.date = REFERENCE_DATE, ordered: bool = False) -> DataFrame:
+                             ref: dt.date = REFERENCE_DATE, ordered: bool = True) -> DataFrame:
     """Overdue figures per age band and type, with the repeat-offender
     figures of the same group. Both come from one per-member aggregate (a
     member has one band and type), so the band/type grid is joined once."""
@@ -147,7 +147,7 @@ def overdue_member_behaviour(wh: Warehouse, start=REPORT_START, end=REPORT_END,
                    .alias("repeat_offender_rate_pct"))
     if ordered:
         out = out.orderBy(F.desc("overdue_rate_pct"), F.desc("repeat_offenders"),
-                          F.desc("repeat_offender_rate_pct"))
+                          F.desc("repeat_offender_rate_pct"), "age_band", "membershiptype")
     return out
 
 
@@ -198,12 +198,13 @@ def staff_buckets(wh: Warehouse, start=REPORT_START, end=REPORT_END) -> DataFram
         "category", "total_records", "num_staff", F.col("_salary").cast("double").alias("total_salary"))
 
 
-def staff_report(wh: Warehouse, start=REPORT_START, end=REPORT_END, ordered: bool = False) -> DataFrame:
+def staff_report(wh: Warehouse, start=REPORT_START, end=REPORT_END, ordered: bool = True) -> DataFrame:
     """Buckets with salary per record ("Workload/Salary")."""
     b = _bucket_agg(wh, start, end)
     cents = (F.col("_salary") * 100).cast("bigint")
-    out = b.select("category", "total_records", "num_staff",
-                   F.col("_salary").cast("double").alias("total_salary"),
+    out = b.select("category", F.col("total_records").alias("number_of_records"),
+                   F.col("num_staff").alias("number_of_staff"),
+                   F.col("_salary").cast("double").alias("total_salary_expenses"),
                    # salary / records rounded to cents: cents / (records * 100)
                    round_ratio(cents, F.col("total_records") * 100).alias("workload_salary"))
     if ordered:

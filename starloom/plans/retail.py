@@ -40,7 +40,8 @@ def customers_over_threshold(wh: Warehouse, year: int = 1995, threshold: float =
     return (per_cust.join(c, "customerid")
             .filter(F.col("total_purchase") > F.lit(threshold))
             .select("customerid", "companyname",
-                    to_double_money("total_purchase").alias("total_purchase")))
+                    to_double_money("total_purchase").alias("total_purchase"))
+            .orderBy(F.desc("total_purchase"), F.asc("customerid")))
 
 
 def customers_over_threshold_by_year(wh: Warehouse, threshold: float = 1000) -> DataFrame:
@@ -100,14 +101,15 @@ def _orders_country(wh: Warehouse, year: int) -> DataFrame:
         "cal_quarter", F.concat(F.lit("Q"), F.quarter("orderdate").cast("string")))
 
 
-def orders_by_country_quarter(wh: Warehouse, year: int = 1998) -> DataFrame:
-    return (_orders_country(wh, year).groupBy("country", "cal_quarter")
-            .agg(F.count(F.lit(1)).cast("bigint").alias("no_of_orders")))
+def orders_by_country_quarter(wh: Warehouse, year: int = 1998, ordered: bool = True) -> DataFrame:
+    out = (_orders_country(wh, year).groupBy("country", "cal_quarter")
+           .agg(F.count(F.lit(1)).cast("bigint").alias("no_of_orders")))
+    return out.orderBy(F.desc("no_of_orders"), "country", "cal_quarter") if ordered else out
 
 
 def orders_quarter_pivot(wh: Warehouse, year: int = 1998) -> DataFrame:
     """One row per country, columns q1..q4; a missing quarter is NULL."""
-    agg = orders_by_country_quarter(wh, year)
+    agg = orders_by_country_quarter(wh, year, ordered=False)
     p = agg.groupBy("country").pivot("cal_quarter", ["Q1", "Q2", "Q3", "Q4"]).agg(
         F.sum("no_of_orders"))
     return p.select("country", *[F.col(q).cast("bigint").alias(q.lower())

@@ -347,14 +347,14 @@ FROM {src} GROUP BY {keys}"""
 
 
 ORACLE["membership_utilisation_month"] = lsql(f"""
-SELECT l.membershiptype, l.year_month, l.book_loans, l.avg_loan_days,
-       coalesce({pct('bh.hit_members', 'bh.denom_members')}, 0.0) AS hit_max_book_pct,
-       coalesce({pct('rh.hit_members', 'rh.denom_members')}, 0.0) AS hit_max_resv_pct,
-       l.total_overdue, l.avg_overdue_days
-FROM (SELECT membershiptype, {_YM} AS year_month, count(*) AS book_loans,
-             {rr('sum(coalesce(loandays, 0))', 'count(*)')} AS avg_loan_days,
-             CAST(sum({_OD}) AS BIGINT) AS total_overdue,
-             {rr('sum(coalesce(overduedays, 0))', 'count(*)')} AS avg_overdue_days
+SELECT l.membershiptype, l.year_month, l.bookloaninmonths, l.avgloandurationdays,
+       coalesce({pct('bh.hit_members', 'bh.denom_members')}, 0.0) AS hit_maxbookuti_perc,
+       coalesce({pct('rh.hit_members', 'rh.denom_members')}, 0.0) AS hit_maxresruti_perc,
+       l.totaloverdue, l.avgoverduedays
+FROM (SELECT membershiptype, {_YM} AS year_month, count(*) AS bookloaninmonths,
+             {rr('sum(coalesce(loandays, 0))', 'count(*)')} AS avgloandurationdays,
+             CAST(sum({_OD}) AS BIGINT) AS totaloverdue,
+             {rr('sum(coalesce(overduedays, 0))', 'count(*)')} AS avgoverduedays
       FROM loan GROUP BY membershiptype, {_YM}) l
 LEFT JOIN (SELECT membershiptype, year_month,
                   count(DISTINCT CASE WHEN maxbookloan > 0 THEN memberid END) AS denom_members,
@@ -429,7 +429,8 @@ ORACLE["staff_buckets"] = lsql(f"""
 SELECT category, total_records, num_staff, CAST(total_salary AS DOUBLE) AS total_salary
 FROM ({_BUCKET}) b""", "stf", "loan", "resv")
 ORACLE["staff_report"] = lsql(f"""
-SELECT category, total_records, num_staff, CAST(total_salary AS DOUBLE) AS total_salary,
+SELECT category, total_records AS number_of_records, num_staff AS number_of_staff,
+       CAST(total_salary AS DOUBLE) AS total_salary_expenses,
        {rr('total_salary * 100', 'total_records * 100')} AS workload_salary
 FROM ({_BUCKET}) b""", "stf", "loan", "resv")
 

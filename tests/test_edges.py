@@ -164,8 +164,8 @@ def test_limit_zero_members_leave_the_percentage(spark):
     wh = _staff_wh(spark, [(1, 1, 1)], loans)
     wh.frames["members"] = members
     got = {r.membershiptype: r for r in library.membership_utilisation_month(wh).collect()}
-    assert got["Student"].hit_max_book_pct == 0.0 and got["Student"].book_loans == 1
-    assert got["Basic"].hit_max_book_pct == 100.0 and got["Basic"].hit_max_resv_pct == 0.0
+    assert got["Student"].hit_maxbookuti_perc == 0.0 and got["Student"].bookloaninmonths == 1
+    assert got["Basic"].hit_maxbookuti_perc == 100.0 and got["Basic"].hit_maxresruti_perc == 0.0
 
 
 def test_repeat_offender_thresholds(spark):
