@@ -83,7 +83,10 @@ class Warehouse:
 
     # ---------------------------------------------------------------- raw
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        """The supplied table ``name``; listed and its footer read once per
+        warehouse object (listing a large table on object storage is slow)."""
+        return self.memo(f"raw:{name}",
+                         lambda: self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet"))
 
     def _nation_region(self) -> DataFrame:
         # 25 nations and 5 regions at every scale: broadcast is size-safe.
