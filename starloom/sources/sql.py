@@ -17,10 +17,6 @@ def _d(d: dt.date) -> str:
     return f"DATE '{d.isoformat()}'"
 
 
-def _ts(d: dt.date) -> str:
-    return f"TIMESTAMP '{d.isoformat()} 00:00:00'"
-
-
 def _terms_case(idx: int, cast: str | None = None) -> str:
     whens = []
     for seg, vals in MEMBERSHIP_TERMS.items():
