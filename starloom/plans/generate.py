@@ -86,9 +86,14 @@ def generate_orders(wh: Warehouse, start: dt.date | None = None, end: dt.date |
 
 def generate_order_details(wh: Warehouse, orders: DataFrame | None = None,
                            lines_per_order=(1, 5), quantity=(1, 10),
-                           discount_cents=(5, 70)) -> DataFrame:
+                           discount_cents=(5, 70), check_missing: bool = False) -> DataFrame:
     """Lines for every order: product drawn from the product id range,
-    quantity 1-10, discount 0.05-0.70, unit price from the product."""
+    quantity 1-10, discount 0.05-0.70, unit price from the product.
+
+    The price lookup is an inner key join. The source's per-row lookup
+    fails on an id without a product; ``check_missing=True`` keeps that
+    contract by looking for one such line (anti join, ``limit(1)``) and
+    raising instead of silently dropping it."""
     o = generate_orders(wh) if orders is None else orders
     p = wh.products().select("productid", "unitprice")
     st = scalar_row(p, lo=F.min("productid"), span=F.max("productid") - F.min("productid") + 1)
@@ -102,6 +107,8 @@ def generate_order_details(wh: Warehouse, orders: DataFrame | None = None,
         hash_random("quantity", quantity[0], quantity[1] + 1, k, c).alias("quantity"),
         (hash_random("discount", discount_cents[0], discount_cents[1] + 1, k, c) / F.lit(100))
         .cast("decimal(3,2)").alias("discount"))
+    if check_missing and drawn.join(p, "productid", "left_anti").limit(1).count() > 0:
+        raise ValueError("a drawn product id has no product (gap in the product id range)")
     priced = drawn.join(p, "productid")
     keyed = surrogate_key(priced, ["orderid", "ctr"], "rec_no", 1)
     return keyed.select("rec_no", "orderid", "productid", "unitprice", "quantity", "discount")

@@ -305,7 +305,7 @@ def _q(wh):  # noqa: F811
 
 @register("generate_order_details")
 def _q(wh):  # noqa: F811
-    d = generate.generate_order_details(wh)
+    d = generate.generate_order_details(wh, check_missing=True)
     return (d.withColumn("unitprice", F.col("unitprice").cast("double"))
             .withColumn("discount", F.col("discount").cast("double")))
 

@@ -116,3 +116,15 @@ def test_dedup_counts_at_sf001(spark):
     assert (s.total_rows, s.duplicate_rows) == (60000, 55)
     assert q["dedup_order_details"](spark, "/root/testdata/sf0.01").count() == 60000 - 55
     assert q["delete_duplicates"](spark, "/root/testdata/sf0.01").count() == 60000 - 55
+
+
+def test_missing_product_raises(spark):
+    wh = Warehouse(spark, SMALL)
+    orders = spark.range(100001, 100201).withColumnRenamed("id", "orderid")
+    # products with a gap in the id range: the draw must fail loudly
+    class Gappy(Warehouse):
+        def products(self):
+            return super().products().filter(F.col("productid") % 2 == 0)
+    with pytest.raises(ValueError):
+        generate.generate_order_details(Gappy(spark, SMALL), orders, check_missing=True)
+    assert generate.generate_order_details(wh, orders, check_missing=True).count() > 0
