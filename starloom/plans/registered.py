@@ -10,7 +10,7 @@ from starloom.operators import dedup, quality, scd2
 from starloom.operators.keys import surrogate_key
 from starloom.plans import calendar, dims, facts, generate, library, retail
 from starloom.registry import register
-from starloom.sources.tables import LINE_ORDER
+from starloom.sources.tables import LINE_ORDER, PAST_QUARTER_START, PAST_YEAR_START, REPORT_END
 
 
 # ----------------------------------------------------------------- retail
@@ -284,7 +284,11 @@ _lib("overdue_by_region", library.overdue_by_region)
 _lib("overdue_by_category", library.overdue_by_category)
 _lib("staff_month_average", library.staff_month_average)
 _lib("staff_underperforming", library.staff_underperforming)
-_lib("staff_top3", library.staff_top3)
+_lib("staff_top3", lambda wh: library.staff_top3(wh, PAST_YEAR_START, REPORT_END))
+_lib("staff_underperforming_quarter",
+     lambda wh: library.staff_underperforming(wh, PAST_QUARTER_START, REPORT_END))
+_lib("staff_underperforming_year",
+     lambda wh: library.staff_underperforming(wh, PAST_YEAR_START, REPORT_END))
 _lib("reservation_processing", library.reservation_processing)
 _lib("overdue_peak", library.overdue_peak)
 _lib("duration_vs_overdue", library.duration_vs_overdue)

@@ -6,7 +6,8 @@ from __future__ import annotations
 
 from starloom.plans.calendar import HOLIDAY_RULES
 from starloom.sources.sql import VIEWS, window_views, with_views
-from starloom.sources.tables import LINE_ORDER, REPORT_END, REPORT_START
+from starloom.sources.tables import (LINE_ORDER, PAST_QUARTER_START, PAST_YEAR_START, REPORT_END,
+                                    REPORT_START)
 
 _LINE_ORDER_SQL = ", ".join(f"{c} NULLS FIRST" for c in LINE_ORDER)
 
@@ -490,30 +491,45 @@ SELECT staffid, total_records, {rr('total_records', str(_N_MONTHS))} AS avg_mont
 FROM ({_STAFF_TOTAL}) t""", "stf", "loan", "resv")
 ORACLE["staff_top3"] = lsql(f"""
 SELECT staffid, total_records FROM ({_STAFF_TOTAL}) t
-ORDER BY total_records DESC, staffid LIMIT 3""", "stf", "loan", "resv")
-_UNDER = {
-    "months": f"""SELECT strftime(CAST(d AS DATE), '%Y-%m') AS year_month
-                  FROM generate_series(TIMESTAMP '{REPORT_START.isoformat()}',
-                                       TIMESTAMP '{REPORT_END.replace(day=1).isoformat()}',
-                                       INTERVAL 1 MONTH) t(d)""",
-    "sm": f"""SELECT staff_key, ym AS year_month, count(*) AS n
-              FROM (SELECT staff_key, {_YM} AS ym FROM loan
-                    UNION ALL SELECT staff_key, strftime(resv_date, '%Y-%m') AS ym FROM resv) u
-              GROUP BY 1, 2""",
-    "tot": "SELECT year_month, sum(n) AS tot FROM sm GROUP BY year_month",
-    "ns": "SELECT count(*) AS n_staff FROM stf",
-    "grid": """SELECT s.staffid, m.year_month, coalesce(sm.n, 0) AS n, coalesce(tot.tot, 0) AS tot
-               FROM stf s CROSS JOIN months m
-               LEFT JOIN sm ON sm.staff_key = s.staff_key AND sm.year_month = m.year_month
-               LEFT JOIN tot ON tot.year_month = m.year_month""",
-}
+ORDER BY total_records DESC, staffid LIMIT 3""", "stf", "loan", "resv",
+                           extra=window_views(PAST_YEAR_START, REPORT_END))
+def _under_views(start, end) -> dict:
+    w = window_views(start, end)
+    return {
+        "loan": w["loan"], "resv": w["resv"],
+        "months": f"""SELECT strftime(CAST(d AS DATE), '%Y-%m') AS year_month
+                      FROM generate_series(TIMESTAMP '{start.isoformat()}',
+                                           TIMESTAMP '{end.replace(day=1).isoformat()}',
+                                           INTERVAL 1 MONTH) t(d)""",
+        "sm": f"""SELECT staff_key, ym AS year_month, count(*) AS n
+                  FROM (SELECT staff_key, {_YM} AS ym FROM loan
+                        UNION ALL SELECT staff_key, strftime(resv_date, '%Y-%m') AS ym FROM resv) u
+                  GROUP BY 1, 2""",
+        "tot": "SELECT year_month, sum(n) AS tot FROM sm GROUP BY year_month",
+        "ns": "SELECT count(*) AS n_staff FROM stf",
+        "grid": """SELECT s.staffid, m.year_month, coalesce(sm.n, 0) AS n, coalesce(tot.tot, 0) AS tot
+                   FROM stf s CROSS JOIN months m
+                   LEFT JOIN sm ON sm.staff_key = s.staff_key AND sm.year_month = m.year_month
+                   LEFT JOIN tot ON tot.year_month = m.year_month""",
+    }
+
+
 EXTRA_DEPS.update({"sm": ["loan", "resv"], "tot": ["sm"], "ns": ["stf"],
                    "grid": ["stf", "months", "sm", "tot"]})
-ORACLE["staff_underperforming"] = lsql(f"""
-SELECT staffid, months_below, CAST({_N_MONTHS} AS BIGINT) AS n_months
+
+
+def _under_sql(start, end) -> str:
+    n = (end.year - start.year) * 12 + end.month - start.month + 1
+    return lsql(f"""
+SELECT staffid, months_below, CAST({n} AS BIGINT) AS n_months
 FROM (SELECT g.staffid, CAST(count(*) FILTER (WHERE g.n * ns.n_staff < g.tot) AS BIGINT) AS months_below
       FROM grid g, ns GROUP BY g.staffid) x
-WHERE months_below * 2 > {_N_MONTHS}""", "grid", "ns", extra=_UNDER)
+WHERE months_below * 2 > {n}""", "grid", "ns", extra=_under_views(start, end))
+
+
+ORACLE["staff_underperforming"] = _under_sql(REPORT_START, REPORT_END)
+ORACLE["staff_underperforming_quarter"] = _under_sql(PAST_QUARTER_START, REPORT_END)
+ORACLE["staff_underperforming_year"] = _under_sql(PAST_YEAR_START, REPORT_END)
 ORACLE["reservation_processing"] = lsql(f"""
 SELECT reservationstatus, count(*) AS n_reservations, {rr('sum(totaldays)', 'count(*)')} AS avg_total_days
 FROM resv GROUP BY reservationstatus""", "resv")

@@ -42,6 +42,9 @@ MEMBERSHIP_TERMS = {
 REPORT_START = dt.date(1999, 1, 1)
 REPORT_END = dt.date(2000, 6, 30)
 REFERENCE_DATE = dt.date(2000, 6, 30)
+# the staff questions also look at the past quarter and the past year
+PAST_QUARTER_START = dt.date(2000, 4, 1)
+PAST_YEAR_START = dt.date(1999, 7, 1)
 
 # The course-version split of the enrollment mart
 COURSE_VERSION_SPLIT = dt.date(1998, 1, 1)
