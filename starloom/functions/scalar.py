@@ -48,15 +48,20 @@ def age_years(ref_date: _dt.date, dob) -> Column:
     return (F.months_between(F.lit(ref_date), _c(dob)) / 12).cast("bigint")
 
 
+# Age bands of the overdue report (label, lowest age, highest
+# age; None = open end), and the label of a missing birth date
+AGE_BANDS = [("<18", None, 17), ("18-25", 18, 25), ("26-40", 26, 40), ("41-60", 41, 60),
+             ("60+", 61, None)]
+UNKNOWN_AGE_BAND = "Unknown"
+
+
 def age_band(age) -> Column:
     """Age band label; 'Unknown' when the age is NULL."""
     a = _c(age)
-    return (F.when(a.isNull(), "Unknown")
-            .when(a < 18, "<18")
-            .when(a.between(18, 25), "18-25")
-            .when(a.between(26, 40), "26-40")
-            .when(a.between(41, 60), "41-60")
-            .otherwise("60+"))
+    expr = F.when(a.isNull(), UNKNOWN_AGE_BAND)
+    for label, lo, hi in AGE_BANDS[:-1]:
+        expr = expr.when(a <= hi if lo is None else a.between(lo, hi), label)
+    return expr.otherwise(AGE_BANDS[-1][0])
 
 
 def hash_int(salt: str, *keys) -> Column:

@@ -17,7 +17,9 @@ from pyspark.sql import functions as F
 
 from starloom.sources.tables import Warehouse
 
+# First date key, and the length of a stored festive event
 DATE_KEY_START = 100001
+EVENT_CUT = 25
 
 # Yearly holidays used to enrich the calendar (month, day, event);
 # 1 May carries two events, which are merged into one festive_event text.
@@ -109,7 +111,7 @@ def apply_holidays(dim: DataFrame, holidays: DataFrame) -> DataFrame:
                .agg(F.array_join(F.sort_array(F.collect_set("festive_event")), "; ").alias("_ev")))
     j = dim.join(F.broadcast(per_day), dim.cal_date == per_day.holiday_date, "left")
     return (j.withColumn("holiday_ind", F.when(F.col("_ev").isNotNull(), "Y").otherwise("N"))
-            .withColumn("festive_event", F.substring("_ev", 1, 25))
+            .withColumn("festive_event", F.substring("_ev", 1, EVENT_CUT))
             .select(*dim.columns))
 
 
@@ -136,7 +138,7 @@ def academic_year(dim: DataFrame, windows=None, column: str = "acad_year") -> Da
     return dim.withColumn(column, expr)
 
 
-def academic_year_rule(dim: DataFrame, start_md=(6, 16), end_md=(4, 25),
+def academic_year_rule(dim: DataFrame, start_md=(6, 16), end_md=(4, 25),  # the 2025/26 dates
                        column: str = "acad_year") -> DataFrame:
     """Academic year from a yearly rule: a year runs from ``start_md`` to
     ``end_md`` of the next year and is labelled 'YYYY/YY'; days in the break

@@ -26,7 +26,10 @@ from starloom.functions.scalar import hash_int, hash_random, scalar_row
 from starloom.operators.keys import surrogate_key
 from starloom.sources.tables import Warehouse
 
+# First new id, and the length a company name is cut to
+# before '-' and the new id are appended
 NEW_ID_START = 100001
+NAME_CUT = 18
 
 
 def replicate_customers(wh: Warehouse, doublings: int = 6) -> DataFrame:
@@ -38,7 +41,7 @@ def replicate_customers(wh: Warehouse, doublings: int = 6) -> DataFrame:
     new_id = (F.lit(NEW_ID_START) + F.col("_k") * copies + F.col("copy")).cast("bigint")
     return rep.select(
         new_id.alias("new_customerid"),
-        F.concat_ws("", F.substring("companyname", 1, 18), F.lit("-"), new_id.cast("string"))
+        F.concat_ws("", F.substring("companyname", 1, NAME_CUT), F.lit("-"), new_id.cast("string"))
          .alias("companyname"),
         "city", "region", "postalcode", "country")
 

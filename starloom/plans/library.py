@@ -23,8 +23,13 @@ from starloom.sources.tables import REFERENCE_DATE, REPORT_END, REPORT_START, Wa
 
 # Display order of the membership types
 TYPE_ORDER = ["BASIC", "STANDARD", "PREMIUM", "STUDENT", "INSTITUTIONAL"]
-# Display order of the staff buckets
+# Staff buckets in display order, and the shares of the
+# records-per-salary range that separate them
 BUCKET_ORDER = ["Top20", "Qualified60", "Underperformance20"]
+TOP_SHARE, BOTTOM_SHARE = 0.8, 0.2
+# A repeat offender has at least this many loans, at least
+# this share of them overdue
+REPEAT_MIN_LOANS, REPEAT_MIN_SHARE_NUM, REPEAT_MIN_SHARE_DEN = 3, 1, 2
 
 def _overdue():
     """1 for an overdue loan (NULL overdue days count as 0), else 0."""
@@ -38,6 +43,13 @@ def _type_rank(col: str = "membershiptype"):
     return expr
 
 
+def _is_repeat():
+    """1 for a repeat offender (per-member loans_all / loans_overdue), else 0."""
+    return ((F.col("loans_all") >= REPEAT_MIN_LOANS)
+            & (F.col("loans_overdue") * REPEAT_MIN_SHARE_DEN
+               >= F.col("loans_all") * REPEAT_MIN_SHARE_NUM)).cast("bigint")
+
+
 def _loan_stats(g):
     """Aggregates shared by the overdue reports (apply to a grouped frame)."""
     return g.agg(F.count(F.lit(1)).alias("total_loans"),
@@ -120,7 +132,7 @@ def repeat_offenders(wh: Warehouse, start=REPORT_START, end=REPORT_END,
     """Members with at least 3 loans and an overdue share of at least one
     half, per age band and type."""
     per = _banded_members(wh, start, end, ref)
-    is_rep = ((F.col("loans_all") >= 3) & (F.col("loans_overdue") * 2 >= F.col("loans_all"))).cast("bigint")
+    is_rep = _is_repeat()
     g = per.groupBy("age_band", "membershiptype").agg(
         F.count(F.lit(1)).alias("members_with_activity"), F.sum(is_rep).alias("repeat_offenders"))
     return g.select("age_band", "membershiptype",
@@ -135,7 +147,7 @@ def overdue_member_behaviour(wh: Warehouse, start=REPORT_START, end=REPORT_END,
     figures of the same group. Both come from one per-member aggregate (a
     member has one band and type), so the band/type grid is joined once."""
     per = _banded_members(wh, start, end, ref)
-    is_rep = ((F.col("loans_all") >= 3) & (F.col("loans_overdue") * 2 >= F.col("loans_all"))).cast("bigint")
+    is_rep = _is_repeat()
     g = per.groupBy("age_band", "membershiptype").agg(
         F.sum("loans_all").alias("total_loans"), F.sum("loans_overdue").alias("overdue_loans"),
         F.sum("od_days").alias("_od_days"),
@@ -178,12 +190,13 @@ def staff_workload(wh: Warehouse, start=REPORT_START, end=REPORT_END) -> DataFra
 def _bucket_agg(wh: Warehouse, start, end) -> DataFrame:
     base = _staff_base(wh, start, end).withColumn("wps", F.coalesce("wps", F.lit(0.0)))
     lo, hi = F.min("wps"), F.max("wps")
-    st = scalar_row(base, rng=hi - lo, top=lo + F.lit(0.8) * (hi - lo),
-                    bottom=lo + F.lit(0.2) * (hi - lo))
-    cat = (F.when(st["rng"] == 0, "Qualified60")
-           .when(F.col("wps") >= st["top"], "Top20")
-           .when(F.col("wps") < st["bottom"], "Underperformance20")
-           .otherwise("Qualified60"))
+    top, middle, bottom = BUCKET_ORDER
+    st = scalar_row(base, rng=hi - lo, top=lo + F.lit(TOP_SHARE) * (hi - lo),
+                    bottom=lo + F.lit(BOTTOM_SHARE) * (hi - lo))
+    cat = (F.when(st["rng"] == 0, middle)
+           .when(F.col("wps") >= st["top"], top)
+           .when(F.col("wps") < st["bottom"], bottom)
+           .otherwise(middle))
     return (base.withColumn("category", cat).groupBy("category")
             .agg(F.sum("total_records").cast("bigint").alias("total_records"),
                  F.count(F.lit(1)).cast("bigint").alias("num_staff"),

@@ -154,10 +154,10 @@ def _q(wh):  # noqa: F811
 def _q(wh):  # noqa: F811
     """New ids from 100001 in customer-id order; name cut to 18 characters
     plus '-' plus the new id."""
-    k = surrogate_key(wh.customers(), ["customerid"], "new_customerid", 100001)
+    k = surrogate_key(wh.customers(), ["customerid"], "new_customerid", generate.NEW_ID_START)
     return k.select(
         "new_customerid",
-        F.concat_ws("", F.substring("companyname", 1, 18), F.lit("-"),
+        F.concat_ws("", F.substring("companyname", 1, generate.NAME_CUT), F.lit("-"),
                     F.col("new_customerid").cast("string")).alias("companyname"),
         "city", "region", "postalcode", "country")
 
