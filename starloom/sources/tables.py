@@ -15,6 +15,7 @@ threshold and sort-merges otherwise.
 from __future__ import annotations
 
 import datetime as dt
+import threading
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -76,12 +77,16 @@ class Warehouse:
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self._memo: dict = {}
+        self._locks: dict = {}
 
     def memo(self, name: str, build):
         """Build a derived table once per warehouse object (dimensions whose
-        keys are checkpointed are shared by every plan that joins them)."""
-        if name not in self._memo:
-            self._memo[name] = build()
+        keys are materialised are shared by every plan that joins them).
+        Safe for the concurrent dimension builds: one lock per name, so
+        different tables still build in parallel."""
+        with self._locks.setdefault(name, threading.Lock()):
+            if name not in self._memo:
+                self._memo[name] = build()
         return self._memo[name]
 
     # ---------------------------------------------------------------- raw
