@@ -84,7 +84,7 @@ class Warehouse:
         keys are materialised are shared by every plan that joins them).
         Safe for the concurrent dimension builds: one lock per name, so
         different tables still build in parallel."""
-        with self._locks.setdefault(name, threading.Lock()):
+        with self._locks.setdefault(name, threading.RLock()):
             if name not in self._memo:
                 self._memo[name] = build()
         return self._memo[name]
