@@ -40,9 +40,9 @@ ACADEMIC_WINDOWS = [
 
 def calendar_bounds(wh: Warehouse) -> DataFrame:
     """One row (start, end): whole years spanning every order day."""
-    o = wh.raw("orders").select("o_orderdate")
-    return o.agg(F.make_date(F.year(F.min("o_orderdate")), F.lit(1), F.lit(1)).alias("start"),
-                 F.make_date(F.year(F.max("o_orderdate")), F.lit(12), F.lit(31)).alias("end"))
+    o = wh.orders().select("orderdate")
+    return o.agg(F.make_date(F.year(F.min("orderdate")), F.lit(1), F.lit(1)).alias("start"),
+                 F.make_date(F.year(F.max("orderdate")), F.lit(12), F.lit(31)).alias("end"))
 
 
 def date_dim_from_bounds(bounds: DataFrame) -> DataFrame:

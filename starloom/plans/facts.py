@@ -24,14 +24,14 @@ from starloom.operators.scd2 import scd2_lookup
 from starloom.plans.calendar import date_dim
 from starloom.plans.dims import (DIM_KEY_START, build_dims, customer_dim, employee_dim,
                                  product_dim)
-from starloom.sources.tables import LINE_ORDER, Warehouse
+from starloom.sources.tables import Warehouse
 
 
 def dedup_order_details(wh: Warehouse) -> DataFrame:
     """NEW_DETAILS: the first line of every (order, product), five columns
     plus the net amount."""
     keep = ["orderid", "productid", "quantity", "gross", "discount"]
-    first = first_per_pair(wh.order_lines(), LINE_ORDER, keep)
+    first = first_per_pair(wh.order_lines(), wh.line_order, keep)
     return first.withColumn("net", net_amount("gross", "discount"))
 
 

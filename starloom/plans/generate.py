@@ -55,8 +55,8 @@ def generate_orders(wh: Warehouse, start: dt.date | None = None, end: dt.date |
     shipped +3 d, freight 5.99..99.99."""
     spark = wh.spark
     if start is None or end is None:
-        o = wh.raw("orders")
-        bounds = o.agg(F.to_date(F.min("o_orderdate")).alias("s"), F.to_date(F.max("o_orderdate")).alias("e"))
+        o = wh.orders().select("orderdate")
+        bounds = o.agg(F.min("orderdate").alias("s"), F.max("orderdate").alias("e"))
     else:
         bounds = spark.range(1).select(F.lit(start).alias("s"), F.lit(end).alias("e"))
     if customers is None:

@@ -10,7 +10,7 @@ from starloom.operators import dedup, quality, scd2
 from starloom.operators.keys import surrogate_key
 from starloom.plans import calendar, dims, facts, generate, library, retail
 from starloom.registry import register
-from starloom.sources.tables import LINE_ORDER, PAST_QUARTER_START, PAST_YEAR_START, REPORT_END
+from starloom.sources.tables import PAST_QUARTER_START, PAST_YEAR_START, REPORT_END
 
 
 # ----------------------------------------------------------------- retail
@@ -145,8 +145,8 @@ def _q(wh):  # noqa: F811
 @register("surrogate_key")
 def _q(wh):  # noqa: F811
     """Record numbers of the order lines: dense from 1 in the natural order."""
-    lines = wh.order_lines().select(*LINE_ORDER)
-    return surrogate_key(lines, LINE_ORDER, "rec_no", 1).select(
+    lines = wh.order_lines().select(*wh.line_order)
+    return surrogate_key(lines, wh.line_order, "rec_no", 1).select(
         "rec_no", "orderid", "productid", "suppkey", "linenumber")
 
 
@@ -219,7 +219,9 @@ def _q(wh):  # noqa: F811
 
 # ------------------------------------------------------- de-duplication
 def _lines_with_rec(wh):
-    return surrogate_key(wh.order_lines().select(*LINE_ORDER, "quantity"), LINE_ORDER, "rec_no", 1)
+    order = wh.line_order
+    cols = order + [c for c in ("quantity", "l_discount") if c not in order]
+    return surrogate_key(wh.order_lines().select(*cols), order, "rec_no", 1)
 
 
 @register("orders_with_duplicates")

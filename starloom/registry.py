@@ -18,10 +18,13 @@ from starloom.sources.tables import Warehouse
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
+# the plan behind each key, callable on any warehouse (e.g. ``RoleWarehouse``)
+PLANS: dict[str, Callable[[Warehouse], DataFrame]] = {}
 
 
 def register(key: str):
     def deco(fn: Callable[[Warehouse], DataFrame]):
+        PLANS[key] = fn
         QUERIES[key] = lambda spark, sf_dir: fn(Warehouse(spark, sf_dir))
         QUERIES[key].__doc__ = fn.__doc__
         return fn
@@ -35,4 +38,4 @@ def _load() -> None:
 
 _load()
 
-__all__ = ["ORACLE", "QUERIES", "register"]
+__all__ = ["ORACLE", "PLANS", "QUERIES", "register"]

@@ -73,6 +73,9 @@ def day_window(col: str, start: dt.date | None, end: dt.date | None) -> Column |
 class Warehouse:
     """Lazy access to one scale factor's tables and their warehouse roles."""
 
+    # columns that put order lines in a total order (record numbers, "first" line)
+    line_order = LINE_ORDER
+
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
