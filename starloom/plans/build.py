@@ -9,6 +9,8 @@ the lineage of the surrogate-key and de-duplication steps.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,10 +28,12 @@ def build_star(wh: Warehouse, out_dir: str) -> dict[str, str]:
     out = out_dir.rstrip("/")
     paths = {t: f"{out}/{t}" for t in STAR_TABLES}
     build_dims(wh)
-    write_table(date_dim_holidays(wh), paths["date_dim"])
-    write_table(customer_dim(wh), paths["customer_dim"])
-    write_table(employee_dim(wh), paths["employee_dim"])
-    write_table(product_dim(wh), paths["product_dim"])
+    dims = {"date_dim": date_dim_holidays(wh), "customer_dim": customer_dim(wh),
+            "employee_dim": employee_dim(wh), "product_dim": product_dim(wh)}
+    # four independent writes: submit them together
+    with ThreadPoolExecutor(max_workers=len(dims)) as pool:
+        for f in [pool.submit(write_table, df, paths[name]) for name, df in dims.items()]:
+            f.result()
     cal = F.broadcast(read_table(wh.spark, paths["date_dim"]).select("date_key", "cal_year"))
     fact = sales_fact(wh).join(cal, "date_key")
     write_table(fact, paths["sales_fact"], partition_by=["cal_year"])
