@@ -146,8 +146,8 @@ def _q(wh):  # noqa: F811
 def _q(wh):  # noqa: F811
     """Record numbers of the order lines: dense from 1 in the natural order."""
     lines = wh.order_lines().select(*wh.line_order)
-    return surrogate_key(lines, wh.line_order, "rec_no", 1).select(
-        "rec_no", "orderid", "productid", "suppkey", "linenumber")
+    # record number plus the leading order columns (order, product, supplier, line no.)
+    return surrogate_key(lines, wh.line_order, "rec_no", 1).select("rec_no", *wh.line_order[:4])
 
 
 @register("rekey_customers")
@@ -220,8 +220,10 @@ def _q(wh):  # noqa: F811
 # ------------------------------------------------------- de-duplication
 def _lines_with_rec(wh):
     order = wh.line_order
-    cols = order + [c for c in ("quantity", "l_discount") if c not in order]
-    return surrogate_key(wh.order_lines().select(*cols), order, "rec_no", 1)
+    lines = wh.order_lines()
+    cols = order + [c for c in ("quantity", "l_discount", "discount")
+                    if c not in order and c in lines.columns]
+    return surrogate_key(lines.select(*cols), order, "rec_no", 1)
 
 
 @register("orders_with_duplicates")
@@ -365,5 +367,6 @@ def _q(wh):  # noqa: F811
     the first of its (order, product), delete the marked record numbers."""
     rec = _lines_with_rec(wh)
     kept = dedup.delete_by_rec_no(rec, dedup.duplicate_rec_nos(rec))
+    disc = "l_discount" if "l_discount" in kept.columns else "discount"   # source value
     return kept.select("rec_no", "orderid", "productid", "quantity",
-                       F.col("l_discount").alias("discount"))
+                       F.col(disc).cast("double").alias("discount"))

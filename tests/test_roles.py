@@ -15,6 +15,10 @@ KEYS = ["customers_over_threshold", "best_category", "top_shipper", "lapsed_cust
         "customer_dim", "product_dim", "date_dim_holidays", "pk_violations", "orders_with_duplicates",
         "membership_utilisation_month", "overdue_member_behaviour", "staff_report",
         "overdue_by_category", "staff_underperforming", "enrollment_fact", "generate_orders"]
+# these depend on the line order, which differs between the two sources:
+# they must run on role tables, not necessarily agree
+RUN_ONLY = ["delete_duplicates", "duplicate_rec_nos", "dedup_order_details", "sales_fact",
+            "star_sales", "surrogate_key"]
 
 
 @pytest.fixture(scope="module")
@@ -29,3 +33,8 @@ def test_role_tables_give_the_same_answers(spark, role_dir, key):
     a = PLANS[key](Warehouse(spark, SMALL))
     b = PLANS[key](RoleWarehouse(spark, role_dir))
     assert normalised(a.columns, a.collect()) == normalised(b.columns, b.collect())
+
+
+@pytest.mark.parametrize("key", RUN_ONLY)
+def test_line_order_plans_run_on_role_tables(spark, role_dir, key):
+    assert PLANS[key](RoleWarehouse(spark, role_dir)).count() > 0
