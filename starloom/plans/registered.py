@@ -339,7 +339,8 @@ def _q(wh):  # noqa: F811
 def _q(wh):  # noqa: F811
     e = wh.enrollments().withColumn("register_date", F.to_date("register_ts"))
     j = scd2.scd2_lookup(e, wh.courses(), "course_id", "register_date")
-    return j.select("se_id", "linenumber", "suppkey", "course_id", "register_date", "version")
+    line_ids = [c for c in ("linenumber", "suppkey") if c in e.columns]  # when the source has them
+    return j.select("se_id", *line_ids, "course_id", "register_date", "version")
 
 
 @register("scd2_apply")
