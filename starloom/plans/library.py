@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from starloom.functions.scalar import (age_band, age_years, avg_round, pct_round, round_ratio,
                                        scalar_row, year_month)
+from starloom.operators.keys import materialize
 from starloom.plans.calendar import academic_year_rule, date_dim_holidays
 from starloom.sources.tables import REFERENCE_DATE, REPORT_END, REPORT_START, Warehouse
 
@@ -379,7 +380,9 @@ def staff_underperforming(wh: Warehouse, start=REPORT_START, end=REPORT_END) ->
     n_months = _months_in(start, end)
     s = wh.staff().select("staff_key", "staffid")
     n_staff = s.agg(F.count(F.lit(1))).scalar()
-    sm = _staff_month_records(wh, start, end)
+    # the staff x month counts feed a scalar statistic and the main plan:
+    # write them once so the loan and reservation joins run only once
+    sm = materialize(_staff_month_records(wh, start, end), "staff-months")
     month_tot = sm.groupBy("year_month").agg(F.sum("n").alias("tot"))   # one row per month
     m_pos = month_tot.agg(F.count(F.when(F.col("tot") > 0, F.lit(1)))).scalar()
     per = (sm.join(F.broadcast(month_tot), "year_month")
