@@ -189,7 +189,10 @@ def staff_workload(wh: Warehouse, start=REPORT_START, end=REPORT_END) -> DataFra
 
 
 def _bucket_agg(wh: Warehouse, start, end) -> DataFrame:
-    base = _staff_base(wh, start, end).withColumn("wps", F.coalesce("wps", F.lit(0.0)))
+    # one row per staff member, read by the range statistics and the buckets:
+    # written once so the loan and reservation joins run only once
+    base = materialize(_staff_base(wh, start, end).withColumn("wps", F.coalesce("wps", F.lit(0.0))),
+                       "staff-base")
     lo, hi = F.min("wps"), F.max("wps")
     top, middle, bottom = BUCKET_ORDER
     st = scalar_row(base, rng=hi - lo, top=lo + F.lit(TOP_SHARE) * (hi - lo),
@@ -315,7 +318,7 @@ def overdue_above_average(wh: Warehouse, start=REPORT_START, end=REPORT_END) ->
     """Types whose overdue rate is above the overall rate (compared exactly
     as cross-multiplied integers)."""
     l = loans(wh, start, end)
-    per = _loan_stats(l.groupBy("membershiptype"))
+    per = materialize(_loan_stats(l.groupBy("membershiptype")), "type-overdue")  # one row per type
     tot = scalar_row(per, loans=F.sum("total_loans"), over=F.sum("overdue_loans"),
                      rate=pct_round(F.sum("overdue_loans"), F.sum("total_loans")))
     return (per.filter(F.col("overdue_loans") * tot["loans"] > tot["over"] * F.col("total_loans"))

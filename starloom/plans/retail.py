@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions.scalar import hash_int, round_ratio, scalar_row, to_double_money
+from starloom.operators.keys import materialize
 from starloom.plans.calendar import date_dim
 from starloom.sources.tables import Warehouse
 
@@ -213,6 +214,8 @@ def unpopular_products(wh: Warehouse) -> DataFrame:
     p = wh.products().select("productid", "productname", "categoryname")
     counted = p.join(per_product, "productid", "left").withColumn(
         "order_count", F.coalesce(F.col("n"), F.lit(0)).cast("bigint")).drop("n")
+    # one row per product, read by the average and by the filter: write once
+    counted = materialize(counted, "product-counts")
     avg_count = counted.agg(F.avg("order_count")).scalar()
     return counted.filter(F.col("order_count") < avg_count)
 
