@@ -52,3 +52,13 @@ def test_local_session_gets_a_private_folder():
     s = _Spark("local[2]")
     d = ensure_checkpoint_dir(s)
     assert d and d == s.conf.get("spark.checkpoint.dir")
+
+
+def test_materialize_writes_under_the_checkpoint_folder(spark):
+    from starloom.operators.keys import materialize
+    df = materialize(spark.range(10), "probe")
+    base = spark.sparkContext.getCheckpointDir().rstrip("/")
+    files = df.inputFiles()
+    assert files and all(f.startswith(base) or f.replace("file://", "file:").startswith(base)
+                         for f in files)
+    assert df.count() == 10
