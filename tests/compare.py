@@ -28,11 +28,19 @@ def normalised(cols, rows):
     return names, data
 
 
+# Spark simple type name -> DuckDB type name of the same column
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "date": "DATE", "boolean": "BOOLEAN"}
+
+
 def assert_same(sdf, con, sql):
     srows = [tuple(r) for r in sdf.collect()]
-    cur = con.execute(sql)
-    ocols = [d[0] for d in cur.description]
-    orows = cur.fetchall()
+    rel = con.sql(sql)
+    ocols, otypes = rel.columns, [str(t) for t in rel.types]
+    orows = rel.fetchall()
+    stypes = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+              for f in sdf.schema}
+    assert stypes == dict(zip(ocols, otypes)), f"types differ: {stypes} vs {dict(zip(ocols, otypes))}"
     sn, sd = normalised(sdf.columns, srows)
     on, od = normalised(ocols, orows)
     assert sn == on, f"columns differ: {sn} vs {on}"
