@@ -7,8 +7,9 @@ import __spark_entry__ as entry
 from compare import assert_same
 from conftest import SMALL
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+# the text operators have tests of their own, and not all can be said in SQL
+QUERIES = {k: v for k, v in entry.queries().items() if k not in entry.TEXT_QUERIES}
+ORACLE = {k: v for k, v in entry.oracle_sql().items() if k not in entry.TEXT_QUERIES}
 
 
 def test_every_query_has_an_oracle():
