@@ -6,14 +6,17 @@ Documents with equal sets form a class; the smallest id stands for it. Each of
 one or two of the ``COORDS`` minwise functions (1 / threshold of them on
 average) by a hash of its path, and a document goes to the child that its
 minwise value names. Nodes of up to ``SMALL`` documents are compared
-exhaustively; larger ones compare all members with one leader and branch on.
-Members that are already connected need no further comparison, so a large
-node whose members are one component ends there; that keeps a group of
-thousands of near copies linear. What is still large and mixed at ``DEPTH``
-is compared across components in full, so nothing is capped.
-
-Every comparison is confirmed on the full sets. Only two bounds go before it:
-set sizes (exact), and one-bit minwise agreement, which loses a pair at the
+exhaustively; larger ones branch on for as long as that shrinks them.
+
+What stays large then is a group of documents that share most of their minwise
+values, such as thousands of near copies. Each such node first compares all
+members with one leader, and the links found so far are turned into components.
+Members that are connected already need no further comparison; those outside
+the node's largest component are compared with all members, in blocks. So a
+group of near copies costs a few passes over its members, and nothing is capped.
+
+Every link is confirmed on the full sets. In small nodes two bounds go before
+it: set sizes (exact), and one-bit minwise agreement, which loses a pair at the
 threshold with a probability of about 4e-6. A pair at 0.85 misses all small
 first-level nodes with a probability under 1e-9; at depth three, the trees
 together find it with over 0.999.
@@ -21,7 +24,10 @@ together find it with over 0.999.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,7 +35,9 @@ from pyspark.sql import functions as F
 from starloom.llm.common import gram_hashes, mix, small_batches, stored, text_slices, word_hashes
 from starloom.llm.components import components
 
-SHINGLE, COORDS, TREES, SMALL, DEPTH = 5, 64, 12, 24, 8
+SHINGLE, COORDS, TREES, SMALL, DEPTH = 5, 64, 12, 32, 8
+#: A level is branched again if it left under SHRINK of the rows of large nodes; documents of a block of a node.
+SHRINK, BLOCK = 0.6, 256
 #: Bits that two one-bit sketches of COORDS bits may differ in.
 BITS_APART = 16
 _rng = np.random.default_rng(7)
@@ -109,12 +117,12 @@ def _children(keys: np.ndarray, sketches: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def _branch(batches):
-    """Columns key, doc, n, bits, label, sketch -> the same rows in child nodes; a
+    """Columns key, doc, n, bits, sketch -> the same rows in child nodes; a
     null key stands for the roots of all trees."""
     for b in batches:
         if not b.num_rows:
             continue
-        sk = np.frombuffer(b"".join(b.column(5).to_pylist()), "<u4").reshape(-1, COORDS)
+        sk = np.frombuffer(b"".join(b.column(4).to_pylist()), "<u4").reshape(-1, COORDS)
         key = b.column(0)
         if key.null_count:
             keys = mix(np.tile(np.arange(1, TREES + 1, dtype=np.uint64), len(sk)))
@@ -123,8 +131,8 @@ def _branch(batches):
             keys, src = key.to_numpy().view(np.uint64), np.arange(len(sk))
         i, child = _children(keys, sk[src])
         rows = pa.array(src[i])
-        yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), *(b.column(k).take(rows) for k in (1, 2, 3, 4))],
-                                         names=["key", "doc", "n", "bits", "label"])
+        yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), *(b.column(k).take(rows) for k in (1, 2, 3))],
+                                         names=["key", "doc", "n", "bits"])
 
 
 def _sets(batches):
@@ -138,15 +146,10 @@ def _sets(batches):
 
 def _pairs(rows: DataFrame, percent: int) -> DataFrame:
     """Pairs within each (bounded) small node that the two bounds let pass."""
-    groups = rows.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("n", "doc", "bits", "label"))).alias("g"))
+    groups = rows.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("n", "doc", "bits"))).alias("g"))
     one = groups.select("g", F.posexplode("g").alias("i", "x"))
     two = one.select("x", F.explode(F.expr(f"slice(g, i + 2, {SMALL})")).alias("y"))
-    return _pass(two, percent)
-
-
-def _pass(two: DataFrame, percent: int) -> DataFrame:
-    ok = (F.col("x.label") != F.col("y.label")) \
-        & (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n")) \
+    ok = (F.col("x.doc") != F.col("y.doc")) & (100 * F.col("x.n") >= percent * F.col("y.n")) \
         & (F.bit_count(F.col("x.bits").bitwiseXOR(F.col("y.bits"))) <= BITS_APART)
     return two.where(ok).select(F.least("x.doc", "y.doc").alias("a"), F.greatest("x.doc", "y.doc").alias("b"))
 
@@ -160,6 +163,59 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .where(f"100L * i >= {percent}L * u").select("a", "b"))
 
 
+def _block_links(percent: int):
+    """Compare the askers of a block with its members on their sets; a spanning
+    forest of the links is enough."""
+    def run(pdf):
+        pdf = pdf.sort_values("doc", kind="stable").reset_index(drop=True)
+        ask, doc, label = (pdf[c].to_numpy() for c in ("ask", "doc", "label"))
+        n = np.array([len(x) for x in pdf["set"]])
+        flat, ids = np.unique(np.concatenate(list(pdf["set"])), return_inverse=True)
+        at = np.concatenate([[0], np.cumsum(n)])
+        mark = np.zeros(len(flat), np.int32)
+        root = {x: x for x in label.tolist()}
+
+        def top(x):
+            while root[x] != x:
+                root[x] = x = root[root[x]]
+            return x
+
+        out, base = [], np.flatnonzero(~ask)
+        if len(base):
+            lists = np.concatenate([ids[at[k]:at[k + 1]] for k in base.tolist()])
+            starts = np.concatenate([[0], np.cumsum(n[base])[:-1]])
+            for k in np.flatnonzero(ask).tolist():
+                mark[ids[at[k]:at[k + 1]]] = 1
+                both = np.add.reduceat(mark[lists], starts)
+                mark[ids[at[k]:at[k + 1]]] = 0
+                for m in base[100 * both >= percent * (n[k] + n[base] - both)].tolist():
+                    x, y = top(label[k]), top(label[m])
+                    if x != y:
+                        root[max(x, y)] = min(x, y)
+                        out.append((doc[k], doc[m]))
+        return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+    return run
+
+
+def _rest(big: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links that join components within large nodes. ``big`` (key, doc)."""
+    rows = big.join(labels.withColumnRenamed("id", "doc"), "doc", "left") \
+        .select("key", "doc", F.coalesce("component", "doc").alias("label"))
+    rows = stored(rows, "rest")
+    count = rows.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c"), F.sum(F.xxhash64("doc").cast("decimal(38,0)")).alias("f"))
+    nodes = count.groupBy("key").agg(F.max(F.struct("c", "label")).alias("top"), F.sum("c").alias("m"), F.sum("f").alias("f")) \
+        .where("top.c < m")
+    nodes = nodes.groupBy("f", "m").agg(F.min_by(F.struct("key", "top"), "key").alias("k")) \
+        .select("k.key", F.col("k.top.label").alias("main"), F.ceil(F.col("m") / BLOCK).cast("int").alias("nb"),
+                F.ceil((F.col("m") - F.col("k.top.c")) / BLOCK).cast("int").alias("na"))
+    rows = rows.join(nodes, "key")
+    deal = lambda k: F.pmod(F.xxhash64("doc"), F.col(k)).cast("int")
+    span = lambda k: F.explode(F.sequence(F.lit(0), F.col(k) - 1))
+    base = rows.select("key", "doc", "label", F.lit(False).alias("ask"), deal("nb").alias("j"), span("na").alias("i"))
+    ask = rows.where("label != main").select("key", "doc", "label", F.lit(True).alias("ask"), deal("na").alias("i"), span("nb").alias("j"))
+    return base.unionByName(ask).join(sets, "doc").groupBy("key", "i", "j").applyInPandas(_block_links(percent), "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     """``docs`` (doc_id, text; other columns are ignored) -> doc_id, n_shingles,
     component_id, kept, one row per row.
@@ -167,9 +223,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     Documents are linked when 100 * intersection >= percent * union of their
     shingle sets; component_id is the smallest doc_id reachable. Null and empty
     texts have no shingle and link with nothing. Rows that repeat a doc_id are
-    each returned; links hold for the id. A null doc_id has no identity: its row
-    is returned with itself as component (null) and kept. An empty table gives
-    an empty result.
+    each returned; a link of one holds for the id. A null doc_id has no identity:
+    its row is returned with a null component, kept. Empty table: empty result.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -177,54 +232,33 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     prof = stored(docs.mapInArrow(_profile, "doc_id long, n long, f1 long, f2 long, bits long, sketch binary"), "profile")
     known = prof.where("n > 0 and doc_id is not null")
     classes = known.groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("rep"))
-    heads = classes.select("f1", "f2", F.col("n").alias("hn"), F.col("rep").alias("doc_id"))
-    reps = stored(known.join(heads, ["f1", "f2", "doc_id"])
-                  .groupBy(F.col("doc_id").alias("doc"), "f1", "f2", "n", "bits").agg(F.first("sketch").alias("sketch"))
-                  .drop("f1", "f2"), "reps")
-    shape = "key long, doc long, n long, bits long, label long"
-    rows = reps.select(F.lit(None).cast("long").alias("key"), "doc", "n", "bits", F.col("doc").alias("label"), "sketch")
-    tested = sets = labels = None
+    heads = classes.select("f1", "f2", F.col("rep").alias("doc_id"))
+    reps = known.join(heads, ["f1", "f2", "doc_id"]).select(F.col("doc_id").alias("doc"), "n", "bits", "sketch")
+    rows = reps.select(F.lit(None).cast("long").alias("key"), "doc", "n", "bits", "sketch")
+    pairs, left, big = [], None, None
     for depth in range(1, DEPTH + 1):
-        rows = stored(rows.mapInArrow(_branch, shape), "nodes")
-        live = rows.join(_mixed(rows), "key")
-        pairs = _pairs(live.where(F.col("c") <= SMALL), percent)
-        big = stored(live.where(F.col("c") > SMALL).drop("c"), "big")
-        more = not big.isEmpty()
-        if more:
-            whole = F.struct("n", "doc", "bits", "label")
-            lead = big.groupBy("key").agg(F.min_by(whole, F.xxhash64("key", "doc")).alias("x"))
-            pairs = pairs.unionByName(_pass(big.select("key", whole.alias("y")).join(lead, "key"), percent))
-            if depth == DEPTH:  # the exact way for what is left
-                one, two = big.select("key", whole.alias("x")), big.select("key", whole.alias("y"))
-                pairs = pairs.unionByName(_pass(one.join(two, "key").where("x.doc < y.doc"), percent))
-        pairs = pairs.distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "pairs")
-        ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-        if sets is not None:
-            ids = ids.join(sets.select(F.col("doc").alias("doc_id")), "doc_id", "left_anti")
-        new = stored(docs.join(ids, "doc_id", "left_semi").mapInArrow(_sets, "doc long, set array<long>"), "sets")
-        sets = new if sets is None else sets.unionByName(new)
-        links = _confirmed(pairs, sets, percent)
-        if labels is not None:
-            links = links.unionByName(labels.select(F.col("id").alias("a"), F.col("component").alias("b")))
-        labels = stored(components(links), "labels")
-        if not more:
+        rows = stored(rows.mapInArrow(_branch, "key long, doc long, n long, bits long"), "nodes")
+        count = rows.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+        live = rows.join(count, "key")
+        pairs.append(_pairs(live.where(F.col("c") <= SMALL), percent))
+        big, before = stored(live.where(F.col("c") > SMALL).drop("c"), "big"), left
+        left = big.count()
+        if not left or before is not None and left >= SHRINK * before:
             break
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        rows = big.drop("label").join(labels.withColumnRenamed("id", "doc"), "doc", "left") \
-            .withColumn("label", F.coalesce("component", "doc"))
-        rows = rows.join(_mixed(rows).select("key"), "key", "left_semi").join(reps.select("doc", "n", "sketch"), ["doc", "n"]) \
-            .select("key", "doc", "n", "bits", "label", "sketch")
+        rows = big.join(reps.select("doc", "n", "sketch"), ["doc", "n"]).select("key", "doc", "n", "bits", "sketch")
+    if left:
+        lead = big.groupBy("key").agg(F.min_by("doc", F.xxhash64("key", "doc")).alias("head"))
+        pairs.append(big.join(lead, "key").where("doc != head").select(F.least("doc", "head").alias("a"), F.greatest("doc", "head").alias("b")))
+    pairs = stored(reduce(DataFrame.unionByName, pairs).distinct(), "pairs")
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id"))
+    ids = ids.unionByName(big.select(F.col("doc").alias("doc_id"))).distinct()
+    sets = stored(docs.join(ids, "doc_id", "left_semi").mapInArrow(_sets, "doc long, set array<long>"), "sets")
+    labels = stored(components(_confirmed(pairs, sets, percent)), "labels")
+    if left:
+        links = labels.select(F.col("id").alias("a"), F.col("component").alias("b"))
+        labels = stored(components(links.unionByName(_rest(big.select("key", "doc"), labels, sets, percent))), "labels")
     out = prof.join(classes, ["f1", "f2", "n"], "left").select("doc_id", "n", F.coalesce("rep", "doc_id").alias("rep"))
     out = out.join(labels.withColumnRenamed("id", "rep"), "rep", "left")
     root = F.coalesce("component", "rep")
     return out.select("doc_id", F.col("n").alias("n_shingles"), root.alias("component_id"),
                       root.eqNullSafe(F.col("doc_id")).alias("kept"))
-
-
-def _mixed(rows: DataFrame) -> DataFrame:
-    """Nodes that hold members of more than one component, with their size."""
-    return rows.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min("label").alias("l0"), F.max("label").alias("l1")) \
-        .where("c > 1 and l0 != l1").select("key", "c")
