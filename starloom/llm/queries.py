@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from starloom.llm import bpe, packing, substring
 from starloom.llm.common import table
 from starloom.llm.exact import exact_duplicates
 from starloom.llm.minhash import near_duplicates
@@ -29,6 +30,21 @@ def op1_minhash_near_dedup(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+@query
+def op4_byte_bpe(spark, sf_dir):
+    return bpe.digests(bpe.decode(bpe.encode(table(spark, sf_dir, "documents", "doc_id", "text"))))
+
+
+@query
+def op5_substring_dedup(spark, sf_dir):
+    return substring.digests(substring.remove_repeats(table(spark, sf_dir, "documents", "doc_id", "text")))
+
+
+@query
+def op6_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 @query
 def op8_exact_dedup(spark, sf_dir):
     return exact_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
@@ -59,6 +75,20 @@ reach AS (SELECT doc_id AS id, doc_id AS to_id FROM documents
 SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, c.component_id, s.doc_id = c.component_id AS kept
 FROM sets s JOIN (SELECT id, min(to_id) AS component_id FROM reach GROUP BY id) c ON c.id = s.doc_id"""
 
+ORACLE["op5_substring_dedup"] = f"""
+WITH words AS (SELECT doc_id, {_WORDS.format("coalesce(text, '')")} AS w FROM documents),
+runs AS (
+  SELECT doc_id, i, md5(array_to_string(list_slice(w, i, i + 49), ' ')) AS h
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM words)),
+first AS (SELECT h, min(doc_id) AS d FROM runs GROUP BY h),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS i FROM runs JOIN first USING (h) WHERE d < doc_id),
+pos AS (SELECT doc_id, unnest(w) AS x, generate_subscripts(w, 1) AS i FROM words),
+kept AS (
+  SELECT p.doc_id, string_agg(p.x, ' ' ORDER BY p.i) FILTER (g.i IS NULL) AS t, count(g.i) AS n
+  FROM pos p LEFT JOIN gone g ON g.doc_id = p.doc_id AND g.i = p.i GROUP BY p.doc_id)
+SELECT w.doc_id, CAST(len(w.w) AS BIGINT) AS n_words, coalesce(k.n, 0) AS n_removed, sha256(coalesce(k.t, '')) AS kept_sha256
+FROM words w LEFT JOIN kept k ON k.doc_id = w.doc_id"""
+
 ORACLE["op8_exact_dedup"] = """
 WITH t AS (
   SELECT doc_id, coalesce(text, '') AS x, sha256(regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]', '', 'g')) AS h
