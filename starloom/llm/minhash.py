@@ -36,8 +36,8 @@ from starloom.llm.common import gram_hashes, mix, small_batches, stored, text_sl
 from starloom.llm.components import components
 
 SHINGLE, COORDS, TREES, SMALL, DEPTH = 5, 64, 12, 32, 8
-#: A level is branched again if it left under SHRINK of the rows of large nodes; documents of a block of a node.
-SHRINK, BLOCK = 0.6, 256
+#: A level is branched again if it left under SHRINK of the rows of large nodes; about as many hashes make a block of a node.
+SHRINK, BLOCK = 0.6, 1_000_000
 #: Bits that two one-bit sketches of COORDS bits may differ in.
 BITS_APART = 16
 _rng = np.random.default_rng(7)
@@ -198,16 +198,17 @@ def _block_links(percent: int):
 
 
 def _rest(big: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links that join components within large nodes. ``big`` (key, doc)."""
+    """Links that join components within large nodes. ``big`` (key, doc, n)."""
     rows = big.join(labels.withColumnRenamed("id", "doc"), "doc", "left") \
-        .select("key", "doc", F.coalesce("component", "doc").alias("label"))
+        .select("key", "doc", "n", F.coalesce("component", "doc").alias("label"))
     rows = stored(rows, "rest")
-    count = rows.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c"), F.sum(F.xxhash64("doc").cast("decimal(38,0)")).alias("f"))
-    nodes = count.groupBy("key").agg(F.max(F.struct("c", "label")).alias("top"), F.sum("c").alias("m"), F.sum("f").alias("f")) \
-        .where("top.c < m")
-    nodes = nodes.groupBy("f", "m").agg(F.min_by(F.struct("key", "top"), "key").alias("k")) \
-        .select("k.key", F.col("k.top.label").alias("main"), F.ceil(F.col("m") / BLOCK).cast("int").alias("nb"),
-                F.ceil((F.col("m") - F.col("k.top.c")) / BLOCK).cast("int").alias("na"))
+    count = rows.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("n"),
+                                             F.sum(F.xxhash64("doc").cast("decimal(38,0)")).alias("f"))
+    nodes = count.groupBy("key").agg(F.max(F.struct("c", "label", "n")).alias("top"), F.sum("c").alias("m"), F.sum("n").alias("n"),
+                                     F.sum("f").alias("f")).where("top.c < m")
+    nodes = nodes.groupBy("f", "m").agg(F.min_by(F.struct("key", "top", "n"), "key").alias("k")) \
+        .select("k.key", F.col("k.top.label").alias("main"), F.ceil(F.col("k.n") / BLOCK).cast("int").alias("nb"),
+                F.ceil((F.col("k.n") - F.col("k.top.n")) / BLOCK).cast("int").alias("na"))
     rows = rows.join(nodes, "key")
     deal = lambda k: F.pmod(F.xxhash64("doc"), F.col(k)).cast("int")
     span = lambda k: F.explode(F.sequence(F.lit(0), F.col(k) - 1))
@@ -252,11 +253,12 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     pairs = stored(reduce(DataFrame.unionByName, pairs).distinct(), "pairs")
     ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id"))
     ids = ids.unionByName(big.select(F.col("doc").alias("doc_id"))).distinct()
-    sets = stored(docs.join(ids, "doc_id", "left_semi").mapInArrow(_sets, "doc long, set array<long>"), "sets")
+    # merge: the same plan at every size; the ids grow with the table
+    sets = stored(docs.join(ids.hint("merge"), "doc_id", "left_semi").mapInArrow(_sets, "doc long, set array<long>"), "sets")
     labels = stored(components(_confirmed(pairs, sets, percent)), "labels")
     if left:
         links = labels.select(F.col("id").alias("a"), F.col("component").alias("b"))
-        labels = stored(components(links.unionByName(_rest(big.select("key", "doc"), labels, sets, percent))), "labels")
+        labels = stored(components(links.unionByName(_rest(big.select("key", "doc", "n"), labels, sets, percent))), "labels")
     out = prof.join(classes, ["f1", "f2", "n"], "left").select("doc_id", "n", F.coalesce("rep", "doc_id").alias("rep"))
     out = out.join(labels.withColumnRenamed("id", "rep"), "rep", "left")
     root = F.coalesce("component", "rep")

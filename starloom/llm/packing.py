@@ -52,15 +52,19 @@ class WordTokens:
             new = words
         marks, stems = {b",", b"."}, {}
         for w in new:
-            stem = w.lower() if w.isascii() else w
-            if len(stem) > 1 and stem[-1:] in marks and stem[:-1].isalnum():  # of bytes: ASCII letters and digits
-                stem = stem[:-1]
-            stems[w] = stem
-        self._encode((set(stems.values()) | marks).difference(self.known))
-        for w, stem in stems.items():
+            if w.isascii():
+                stem = w.lower()
+            else:  # letters whose small form is one letter, whatever stands beside them
+                t = w.decode("utf-8", "replace")
+                stem = t.lower().encode() if max(t) < "\u0250" and "\u0130" not in t else w
+            if stem[-1:] in marks and stem[-2:-1].isalnum():  # of bytes: an ASCII letter or digit
+                stems[w] = (stem[:-1], stem[-1:])
+            else:
+                stems[w] = (stem, b"")
+        self._encode(({x for x, _ in stems.values()} | marks).difference(self.known))
+        for w, (stem, mark) in stems.items():
             if w not in self.known:
-                tail = len(w) - len(stem)
-                self.known[w] = self.known[stem] + (self.known[w[-1:]] if tail else b"")
+                self.known[w] = self.known[stem] + (self.known[mark] if mark else b"")
 
     def _encode(self, stems: set[bytes]) -> None:
         texts = {w: w.decode("utf-8", "replace") for w in stems}
@@ -78,14 +82,18 @@ class WordTokens:
         for w, e in zip(odd, self.model.encode_batch_fast([texts[w] for w in odd], add_special_tokens=False)):
             self.known[w] = np.array(e.ids, "<u4").tobytes()
 
-    def ids(self, text: str) -> bytes:
-        """Little-endian unsigned 32-bit ids."""
-        words = text.encode("utf-8", "replace").split()
-        try:
-            return b"".join(map(self.known.__getitem__, words))
-        except KeyError:
-            self.learn(set(words))
-            return b"".join(map(self.known.__getitem__, words))
+    def ids(self, texts: list[str], at_once: int = 500_000):
+        """Each text's ids, as little-endian unsigned 32-bit numbers; new words of
+        texts of together about ``at_once`` characters are learnt together."""
+        words, size = [], 0
+        for n, text in enumerate(texts, 1):
+            words.append(text.encode("utf-8", "replace").split())
+            size += len(text)
+            if size >= at_once or n == len(texts):
+                self.learn(set().union(*words))
+                for x in words:
+                    yield b"".join(map(self.known.__getitem__, x))
+                words, size = [], 0
 
 
 @lru_cache(2)
@@ -164,8 +172,8 @@ def _pack(path: str, end_id: int, capacity: int, piece: int, n_windows: int):
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=_NAMES)
 
         for b in batches:
-            for doc, text in zip(b.column(0).to_pylist(), text_of(b.column(1))):
-                raw = tokens.ids(text) + end
+            for doc, raw in zip(b.column(0).to_pylist(), tokens.ids(text_of(b.column(1)))):
+                raw += end
                 held.append((doc, raw))
                 size += len(raw) // 4 % capacity
                 if size >= n_windows * capacity or len(held) >= 64 * n_windows:

@@ -10,8 +10,8 @@ runs cover, up to ``2 * SPAN - GRAM``.
 Occurrences with an equal context agree in all their runs: the first document
 keeps them, later ones lose them (one aggregate and one join, however many
 documents share it). Where an anchor has several contexts, only the first
-document of each context is extended run by run, and each run is compared with
-the same run elsewhere. Overlapping matches are joined to maximal repeats.
+document of each context is extended run by run (at each place where it has the
+context), and each run is compared with the same run elsewhere. Overlapping matches are joined to maximal repeats.
 Documents with equal word sequences are judged once, as one class.
 """
 
@@ -144,13 +144,14 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     copies = stored(known.select("doc_id", "r", *same).join(classes, same).where("doc_id != first").select("r", "n").distinct(), "copies")
     own = known.join(copies.select("r"), "r", "left_anti").dropDuplicates(["r"])
     seeds = stored(own.select("doc_id", "r", F.explode(F.arrays_zip("h", "c", "lo", "hi")).alias("x")).select("doc_id", "r", "x.*"), "seeds")
-    groups = seeds.groupBy("h", "c").agg(F.min(F.struct("doc_id", "r", "lo", "hi")).alias("one"), F.max("doc_id").alias("last"))
-    groups = stored(groups.select("h", "c", "one", "last"), "contexts")
-    again = groups.where("one.doc_id != last").select("h", "c", F.col("one.doc_id").alias("first"))
-    spans = seeds.join(again, ["h", "c"]).where("doc_id != first").select("r", F.col("lo").alias("a"), (F.col("hi") + SPAN).alias("b"))
-    several = groups.groupBy("h").agg(F.count(F.lit(1)).alias("k"), F.min("one.doc_id").alias("d0"), F.max("one.doc_id").alias("d1")) \
-        .where("k > 1 and d0 != d1").select("h")
-    extend = groups.join(several, "h").select("one.r", F.struct("h", "one.lo", "one.hi").alias("s")) \
+    groups = stored(seeds.groupBy("h", "c").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")), "contexts")
+    several = groups.groupBy("h").agg(F.count(F.lit(1)).alias("k"), F.min("first").alias("d0"), F.max("first").alias("d1")) \
+        .where("k > 1 and d0 != d1").select("h", F.lit(True).alias("several"))
+    groups = groups.join(several, "h", "left").where("several or first != last").drop("last")
+    judged = stored(seeds.join(groups, ["h", "c"]).where("several or doc_id != first")
+                    .select("r", "h", "lo", "hi", (F.col("doc_id") != F.col("first")).alias("later")), "judged")
+    spans = judged.where("later").select("r", F.col("lo").alias("a"), (F.col("hi") + SPAN).alias("b"))
+    extend = judged.where("not later").select("r", F.struct("h", "lo", "hi").alias("s")) \
         .groupBy("r").agg(F.collect_list("s").alias("s"))  # at most as many as one text has anchors
     runs = docs.join(extend, "r").select("r", "doc_id", "text", "s").mapInArrow(_runs, "r long, doc_id long, h long, at long, run long")
     runs = stored(runs, "runs")
