@@ -30,7 +30,7 @@ from starloom.llm.common import small_batches, text_of
 CAPACITY, PIECE, WINDOWS = 2048, 512, 128
 TOKENIZER, END_ID = public_tokenizers.path("word_bpe_49k.json"), 1
 #: Words that a worker remembers; then it starts anew.
-MEMORY = 1_000_000
+MEMORY = 1_600_000
 
 
 class WordTokens:

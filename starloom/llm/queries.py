@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import bpe, packing, substring
+from starloom.llm import bpe, packing, secrets, substring, toxicity
 from starloom.llm.common import table
 from starloom.llm.exact import exact_duplicates
 from starloom.llm.minhash import near_duplicates
@@ -30,6 +30,11 @@ def op1_minhash_near_dedup(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+@query
+def op3_secret_scan(spark, sf_dir):
+    return secrets.digests(secrets.scan(table(spark, sf_dir, "documents", "doc_id", "text")))
+
+
 @query
 def op4_byte_bpe(spark, sf_dir):
     return bpe.digests(bpe.decode(bpe.encode(table(spark, sf_dir, "documents", "doc_id", "text"))))
@@ -45,6 +50,11 @@ def op6_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+@query
+def op7_toxicity(spark, sf_dir):
+    return toxicity.judge(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels", "doc_id", "toxic"))
+
+
 @query
 def op8_exact_dedup(spark, sf_dir):
     return exact_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
