@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from starloom.llm import bpe, packing, secrets, substring, toxicity
 from starloom.llm.common import table
 from starloom.llm.exact import exact_duplicates
+from starloom.llm.lattice import near_vectors
 from starloom.llm.minhash import near_duplicates
 from starloom.llm.warc import page_records
 
@@ -30,6 +31,11 @@ def op1_minhash_near_dedup(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+@query
+def op2_lattice_near_dedup(spark, sf_dir):
+    return near_vectors(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
 @query
 def op3_secret_scan(spark, sf_dir):
     return secrets.digests(secrets.scan(table(spark, sf_dir, "documents", "doc_id", "text")))
@@ -85,6 +91,21 @@ reach AS (SELECT doc_id AS id, doc_id AS to_id FROM documents
 SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, c.component_id, s.doc_id = c.component_id AS kept
 FROM sets s JOIN (SELECT id, min(to_id) AS component_id FROM reach GROUP BY id) c ON c.id = s.doc_id"""
 
+ORACLE["op2_lattice_near_dedup"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND list_sum(list_transform(embedding, lambda x: abs(x))) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.95),
+reach AS (SELECT vec_id AS id, vec_id AS to_id FROM embeddings
+          UNION SELECT r.id, l.b FROM reach r JOIN links l ON l.a = r.to_id),
+root AS (SELECT id, min(to_id) AS component_id FROM reach GROUP BY id),
+n AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT r.id AS vec_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_links, r.component_id, r.id = r.component_id AS kept
+FROM root r LEFT JOIN n ON n.a = r.id"""
+
 ORACLE["op5_substring_dedup"] = f"""
 WITH words AS (SELECT doc_id, {_WORDS.format("coalesce(text, '')")} AS w FROM documents),
 runs AS (
