@@ -1,42 +1,98 @@
-"""Corpus pipeline: stages over documents, each of them one of the text operators."""
+"""Corpus pipeline: stages over documents, each of them one of the text operators.
+
+A stage takes the documents that its predecessor kept and returns the columns of
+documents (the last one returns the pieces of packed sequences). Each result is
+written as Parquet and read again as the next stage's documents.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm.common import release, scratch_path
+from starloom.llm import packing, secrets, toxicity
+from starloom.llm.common import release, scratch_path, scratch_paths
 from starloom.llm.exact import exact_duplicates
 from starloom.llm.minhash import near_duplicates
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+_left: list[str] = []
+
+
+def stage(fn: Stage) -> Stage:
+    """Delete what the stage before has stored on its way, unless its result is
+    still computed from that (it wasn't written), and note what this one stores."""
+    @wraps(fn)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        read = docs.inputFiles()
+        release(spark, [p for p in _left if not any(p.rsplit("/", 1)[-1] in f for f in read)])
+        before = set(scratch_paths())
+        out = fn(spark, docs, sf_dir)
+        _left[:] = [p for p in scratch_paths() if p not in before]
+        return out
+    return run
+
+
+def _without(docs: DataFrame, verdict: DataFrame) -> DataFrame:
+    """The rows of docs but those of ids that the verdict keeps nowhere."""
+    gone = verdict.groupBy("doc_id").agg(F.max("kept").alias("kept")).where("not kept").select("doc_id")
+    return docs.join(gone.hint("merge"), "doc_id", "left_anti").select(docs.columns)
 
-def _keep(docs: DataFrame, verdict: DataFrame) -> DataFrame:
-    """The rows of docs whose id the verdict keeps."""
-    return docs.join(verdict.where("kept").select("doc_id").distinct(), "doc_id", "left_semi").select(docs.columns)
 
+@stage
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are predicted toxic go; learnt from the labels of documents
+    that are there."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity.harmless(docs, toxicity.fit(docs, labels))
 
+
+@stage
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts stays."""
-    return _keep(docs, exact_duplicates(docs))
+    return _without(docs, exact_duplicates(docs))
 
 
+@stage
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays (five words, 0.85)."""
-    return _keep(docs, near_duplicates(docs))
+    return _without(docs, near_duplicates(docs))
+
+
+@stage
+def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents stay; each secret in a text is replaced by a mark."""
+    out = secrets.redact(docs)
+    if "n_chars" in out.columns:  # the length of the text as it is now
+        out = out.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text").cast(out.schema["n_chars"].dataType))
+                             .otherwise(F.col("n_chars")))
+    return out
+
+
+@stage
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents in sequences of at most 2048 tokens."""
+    return packing.pack(docs)
 
 
-STAGES = [("exact_dedup", exact_stage), ("minhash_near_dedup", near_stage)]
-ORACLE_SQL = None
+STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", toxicity_stage), ("exact_dedup", exact_stage), ("minhash_near_dedup", near_stage), ("secret_scan", secret_stage),
+    ("packing", packing_stage)]
+ORACLE_SQL = None  # a trained classifier, a tokenizer and a packing can't be said in SQL
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply STAGES to documents; each stage's result is written and read again.
-    What a stage stored on its way is deleted once its result is written."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    results = []
-    for name, stage in STAGES:
-        results.append(scratch_path(spark, name))
-        stage(spark, docs, sf_dir).write.parquet(results[-1])
-        release(spark, keep=results)
-        docs = spark.read.parquet(results[-1])
+    """Apply STAGES to documents; returns the last stage's result as it was written."""
+    docs, last = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
+    for name, fn in STAGES:
+        path = scratch_path(spark, f"stage-{name}")
+        fn(spark, docs, sf_dir).write.parquet(path)
+        if last:
+            release(spark, [last])
+        docs, last = spark.read.parquet(path), path
+    release(spark, [p for p in _left if p != last])
+    _left.clear()
     return docs

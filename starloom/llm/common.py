@@ -46,15 +46,21 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession, keep: list[str] = ()) -> int:
-    """Delete the scratch tables written so far but those in ``keep``; call it when
-    what depends on them is stored. Returns how many there were."""
+def scratch_paths() -> list[str]:
+    """The scratch folders of this process that are still there."""
+    return list(_SCRATCH)
+
+
+def release(spark: SparkSession, paths: list[str]) -> int:
+    """Delete these scratch folders; call it when what depends on them is stored.
+    Returns how many there were."""
     jvm, n = spark.sparkContext._jvm, 0
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for path in [x for x in _SCRATCH if x not in keep]:
+    for path in paths:
         p = jvm.org.apache.hadoop.fs.Path(path)
         n += bool(p.getFileSystem(conf).delete(p, True))
-        _SCRATCH.remove(path)
+        if path in _SCRATCH:
+            _SCRATCH.remove(path)
     return n
 
 

@@ -13,7 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm.common import stored
+from starloom.llm.common import scratch_path, stored
 
 #: The characters that texts are compared without: [\x20\x09-\x0D].
 BLANK = " \t\n\x0b\x0c\r"
@@ -81,6 +81,10 @@ class DigestIndex:
 
 
 def exact_duplicates(docs: DataFrame, buckets: int = BUCKETS) -> DataFrame:
-    """``docs`` as the first batch of an index of its own; see DigestIndex.absorb."""
+    """``docs`` as the first batch of an index of its own, kept in a scratch folder
+    (no table stays in the catalog); see DigestIndex.absorb."""
     spark = docs.sparkSession
-    return DigestIndex(spark, f"starloom_digests_{uuid.uuid4().hex}", buckets).absorb(docs)
+    name = f"starloom_digests_{uuid.uuid4().hex}"
+    out = DigestIndex(spark, name, buckets, scratch_path(spark, "index")).absorb(docs)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    return out

@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import bpe, packing, secrets, substring, toxicity
+from starloom.llm import bpe, html, packing, secrets, substring, toxicity
 from starloom.llm.common import table
 from starloom.llm.exact import exact_duplicates
 from starloom.llm.lattice import near_vectors
@@ -71,6 +71,11 @@ def op9_warc(spark, sf_dir):
     return page_records(table(spark, sf_dir, "pages", "page_id", "url", "html"))
 
 
+@query
+def op10_html_extraction(spark, sf_dir):
+    return html.extract(table(spark, sf_dir, "pages", "page_id", "html"))
+
+
 # Words as the contract defines them, in DuckDB: cut at the six blanks, drop empty parts.
 _WORDS = "list_filter(regexp_split_to_array({0}, '[\\x20\\x09-\\x0D]+'), lambda w: w <> '')"
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

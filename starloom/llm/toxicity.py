@@ -333,6 +333,24 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                       chance.alias("score"), F.when(chance >= THRESHOLD, 1).otherwise(0).alias("predicted"))
 
 
+def _harmless(model: Model, text: int):
+    worst = _worst(model, 0)
+
+    def run(batches):
+        for b in batches:
+            got = next(worst(iter([pa.RecordBatch.from_arrays([b.column(text), b.column(text)], names=["id", "text"])])))
+            w = np.array(got.column(1).to_pylist(), float).reshape(-1, WORST)
+            z = np.clip(w @ np.array(model.slopes) + model.shift, -30, 30)
+            yield b.filter(pa.array(1 / (1 + np.exp(-z)) < THRESHOLD))
+    return run
+
+
+def harmless(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that are not predicted toxic."""
+    small_batches(docs.sparkSession)
+    return docs.mapInArrow(_harmless(model, docs.columns.index("text")), docs.schema)
+
+
 def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Train on the labelled rows of ``docs`` and score all of them."""
     return score(docs, fit(docs, labels))
