@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import heapq
 import os
+import re
 import zlib
 from functools import lru_cache
 
@@ -33,6 +34,10 @@ TOKENIZER, END_ID = public_tokenizers.path("word_bpe_49k.json"), 1
 MEMORY = 1_600_000
 
 
+#: Words of small Latin letters only: one word of the model each.
+_LETTERS = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
+
+
 class WordTokens:
     """Ids of texts, word by word: this tokenizer drops white space and never
     joins across it, so the ids of a text are those of its words in turn. A comma
@@ -44,6 +49,9 @@ class WordTokens:
         self.known: dict[bytes, bytes] = {}
         self.model = Tokenizer.from_file(path)
         self.model.encode_special_tokens = True
+        vocab = self.model.get_vocab()
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)
+        self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
 
     def learn(self, words: set[bytes]) -> None:
         new = words.difference(self.known)
@@ -67,19 +75,15 @@ class WordTokens:
                 self.known[w] = self.known[stem] + (self.known[mark] if mark else b"")
 
     def _encode(self, stems: set[bytes]) -> None:
-        texts = {w: w.decode("utf-8", "replace") for w in stems}
-        plain = [w for w, t in texts.items() if t.isalnum() and len(t.lower()) == len(t)]
-        for i in range(0, len(plain), 500):  # many words at once, told apart by their places
-            part = [texts[w] for w in plain[i:i + 500]]
-            e = self.model.encode(" ".join(part), add_special_tokens=False)
-            begins = np.cumsum([0] + [len(t) + 1 for t in part])
-            own = np.searchsorted(begins, np.array([x for x, _ in e.offsets]), "right") - 1
-            ids, cut = np.array(e.ids, "<u4"), np.searchsorted(own, np.arange(len(part) + 1))
-            raw = ids.tobytes()
-            for w, x, y in zip(plain[i:i + 500], cut[:-1].tolist(), cut[1:].tolist()):
-                self.known[w] = raw[4 * x:4 * y]
+        plain = [w for w in stems if _LETTERS.fullmatch(w)]
+        for i in range(0, len(plain), 500):  # many words at once; each ends with the one token that ends a word
+            part = plain[i:i + 500]
+            e = self.model.encode_batch_fast([b" ".join(part).decode()], add_special_tokens=False)[0]
+            ids = np.array(e.ids, "<u4")
+            raw, ends = ids.tobytes(), (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+            self.known.update(zip(part, (raw[x:y] for x, y in zip([0, *ends], ends))))
         odd = list(stems.difference(plain))
-        for w, e in zip(odd, self.model.encode_batch_fast([texts[w] for w in odd], add_special_tokens=False)):
+        for w, e in zip(odd, self.model.encode_batch_fast([w.decode("utf-8", "replace") for w in odd], add_special_tokens=False)):
             self.known[w] = np.array(e.ids, "<u4").tobytes()
 
     def ids(self, texts: list[str], at_once: int = 500_000):
