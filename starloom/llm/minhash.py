@@ -259,7 +259,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     if left:
         links = labels.select(F.col("id").alias("a"), F.col("component").alias("b"))
         labels = stored(components(links.unionByName(_rest(big.select("key", "doc", "n"), labels, sets, percent))), "labels")
-    out = prof.join(classes, ["f1", "f2", "n"], "left").select("doc_id", "n", F.coalesce("rep", "doc_id").alias("rep"))
+    out = prof.join(classes, ["f1", "f2", "n"], "left").select(
+        "doc_id", "n", F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id")).alias("rep"))
     out = out.join(labels.withColumnRenamed("id", "rep"), "rep", "left")
     root = F.coalesce("component", "rep")
     return out.select("doc_id", F.col("n").alias("n_shingles"), root.alias("component_id"),

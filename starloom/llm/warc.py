@@ -170,7 +170,8 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     broken = rec.where("not whole")
     if not broken.isEmpty():  # payloads with a magic inside: join their pieces
         last = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, 0)
-        of = seg.join(rec.select("file", "start", F.col("start").alias("own"), "whole"), ["file", "start"], "left")
+        of = seg.select("file", "block", "rel", "start").join(
+            rec.select("file", "start", F.col("start").alias("own"), "whole"), ["file", "start"], "left")
         of = of.select("file", "block", "rel", "start", F.last("own", True).over(last).alias("own"), F.last("whole", True).over(last).alias("w")) \
             .where("not w").drop("w")
         files = [r.file for r in broken.select("file").distinct().collect()]
