@@ -65,15 +65,15 @@ def age_band(age) -> Column:
 
 
 def hash_int(salt: str, *keys) -> Column:
-    """Deterministic 32-bit unsigned integer from ``md5(salt || '|' || keys)``.
+    """Deterministic 60-bit unsigned integer from ``md5(salt || '|' || keys)``.
 
     Unlike ``rand()`` it does not depend on partitioning or task order, so a
     recomputed partition yields the same values; DuckDB computes the same
-    number with ``('0x' || substr(md5(..), 1, 8))::BIGINT``.
+    number with ``('0x' || substr(md5(..), 1, 15))::BIGINT``.
     """
     parts = [F.lit(salt)] + [_c(k).cast("string") for k in keys]
     digest = F.md5(F.concat_ws("|", *parts))
-    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")
 
 
 def hash_random(salt: str, lo: int, hi: int, *keys) -> Column:
@@ -89,11 +89,11 @@ def round_ratio(num, den, scale: int = 2) -> Column:
     SQL twin: ``sign(num) * ((abs(num) * 2 * 10^scale + den) // (2 * den)) / 10^scale``.
     """
     n = _c(num).cast("bigint")
-    d = F.nullif(_c(den).cast("bigint"), F.lit(0))
+    d = F.nullif(_c(den).cast("bigint"), F.lit(0)).cast("decimal(19,0)")
     f = 10 ** scale
-    q = F.abs(n) * F.lit(2 * f) + d
-    two_d = F.lit(2) * d
-    whole = ((q - F.pmod(q, two_d)) / two_d).cast("bigint")  # exact multiple: exact quotient
+    # wide decimals and integer division: no rounding on the way, no overflow
+    q = F.abs(n).cast("decimal(19,0)") * F.lit(2 * f).cast("decimal(12,0)") + d
+    whole = F.call_function("div", q, d * F.lit(2).cast("decimal(1,0)"))
     return (F.signum(n) * whole / F.lit(float(f))).cast("double")
 
 

@@ -30,6 +30,8 @@ from starloom.sources.tables import Warehouse
 # before '-' and the new id are appended
 NEW_ID_START = 100001
 NAME_CUT = 18
+# orders of a day that are made together
+DAY_PART = 500
 
 
 def replicate_customers(wh: Warehouse, doublings: int = 6) -> DataFrame:
@@ -74,7 +76,13 @@ def generate_orders(wh: Warehouse, start: dt.date | None = None, end: dt.date |
     before = F.coalesce(F.sum("n").over(
         Window.orderBy("orderdate").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     days = days.withColumn("before", before)
-    gen = days.select("orderdate", "before", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))).alias("i"))
+    # the day table sits in one task: deal it out in parts of a day before rows are made of it
+    n = F.col("n").cast("int")
+    parts = days.select("orderdate", "before", n.alias("n"), F.explode(
+        F.sequence(F.lit(0), F.floor((n - 1) / DAY_PART).cast("int"))).alias("part")).where("n > 0")
+    parts = parts.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "orderdate", "part")
+    gen = parts.select("orderdate", "before", F.explode(F.sequence(
+        F.col("part") * DAY_PART + 1, F.least("n", (F.col("part") + 1) * DAY_PART))).alias("i"))
     d, i = F.col("orderdate"), F.col("i")
     return gen.select(
         (F.lit(NEW_ID_START) + F.col("before") + i - 1).cast("bigint").alias("orderid"),
@@ -95,8 +103,8 @@ def generate_order_details(wh: Warehouse, orders: DataFrame | None = None,
 
     The price lookup is an inner key join. The source's per-row lookup
     fails on an id without a product; ``check_missing=True`` keeps that
-    contract by looking for one such line (anti join, ``limit(1)``) and
-    raising instead of silently dropping it."""
+    contract: a left join whose missing price raises an error, in the same
+    pass, instead of silently dropping the line."""
     o = generate_orders(wh) if orders is None else orders
     p = wh.products().select("productid", "unitprice")
     st = scalar_row(p, lo=F.min("productid"), span=F.max("productid") - F.min("productid") + 1)
@@ -110,8 +118,11 @@ def generate_order_details(wh: Warehouse, orders: DataFrame | None = None,
         hash_random("quantity", quantity[0], quantity[1] + 1, k, c).alias("quantity"),
         (hash_random("discount", discount_cents[0], discount_cents[1] + 1, k, c) / F.lit(100))
         .cast("decimal(3,2)").alias("discount"))
-    if check_missing and drawn.join(p, "productid", "left_anti").limit(1).count() > 0:
-        raise ValueError("a drawn product id has no product (gap in the product id range)")
-    priced = drawn.join(p, "productid")
+    if check_missing:
+        priced = drawn.join(p.withColumn("found", F.lit(True)), "productid", "left").withColumn(
+            "unitprice", F.when(F.col("found"), F.col("unitprice")).otherwise(
+                F.raise_error(F.lit("a drawn product id has no product (gap in the product id range)")))).drop("found")
+    else:
+        priced = drawn.join(p, "productid")
     keyed = surrogate_key(priced, ["orderid", "ctr"], "rec_no", 1)
     return keyed.select("rec_no", "orderid", "productid", "unitprice", "quantity", "discount")

@@ -86,18 +86,20 @@ def membership_utilisation_month(wh: Warehouse, start=REPORT_START, end=REPORT_E
     loans_m = per_member.groupBy("membershiptype", "year_month").agg(
         F.sum("n").alias("n"), F.sum("days").alias("days"), F.sum("od").alias("od"),
         F.sum("od_days").alias("od_days"),
-        F.count(F.when(limited, F.lit(1))).alias("b_den"),
-        F.count(F.when(limited & (F.col("n") >= F.col("maxbookloan")), F.lit(1))).alias("b_hit"))
+        F.count_distinct(F.when(limited, F.col("memberid"))).alias("b_den"),
+        F.count_distinct(F.when(limited & (F.col("n") >= F.col("maxbookloan")), F.col("memberid"))).alias("b_hit"))
 
     m = wh.members().select("member_key", "memberid", "membershiptype", "maxreservation")
     r = (wh.reservations(start, end).filter(F.upper("reservationstatus") == "SUCCESS")
          .select("member_key", year_month("resv_date").alias("year_month")))
+    # keys first (few rows per member), then members: versions of one member add up
     r_member = (r.groupBy("member_key", "year_month").agg(F.count(F.lit(1)).alias("n"))
-                .join(m, "member_key"))
+                .join(m, "member_key")
+                .groupBy("membershiptype", "year_month", "memberid", "maxreservation").agg(F.sum("n").alias("n")))
     r_limited = F.col("maxreservation") > 0
     resv_m = r_member.groupBy("membershiptype", "year_month").agg(
-        F.count(F.when(r_limited, F.lit(1))).alias("r_den"),
-        F.count(F.when(r_limited & (F.col("n") >= F.col("maxreservation")), F.lit(1))).alias("r_hit"))
+        F.count_distinct(F.when(r_limited, F.col("memberid"))).alias("r_den"),
+        F.count_distinct(F.when(r_limited & (F.col("n") >= F.col("maxreservation")), F.col("memberid"))).alias("r_hit"))
 
     out = (loans_m.join(resv_m, ["membershiptype", "year_month"], "left")
            .select("membershiptype", "year_month",
@@ -280,10 +282,11 @@ def avg_utilisation(wh: Warehouse, start=REPORT_START, end=REPORT_END) -> DataFr
           .groupBy("membershiptype")
           .agg(F.count(F.lit(1)).alias("loan_member_months"), F.sum("n").alias("loans"),
                F.max("maxbookloan").alias("max_book_loan")))
-    m = wh.members().select("member_key", "membershiptype", "maxreservation")
+    m = wh.members().select("member_key", "memberid", "membershiptype", "maxreservation")
     r = (wh.reservations(start, end).filter(F.upper("reservationstatus") == "SUCCESS")
          .groupBy("member_key", year_month("resv_date").alias("year_month"))
          .agg(F.count(F.lit(1)).alias("n")).join(m, "member_key")
+         .groupBy("membershiptype", "memberid", "year_month", "maxreservation").agg(F.sum("n").alias("n"))
          .groupBy("membershiptype")
          .agg(F.count(F.lit(1)).alias("resv_member_months"), F.sum("n").alias("resvs"),
               F.max("maxreservation").alias("max_reservation")))
@@ -416,5 +419,6 @@ def staff_member_interactions(wh: Warehouse, start=REPORT_START, end=REPORT_END)
     lo = wh.book_loans(start, end).select("staff_key", "member_key")
     rs = wh.reservations(start, end).select("staff_key", "member_key")
     pairs = lo.unionByName(rs).distinct()
-    return (pairs.groupBy("staff_key").agg(F.count(F.lit(1)).cast("bigint").alias("n_members"))
-            .withColumnRenamed("staff_key", "staffid"))
+    ids = (pairs.join(wh.members().select("member_key", "memberid"), "member_key")
+           .join(wh.staff().select("staff_key", "staffid"), "staff_key").select("staffid", "memberid").distinct())
+    return ids.groupBy("staffid").agg(F.count("memberid").cast("bigint").alias("n_members"))

@@ -70,13 +70,13 @@ EXTRA = {
               FROM (SELECT *, row_number() OVER (PARTITION BY orderid, productid
                                                 ORDER BY {_LINE_ORDER_SQL}) AS rn FROM lines) x
               WHERE rn = 1""",
-    "sf": """SELECT c.date_key, d.customer_key, e.product_key, f.employee_key, a.orderid,
-                b.gross AS gross_amount, b.quantity, b.discount, b.net AS line_total
-             FROM ord a JOIN nd b ON a.orderid = b.orderid
-             JOIN cal c ON c.cal_date = a.orderdate
-             JOIN cd d ON a.customerid = d.customerid
-             JOIN pd e ON b.productid = e.productid
-             JOIN ed f ON a.employeeid = f.employeeid""",
+    "sf": """SELECT date_key, customer_key, product_key, employee_key, orderid,
+                gross AS gross_amount, quantity, discount, net AS line_total
+             FROM nd JOIN ord USING (orderid)
+             JOIN (SELECT productid, product_key FROM pd) USING (productid)
+             JOIN (SELECT customerid, customer_key FROM cd) USING (customerid)
+             JOIN (SELECT employeeid, employee_key FROM ed) USING (employeeid)
+             JOIN (SELECT cal_date AS orderdate, date_key FROM cal) USING (orderdate)""",
 }
 EXTRA_DEPS = {
     "days": ["bounds"], "cal": ["days"], "hol": ["cal", "rules"], "cd": ["cust"], "ed": ["emp"],
@@ -92,15 +92,11 @@ def sql(body: str, *names: str, extra: dict | None = None) -> str:
     return with_views(body, *names, extra=views, extra_deps=EXTRA_DEPS)
 
 
-def _net_value(alias: str = "c") -> str:
-    return f"{alias}.gross * (1 - {alias}.discount)"
-
-
 def rr(num: str, den: str, scale: int = 2) -> str:
     """Twin of ``round_ratio``: exact half-away-from-zero rounding of num/den."""
     f = 10 ** scale
-    n = f"CAST({num} AS BIGINT)"
-    d = f"nullif(CAST({den} AS BIGINT), 0)"
+    n = f"CAST({num} AS HUGEINT)"
+    d = f"nullif(CAST({den} AS HUGEINT), 0)"
     return f"(CAST(sign({n}) * ((abs({n}) * {2 * f} + {d}) // (2 * {d})) AS DOUBLE) / {float(f)})"
 
 
@@ -111,52 +107,52 @@ def pct(part: str, whole: str) -> str:
 ORACLE: dict[str, str] = {}
 
 # ----------------------------------------------------------------- retail
+# what each order is worth, net of discounts
+_ORDER_WORTH = "SELECT orderid, sum(gross * (1 - discount)) AS worth FROM det GROUP BY orderid"
 ORACLE["customers_over_threshold"] = sql(f"""
-SELECT a.customerid, a.companyname, CAST(round(sum({_net_value()}), 2) AS DOUBLE) AS total_purchase
-FROM cust a JOIN ord b ON a.customerid = b.customerid JOIN det c ON b.orderid = c.orderid
-WHERE year(b.orderdate) = 1995
-GROUP BY a.customerid, a.companyname
-HAVING sum({_net_value()}) > 1000""", "cust", "ord", "det")
+SELECT customerid, companyname, CAST(round(spent, 2) AS DOUBLE) AS total_purchase
+FROM cust JOIN (SELECT customerid, sum(worth) AS spent
+                FROM ord JOIN ({_ORDER_WORTH}) USING (orderid)
+                WHERE orderdate BETWEEN DATE '1995-01-01' AND DATE '1995-12-31'
+                GROUP BY customerid) USING (customerid)
+WHERE spent > 1000""", "cust", "ord", "det")
 
 ORACLE["customers_over_threshold_by_year"] = sql(f"""
-SELECT a.customerid, a.companyname, CAST(year(b.orderdate) AS BIGINT) AS order_year,
-       CAST(round(sum({_net_value()}), 2) AS DOUBLE) AS total_purchase
-FROM cust a JOIN ord b ON a.customerid = b.customerid JOIN det c ON b.orderid = c.orderid
-GROUP BY a.customerid, a.companyname, year(b.orderdate)
-HAVING sum({_net_value()}) > 1000""", "cust", "ord", "det")
+SELECT customerid, companyname, order_year, CAST(round(spent, 2) AS DOUBLE) AS total_purchase
+FROM cust JOIN (SELECT customerid, CAST(year(orderdate) AS BIGINT) AS order_year, sum(worth) AS spent
+                FROM ord JOIN ({_ORDER_WORTH}) USING (orderid)
+                GROUP BY ALL) USING (customerid)
+WHERE spent > 1000""", "cust", "ord", "det")
 
 _CATEGORY_COUNTS = """
-SELECT p.categoryname, count(d.orderid) AS total_order
-FROM prod p JOIN det c ON p.productid = c.productid JOIN ord d ON c.orderid = d.orderid
-GROUP BY p.categoryname ORDER BY total_order DESC, p.categoryname"""
+SELECT categoryname, CAST(sum(n_lines) AS BIGINT) AS total_order
+FROM prod JOIN (SELECT productid, count(*) AS n_lines FROM det SEMI JOIN ord USING (orderid)
+                GROUP BY productid) USING (productid)
+GROUP BY categoryname ORDER BY total_order DESC, categoryname"""
 ORACLE["best_category"] = sql(_CATEGORY_COUNTS + " LIMIT 1", "prod", "det", "ord")
 ORACLE["top3_categories"] = sql(_CATEGORY_COUNTS + " LIMIT 3", "prod", "det", "ord")
 
 ORACLE["top_shipper"] = sql("""
-SELECT b.companyname, count(a.orderid) AS total_orders
-FROM ord a JOIN ship b ON b.shipperid = a.shipvia
-GROUP BY b.companyname ORDER BY total_orders DESC, b.companyname LIMIT 1""", "ord", "ship")
+SELECT companyname, CAST(sum(n_orders) AS BIGINT) AS total_orders
+FROM ship JOIN (SELECT shipvia AS shipperid, count(*) AS n_orders FROM ord GROUP BY shipvia) USING (shipperid)
+GROUP BY companyname ORDER BY total_orders DESC, companyname LIMIT 1""", "ord", "ship")
 
 ORACLE["lapsed_customers"] = sql("""
-SELECT a.customerid, max(b.orderdate) AS latest_purchase
-FROM cust a JOIN ord b ON a.customerid = b.customerid
-WHERE a.customerid IN (SELECT customerid FROM cust
-                       EXCEPT SELECT customerid FROM ord WHERE year(orderdate) = 1995)
-GROUP BY a.customerid""", "cust", "ord")
+SELECT customerid, max(orderdate) AS latest_purchase
+FROM ord SEMI JOIN cust USING (customerid)
+GROUP BY customerid
+HAVING count(*) FILTER (WHERE orderdate BETWEEN DATE '1995-01-01' AND DATE '1995-12-31') = 0""", "cust", "ord")
 
 _BY_COUNTRY_Q = """
-SELECT c.country, d.cal_quarter, count(*) AS no_of_orders
-FROM cust c JOIN ord o ON c.customerid = o.customerid JOIN cal d ON o.orderdate = d.cal_date
-WHERE d.cal_year = 1998
-GROUP BY c.country, d.cal_quarter"""
-ORACLE["orders_by_country_quarter"] = sql(_BY_COUNTRY_Q, "cust", "ord", "cal")
+SELECT country, 'Q' || CAST(quarter(orderdate) AS VARCHAR) AS cal_quarter, count(*) AS no_of_orders
+FROM ord JOIN (SELECT customerid, country FROM cust) USING (customerid)
+WHERE orderdate BETWEEN DATE '1998-01-01' AND DATE '1998-12-31'
+GROUP BY ALL"""
+ORACLE["orders_by_country_quarter"] = sql(_BY_COUNTRY_Q, "cust", "ord")
 ORACLE["orders_quarter_pivot"] = sql(f"""
-SELECT country,
-       CAST(sum(CASE WHEN cal_quarter = 'Q1' THEN no_of_orders END) AS BIGINT) AS q1,
-       CAST(sum(CASE WHEN cal_quarter = 'Q2' THEN no_of_orders END) AS BIGINT) AS q2,
-       CAST(sum(CASE WHEN cal_quarter = 'Q3' THEN no_of_orders END) AS BIGINT) AS q3,
-       CAST(sum(CASE WHEN cal_quarter = 'Q4' THEN no_of_orders END) AS BIGINT) AS q4
-FROM ({_BY_COUNTRY_Q}) x GROUP BY country""", "cust", "ord", "cal")
+SELECT country, q1, q2, q3, q4
+FROM (PIVOT ({_BY_COUNTRY_Q}) ON cal_quarter IN ('Q1' AS q1, 'Q2' AS q2, 'Q3' AS q3, 'Q4' AS q4)
+      USING CAST(sum(no_of_orders) AS BIGINT) GROUP BY country)""", "cust", "ord")
 ORACLE["orders_q1_by_country"] = sql("""
 SELECT c.country, count(*) AS no_of_orders
 FROM cust c JOIN ord o ON c.customerid = o.customerid JOIN cal d ON o.orderdate = d.cal_date
@@ -164,16 +160,14 @@ WHERE d.cal_year = 1998 AND d.cal_quarter = 'Q1'
 GROUP BY c.country""", "cust", "ord", "cal")
 
 ORACLE["revenue_month_pivot"] = sql("""
-SELECT CAST(year_no AS BIGINT) AS year_no,
+SELECT CAST(year(orderdate) AS BIGINT) AS year_no,
 """ + ",\n".join(
-    f"       CAST(round(sum(CASE WHEN month_no = {m} THEN total_revenue END), 2) AS DOUBLE) AS m{m}"
+    f"       CAST(round(sum(amount) FILTER (WHERE month(orderdate) = {m}), 2) AS DOUBLE) AS m{m}"
     for m in range(1, 7)) + """
-FROM (SELECT year(b.orderdate) AS year_no, month(b.orderdate) AS month_no,
-             sum(c.gross) AS total_revenue
-      FROM cust a JOIN ord b ON a.customerid = b.customerid JOIN det c ON b.orderid = c.orderid
-      WHERE year(b.orderdate) BETWEEN 1996 AND 1998 AND month(b.orderdate) BETWEEN 1 AND 6
-      GROUP BY 1, 2) x
-GROUP BY year_no""", "cust", "ord", "det")
+FROM (SELECT orderid, sum(gross) AS amount FROM det GROUP BY orderid)
+JOIN ord USING (orderid) SEMI JOIN cust USING (customerid)
+WHERE year(orderdate) BETWEEN 1996 AND 1998 AND quarter(orderdate) < 3
+GROUP BY 1""", "cust", "ord", "det")
 
 ORACLE["dates_of_year"] = sql("SELECT * FROM cal WHERE cal_year = 1998", "cal")
 ORACLE["missing_region"] = sql("SELECT customerid FROM cust WHERE region IS NULL", "cust")
@@ -220,7 +214,7 @@ FROM prod p LEFT JOIN (SELECT productid, count(*) AS n FROM det GROUP BY product
 ORACLE["random_customers"] = sql("""
 SELECT d.draw, d.customerid, c.companyname
 FROM (SELECT r.range AS draw,
-             b.lo + (CAST('0x' || substr(md5('cust|' || CAST(r.range AS VARCHAR)), 1, 8) AS BIGINT)
+             b.lo + (CAST('0x' || substr(md5('cust|' || CAST(r.range AS VARCHAR)), 1, 15) AS BIGINT)
                      % (b.hi - b.lo + 1)) AS customerid
       FROM range(100) r, (SELECT min(customerid) AS lo, max(customerid) AS hi FROM cust) b) d
 JOIN cust c ON c.customerid = d.customerid""", "cust")
@@ -293,8 +287,8 @@ ORACLE["employee_dim"] = sql("SELECT * FROM ed", "ed")
 ORACLE["product_dim"] = sql("SELECT * FROM pd", "pd")
 
 # ------------------------------------------------------- de-duplication
-_DUP_ORDERS = """SELECT orderid FROM det GROUP BY orderid
-HAVING count(productid) > count(DISTINCT productid)"""
+_DUP_ORDERS = """SELECT DISTINCT orderid
+FROM (SELECT orderid FROM det WHERE productid IS NOT NULL GROUP BY orderid, productid HAVING count(*) > 1)"""
 ORACLE["orders_with_duplicates"] = sql(_DUP_ORDERS, "det")
 ORACLE["duplicate_candidates"] = sql(f"""
 SELECT rec_no, CAST(orderid AS VARCHAR) || '-' || CAST(productid AS VARCHAR) AS order_product
@@ -317,13 +311,12 @@ SELECT date_key, customer_key, product_key, employee_key, orderid,
        CAST(line_total AS DOUBLE) AS line_total
 FROM sf""", "sf")
 ORACLE["star_sales"] = sql("""
-SELECT c.country, d.cal_year, p.categoryname, CAST(sum(f.line_total) AS DOUBLE) AS total_sales
-FROM sf f JOIN cal d ON f.date_key = d.date_key JOIN cd c ON f.customer_key = c.customer_key
-JOIN pd p ON f.product_key = p.product_key
-WHERE d.cal_year BETWEEN 1998 AND 2000
-  AND c.country IN ('NATION_1', 'NATION_2', 'NATION_3')
-  AND p.categoryname IN ('PROMO', 'SMALL', 'LARGE')
-GROUP BY c.country, d.cal_year, p.categoryname""", "sf", "cal", "cd", "pd")
+SELECT country, cal_year, categoryname, CAST(sum(amount) AS DOUBLE) AS total_sales
+FROM (SELECT date_key, customer_key, product_key, sum(line_total) AS amount FROM sf GROUP BY ALL)
+JOIN (SELECT product_key, categoryname FROM pd WHERE categoryname IN ('PROMO', 'SMALL', 'LARGE')) USING (product_key)
+JOIN (SELECT customer_key, country FROM cd WHERE country IN ('NATION_1', 'NATION_2', 'NATION_3')) USING (customer_key)
+JOIN (SELECT date_key, cal_year FROM cal WHERE cal_year BETWEEN 1998 AND 2000) USING (date_key)
+GROUP BY ALL""", "sf", "cal", "cd", "pd")
 
 
 # --------------------------------------------------------------- library
@@ -347,36 +340,32 @@ def _stats(keys: str, src: str = "loan") -> str:
 FROM {src} GROUP BY {keys}"""
 
 
+# One row per member, month and limit, loans ('L') and successful reservations ('R') one below the other;
+# a member counts once for a month however many versions have the limit.
+_USE = f"""
+SELECT membershiptype, {_YM} AS year_month, 'L' AS kind, memberid, maxbookloan AS cap, count(*) AS n,
+       sum(coalesce(loandays, 0)) AS days, sum({_OD}) AS late, sum(coalesce(overduedays, 0)) AS late_days
+FROM loan GROUP BY ALL
+UNION ALL
+SELECT membershiptype, strftime(resv_date, '%Y-%m'), 'R', memberid, maxreservation, count(*), 0, 0, 0
+FROM resv JOIN (SELECT member_key, memberid, membershiptype, maxreservation FROM mem) USING (member_key)
+WHERE upper(reservationstatus) = 'SUCCESS' GROUP BY ALL"""
+
+
+def _share_at_cap(kind: str) -> str:
+    has = f"kind = '{kind}' AND cap > 0"
+    return "coalesce(" + pct(f"count(DISTINCT memberid) FILTER (WHERE {has} AND n >= cap)",
+                             f"count(DISTINCT memberid) FILTER (WHERE {has})") + ", 0.0)"
+
+
 ORACLE["membership_utilisation_month"] = lsql(f"""
-SELECT l.membershiptype, l.year_month, l.bookloaninmonths, l.avgloandurationdays,
-       coalesce({pct('bh.hit_members', 'bh.denom_members')}, 0.0) AS hit_maxbookuti_perc,
-       coalesce({pct('rh.hit_members', 'rh.denom_members')}, 0.0) AS hit_maxresruti_perc,
-       l.totaloverdue, l.avgoverduedays
-FROM (SELECT membershiptype, {_YM} AS year_month, count(*) AS bookloaninmonths,
-             {rr('sum(coalesce(loandays, 0))', 'count(*)')} AS avgloandurationdays,
-             CAST(sum({_OD}) AS BIGINT) AS totaloverdue,
-             {rr('sum(coalesce(overduedays, 0))', 'count(*)')} AS avgoverduedays
-      FROM loan GROUP BY membershiptype, {_YM}) l
-LEFT JOIN (SELECT membershiptype, year_month,
-                  count(DISTINCT CASE WHEN maxbookloan > 0 THEN memberid END) AS denom_members,
-                  count(DISTINCT CASE WHEN maxbookloan > 0 AND loans_in_month >= maxbookloan
-                                      THEN memberid END) AS hit_members
-           FROM (SELECT membershiptype, {_YM} AS year_month, memberid, maxbookloan,
-                        count(*) AS loans_in_month
-                 FROM loan GROUP BY membershiptype, {_YM}, memberid, maxbookloan) t
-           GROUP BY membershiptype, year_month) bh
-  ON bh.membershiptype = l.membershiptype AND bh.year_month = l.year_month
-LEFT JOIN (SELECT membershiptype, year_month,
-                  count(DISTINCT CASE WHEN maxreservation > 0 THEN memberid END) AS denom_members,
-                  count(DISTINCT CASE WHEN maxreservation > 0 AND resv_in_month >= maxreservation
-                                      THEN memberid END) AS hit_members
-           FROM (SELECT m.membershiptype, strftime(r.resv_date, '%Y-%m') AS year_month, m.memberid,
-                        m.maxreservation, count(*) AS resv_in_month
-                 FROM resv r JOIN mem m ON m.member_key = r.member_key
-                 WHERE upper(r.reservationstatus) = 'SUCCESS'
-                 GROUP BY 1, 2, 3, 4) t
-           GROUP BY membershiptype, year_month) rh
-  ON rh.membershiptype = l.membershiptype AND rh.year_month = l.year_month""", "loan", "resv", "mem")
+SELECT membershiptype, year_month, CAST(sum(n) FILTER (WHERE kind = 'L') AS BIGINT) AS bookloaninmonths,
+       {rr('sum(days)', "sum(n) FILTER (WHERE kind = 'L')")} AS avgloandurationdays,
+       {_share_at_cap('L')} AS hit_maxbookuti_perc, {_share_at_cap('R')} AS hit_maxresruti_perc,
+       CAST(sum(late) AS BIGINT) AS totaloverdue,
+       {rr('sum(late_days)', "sum(n) FILTER (WHERE kind = 'L')")} AS avgoverduedays
+FROM ({_USE}) GROUP BY membershiptype, year_month
+HAVING count(*) FILTER (WHERE kind = 'L') > 0""", "loan", "resv", "mem")
 
 ORACLE["overdue_month"] = lsql(
     f"SELECT * FROM ({_stats('year_month', f'(SELECT *, {_YM} AS year_month FROM loan) x')}) y", "loan")
@@ -385,55 +374,45 @@ _AGE = "CAST(datesub('month', dob, DATE '2000-06-30') // 12 AS BIGINT)"
 _BAND = """CASE WHEN age IS NULL THEN 'Unknown' WHEN age < 18 THEN '<18'
      WHEN age BETWEEN 18 AND 25 THEN '18-25' WHEN age BETWEEN 26 AND 40 THEN '26-40'
      WHEN age BETWEEN 41 AND 60 THEN '41-60' ELSE '60+' END"""
-_TAGGED = f"""SELECT {_BAND} AS age_band, membershiptype, memberid, loans_all, loans_overdue,
-       CASE WHEN loans_all >= 3 AND loans_overdue * 1.0 / loans_all >= 0.5 THEN 1 ELSE 0 END
-         AS is_repeat_offender
-FROM (SELECT memberid, membershiptype, {_AGE} AS age, count(*) AS loans_all,
-             sum({_OD}) AS loans_overdue
-      FROM loan GROUP BY memberid, membershiptype, {_AGE}) pm"""
-_OFFENDERS = f"""SELECT age_band, membershiptype, count(*) AS members_with_activity,
-       CAST(sum(is_repeat_offender) AS BIGINT) AS repeat_offenders,
-       {pct('sum(is_repeat_offender)', 'count(*)')} AS repeat_offender_rate_pct
-FROM ({_TAGGED}) t GROUP BY age_band, membershiptype"""
-ORACLE["repeat_offenders"] = lsql(_OFFENDERS, "loan")
+# one row per member with activity; a repeat offender has three loans or more, half of them or more late
+_PER_MEMBER = f"""
+SELECT {_BAND} AS age_band, membershiptype, n, late, late_days, n >= 3 AND 2 * late >= n AS again
+FROM (SELECT memberid, membershiptype, {_AGE} AS age, count(*) AS n, sum({_OD}) AS late,
+             sum(coalesce(overduedays, 0)) AS late_days
+      FROM loan GROUP BY ALL)"""
+_MEMBER_COLUMNS = f"""count(*) AS members_with_activity, count(*) FILTER (WHERE again) AS repeat_offenders,
+       {pct('count(*) FILTER (WHERE again)', 'count(*)')} AS repeat_offender_rate_pct
+FROM ({_PER_MEMBER}) GROUP BY age_band, membershiptype"""
+ORACLE["repeat_offenders"] = lsql(f"SELECT age_band, membershiptype, {_MEMBER_COLUMNS}", "loan")
 ORACLE["overdue_member_behaviour"] = lsql(f"""
-SELECT b.age_band, b.membershiptype, b.total_loans, b.overdue_loans, b.overdue_rate_pct,
-       b.avg_overdue_days, coalesce(o.members_with_activity, 0) AS members_with_activity,
-       coalesce(o.repeat_offenders, 0) AS repeat_offenders,
-       coalesce(o.repeat_offender_rate_pct, 0.0) AS repeat_offender_rate_pct
-FROM ({_stats('age_band, membershiptype',
-              f'(SELECT *, {_BAND} AS age_band FROM (SELECT *, {_AGE} AS age FROM loan) a) x')}) b
-LEFT JOIN ({_OFFENDERS}) o ON o.age_band = b.age_band AND o.membershiptype = b.membershiptype""",
-                                          "loan")
-
-_WL = """SELECT s.staffid, s.salary, CAST(coalesce(l.loans, 0) + coalesce(r.resvs, 0) AS BIGINT) AS total_records,
-       CASE WHEN s.salary > 0 THEN CAST(coalesce(l.loans, 0) + coalesce(r.resvs, 0) AS DOUBLE)
-                                   / CAST(s.salary AS DOUBLE) END AS wps
-FROM stf s
-LEFT JOIN (SELECT staff_key, count(*) AS loans FROM loan GROUP BY staff_key) l ON l.staff_key = s.staff_key
-LEFT JOIN (SELECT staff_key, count(*) AS resvs FROM resv GROUP BY staff_key) r ON r.staff_key = s.staff_key
-WHERE s.salary IS NOT NULL"""
-_BUCKET = f"""SELECT category, CAST(sum(total_records) AS BIGINT) AS total_records, count(*) AS num_staff,
-       sum(coalesce(salary, 0)) AS total_salary
-FROM (SELECT b.*, CASE WHEN (s.max_wps - s.min_wps) = 0 THEN 'Qualified60'
-                       WHEN b.wps >= s.min_wps + 0.8 * (s.max_wps - s.min_wps) THEN 'Top20'
-                       WHEN b.wps < s.min_wps + 0.2 * (s.max_wps - s.min_wps) THEN 'Underperformance20'
-                       ELSE 'Qualified60' END AS category
-      FROM (SELECT staffid, salary, total_records, coalesce(wps, 0.0) AS wps FROM ({_WL}) w) b
-      CROSS JOIN (SELECT min(coalesce(wps, 0.0)) AS min_wps, max(coalesce(wps, 0.0)) AS max_wps
-                  FROM ({_WL}) w2) s) x
+SELECT age_band, membershiptype, CAST(sum(n) AS BIGINT) AS total_loans, CAST(sum(late) AS BIGINT) AS overdue_loans,
+       {pct('sum(late)', 'sum(n)')} AS overdue_rate_pct, {rr('sum(late_days)', 'sum(n)')} AS avg_overdue_days,
+       {_MEMBER_COLUMNS}""", "loan")
+
+# records per paid staff member, and the place of records per salary between the lowest and the highest
+_LOAD = """
+SELECT staffid, salary, count(done) AS total_records,
+       CASE WHEN salary > 0 THEN CAST(count(done) AS DOUBLE) / CAST(salary AS DOUBLE) END AS wps
+FROM stf LEFT JOIN (SELECT staff_key, true AS done FROM loan UNION ALL SELECT staff_key, true FROM resv)
+     USING (staff_key)
+WHERE salary IS NOT NULL GROUP BY staff_key, staffid, salary"""
+_BUCKET = f"""
+SELECT CASE WHEN hi > lo AND w >= lo + 0.8 * (hi - lo) THEN 'Top20'
+            WHEN hi > lo AND w < lo + 0.2 * (hi - lo) THEN 'Underperformance20' ELSE 'Qualified60' END AS category,
+       CAST(sum(total_records) AS BIGINT) AS total_records, count(*) AS num_staff, sum(salary) AS total_salary
+FROM (SELECT *, min(w) OVER () AS lo, max(w) OVER () AS hi FROM (SELECT *, coalesce(wps, 0.0) AS w FROM ({_LOAD})))
 GROUP BY category"""
 ORACLE["staff_workload"] = lsql(
-    f"SELECT staffid, CAST(salary AS DOUBLE) AS salary, total_records, wps FROM ({_WL}) w",
+    f"SELECT staffid, CAST(salary AS DOUBLE) AS salary, total_records, wps FROM ({_LOAD})",
     "stf", "loan", "resv")
 ORACLE["staff_buckets"] = lsql(f"""
 SELECT category, total_records, num_staff, CAST(total_salary AS DOUBLE) AS total_salary
-FROM ({_BUCKET}) b""", "stf", "loan", "resv")
+FROM ({_BUCKET})""", "stf", "loan", "resv")
 ORACLE["staff_report"] = lsql(f"""
 SELECT category, total_records AS number_of_records, num_staff AS number_of_staff,
        CAST(total_salary AS DOUBLE) AS total_salary_expenses,
        {rr('total_salary * 100', 'total_records * 100')} AS workload_salary
-FROM ({_BUCKET}) b""", "stf", "loan", "resv")
+FROM ({_BUCKET})""", "stf", "loan", "resv")
 
 _QTR = "CAST(year(loan_date) AS VARCHAR) || '-Q' || CAST(quarter(loan_date) AS VARCHAR)"
 ORACLE["overdue_by_period"] = lsql(
@@ -534,16 +513,18 @@ ORACLE["reservation_processing"] = lsql(f"""
 SELECT reservationstatus, count(*) AS n_reservations, {rr('sum(totaldays)', 'count(*)')} AS avg_total_days
 FROM resv GROUP BY reservationstatus""", "resv")
 ORACLE["staff_member_interactions"] = lsql("""
-SELECT staff_key AS staffid, count(DISTINCT member_key) AS n_members
-FROM (SELECT staff_key, member_key FROM loan UNION ALL SELECT staff_key, member_key FROM resv) u
-GROUP BY staff_key""", "loan", "resv")
+SELECT staffid, count(DISTINCT memberid) AS n_members
+FROM (SELECT staff_key, member_key FROM loan UNION SELECT staff_key, member_key FROM resv)
+JOIN (SELECT staff_key, staffid FROM stf) USING (staff_key)
+JOIN (SELECT member_key, memberid FROM mem) USING (member_key)
+GROUP BY staffid""", "loan", "resv", "stf", "mem")
 
 
 # ------------------------------------------------------------ generators
 def hr(salt: str, lo, hi, *keys: str) -> str:
     """Twin of ``hash_random``: lo + md5-derived integer mod (hi - lo)."""
     parts = " || '|' || ".join([f"'{salt}'"] + [f"CAST({k} AS VARCHAR)" for k in keys])
-    h = f"CAST('0x' || substr(md5({parts}), 1, 8) AS BIGINT)"
+    h = f"CAST('0x' || substr(md5({parts}), 1, 15) AS BIGINT)"
     return f"({lo} + {h} % ({hi} - ({lo})))"
 
 
@@ -561,7 +542,7 @@ _GEN = {
                        FROM gbounds) d""",
     "gord": f"""SELECT CAST(row_number() OVER (ORDER BY orderdate, i) + 100000 AS BIGINT) AS orderid,
                    CAST(r.lo + CAST('0x' || substr(md5('customer|' || CAST(orderdate AS VARCHAR) || '|'
-                        || CAST(i AS VARCHAR)), 1, 8) AS BIGINT) % (r.hi - r.lo + 1) AS BIGINT) AS customerid,
+                        || CAST(i AS VARCHAR)), 1, 15) AS BIGINT) % (r.hi - r.lo + 1) AS BIGINT) AS customerid,
                    CAST({hr('employee', 1, 10, 'orderdate', 'i')} AS BIGINT) AS employeeid,
                    orderdate, orderdate + 7 AS requireddate, orderdate + 3 AS shippeddate,
                    CAST({hr('shipper', 1, 7, 'orderdate', 'i')} AS BIGINT) AS shipvia,
@@ -572,7 +553,7 @@ _GEN = {
     "glines": f"""SELECT x.*, p.unitprice FROM (
                      SELECT orderid, ctr,
                             CAST(pr.plo + CAST('0x' || substr(md5('product|' || CAST(orderid AS VARCHAR) || '|'
-                                 || CAST(ctr AS VARCHAR)), 1, 8) AS BIGINT) % (pr.phi - pr.plo + 1) AS BIGINT)
+                                 || CAST(ctr AS VARCHAR)), 1, 15) AS BIGINT) % (pr.phi - pr.plo + 1) AS BIGINT)
                               AS productid,
                             CAST({hr('quantity', 1, 11, 'orderid', 'ctr')} AS BIGINT) AS quantity,
                             CAST(CAST({hr('discount', 5, 71, 'orderid', 'ctr')} AS DECIMAL(8,0)) / 100
@@ -617,14 +598,13 @@ _ENR = {
 }
 EXTRA_DEPS.update({"stud": ["nr"], "cver": ["cbase"], "cdim": ["cver"]})
 _ENR_SELECT = """
-SELECT sd.s_key, cd.course_key, CAST(strftime(e.register_date, '%Y%m%d') AS BIGINT) AS date_key,
-       e.se_id, e.register_date, e.grade, CAST(cd.fee_per_credit AS DOUBLE) AS fee_per_credit,
-       cd.credit_hour, CAST(CAST(cd.fee_per_credit * cd.credit_hour AS DECIMAL(18,2)) AS DOUBLE) AS total_fees
-FROM enr e JOIN stud sd ON sd.s_id = e.s_id
-JOIN cdim cd ON cd.course_id = e.course_id {cond}
-WHERE e.register_date IN (SELECT cal_date FROM cal)"""
+SELECT s_key, course_key, year(register_date) * 10000 + month(register_date) * 100 + day(register_date) AS date_key,
+       se_id, register_date, grade, CAST(fee_per_credit AS DOUBLE) AS fee_per_credit, credit_hour,
+       CAST(CAST(fee_per_credit * credit_hour AS DECIMAL(18,2)) AS DOUBLE) AS total_fees
+FROM enr SEMI JOIN cal ON cal_date = register_date
+JOIN (SELECT s_id, s_key FROM stud) USING (s_id) JOIN cdim USING (course_id) {cond}"""
 ORACLE["enrollment_fact"] = sql(_ENR_SELECT.format(
-    cond="AND e.register_date BETWEEN cd.effective_start_date AND cd.effective_end_date"),
+    cond="WHERE register_date BETWEEN effective_start_date AND effective_end_date"),
     "enr", "stud", "cdim", "cal", extra=_ENR)
 ORACLE["enrollment_fact_literal"] = sql(_ENR_SELECT.format(cond=""), "enr", "stud", "cdim", "cal",
                                         extra=_ENR)

@@ -1,34 +1,55 @@
 """Table writes: create-as-select, append by column name, overwrite.
 
-Outputs are parquet directories. Every write is one atomic job per table
-(``overwrite`` replaces the directory only after the job succeeds), which is
-what the source's DROP / CREATE TABLE AS / INSERT ... SELECT / COMMIT steps
-amount to.
+Outputs are parquet directories. Spark deletes the old files of an
+``overwrite`` before it writes the new ones, so ``write_table`` first writes
+next to the table and swaps the folders when that has succeeded: a write that
+fails leaves the old rows.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
                 mode: str = "overwrite") -> None:
     """``CREATE TABLE t AS SELECT`` / ``DELETE FROM t`` + reload."""
-    w = df.write.mode(mode)
+    swap = mode == "overwrite"
+    target = f"{path.rstrip('/')}.new-{uuid.uuid4().hex}" if swap else path
+    w = df.write.mode("error" if swap else mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    spark = df.sparkSession
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = hadoop(target).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        w.parquet(target)
+    except BaseException:
+        if swap:
+            fs.delete(hadoop(target), True)
+        raise
+    if swap:
+        old = f"{target}.old"
+        if fs.exists(hadoop(path)):
+            fs.rename(hadoop(path), hadoop(old))
+        if not fs.rename(hadoop(target), hadoop(path)):
+            raise OSError(f"the new table is complete at {target} but can't take the place of {path}")
+        fs.delete(hadoop(old), True)
 
 
 def append_by_name(df: DataFrame, path: str, spark: SparkSession,
                    partition_by: list[str] | None = None) -> None:
     """``INSERT INTO t SELECT ...``: columns are matched by name against the
-    existing table (missing target columns are an error, not a silent
-    positional shift)."""
+    existing table (missing and surplus columns are an error, not a silent
+    positional shift or loss)."""
     target_cols = spark.read.parquet(path).columns
     missing = [c for c in target_cols if c not in df.columns]
     if missing:
         raise ValueError(f"columns missing for append: {missing}")
+    if surplus := [c for c in df.columns if c not in target_cols]:
+        raise ValueError(f"columns that the table does not have: {surplus}")
     write_table(df.select(*target_cols), path, partition_by, mode="append")
 
 

@@ -33,6 +33,19 @@ def test_append_by_name(spark):
     assert sorted(tuple(r) for r in read_table(spark, path).collect()) == [(1, "a"), (2, "b")]
     with pytest.raises(ValueError):
         append_by_name(spark.createDataFrame([(3,)], "k long"), path, spark)
+    with pytest.raises(ValueError):
+        append_by_name(spark.createDataFrame([(3, "c", 1)], "k long, v string, x long"), path, spark)
+
+
+def test_failed_overwrite_keeps_the_old_rows(spark):
+    from pyspark.sql import functions as F
+    path = tempfile.mkdtemp(prefix="starloom-swap-") + "/t"
+    write_table(spark.range(5).toDF("k"), path)
+    with pytest.raises(Exception, match="on purpose"):
+        write_table(spark.range(3).select(F.raise_error(F.lit("on purpose")).cast("long").alias("k")), path)
+    assert read_table(spark, path).count() == 5
+    write_table(read_table(spark, path).where("k < 2"), path)
+    assert read_table(spark, path).count() == 2
 
 
 def test_holidays_from_a_csv_file(spark):

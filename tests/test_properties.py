@@ -125,6 +125,35 @@ def test_missing_product_raises(spark):
     class Gappy(Warehouse):
         def products(self):
             return super().products().filter(F.col("productid") % 2 == 0)
-    with pytest.raises(ValueError):
+    with pytest.raises(Exception, match="has no product"):
         generate.generate_order_details(Gappy(spark, SMALL), orders, check_missing=True)
     assert generate.generate_order_details(wh, orders, check_missing=True).count() > 0
+
+
+def test_hash_reaches_ids_past_32_bits(spark):
+    from starloom.functions.scalar import hash_random
+    top = spark.range(2000).select(F.max(hash_random("x", 0, 2 ** 50, "id"))).first()[0]
+    assert top > 2 ** 49
+
+
+def test_generated_rows_come_from_many_partitions(spark):
+    orders = generate.generate_orders(Warehouse(spark, SMALL), dt.date(1998, 1, 1), dt.date(1998, 1, 20), per_day=(10, 5000))
+    per = [r["n"] for r in orders.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert len(per) > 1 and max(per) < 0.6 * sum(per)
+    ids = orders.agg(F.count(F.lit(1)), F.countDistinct("orderid"), F.min("orderid"), F.max("orderid")).first()
+    assert ids[0] == ids[1] == ids[3] - ids[2] + 1
+
+
+def test_round_ratio_is_exact(spark):
+    import random
+    from decimal import ROUND_HALF_UP, Decimal
+    from starloom.functions.scalar import round_ratio
+    rng = random.Random(4)
+    rows = [(1034808624104449, 8318397299875), (5 * 10 ** 16, 10 ** 16), (-7, 2), (1, 0)]
+    for _ in range(5000):
+        d = rng.randrange(1, 10 ** 13)
+        rows.append((d * rng.randrange(1, 20_000) // 200 + rng.choice((-1, 0, 1)), d))
+    df = spark.createDataFrame(rows, "a long, b long")
+    for a, b, got in df.select("a", "b", round_ratio("a", "b")).collect():
+        want = None if b == 0 else float((Decimal(a) / Decimal(b)).quantize(Decimal("0.01"), ROUND_HALF_UP))
+        assert got == want, (a, b)
