@@ -37,6 +37,7 @@ def main(argv: list[str] | None = None) -> int:
         print(f"unknown key {args.key!r}", file=sys.stderr)
         return 2
 
+    from starloom.operators.keys import release_stored
     from starloom.session import get_session
     from starloom.sources.io import write_table
     from starloom.sources.roles import RoleWarehouse
@@ -49,6 +50,7 @@ def main(argv: list[str] | None = None) -> int:
             print(f"{name}\t{path}")
     else:
         write_table(PLANS[args.key](wh), args.out)
+    release_stored(spark)
     return 0
 
 

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from starloom.session import ensure_checkpoint_dir
 
 PID, POS = "_sk_pid", "_sk_pos"
+_STORED: list[str] = []
 
 
 def materialize(df: DataFrame, tag: str = "table") -> DataFrame:
@@ -40,10 +41,23 @@ def materialize(df: DataFrame, tag: str = "table") -> DataFrame:
     spark = df.sparkSession
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/starloom-{tag}-{uuid.uuid4().hex}"
+    _STORED.append(path)
     df.write.mode("error").parquet(path)
     return spark.read.parquet(path)
 
 
+def release_stored(spark) -> int:
+    """Delete the copies that ``materialize`` and ``surrogate_key`` have written
+    so far in this process. Call it when the results that read them are stored;
+    frames that still read them fail afterwards. Returns how many there were."""
+    jvm, n = spark.sparkContext._jvm, 0
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    while _STORED:
+        p = jvm.org.apache.hadoop.fs.Path(_STORED.pop())
+        n += bool(p.getFileSystem(conf).delete(p, True))
+    return n
+
+
 def surrogate_key(df: DataFrame, order_cols: list, key_col: str = "sk", start: int = 1,
                   num_partitions: int | None = None) -> DataFrame:
     """Add ``key_col`` = start, start+1, ... following ``order_cols``."""

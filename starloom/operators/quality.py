@@ -18,7 +18,7 @@ def fk_violations(child: DataFrame, parent: DataFrame, child_key: str,
                   parent_key: str | None = None) -> DataFrame:
     """Child rows whose non-NULL key has no parent (NULL keys pass, as in SQL)."""
     parent_key = parent_key or child_key
-    p = parent.select(F.col(parent_key).alias("_fk_parent")).distinct()
+    p = parent.select(F.col(parent_key).alias("_fk_parent"))
     return (child.filter(F.col(child_key).isNotNull())
             .join(p, F.col(child_key) == F.col("_fk_parent"), "left_anti"))
 

@@ -39,10 +39,9 @@ ACADEMIC_WINDOWS = [
 
 
 def calendar_bounds(wh: Warehouse) -> DataFrame:
-    """One row (start, end): whole years spanning every order day."""
-    o = wh.orders().select("orderdate")
-    return o.agg(F.make_date(F.year(F.min("orderdate")), F.lit(1), F.lit(1)).alias("start"),
-                 F.make_date(F.year(F.max("orderdate")), F.lit(12), F.lit(31)).alias("end"))
+    """One row (start, end): whole years spanning every day that a fact uses."""
+    return wh.fact_days().agg(F.make_date(F.year(F.min("day")), F.lit(1), F.lit(1)).alias("start"),
+                              F.make_date(F.year(F.max("day")), F.lit(12), F.lit(31)).alias("end"))
 
 
 def date_dim_from_bounds(bounds: DataFrame) -> DataFrame:
@@ -103,15 +102,18 @@ def holiday_table(dates: DataFrame) -> DataFrame:
 def apply_holidays(dim: DataFrame, holidays: DataFrame) -> DataFrame:
     """MERGE of a holiday table into the date dimension (every row rewritten).
 
-    Several events on one day are merged into one text ("a; b", sorted), so
-    the join cannot multiply calendar rows; the text is cut to 25
-    characters; days without an event get holiday_ind 'N' and a NULL event.
+    Each event is cut to 25 characters; several events on one day are all
+    kept, in one text ("a; b", sorted), so the join cannot multiply calendar
+    rows; days without an event get holiday_ind 'N' and a NULL event. Days
+    outside the calendar are dropped first, so what is broadcast has at most
+    the calendar's days.
     """
-    per_day = (holidays.groupBy("holiday_date")
-               .agg(F.array_join(F.sort_array(F.collect_set("festive_event")), "; ").alias("_ev")))
+    days = F.broadcast(dim.select(F.col("cal_date").alias("holiday_date")))
+    per_day = (holidays.join(days, "holiday_date", "left_semi").groupBy("holiday_date")
+               .agg(F.array_join(F.sort_array(F.collect_set(F.substring("festive_event", 1, EVENT_CUT))), "; ").alias("_ev")))
     j = dim.join(F.broadcast(per_day), dim.cal_date == per_day.holiday_date, "left")
     return (j.withColumn("holiday_ind", F.when(F.col("_ev").isNotNull(), "Y").otherwise("N"))
-            .withColumn("festive_event", F.substring("_ev", 1, EVENT_CUT))
+            .withColumn("festive_event", F.col("_ev"))
             .select(*dim.columns))
 
 

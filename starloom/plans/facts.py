@@ -27,11 +27,12 @@ from starloom.plans.dims import (DIM_KEY_START, build_dims, customer_dim, employ
 from starloom.sources.tables import Warehouse
 
 
-def dedup_order_details(wh: Warehouse) -> DataFrame:
+def dedup_order_details(wh: Warehouse, lines: DataFrame | None = None) -> DataFrame:
     """NEW_DETAILS: the first line of every (order, product), five columns
-    plus the net amount."""
+    plus the net amount. ``lines`` may hold the lines of some orders or
+    products only: the pair is the group, so the others make no difference."""
     keep = ["orderid", "productid", "quantity", "gross", "discount"]
-    first = first_per_pair(wh.order_lines(), wh.line_order, keep)
+    first = first_per_pair(wh.order_lines() if lines is None else lines, wh.line_order, keep)
     return first.withColumn("net", net_amount("gross", "discount"))
 
 
@@ -87,7 +88,9 @@ def star_sales(wh: Warehouse, years=(1998, 2000), countries=("NATION_1", "NATION
     p = (product_dim(wh).filter(F.col("categoryname").isin(list(categories)))
          .select("product_key", "productid", "categoryname"))
     window = (dt.date(years[0], 1, 1), dt.date(years[1], 12, 31))
-    f = sales_fact(wh, cal=d, cust=c, prod=p, order_window=window)
+    lines = (wh.order_lines().join(p.select("productid"), "productid", "left_semi")
+             .join(wh.orders(*window).select("orderid"), "orderid", "left_semi"))
+    f = sales_fact(wh, dedup_order_details(wh, lines), cal=d, cust=c, prod=p, order_window=window)
     return (f.groupBy("country", "cal_year", "categoryname")
             .agg(F.sum("line_total").alias("total_sales"))
             .select("country", "cal_year", "categoryname",

@@ -169,7 +169,7 @@ def overdue_member_behaviour(wh: Warehouse, start=REPORT_START, end=REPORT_END,
 # ---------------------------------------------------------------- A16-18
 def _staff_records(wh: Warehouse, start, end) -> DataFrame:
     """(staff_key, loans, resvs) pre-aggregated per fact before any join."""
-    lo = wh.book_loans(start, end).groupBy("staff_key").agg(F.count(F.lit(1)).alias("loans"))
+    lo = wh.staff_loans(start, end).groupBy("staff_key").agg(F.count(F.lit(1)).alias("loans"))
     rs = wh.reservations(start, end).groupBy("staff_key").agg(F.count(F.lit(1)).alias("resvs"))
     return lo.join(rs, "staff_key", "full_outer")
 
@@ -374,7 +374,7 @@ def staff_month_average(wh: Warehouse, start=REPORT_START, end=REPORT_END) -> Da
 
 
 def _staff_month_records(wh: Warehouse, start, end) -> DataFrame:
-    lo = wh.book_loans(start, end).select("staff_key", year_month("loan_date").alias("year_month"))
+    lo = wh.staff_loans(start, end).select("staff_key", year_month("loan_date").alias("year_month"))
     rs = wh.reservations(start, end).select("staff_key", year_month("resv_date").alias("year_month"))
     return lo.unionByName(rs).groupBy("staff_key", "year_month").agg(F.count(F.lit(1)).alias("n"))
 

@@ -188,7 +188,7 @@ def _q(wh):  # noqa: F811
     s = wh.suppliers().select(F.col("supplierid"), F.col("companyname").alias("sup_companyname"),
                               F.col("country").alias("sup_country"),
                               F.col("city").alias("sup_city"))
-    return quality.length_violations(p.join(s, "supplierid"), limits)
+    return quality.length_violations(p.join(s, "supplierid", "left"), limits)
 
 
 @register("key_coverage")

@@ -34,9 +34,9 @@ def _line_value(wh: Warehouse) -> DataFrame:
 def customers_over_threshold(wh: Warehouse, year: int = 1995, threshold: float = 1000) -> DataFrame:
     """Customers whose net purchases in ``year`` exceed ``threshold``."""
     o = wh.orders(*_year_range(year)).select("orderid", "customerid")
-    per_order = _line_value(wh).groupBy("orderid").agg(F.sum("value").alias("v"))
-    per_cust = (per_order.join(o, "orderid").groupBy("customerid")
-                .agg(F.sum("v").alias("total_purchase")))
+    # the year's orders first, so that only their lines are summed
+    per_cust = (_line_value(wh).join(o, "orderid").groupBy("customerid")
+                .agg(F.sum("value").alias("total_purchase")))
     c = wh.customers().select("customerid", "companyname")
     return (per_cust.join(c, "customerid")
             .filter(F.col("total_purchase") > F.lit(threshold))
@@ -95,8 +95,8 @@ def lapsed_customers(wh: Warehouse, year: int = 1995) -> DataFrame:
             .select("customerid", "latest_purchase"))
 
 
-def _orders_country(wh: Warehouse, year: int) -> DataFrame:
-    o = wh.orders(*_year_range(year)).select("customerid", "orderdate")
+def _orders_country(wh: Warehouse, year: int, days: tuple | None = None) -> DataFrame:
+    o = wh.orders(*(days or _year_range(year))).select("customerid", "orderdate")
     c = wh.customers().select("customerid", "country")
     return o.join(c, "customerid").withColumn(
         "cal_quarter", F.concat(F.lit("Q"), F.quarter("orderdate").cast("string")))
@@ -118,8 +118,8 @@ def orders_quarter_pivot(wh: Warehouse, year: int = 1998) -> DataFrame:
 
 
 def orders_q1_by_country(wh: Warehouse, year: int = 1998) -> DataFrame:
-    return (_orders_country(wh, year).filter(F.col("cal_quarter") == "Q1")
-            .groupBy("country").agg(F.count(F.lit(1)).cast("bigint").alias("no_of_orders")))
+    first = (dt.date(year, 1, 1), dt.date(year, 3, 31))
+    return (_orders_country(wh, year, first).groupBy("country").agg(F.count(F.lit(1)).cast("bigint").alias("no_of_orders")))
 
 
 def revenue_month_pivot(wh: Warehouse, years=(1996, 1998), months=(1, 6)) -> DataFrame:
@@ -127,9 +127,8 @@ def revenue_month_pivot(wh: Warehouse, years=(1996, 1998), months=(1, 6)) -> Dat
     o = (wh.orders(*_year_range(*years)).select("orderid", "customerid", "orderdate")
          .filter(F.month("orderdate").between(*months)))
     o = o.join(wh.customers().select("customerid"), "customerid", "left_semi")
-    per_order = wh.order_details().groupBy("orderid").agg(F.sum("gross").alias("g"))
-    j = per_order.join(o, "orderid").select(F.year("orderdate").alias("year_no"),
-                                            F.month("orderdate").alias("month_no"), "g")
+    j = wh.order_details().select("orderid", F.col("gross").alias("g")).join(o, "orderid").select(
+        F.year("orderdate").alias("year_no"), F.month("orderdate").alias("month_no"), "g")
     month_list = list(range(months[0], months[1] + 1))
     p = j.groupBy("year_no").pivot("month_no", month_list).agg(F.sum("g"))
     return p.select(F.col("year_no").cast("bigint"),
@@ -158,7 +157,9 @@ def revenue_by_country(wh: Warehouse) -> DataFrame:
 
 
 def revenue_by_country_year(wh: Warehouse, year: int = 1998) -> DataFrame:
-    per_cust = _revenue_per_customer(wh, wh.orders(*_year_range(year)).select("orderid", "customerid"))
+    o = wh.orders(*_year_range(year)).select("orderid", "customerid")
+    per_cust = (wh.order_details().select("orderid", "net").join(o, "orderid")
+                .groupBy("customerid").agg(F.sum("net").alias("v")))
     c = wh.customers().select("customerid", "country")
     return (per_cust.join(c, "customerid").groupBy("country")
             .agg(to_double_money(F.sum("v")).alias("revenue")))
@@ -167,10 +168,9 @@ def revenue_by_country_year(wh: Warehouse, year: int = 1998) -> DataFrame:
 def revenue_q1_compare(wh: Warehouse, year_x: int = 1997, year_y: int = 1998) -> DataFrame:
     """Jan-Mar revenue of year X vs year Y per country, difference and %
     change (NULL when X has no revenue)."""
-    o = wh.orders().select("orderid", "customerid", "orderdate").filter(
-        F.month("orderdate").between(1, 3) & F.year("orderdate").isin(year_x, year_y))
-    per_order = wh.order_details().groupBy("orderid").agg(F.sum("net").alias("v"))
-    j = per_order.join(o, "orderid")
+    quarter = lambda y: wh.orders(dt.date(y, 1, 1), dt.date(y, 3, 31)).select("orderid", "customerid", "orderdate")
+    o = quarter(year_x).unionByName(quarter(year_y))  # two ranges that reach the scan
+    j = wh.order_details().select("orderid", F.col("net").alias("v")).join(o, "orderid")
     per_cust = j.groupBy("customerid").agg(
         F.sum(F.when(F.year("orderdate") == year_x, F.col("v"))).alias("vx"),
         F.sum(F.when(F.year("orderdate") == year_y, F.col("v"))).alias("vy"))

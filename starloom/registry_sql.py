@@ -19,8 +19,8 @@ def _q(s: str) -> str:
 _HOLIDAY_VALUES = ", ".join(f"({m}, {d}, '{_q(e)}')" for m, d, e in HOLIDAY_RULES)
 
 EXTRA = {
-    "bounds": """SELECT make_date(year(min(o_orderdate)), 1, 1) AS s,
-                        make_date(year(max(o_orderdate)), 12, 31) AS e FROM orders""",
+    "bounds": """SELECT make_date(year(min(d)), 1, 1) AS s, make_date(year(max(d)), 12, 31) AS e
+                 FROM (SELECT o_orderdate AS d FROM orders UNION ALL SELECT l_shipdate FROM lineitem)""",
     "days": """SELECT s, CAST(unnest(generate_series(CAST(s AS TIMESTAMP), CAST(e AS TIMESTAMP),
                                                       INTERVAL 1 DAY)) AS DATE) AS cal_date
                FROM bounds""",
@@ -43,9 +43,9 @@ EXTRA = {
                  CAST(NULL AS VARCHAR) AS festive_event
               FROM days""",
     "rules": f"SELECT * FROM (VALUES {_HOLIDAY_VALUES}) AS t(h_month, h_day, festive_event)",
-    "hol": """SELECT cal_date,
-                 substr(string_agg(DISTINCT r.festive_event, '; ' ORDER BY r.festive_event), 1, 25) AS ev
-              FROM cal JOIN rules r ON month(cal_date) = r.h_month AND day(cal_date) = r.h_day
+    "hol": """SELECT cal_date, string_agg(ev, '; ' ORDER BY ev) AS ev
+              FROM (SELECT DISTINCT cal_date, substr(rules.festive_event, 1, 25) AS ev
+                    FROM cal JOIN rules ON month(cal_date) = h_month AND day(cal_date) = h_day)
               GROUP BY cal_date""",
     "cd": """SELECT CAST(row_number() OVER (ORDER BY customerid) + 1233 AS BIGINT) AS customer_key,
                 customerid, upper(companyname) AS companyname, upper(country) AS country,
@@ -273,7 +273,7 @@ ORACLE["length_violations"] = sql(_long_counts("pj", {
                                          "sup_city": 15}.items()}),
     "pj", extra={"pj": """SELECT p.*, s.companyname AS sup_companyname, s.country AS sup_country,
                                  s.city AS sup_city
-                          FROM prod p JOIN supp s ON p.supplierid = s.supplierid"""})
+                          FROM prod p LEFT JOIN supp s ON p.supplierid = s.supplierid"""})
 ORACLE["key_coverage"] = sql("""
 SELECT CAST(min(customerid) AS BIGINT) AS min_id, CAST(max(customerid) AS BIGINT) AS max_id,
        count(customerid) AS n_rows, count(DISTINCT customerid) AS n_distinct FROM ord""", "ord")

@@ -35,11 +35,11 @@ VIEWS: dict[str, str] = {
                   CASE WHEN c.c_custkey % 10 = 0 THEN NULL
                        ELSE lpad(CAST(c.c_custkey AS VARCHAR), 5, '0') END AS postalcode,
                   nr.n_name AS country
-               FROM customer c JOIN nr ON c.c_nationkey = nr.n_nationkey""",
+               FROM customer c LEFT JOIN nr ON c.c_nationkey = nr.n_nationkey""",
     "supp": """SELECT s.s_suppkey AS supplierid, s.s_name AS companyname, nr.n_name AS city,
                   nr.n_name AS country
                FROM supplier s JOIN nr ON s.s_nationkey = nr.n_nationkey""",
-    "prod": """SELECT p_partkey AS productid, p_name AS productname, p_partkey % 10 AS supplierid,
+    "prod": """SELECT p_partkey AS productid, p_name AS productname, p_partkey % (SELECT count(*) FROM supplier) AS supplierid,
                   p_type AS categoryname, CAST(p_size AS VARCHAR) AS quantityperunit,
                   CAST(p_retailprice AS DECIMAL(12,2)) AS unitprice, 0 AS discontinued
                FROM part""",
@@ -88,7 +88,7 @@ VIEWS: dict[str, str] = {
                                          - m.loanduration, 0) END AS BIGINT) AS overduedays
                    FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
                    JOIN mem m ON o.o_custkey = m.member_key""",
-    "resv_all": """SELECT o_custkey AS member_key, o_orderkey % 10 AS staff_key,
+    "resv_all": """SELECT o_custkey AS member_key, o_orderkey % (SELECT count(*) FROM supplier) AS staff_key,
                       CAST(o_orderdate AS DATE) AS resv_date, o_orderkey AS reservationid,
                       CASE WHEN o_orderstatus = 'F' THEN 'Success' ELSE 'Cancelled' END AS reservationstatus,
                       CAST(1 + o_orderkey % 14 AS BIGINT) AS totaldays

@@ -106,6 +106,15 @@ class Warehouse:
         return F.broadcast(
             n.join(r, n.n_regionkey == r.r_regionkey).select("n_nationkey", "n_name", "r_name"))
 
+    def _supplier_count(self):
+        """How many suppliers there are: products and desks are spread over all of them."""
+        return F.nullif(self.raw("supplier").agg(F.count(F.lit(1))).scalar(), F.lit(0))
+
+    def fact_days(self) -> DataFrame:
+        """Every day that a fact refers to (``day``): order and ship days."""
+        o = self.raw("orders").select(F.to_date("o_orderdate").alias("day"))
+        return o.unionByName(self.raw("lineitem").select(F.to_date("l_shipdate").alias("day")))
+
     # -------------------------------------------------------------- retail
     def customers(self) -> DataFrame:
         """customerid, companyname, contactname, city, region, postalcode, country.
@@ -113,7 +122,7 @@ class Warehouse:
         c = self.raw("customer").select("c_custkey", "c_name", "c_nationkey")
         nr = self._nation_region()
         k = F.col("c_custkey")
-        return (c.join(nr, c.c_nationkey == nr.n_nationkey)
+        return (c.join(nr, c.c_nationkey == nr.n_nationkey, "left")  # a missing nation is for the checks to find
                 .select(k.alias("customerid"),
                         F.col("c_name").alias("companyname"),
                         F.col("n_name").alias("city"),
@@ -138,7 +147,7 @@ class Warehouse:
         p = self.raw("part").select("p_partkey", "p_name", "p_type", "p_size", "p_retailprice")
         return p.select(F.col("p_partkey").alias("productid"),
                         F.col("p_name").alias("productname"),
-                        (F.col("p_partkey") % 10).alias("supplierid"),
+                        (F.col("p_partkey") % self._supplier_count()).alias("supplierid"),
                         F.col("p_type").alias("categoryname"),
                         F.col("p_size").cast("string").alias("quantityperunit"),
                         money("p_retailprice", 12, 2).alias("unitprice"),
@@ -261,6 +270,13 @@ class Warehouse:
              .otherwise(F.greatest(loandays - F.col("loanduration"), F.lit(0))).cast("bigint")
              .alias("overduedays"))
 
+    def staff_loans(self, start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:
+        """(staff_key, loan_date) of each loan: the loan fact alone, no member lookup."""
+        li = self.raw("lineitem").select("l_suppkey", "l_shipdate")
+        cond = day_window("l_shipdate", start, end)
+        li = li if cond is None else li.filter(cond)
+        return li.select(F.col("l_suppkey").alias("staff_key"), F.to_date("l_shipdate").alias("loan_date"))
+
     def reservations(self, start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:
         """FACT_Reservation, one per order."""
         o = self.raw("orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
@@ -268,7 +284,7 @@ class Warehouse:
         if cond is not None:
             o = o.filter(cond)
         return o.select(F.col("o_custkey").alias("member_key"),
-                        (F.col("o_orderkey") % 10).alias("staff_key"),
+                        (F.col("o_orderkey") % self._supplier_count()).alias("staff_key"),
                         F.to_date("o_orderdate").alias("resv_date"),
                         F.col("o_orderkey").alias("reservationid"),
                         F.when(F.col("o_orderstatus") == "F", "Success").otherwise("Cancelled")
