@@ -38,6 +38,13 @@ ACADEMIC_WINDOWS = [
 ]
 
 
+# the same rule on days that the supplied tables have
+ACADEMIC_EXAMPLE = [
+    (dt.date(1997, 6, 16), dt.date(1998, 4, 25), "1997/98"),
+    (dt.date(1998, 6, 29), dt.date(1999, 4, 24), "1998/99"),
+]
+
+
 def calendar_bounds(wh: Warehouse) -> DataFrame:
     """One row (start, end): whole years spanning every day that a fact uses."""
     return wh.fact_days().agg(F.make_date(F.year(F.min("day")), F.lit(1), F.lit(1)).alias("start"),

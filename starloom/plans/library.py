@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from starloom.functions.scalar import (age_band, age_years, avg_round, pct_round, round_ratio,
                                        scalar_row, year_month)
 from starloom.operators.keys import materialize
-from starloom.plans.calendar import academic_year_rule, date_dim_holidays
+from starloom.plans.calendar import academic_year_rule, date_dim, date_dim_holidays, holiday_table
 from starloom.sources.tables import REFERENCE_DATE, REPORT_END, REPORT_START, Warehouse
 
 # Display order of the membership types
@@ -249,9 +249,14 @@ def _period_col(period: str):
 def overdue_by_period(wh: Warehouse, period: str = "quarter", by_type: bool = True,
                       start=REPORT_START, end=REPORT_END) -> DataFrame:
     """Overdue rate by a calendar period (month, quarter, year, holiday flag,
-    academic year), optionally per membership type."""
+    academic year, event), optionally per membership type. Under "event" the
+    loans of a day count for each event of that day."""
     l = loans(wh, start, end)
-    if period in ("holiday", "academic_year"):
+    if period == "event":
+        # a few events a year of a bounded calendar
+        days = holiday_table(date_dim(wh)).select(F.col("holiday_date").alias("loan_date"), F.col("festive_event").alias("period"))
+        l = l.join(F.broadcast(days.distinct()), "loan_date")
+    elif period in ("holiday", "academic_year"):
         cal = date_dim_holidays(wh)
         if period == "academic_year":
             cal = academic_year_rule(cal)
@@ -344,9 +349,9 @@ def overdue_by_category(wh: Warehouse, start=REPORT_START, end=REPORT_END) -> Da
     return g.select(*_overdue_cols(["category"]))
 
 
-def duration_vs_overdue(wh: Warehouse, start=REPORT_START, end=REPORT_END) -> DataFrame:
-    """Per type and quarter: the loan-duration limit against overdue days."""
-    l = loans(wh, start, end).withColumn("period", _period_col("quarter"))
+def duration_vs_overdue(wh: Warehouse, start=REPORT_START, end=REPORT_END, period: str = "quarter") -> DataFrame:
+    """Per type and month, quarter or year: the loan-duration limit against overdue days."""
+    l = loans(wh, start, end).withColumn("period", _period_col(period))
     g = l.groupBy("membershiptype", "period").agg(
         F.count(F.lit(1)).alias("total_loans"), F.sum(_overdue()).alias("overdue_loans"),
         F.sum(F.coalesce("overduedays", F.lit(0))).alias("_od_days"),

@@ -358,6 +358,18 @@ def _q(wh):  # noqa: F811
                                         "effective_end_date", "current_flag"),
                            snap, ["course_id"], ["course_title"], dt.date(1998, 1, 1), "sk")
 _lib("overdue_by_year", lambda wh: library.overdue_by_period(wh, "year", True))
+_lib("overdue_by_event", lambda wh: library.overdue_by_period(wh, "event", False))
+_lib("duration_vs_overdue_month", lambda wh: library.duration_vs_overdue(wh, period="month"))
+_lib("duration_vs_overdue_year", lambda wh: library.duration_vs_overdue(wh, period="year"))
+
+
+@register("academic_year_windows")
+def _q(wh):  # noqa: F811
+    """Two windows with starts and ends of their own; other days keep their value."""
+    dim = calendar.date_dim(wh).select("date_key", "cal_date", F.lit("none").alias("acad_year"))
+    return calendar.academic_year(dim, calendar.ACADEMIC_EXAMPLE)
+
+
 _lib("overdue_by_holiday", lambda wh: library.overdue_by_period(wh, "holiday", False))
 _lib("overdue_by_academic_year", lambda wh: library.overdue_by_period(wh, "academic_year", False))
 

@@ -424,12 +424,15 @@ ORACLE["overdue_by_region"] = lsql(_stats("region"), "loan")
 ORACLE["overdue_by_category"] = lsql(
     _stats("category", "(SELECT l.*, t.category FROM loan l JOIN titles t ON l.booktitle_key = t.booktitle_key) x"),
     "loan", "titles")
-ORACLE["duration_vs_overdue"] = lsql(f"""
-SELECT membershiptype, {_QTR} AS period, count(*) AS total_loans, CAST(sum({_OD}) AS BIGINT) AS overdue_loans,
+_DURATION = f"""
+SELECT membershiptype, {{period}} AS period, count(*) AS total_loans, CAST(sum({_OD}) AS BIGINT) AS overdue_loans,
        {pct(f'sum({_OD})', 'count(*)')} AS overdue_rate_pct,
        {rr('sum(coalesce(overduedays, 0))', 'count(*)')} AS avg_overdue_days,
        {rr('sum(loanduration)', 'count(*)')} AS avg_loan_duration
-FROM loan GROUP BY membershiptype, {_QTR}""", "loan")
+FROM loan GROUP BY ALL"""
+ORACLE["duration_vs_overdue"] = lsql(_DURATION.format(period=_QTR), "loan")
+ORACLE["duration_vs_overdue_month"] = lsql(_DURATION.format(period=_YM), "loan")
+ORACLE["duration_vs_overdue_year"] = lsql(_DURATION.format(period="CAST(year(loan_date) AS VARCHAR)"), "loan")
 ORACLE["overdue_above_average"] = lsql(f"""
 SELECT t.*, {pct('a.od', 'a.n')} AS overall_rate_pct
 FROM ({_stats('membershiptype')}) t,
@@ -633,6 +636,14 @@ FROM chg""")
 ORACLE["overdue_by_year"] = lsql(
     _stats("period, membershiptype", "(SELECT *, CAST(year(loan_date) AS VARCHAR) AS period FROM loan) x"),
     "loan")
+ORACLE["overdue_by_event"] = lsql(_stats("period", """(
+    SELECT loan.*, rules.festive_event AS period FROM loan
+    JOIN rules ON month(loan_date) = h_month AND day(loan_date) = h_day)"""), "loan", "rules")
+ORACLE["academic_year_windows"] = sql("""
+SELECT date_key, cal_date, CASE WHEN cal_date < DATE '1997-06-16' OR cal_date > DATE '1999-04-24' THEN 'none'
+                                WHEN cal_date <= DATE '1998-04-25' THEN '1997/98'
+                                WHEN cal_date >= DATE '1998-06-29' THEN '1998/99' ELSE 'none' END AS acad_year
+FROM cal""", "cal")
 ORACLE["overdue_by_holiday"] = lsql(_stats("period", """(
     SELECT l.*, CASE WHEN h.ev IS NOT NULL THEN 'Y' ELSE 'N' END AS period
     FROM loan l LEFT JOIN hol h ON h.cal_date = l.loan_date) x"""), "loan", "hol")
