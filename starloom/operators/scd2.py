@@ -7,11 +7,13 @@ A version row carries ``effective_start_date``, ``effective_end_date``
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.operators.keys import surrogate_key
+from starloom.operators.keys import materialize, surrogate_key
 
 OPEN_END = dt.date(9999, 12, 31)
 
@@ -40,19 +42,17 @@ def scd2_apply(dim: DataFrame, snapshot: DataFrame, keys: list[str], tracked: li
     * keys seen for the first time open a version on ``as_of``;
     * keys missing from the snapshot keep their current version.
 
-    Changes are detected by comparing a hash of the tracked columns (NULL
-    safe); new versions get surrogate keys above the current maximum.
+    Changes are detected by comparing the tracked columns (NULL safe); new
+    versions get surrogate keys above the current maximum. The merge is written
+    once: both its kept and its opened rows are read from it.
     """
-    sig = lambda cols: F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in cols])
     cur = dim.filter(F.col("current_flag") == "Y")
     old = dim.filter(F.col("current_flag") != "Y")
-    snap = snapshot.select(*keys, *tracked).withColumn("_sig_new", sig(tracked))
-    cur_sig = cur.withColumn("_sig_cur", sig(tracked))
-    snap_r = snap.select(*keys, "_sig_new", *[F.col(c).alias(f"_new_{c}") for c in tracked])
-    j = cur_sig.join(snap_r, keys, "full_outer")
-    changed = F.col("_sig_cur").isNotNull() & F.col("_sig_new").isNotNull() & (
-        F.col("_sig_cur") != F.col("_sig_new"))
-    new_only = F.col("_sig_cur").isNull()
+    snap = snapshot.select(*keys, F.lit(True).alias("_in_new"), *[F.col(c).alias(f"_new_{c}") for c in tracked])
+    j = materialize(cur.withColumn("_in_cur", F.lit(True)).join(snap, keys, "full_outer"), "scd2-merge")
+    differs = reduce(or_, [~F.col(c).eqNullSafe(F.col(f"_new_{c}")) for c in tracked])
+    new_only = F.col("_in_cur").isNull()
+    changed = F.col("_in_cur").isNotNull() & F.col("_in_new").isNotNull() & differs
 
     kept_or_closed = (j.filter(~new_only)
                       .withColumn("effective_end_date",

@@ -34,8 +34,9 @@ def build_star(wh: Warehouse, out_dir: str) -> dict[str, str]:
     with ThreadPoolExecutor(max_workers=len(dims)) as pool:
         for f in [pool.submit(write_table, df, paths[name]) for name, df in dims.items()]:
             f.result()
-    cal = F.broadcast(read_table(wh.spark, paths["date_dim"]).select("date_key", "cal_year"))
-    fact = sales_fact(wh).join(cal, "date_key")
+    cal = read_table(wh.spark, paths["date_dim"]).select("date_key", "cal_date", "cal_year")
+    # date keys follow the days: a task writes one or two years, not a file for each
+    fact = sales_fact(wh, cal=cal).repartitionByRange("date_key", "orderid")
     write_table(fact, paths["sales_fact"], partition_by=["cal_year"])
     return paths
 

@@ -4,9 +4,9 @@ Sales fact grain: one row per de-duplicated order line. The lookups are
 arranged so each big input is shuffled as few times as possible: the
 order-side keys (customer, date, employee) are resolved on orders, the
 product key on lines, and the two halves meet once on the order id. The
-calendar (days of the order years) and the employees are bounded by
-construction and broadcast; customer and product dimensions grow with the
-data and are left to AQE, which broadcasts them only when measured small.
+calendar (days of the order years) is bounded by construction and broadcast;
+customers, products and employees (a user's own table may hold any number) are
+left to AQE, which broadcasts them only when measured small.
 """
 
 from __future__ import annotations
@@ -29,9 +29,9 @@ from starloom.sources.tables import Warehouse
 
 def dedup_order_details(wh: Warehouse, lines: DataFrame | None = None) -> DataFrame:
     """NEW_DETAILS: the first line of every (order, product), five columns
-    plus the net amount. ``lines`` may hold the lines of some orders or
+    plus the gross and the net amount. ``lines`` may hold the lines of some orders or
     products only: the pair is the group, so the others make no difference."""
-    keep = ["orderid", "productid", "quantity", "gross", "discount"]
+    keep = ["orderid", "productid", "unitprice", "quantity", "gross", "discount"]
     first = first_per_pair(wh.order_lines() if lines is None else lines, wh.line_order, keep)
     return first.withColumn("net", net_amount("gross", "discount"))
 
@@ -53,7 +53,7 @@ def sales_fact(wh: Warehouse, details: DataFrame | None = None, cal: DataFrame |
     cal = date_dim(wh).select("date_key", "cal_date") if cal is None else cal
     cust = customer_dim(wh).select("customer_key", "customerid") if cust is None else cust
     prod = product_dim(wh).select("product_key", "productid") if prod is None else prod
-    emp = F.broadcast(employee_dim(wh).select("employee_key", "employeeid"))
+    emp = employee_dim(wh).select("employee_key", "employeeid")
     cal = F.broadcast(cal)  # days of the order years: bounded
     orders = wh.orders(*order_window) if order_window else wh.orders()
     o = (orders.select("orderid", "customerid", "employeeid", "orderdate")
@@ -64,10 +64,10 @@ def sales_fact(wh: Warehouse, details: DataFrame | None = None, cal: DataFrame |
     lines = det.join(prod, "productid").drop("productid")
     extra = [c for c in o.columns + lines.columns
              if c not in ("orderid", "date_key", "customer_key", "employee_key", "product_key",
-                          "gross", "quantity", "discount", "net")]
+                          "unitprice", "gross", "quantity", "discount", "net")]
     return lines.join(o, "orderid").select(
         "date_key", "customer_key", "product_key", "employee_key", "orderid",
-        F.col("gross").alias("gross_amount"), F.col("quantity"), F.col("discount"),
+        F.col("unitprice").alias("unit_price"), F.col("gross").alias("gross_amount"), F.col("quantity"), F.col("discount"),
         F.col("net").alias("line_total"), *extra)
 
 

@@ -278,46 +278,53 @@ def overdue_peak(wh: Warehouse, period: str = "month", start=REPORT_START, end=R
 
 
 # ---------------------------------------------------------------- B11-13
+def _resv_member_months(wh: Warehouse, start, end) -> DataFrame:
+    """Successful reservations per member and month, with the member's limit."""
+    m = wh.members().select("member_key", "memberid", "membershiptype", "maxreservation")
+    return (wh.reservations(start, end).filter(F.upper("reservationstatus") == "SUCCESS")
+            .groupBy("member_key", year_month("resv_date").alias("year_month"))
+            .agg(F.count(F.lit(1)).alias("n")).join(m, "member_key")
+            .groupBy("membershiptype", "memberid", "year_month", "maxreservation").agg(F.sum("n").alias("n")))
+
+
 def avg_utilisation(wh: Warehouse, start=REPORT_START, end=REPORT_END) -> DataFrame:
     """Per type: average monthly loans per active member-month against the
-    loan limit, and the same for successful reservations."""
+    average loan limit of these member-months, and the same for successful
+    reservations."""
     l = loans(wh, start, end)
     lm = (l.groupBy("membershiptype", "memberid", "year_month", "maxbookloan")
           .agg(F.count(F.lit(1)).alias("n"))
           .groupBy("membershiptype")
           .agg(F.count(F.lit(1)).alias("loan_member_months"), F.sum("n").alias("loans"),
-               F.max("maxbookloan").alias("max_book_loan")))
-    m = wh.members().select("member_key", "memberid", "membershiptype", "maxreservation")
-    r = (wh.reservations(start, end).filter(F.upper("reservationstatus") == "SUCCESS")
-         .groupBy("member_key", year_month("resv_date").alias("year_month"))
-         .agg(F.count(F.lit(1)).alias("n")).join(m, "member_key")
-         .groupBy("membershiptype", "memberid", "year_month", "maxreservation").agg(F.sum("n").alias("n"))
+               F.sum("maxbookloan").alias("loan_limits")))
+    r = (_resv_member_months(wh, start, end)
          .groupBy("membershiptype")
          .agg(F.count(F.lit(1)).alias("resv_member_months"), F.sum("n").alias("resvs"),
-              F.max("maxreservation").alias("max_reservation")))
+              F.sum("maxreservation").alias("resv_limits")))
     j = lm.join(r, "membershiptype", "full_outer")
     return j.select(
         "membershiptype",
         F.coalesce("loan_member_months", F.lit(0)).cast("bigint").alias("loan_member_months"),
         avg_round("loans", "loan_member_months").alias("avg_monthly_loans"),
-        F.col("max_book_loan").cast("bigint"),
-        pct_round("loans", F.col("loan_member_months") * F.col("max_book_loan")).alias("loan_utilisation_pct"),
+        avg_round("loan_limits", "loan_member_months").alias("avg_loan_limit"),
+        pct_round("loans", "loan_limits").alias("loan_utilisation_pct"),
         F.coalesce("resv_member_months", F.lit(0)).cast("bigint").alias("resv_member_months"),
         avg_round("resvs", "resv_member_months").alias("avg_monthly_resvs"),
-        F.col("max_reservation").cast("bigint"),
-        pct_round("resvs", F.col("resv_member_months") * F.col("max_reservation")).alias("resv_utilisation_pct"))
+        avg_round("resv_limits", "resv_member_months").alias("avg_resv_limit"),
+        pct_round("resvs", "resv_limits").alias("resv_utilisation_pct"))
 
 
 def high_utilisation_members(wh: Warehouse, threshold_pct: int = 90,
                              start=REPORT_START, end=REPORT_END) -> DataFrame:
-    """Per type: member-months (and members) whose monthly loans exceed
-    ``threshold_pct`` % of the loan limit."""
-    l = loans(wh, start, end)
-    mm = (l.groupBy("membershiptype", "memberid", "year_month", "maxbookloan")
-          .agg(F.count(F.lit(1)).alias("n"))
-          .filter((F.col("maxbookloan") > 0)
-                  & (F.col("n") * 100 > F.col("maxbookloan") * threshold_pct)))
-    return mm.groupBy("membershiptype").agg(
+    """Per type and kind (loan, reservation): member-months (and members)
+    whose monthly loans or successful reservations exceed ``threshold_pct`` %
+    of the limit."""
+    lo = (loans(wh, start, end).groupBy("membershiptype", "memberid", "year_month", F.col("maxbookloan").alias("most"))
+          .agg(F.count(F.lit(1)).alias("n")).withColumn("kind", F.lit("loan")))
+    rs = (_resv_member_months(wh, start, end).withColumnRenamed("maxreservation", "most")
+          .withColumn("kind", F.lit("reservation")))
+    mm = lo.unionByName(rs).filter((F.col("most") > 0) & (F.col("n") * 100 > F.col("most") * threshold_pct))
+    return mm.groupBy("membershiptype", "kind").agg(
         F.count(F.lit(1)).cast("bigint").alias("member_months_over"),
         F.countDistinct("memberid").cast("bigint").alias("members_over"))
 
@@ -412,11 +419,14 @@ def staff_top3(wh: Warehouse, start=REPORT_START, end=REPORT_END, k: int = 3) ->
 
 
 def reservation_processing(wh: Warehouse, start=REPORT_START, end=REPORT_END) -> DataFrame:
-    r = wh.reservations(start, end)
-    g = r.groupBy("reservationstatus").agg(F.count(F.lit(1)).alias("n"),
-                                           F.sum("totaldays").alias("days"))
+    """Per status: average days from reserving to ready, from ready to
+    success and in total; a duration that a reservation lacks is left out."""
+    spans = {"reservetoreadydays": "avg_reserve_to_ready_days", "readytosuccessdays": "avg_ready_to_success_days",
+             "totaldays": "avg_total_days"}
+    g = wh.reservations(start, end).groupBy("reservationstatus").agg(
+        F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(c) for c in spans], *[F.count(c).alias(f"n_{c}") for c in spans])
     return g.select("reservationstatus", F.col("n").cast("bigint").alias("n_reservations"),
-                    avg_round("days", "n").alias("avg_total_days"))
+                    *[avg_round(c, f"n_{c}").alias(name) for c, name in spans.items()])
 
 
 def staff_member_interactions(wh: Warehouse, start=REPORT_START, end=REPORT_END) -> DataFrame:

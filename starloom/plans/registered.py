@@ -173,6 +173,12 @@ def _q(wh):  # noqa: F811
         "orderid", "customerid")
 
 
+@register("orders_without_lines")
+def _q(wh):  # noqa: F811
+    """The other way round, which real data break: orders that no line refers to."""
+    return quality.fk_violations(wh.orders(), wh.order_details(), "orderid").select("orderid", "customerid")
+
+
 @register("null_violations")
 def _q(wh):  # noqa: F811
     return quality.null_violations(wh.customers(), ["customerid", "companyname", "country",
@@ -244,7 +250,8 @@ def _q(wh):  # noqa: F811
 @register("dedup_order_details")
 def _q(wh):  # noqa: F811
     return facts.dedup_order_details(wh).select(
-        "orderid", "productid", "quantity", F.col("gross").cast("double").alias("gross"),
+        "orderid", "productid", F.col("unitprice").cast("double").alias("unitprice"), "quantity",
+        F.col("gross").cast("double").alias("gross"),
         F.col("discount").cast("double").alias("discount"))
 
 
@@ -258,6 +265,7 @@ def _q(wh):  # noqa: F811
 def _q(wh):  # noqa: F811
     f = facts.sales_fact(wh)
     return f.select("date_key", "customer_key", "product_key", "employee_key", "orderid",
+                    F.col("unit_price").cast("double").alias("unit_price"),
                     F.col("gross_amount").cast("double").alias("gross_amount"), "quantity",
                     F.col("discount").cast("double").alias("discount"),
                     F.col("line_total").cast("double").alias("line_total"))
@@ -348,7 +356,7 @@ def _q(wh):  # noqa: F811
     """Course titles as a type-2 dimension: first load as of 1900-01-01,
     then a snapshot (titles of every fifth course re-written in capitals)
     applied as of 1998-01-01."""
-    p = wh.raw("part").select(F.col("p_partkey").alias("course_id"), F.col("p_name"))
+    p = wh.products().select(F.col("productid").alias("course_id"), F.col("productname").alias("p_name"))
     first = scd2.initial_versions(p.select("course_id", F.col("p_name").alias("course_title")),
                                   ["course_id"], dt.date(1900, 1, 1), "sk", 1)
     snap = p.select("course_id",

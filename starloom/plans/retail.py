@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.functions.scalar import hash_int, round_ratio, scalar_row, to_double_money
@@ -75,7 +75,7 @@ def best_categories(wh: Warehouse, k: int = 1) -> DataFrame:
 
 def top_shipper(wh: Warehouse) -> DataFrame:
     per_ship = wh.orders().groupBy("shipvia").agg(F.count(F.lit(1)).alias("n"))
-    s = F.broadcast(wh.shippers())  # at most 10 ids: the leading digit
+    s = wh.shippers()
     return (per_ship.join(s, per_ship.shipvia == s.shipperid).groupBy("companyname")
             .agg(F.sum("n").cast("bigint").alias("total_orders"))
             .orderBy(F.desc("total_orders"), F.asc("companyname")).limit(1))
@@ -186,11 +186,14 @@ def revenue_q1_compare(wh: Warehouse, year_x: int = 1997, year_y: int = 1998) ->
 
 
 def date_parts(wh: Warehouse) -> DataFrame:
-    """Per order day: day of year, ISO week and quarter, with its order count."""
+    """Per order day: day of year, ISO week and quarter, with the order counts
+    of the day, of its week and of its quarter (windows over one row a day)."""
     o = wh.orders().groupBy("orderdate").agg(F.count(F.lit(1)).cast("bigint").alias("n_orders"))
     return o.select("orderdate", F.dayofyear("orderdate").cast("bigint").alias("day_of_year"),
                     F.weekofyear("orderdate").cast("bigint").alias("iso_week"),
-                    F.quarter("orderdate").cast("bigint").alias("quarter"), "n_orders")
+                    F.quarter("orderdate").cast("bigint").alias("quarter"), "n_orders",
+                    *[F.sum("n_orders").over(Window.partitionBy(F.date_trunc(span, "orderdate"))).alias(f"n_orders_{span}")
+                      for span in ("week", "quarter")])
 
 
 def active_customers(wh: Warehouse) -> DataFrame:

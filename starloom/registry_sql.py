@@ -65,13 +65,13 @@ EXTRA = {
              WHERE p.categoryname IS NOT NULL""",
     "recs": f"""SELECT CAST(row_number() OVER (ORDER BY {_LINE_ORDER_SQL}) AS BIGINT) AS rec_no, *
                 FROM lines""",
-    "nd": f"""SELECT orderid, productid, quantity, gross, discount,
+    "nd": f"""SELECT orderid, productid, unitprice, quantity, gross, discount,
                  CAST(round(gross * (1 - discount), 2) AS DECIMAL(18,2)) AS net
               FROM (SELECT *, row_number() OVER (PARTITION BY orderid, productid
                                                 ORDER BY {_LINE_ORDER_SQL}) AS rn FROM lines) x
               WHERE rn = 1""",
     "sf": """SELECT date_key, customer_key, product_key, employee_key, orderid,
-                gross AS gross_amount, quantity, discount, net AS line_total
+                unitprice AS unit_price, gross AS gross_amount, quantity, discount, net AS line_total
              FROM nd JOIN ord USING (orderid)
              JOIN (SELECT productid, product_key FROM pd) USING (productid)
              JOIN (SELECT customerid, customer_key FROM cd) USING (customerid)
@@ -194,8 +194,9 @@ FROM (SELECT c.country,
 ORACLE["date_parts"] = sql("""
 SELECT orderdate, CAST(dayofyear(orderdate) AS BIGINT) AS day_of_year,
        CAST(weekofyear(orderdate) AS BIGINT) AS iso_week, CAST(quarter(orderdate) AS BIGINT) AS quarter,
-       count(*) AS n_orders
-FROM ord GROUP BY orderdate""", "ord")
+       n_orders, CAST(sum(n_orders) OVER (PARTITION BY isoyear(orderdate), weekofyear(orderdate)) AS BIGINT) AS n_orders_week,
+       CAST(sum(n_orders) OVER (PARTITION BY year(orderdate), quarter(orderdate)) AS BIGINT) AS n_orders_quarter
+FROM (SELECT orderdate, count(*) AS n_orders FROM ord GROUP BY orderdate)""", "ord")
 ORACLE["active_customers"] = sql("SELECT count(DISTINCT customerid) AS active_customers FROM ord", "ord")
 ORACLE["order_frequency"] = sql(
     "SELECT customerid, count(*) AS n_orders FROM ord GROUP BY customerid", "ord")
@@ -252,6 +253,7 @@ FROM (SELECT CAST(row_number() OVER (ORDER BY customerid) + 100000 AS BIGINT) AS
 ORACLE["pk_violations"] = sql("""
 SELECT orderid, productid, count(*) AS n_rows FROM det GROUP BY orderid, productid
 HAVING count(*) > 1""", "det")
+ORACLE["orders_without_lines"] = sql("SELECT orderid, customerid FROM ord ANTI JOIN lines USING (orderid)", "ord", "lines")
 ORACLE["fk_violations"] = sql("""
 SELECT o.orderid, o.customerid FROM ord o
 WHERE o.customerid IS NOT NULL AND NOT EXISTS (SELECT 1 FROM cust c WHERE c.customerid = o.customerid)""",
@@ -297,7 +299,7 @@ ORACLE["duplicate_rec_nos"] = sql("""
 SELECT rec_no FROM (SELECT rec_no, row_number() OVER (PARTITION BY orderid, productid ORDER BY rec_no) AS rn
                     FROM recs) x WHERE rn > 1""", "recs")
 ORACLE["dedup_order_details"] = sql("""
-SELECT orderid, productid, quantity, CAST(gross AS DOUBLE) AS gross, CAST(discount AS DOUBLE) AS discount
+SELECT orderid, productid, CAST(unitprice AS DOUBLE) AS unitprice, quantity, CAST(gross AS DOUBLE) AS gross, CAST(discount AS DOUBLE) AS discount
 FROM nd""", "nd")
 ORACLE["duplicate_summary"] = sql("""
 SELECT CAST(sum(n) AS BIGINT) AS total_rows, count(*) AS distinct_pairs,
@@ -306,7 +308,7 @@ FROM (SELECT orderid, productid, count(*) AS n FROM det GROUP BY orderid, produc
 
 # ----------------------------------------------------------------- facts
 ORACLE["sales_fact"] = sql("""
-SELECT date_key, customer_key, product_key, employee_key, orderid,
+SELECT date_key, customer_key, product_key, employee_key, orderid, CAST(unit_price AS DOUBLE) AS unit_price,
        CAST(gross_amount AS DOUBLE) AS gross_amount, quantity, CAST(discount AS DOUBLE) AS discount,
        CAST(line_total AS DOUBLE) AS line_total
 FROM sf""", "sf")
@@ -439,29 +441,25 @@ FROM ({_stats('membershiptype')}) t,
      (SELECT count(*) AS n, sum({_OD}) AS od FROM loan) a
 WHERE t.overdue_loans * a.n > a.od * t.total_loans""", "loan")
 
+# what members do in a month, by kind, against the limit of that kind
+_MONTHS = f"""
+SELECT 'loan' AS kind, membershiptype, memberid, {_YM} AS ym, maxbookloan AS most, count(*) AS n
+FROM loan GROUP BY ALL
+UNION ALL
+SELECT 'reservation', membershiptype, memberid, strftime(resv_date, '%Y-%m'), maxreservation, count(*)
+FROM resv JOIN mem USING (member_key) WHERE reservationstatus ILIKE 'success' GROUP BY ALL"""
 ORACLE["avg_utilisation"] = lsql(f"""
-SELECT coalesce(l.membershiptype, r.membershiptype) AS membershiptype,
-       CAST(coalesce(l.mm, 0) AS BIGINT) AS loan_member_months,
-       {rr('l.loans', 'l.mm')} AS avg_monthly_loans, CAST(l.lim AS BIGINT) AS max_book_loan,
-       {pct('l.loans', 'l.mm * l.lim')} AS loan_utilisation_pct,
-       CAST(coalesce(r.mm, 0) AS BIGINT) AS resv_member_months,
-       {rr('r.resvs', 'r.mm')} AS avg_monthly_resvs, CAST(r.lim AS BIGINT) AS max_reservation,
-       {pct('r.resvs', 'r.mm * r.lim')} AS resv_utilisation_pct
-FROM (SELECT membershiptype, count(*) AS mm, sum(n) AS loans, max(maxbookloan) AS lim
-      FROM (SELECT membershiptype, memberid, {_YM} AS ym, maxbookloan, count(*) AS n
-            FROM loan GROUP BY 1, 2, 3, 4) x GROUP BY membershiptype) l
-FULL OUTER JOIN
-     (SELECT m.membershiptype, count(*) AS mm, sum(n) AS resvs, max(m.maxreservation) AS lim
-      FROM (SELECT member_key, strftime(resv_date, '%Y-%m') AS ym, count(*) AS n FROM resv
-            WHERE upper(reservationstatus) = 'SUCCESS' GROUP BY 1, 2) x
-      JOIN mem m ON m.member_key = x.member_key GROUP BY m.membershiptype) r
-  ON l.membershiptype = r.membershiptype""", "loan", "resv", "mem")
+SELECT membershiptype, CAST(coalesce(lm, 0) AS BIGINT) AS loan_member_months, {rr('ln', 'lm')} AS avg_monthly_loans,
+       {rr('ll', 'lm')} AS avg_loan_limit, {pct('ln', 'll')} AS loan_utilisation_pct,
+       CAST(coalesce(rm, 0) AS BIGINT) AS resv_member_months, {rr('rn', 'rm')} AS avg_monthly_resvs,
+       {rr('rl', 'rm')} AS avg_resv_limit, {pct('rn', 'rl')} AS resv_utilisation_pct
+FROM (SELECT membershiptype, nullif(count(*) FILTER (kind = 'loan'), 0) AS lm, sum(n) FILTER (kind = 'loan') AS ln,
+             sum(most) FILTER (kind = 'loan') AS ll, nullif(count(*) FILTER (kind = 'reservation'), 0) AS rm,
+             sum(n) FILTER (kind = 'reservation') AS rn, sum(most) FILTER (kind = 'reservation') AS rl
+      FROM ({_MONTHS}) GROUP BY membershiptype)""", "loan", "resv", "mem")
 ORACLE["high_utilisation_members"] = lsql(f"""
-SELECT membershiptype, count(*) AS member_months_over, count(DISTINCT memberid) AS members_over
-FROM (SELECT membershiptype, memberid, {_YM} AS ym, maxbookloan, count(*) AS n
-      FROM loan GROUP BY 1, 2, 3, 4) x
-WHERE maxbookloan > 0 AND n * 100 > maxbookloan * 90
-GROUP BY membershiptype""", "loan")
+SELECT membershiptype, kind, count(*) AS member_months_over, count(DISTINCT memberid) AS members_over
+FROM ({_MONTHS}) WHERE most > 0 AND n / most > 0.9 GROUP BY membershiptype, kind""", "loan", "resv", "mem")
 
 _N_MONTHS = (REPORT_END.year - REPORT_START.year) * 12 + REPORT_END.month - REPORT_START.month + 1
 _STAFF_TOTAL = """SELECT s.staffid, CAST(coalesce(l.loans, 0) + coalesce(r.resvs, 0) AS BIGINT) AS total_records
@@ -513,7 +511,10 @@ ORACLE["staff_underperforming"] = _under_sql(REPORT_START, REPORT_END)
 ORACLE["staff_underperforming_quarter"] = _under_sql(PAST_QUARTER_START, REPORT_END)
 ORACLE["staff_underperforming_year"] = _under_sql(PAST_YEAR_START, REPORT_END)
 ORACLE["reservation_processing"] = lsql(f"""
-SELECT reservationstatus, count(*) AS n_reservations, {rr('sum(totaldays)', 'count(*)')} AS avg_total_days
+SELECT reservationstatus, count(*) AS n_reservations,
+       {rr('sum(reservetoreadydays)', 'count(reservetoreadydays)')} AS avg_reserve_to_ready_days,
+       {rr('sum(readytosuccessdays)', 'count(readytosuccessdays)')} AS avg_ready_to_success_days,
+       {rr('sum(totaldays)', 'count(totaldays)')} AS avg_total_days
 FROM resv GROUP BY reservationstatus""", "resv")
 ORACLE["staff_member_interactions"] = lsql("""
 SELECT staffid, count(DISTINCT memberid) AS n_members

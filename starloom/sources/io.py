@@ -60,9 +60,11 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 HOLIDAY_SCHEMA = "holiday_date date, festive_event string"
 
 
-def read_holidays(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
+def read_holidays(spark: SparkSession, path: str, fmt: str = "csv", date_format: str = "yyyy-MM-dd") -> DataFrame:
     """A holiday table (date, event name) from CSV (header row) or parquet,
-    read with an explicit schema; it feeds ``calendar.apply_holidays``."""
+    read with an explicit schema; it feeds ``calendar.apply_holidays``. Text
+    dates have ``date_format`` (say ``dd/MM/yyyy``); another form is an error."""
     if fmt == "csv":
-        return spark.read.schema(HOLIDAY_SCHEMA).option("header", "true").csv(path)
+        options = {"header": "true", "dateFormat": date_format, "mode": "FAILFAST"}
+        return spark.read.schema(HOLIDAY_SCHEMA).options(**options).csv(path)
     return spark.read.schema(HOLIDAY_SCHEMA).parquet(path)

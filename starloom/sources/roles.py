@@ -20,7 +20,8 @@ and order details, or a library's members, loans and reservations:
     book_loans      member_key, booktitle_key, staff_key, loan_date, loandays,
                     overduedays
     reservations    member_key, staff_key, resv_date, reservationid,
-                    reservationstatus, totaldays
+                    reservationstatus, totaldays, and if known
+                    reservetoreadydays, readytosuccessdays
     book_titles     booktitle_key, category
     students        s_id, s_name, s_country, s_state
     courses         course_id, course_title, faculty_name, max_capacity,
@@ -129,8 +130,10 @@ class RoleWarehouse(Warehouse):
         return days
 
     def reservations(self, start: dt.date | None = None, end: dt.date | None = None):
-        r = self.role("reservations").select("member_key", "staff_key", "resv_date", "reservationid",
-                                             "reservationstatus", "totaldays")
+        r = self.role("reservations")
+        part = [F.col(c) if c in r.columns else F.lit(None).cast("bigint").alias(c)  # a source may know the total only
+                for c in ("reservetoreadydays", "readytosuccessdays")]
+        r = r.select("member_key", "staff_key", "resv_date", "reservationid", "reservationstatus", *part, "totaldays")
         return _between(r, "resv_date", start, end)
 
     def book_titles(self):

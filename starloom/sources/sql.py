@@ -61,6 +61,8 @@ VIEWS: dict[str, str] = {
                    l_linenumber AS linenumber, CAST(l_quantity AS BIGINT) AS quantity,
                    CAST(l_extendedprice AS DECIMAL(18,2)) AS gross,
                    CAST(l_discount AS DECIMAL(3,2)) AS discount,
+                   CAST((2 * CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * 100 AS HUGEINT) + CAST(l_quantity AS BIGINT))
+                        // nullif(2 * CAST(l_quantity AS BIGINT), 0) AS DECIMAL(18,2)) / 100 AS unitprice,
                    l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus,
                    l_shipdate
                 FROM lineitem""",
@@ -91,6 +93,8 @@ VIEWS: dict[str, str] = {
     "resv_all": """SELECT o_custkey AS member_key, o_orderkey % (SELECT count(*) FROM supplier) AS staff_key,
                       CAST(o_orderdate AS DATE) AS resv_date, o_orderkey AS reservationid,
                       CASE WHEN o_orderstatus = 'F' THEN 'Success' ELSE 'Cancelled' END AS reservationstatus,
+                      CAST((1 + o_orderkey % 14) // 2 AS BIGINT) AS reservetoreadydays,
+                      CAST(CASE o_orderstatus WHEN 'F' THEN (2 + o_orderkey % 14) // 2 END AS BIGINT) AS readytosuccessdays,
                       CAST(1 + o_orderkey % 14 AS BIGINT) AS totaldays
                    FROM orders""",
     "titles": "SELECT p_partkey AS booktitle_key, p_type AS category FROM part",

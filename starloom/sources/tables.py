@@ -20,7 +20,7 @@ import threading
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.functions.scalar import money, net_amount
+from starloom.functions.scalar import money, net_amount, round_ratio
 
 # Natural order of a line: every column, so the order is total.
 LINE_ORDER = ["orderid", "productid", "suppkey", "linenumber", "l_quantity", "l_extendedprice",
@@ -189,8 +189,10 @@ class Warehouse:
 
     def order_lines(self) -> DataFrame:
         """Every line with its full natural ordering columns (full rows are
-        unique; (orderid, productid) is not)."""
+        unique; (orderid, productid) is not). The supplied lines have an extended
+        amount; their unit price is that over the quantity, in cents."""
         li = self.raw("lineitem")
+        price = round_ratio((money("l_extendedprice") * 100).cast("bigint"), F.col("l_quantity").cast("bigint") * 100)
         return li.select(F.col("l_orderkey").alias("orderid"),
                          F.col("l_partkey").alias("productid"),
                          F.col("l_suppkey").alias("suppkey"),
@@ -198,6 +200,7 @@ class Warehouse:
                          F.col("l_quantity").cast("bigint").alias("quantity"),
                          money("l_extendedprice").alias("gross"),
                          money("l_discount", 3, 2).alias("discount"),
+                         price.cast("decimal(12,2)").alias("unitprice"),
                          F.col("l_quantity"), F.col("l_extendedprice"), F.col("l_discount"),
                          F.col("l_tax"), F.col("l_returnflag"), F.col("l_linestatus"),
                          F.col("l_shipdate"))
@@ -289,6 +292,10 @@ class Warehouse:
                         F.col("o_orderkey").alias("reservationid"),
                         F.when(F.col("o_orderstatus") == "F", "Success").otherwise("Cancelled")
                          .alias("reservationstatus"),
+                        F.expr("(1 + o_orderkey % 14) div 2").alias("reservetoreadydays"),
+                        # a cancelled reservation never succeeds
+                        F.when(F.col("o_orderstatus") == "F", F.expr("1 + o_orderkey % 14 - (1 + o_orderkey % 14) div 2"))
+                         .alias("readytosuccessdays"),
                         (F.lit(1) + F.col("o_orderkey") % 14).cast("bigint").alias("totaldays"))
 
     def book_titles(self) -> DataFrame:

@@ -14,11 +14,13 @@ KEYS = ["customers_over_threshold", "best_category", "top_shipper", "lapsed_cust
         "orders_quarter_pivot", "revenue_month_pivot", "revenue_q1_compare", "unpopular_products",
         "customer_dim", "product_dim", "date_dim_holidays", "pk_violations", "orders_with_duplicates",
         "membership_utilisation_month", "overdue_member_behaviour", "staff_report",
-        "overdue_by_category", "staff_underperforming", "enrollment_fact", "generate_orders"]
-# these depend on the line order, which differs between the two sources:
-# they must run on role tables, not necessarily agree
-RUN_ONLY = ["delete_duplicates", "duplicate_rec_nos", "dedup_order_details", "sales_fact",
-            "star_sales", "surrogate_key", "scd2_lookup"]
+        "overdue_by_category", "staff_underperforming", "enrollment_fact", "generate_orders",
+        "avg_utilisation", "high_utilisation_members", "reservation_processing", "scd2_apply", "date_parts",
+        "orders_without_lines", "staff_month_average", "overdue_by_event", "length_violations"]
+# some of the others depend on the line order, which differs between the two
+# sources: they must run on role tables, not necessarily agree
+RUN_ONLY = sorted(set(PLANS) - set(KEYS))
+EMPTY = {"fk_violations"}  # no order lacks its customer
 
 
 @pytest.fixture(scope="module")
@@ -37,4 +39,4 @@ def test_role_tables_give_the_same_answers(spark, role_dir, key):
 
 @pytest.mark.parametrize("key", RUN_ONLY)
 def test_line_order_plans_run_on_role_tables(spark, role_dir, key):
-    assert PLANS[key](RoleWarehouse(spark, role_dir)).count() > 0
+    assert (PLANS[key](RoleWarehouse(spark, role_dir)).count() > 0) == (key not in EMPTY)
