@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from starloom.sources.tables import MEMBERSHIP_TERMS
+from starloom.sources.tables import MEMBER_RENEWAL, MEMBERSHIP_TERMS, STAFF_ID_START
 
 
 def _d(d: dt.date) -> str:
@@ -27,6 +27,11 @@ def _terms_case(idx: int, cast: str | None = None) -> str:
     return f"CAST({e} AS {cast})" if cast else e
 
 
+def _version(customer: str, day: str) -> str:
+    return (f"CASE WHEN {customer} % 7 = 0 AND {day} >= TIMESTAMP '{MEMBER_RENEWAL.isoformat()}' "
+            f"THEN 2 * {customer} + 1 ELSE 2 * {customer} END")
+
+
 VIEWS: dict[str, str] = {
     "nr": """SELECT n.n_nationkey, n.n_name, r.r_name
              FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey""",
@@ -69,7 +74,7 @@ VIEWS: dict[str, str] = {
     "det": """SELECT orderid, productid, quantity, gross, discount,
                  CAST(round(gross * (1 - discount), 2) AS DECIMAL(18,2)) AS net
               FROM lines""",
-    "mem": f"""SELECT c.c_custkey AS member_key, c.c_custkey AS memberid,
+    "mem": f"""SELECT 2 * c.c_custkey + version AS member_key, c.c_custkey AS memberid,
                   {_terms_case(0)} AS membershiptype,
                   {_terms_case(1, 'BIGINT')} AS maxbookloan,
                   {_terms_case(2, 'BIGINT')} AS maxreservation,
@@ -77,11 +82,12 @@ VIEWS: dict[str, str] = {
                   CASE WHEN c.c_custkey % 50 = 0 THEN NULL
                        ELSE DATE '1925-01-01' + CAST((c.c_custkey * 7919) % 27000 AS INTEGER) END AS dob,
                   CASE WHEN c.c_custkey % 3 = 0 THEN NULL ELSE nr.r_name END AS region
-               FROM customer c JOIN nr ON c.c_nationkey = nr.n_nationkey""",
-    "stf": """SELECT s_suppkey AS staff_key, s_suppkey AS staffid,
+               FROM customer c JOIN nr ON c.c_nationkey = nr.n_nationkey
+               JOIN (VALUES (0), (1)) versions(version) ON version = 0 OR c.c_custkey % 7 = 0""",
+    "stf": f"""SELECT s_suppkey AS staff_key, {STAFF_ID_START} + s_suppkey AS staffid,
                  CASE WHEN s_suppkey % 25 = 24 THEN NULL ELSE CAST(s_acctbal AS DECIMAL(10,2)) END AS salary
               FROM supplier""",
-    "loan_all": """SELECT m.*, l.l_partkey AS booktitle_key, l.l_suppkey AS staff_key,
+    "loan_all": f"""SELECT m.*, l.l_partkey AS booktitle_key, l.l_suppkey AS staff_key,
                       CAST(l.l_shipdate AS DATE) AS loan_date, l.l_orderkey AS orderkey,
                       l.l_linenumber AS linenumber,
                       CAST(1 + (l.l_orderkey * 7 + l.l_partkey * 13 + l.l_linenumber) % 40 AS BIGINT) AS loandays,
@@ -89,8 +95,8 @@ VIEWS: dict[str, str] = {
                            ELSE greatest(1 + (l.l_orderkey * 7 + l.l_partkey * 13 + l.l_linenumber) % 40
                                          - m.loanduration, 0) END AS BIGINT) AS overduedays
                    FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
-                   JOIN mem m ON o.o_custkey = m.member_key""",
-    "resv_all": """SELECT o_custkey AS member_key, o_orderkey % (SELECT count(*) FROM supplier) AS staff_key,
+                   JOIN mem m ON {_version('o.o_custkey', 'l.l_shipdate')} = m.member_key""",
+    "resv_all": f"""SELECT {_version('o_custkey', 'o_orderdate')} AS member_key, o_orderkey % (SELECT count(*) FROM supplier) AS staff_key,
                       CAST(o_orderdate AS DATE) AS resv_date, o_orderkey AS reservationid,
                       CASE WHEN o_orderstatus = 'F' THEN 'Success' ELSE 'Cancelled' END AS reservationstatus,
                       CAST((1 + o_orderkey % 14) // 2 AS BIGINT) AS reservetoreadydays,

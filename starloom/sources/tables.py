@@ -51,6 +51,10 @@ PAST_YEAR_START = dt.date(1999, 7, 1)
 COURSE_VERSION_SPLIT = dt.date(1998, 1, 1)
 COURSE_VERSION_OPEN_END = dt.date(9999, 12, 31)
 
+# Every seventh member has a second version from this day on (within
+# a month of the report window), and staff ids follow this number
+MEMBER_RENEWAL, STAFF_ID_START = dt.date(1999, 10, 15), 1000
+
 
 def ts_lit(d: dt.date) -> Column:
     """Timestamp-without-zone literal at midnight of ``d``; comparing the raw
@@ -212,9 +216,16 @@ class Warehouse:
                         net_amount("gross", "discount").alias("net")))
 
     # ------------------------------------------------------------- library
+    @staticmethod
+    def _member_key(customer, day):
+        """Key of the member version of a day."""
+        return customer * 2 + ((customer % 7 == 0) & (day >= F.lit(MEMBER_RENEWAL))).cast("bigint")
+
     def members(self) -> DataFrame:
-        """DIM_Member: one version per customer."""
+        """DIM_Member: one version per customer, two of every seventh."""
         c = self.raw("customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+        versions = F.when(F.col("c_custkey") % 7 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+        c = c.withColumn("version", F.explode(versions))
         nr = self._nation_region()
         terms = F.create_map(*[x for seg, (t, mb, mr, ld) in MEMBERSHIP_TERMS.items()
                                for x in (F.lit(seg), F.struct(F.lit(t).alias("t"),
@@ -224,7 +235,7 @@ class Warehouse:
         k = F.col("c_custkey")
         term = terms[F.col("c_mktsegment")]
         return (c.join(nr, c.c_nationkey == nr.n_nationkey)
-                .select(k.alias("member_key"), k.alias("memberid"),
+                .select((k * 2 + F.col("version")).alias("member_key"), k.alias("memberid"),
                         term["t"].alias("membershiptype"),
                         term["mb"].cast("bigint").alias("maxbookloan"),
                         term["mr"].cast("bigint").alias("maxreservation"),
@@ -239,7 +250,7 @@ class Warehouse:
         """DIM_Staff: salary NULL for every 25th supplier."""
         s = self.raw("supplier").select("s_suppkey", "s_acctbal")
         k = F.col("s_suppkey")
-        return s.select(k.alias("staff_key"), k.alias("staffid"),
+        return s.select(k.alias("staff_key"), (k + STAFF_ID_START).alias("staffid"),
                         F.when(k % 25 == 24, F.lit(None).cast("decimal(10,2)"))
                          .otherwise(money("s_acctbal", 10, 2)).alias("salary"))
 
@@ -259,7 +270,7 @@ class Warehouse:
         loandays = (F.lit(1) + (F.col("l_orderkey") * 7 + F.col("l_partkey") * 13
                                 + F.col("l_linenumber")) % 40)
         j = (li.join(o, li.l_orderkey == o.o_orderkey)
-             .join(m, F.col("o_custkey") == m.member_key))
+             .join(m, self._member_key(F.col("o_custkey"), F.to_date("l_shipdate")) == m.member_key))
         return j.select(
             "member_key", "memberid", "membershiptype", "maxbookloan", "maxreservation",
             "loanduration", "dob", "region",
@@ -286,7 +297,7 @@ class Warehouse:
         cond = day_window("o_orderdate", start, end)
         if cond is not None:
             o = o.filter(cond)
-        return o.select(F.col("o_custkey").alias("member_key"),
+        return o.select(self._member_key(F.col("o_custkey"), F.to_date("o_orderdate")).alias("member_key"),
                         (F.col("o_orderkey") % self._supplier_count()).alias("staff_key"),
                         F.to_date("o_orderdate").alias("resv_date"),
                         F.col("o_orderkey").alias("reservationid"),
