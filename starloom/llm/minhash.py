@@ -3,8 +3,8 @@
 A document's set holds the 64-bit hashes of its distinct five-word shingles.
 Documents with equal sets form a class; the smallest id stands for it. Each of
 ``TREES`` trees branches every representative by minwise values: a node picks
-one or two of the ``COORDS`` minwise functions (1 / threshold of them on
-average) by a hash of its path, and a document goes to the child that its
+some of the ``COORDS`` minwise functions (1 / threshold of them on average: at
+0.85, one or two) by a hash of its path, and a document goes to the child that its
 minwise value names. Nodes of up to ``SMALL`` documents are compared
 exhaustively; larger ones branch on for as long as that shrinks them.
 
@@ -17,14 +17,15 @@ group of near copies costs a few passes over its members, and nothing is capped.
 
 Every link is confirmed on the full sets. In small nodes two bounds go before
 it: set sizes (exact), and one-bit minwise agreement, which loses a pair at the
-threshold with a probability of about 4e-6. A pair at 0.85 misses all small
-first-level nodes with a probability under 1e-9; at depth three, the trees
-together find it with over 0.999.
+threshold with a probability of at most ``LOST``. Branching and sketch bound follow
+the threshold. A pair at 0.85 (0.80) misses all small first-level nodes with a
+probability under 1e-9; at depth three, the trees together find it with over 0.999.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import cache, reduce
+from math import ceil, comb
 
 import numpy as np
 import pandas as pd
@@ -38,13 +39,26 @@ from starloom.llm.components import components
 SHINGLE, COORDS, TREES, SMALL, DEPTH = 5, 64, 12, 32, 8
 #: A level is branched again if it left under SHRINK of the rows of large nodes; about as many hashes make a block of a node.
 SHRINK, BLOCK = 0.6, 1_000_000
-#: Bits that two one-bit sketches of COORDS bits may differ in.
-BITS_APART = 16
+#: Probability at most with which the one-bit sketches of a pair at the threshold differ too much.
+LOST = 4e-6
 _rng = np.random.default_rng(7)
 _A = _rng.integers(1, 2**63, COORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _B = _rng.integers(1, 2**64, COORDS, dtype=np.uint64)
 
 
+@cache
+def bits_apart(percent: int) -> int:
+    """Bits that two one-bit sketches of COORDS bits may differ in: the least bound
+    that loses a pair at ``percent`` with at most LOST. A bit differs with half the
+    probability that the minwise values do."""
+    p, over = (1 - percent / 100) / 2, 1.0
+    for bits in range(COORDS + 1):
+        over -= comb(COORDS, bits) * p**bits * (1 - p)**(COORDS - bits)
+        if over <= LOST:
+            break
+    return bits
+
+
 def shingle_sets(column: pa.Array, lower: bool = True):
     """Yield each text's sorted distinct shingle hashes; words are
     ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased. Fewer words than a shingle:
@@ -103,11 +117,13 @@ def _profile(batches):
             row += len(sets)
 
 
-def _children(keys: np.ndarray, sketches: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _children(keys: np.ndarray, sketches: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """(row index, child key) of every branch: a node picks its coordinates by
-    a hash of its own key, one always and a second with 1/0.85 - 1."""
+    a hash of its own key, 1 / threshold of them on average: one always, a second
+    with 1 / threshold - 1 (under one half, a second always and so on)."""
     sk, out_i, out_k = sketches.astype(np.uint64), [], []
-    for turn, share in ((1, 1.0), (2, 1 / 0.85 - 1)):
+    for turn in range(1, ceil(100 / percent) + 1):
+        share = min(1.0, 100 / percent - turn + 1)
         h = mix(keys * np.uint64(2 * turn + 1) + np.uint64(turn))
         at = np.flatnonzero((h >> np.uint64(40)).astype(np.float64) / 2**24 < share)
         c = (h[at] % np.uint64(COORDS)).astype(np.int64)
@@ -116,23 +132,25 @@ def _children(keys: np.ndarray, sketches: np.ndarray) -> tuple[np.ndarray, np.nd
     return np.concatenate(out_i), np.concatenate(out_k)
 
 
-def _branch(batches):
+def _branch(percent: int):
     """Columns key, doc, n, bits, sketch -> the same rows in child nodes; a
     null key stands for the roots of all trees."""
-    for b in batches:
-        if not b.num_rows:
-            continue
-        sk = np.frombuffer(b"".join(b.column(4).to_pylist()), "<u4").reshape(-1, COORDS)
-        key = b.column(0)
-        if key.null_count:
-            keys = mix(np.tile(np.arange(1, TREES + 1, dtype=np.uint64), len(sk)))
-            src = np.repeat(np.arange(len(sk)), TREES)
-        else:
-            keys, src = key.to_numpy().view(np.uint64), np.arange(len(sk))
-        i, child = _children(keys, sk[src])
-        rows = pa.array(src[i])
-        yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), *(b.column(k).take(rows) for k in (1, 2, 3))],
-                                         names=["key", "doc", "n", "bits"])
+    def run(batches):
+        for b in batches:
+            if not b.num_rows:
+                continue
+            sk = np.frombuffer(b"".join(b.column(4).to_pylist()), "<u4").reshape(-1, COORDS)
+            key = b.column(0)
+            if key.null_count:
+                keys = mix(np.tile(np.arange(1, TREES + 1, dtype=np.uint64), len(sk)))
+                src = np.repeat(np.arange(len(sk)), TREES)
+            else:
+                keys, src = key.to_numpy().view(np.uint64), np.arange(len(sk))
+            i, child = _children(keys, sk[src], percent)
+            rows = pa.array(src[i])
+            yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), *(b.column(k).take(rows) for k in (1, 2, 3))],
+                                             names=["key", "doc", "n", "bits"])
+    return run
 
 
 def _sets(batches):
@@ -150,7 +168,7 @@ def _pairs(rows: DataFrame, percent: int) -> DataFrame:
     one = groups.select("g", F.posexplode("g").alias("i", "x"))
     two = one.select("x", F.explode(F.expr(f"slice(g, i + 2, {SMALL})")).alias("y"))
     ok = (F.col("x.doc") != F.col("y.doc")) & (100 * F.col("x.n") >= percent * F.col("y.n")) \
-        & (F.bit_count(F.col("x.bits").bitwiseXOR(F.col("y.bits"))) <= BITS_APART)
+        & (F.bit_count(F.col("x.bits").bitwiseXOR(F.col("y.bits"))) <= bits_apart(percent))
     return two.where(ok).select(F.least("x.doc", "y.doc").alias("a"), F.greatest("x.doc", "y.doc").alias("b"))
 
 
@@ -238,7 +256,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     rows = reps.select(F.lit(None).cast("long").alias("key"), "doc", "n", "bits", "sketch")
     pairs, left, big = [], None, None
     for depth in range(1, DEPTH + 1):
-        rows = stored(rows.mapInArrow(_branch, "key long, doc long, n long, bits long"), "nodes")
+        rows = stored(rows.mapInArrow(_branch(percent), "key long, doc long, n long, bits long"), "nodes")
         count = rows.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
         live = rows.join(count, "key")
         pairs.append(_pairs(live.where(F.col("c") <= SMALL), percent))

@@ -362,3 +362,20 @@ def test_empty_pages_and_vectors(frame):
 def test_release_deletes_scratch(spark):
     stored(spark.range(3).toDF("x"), "gone").count()
     assert release(spark, scratch_paths()[-1:]) == 1
+
+
+def test_near_duplicates_at_other_thresholds(frame):
+    from starloom.llm.minhash import _children, bits_apart
+    assert (bits_apart(85), bits_apart(80)) == (16, 19)
+    keys, sk = np.arange(1, 20_001, dtype=np.uint64), np.zeros((20_000, 64), np.uint32)
+    for percent in (85, 80, 40):
+        assert len(_children(keys, sk, percent)[0]) == pytest.approx(20_000 * 100 / percent, rel=0.01)
+    docs = []
+    for base in range(60):  # pairs of 96 shingles each, 86 of them shared: 0.811
+        words = prose(1000 + base, 100).split()
+        docs.append((2 * base, " ".join(words)))
+        words[20 + base % 7], words[60 + base % 9] = "zz", "yy"
+        docs.append((2 * base + 1, " ".join(words)))
+    for percent in (85, 80):
+        got = sorted(((r[0], r[1], r[2]) for r in rows_of(near_duplicates(frame(docs), percent))), key=str)
+        assert got == near_by_hand(docs, percent) and sum(d != c for d, _, c in got) == (60 if percent == 80 else 0)

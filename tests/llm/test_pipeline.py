@@ -35,6 +35,13 @@ def test_stages(spark, tmp_path):
     assert {r.doc_id for r in seen[4].select("doc_id").distinct().collect()} == set(masked)
 
 
+def test_near_stage_links_from_080(spark):
+    words = [f"w{i}" for i in range(100)]
+    other = ["x" if i in (30, 70) else w for i, w in enumerate(words)]  # 86 of 106 shingles shared: 0.811
+    docs = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(other)), (3, "far away")], "doc_id long, text string")
+    assert {r.doc_id for r in P.near_stage(spark, docs, SF).collect()} == {1, 3}
+
+
 def test_run_equals_stages_and_leaves_only_its_result(spark):
     out = P.run(spark, "/root/testdata/sf0.001")
     assert out.count() and out.columns[0] == "doc_id"
