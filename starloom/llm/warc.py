@@ -63,7 +63,7 @@ def write_archives(pages: DataFrame, path: str, records_per_file: int = RECORDS_
         .option("maxRecordsPerFile", records_per_file).text(path)
 
 
-_FIELD = re.compile(rb"^([A-Za-z0-9-]+):[ \t]*(.*?)[ \t]*$")
+_FIELD = re.compile(rb"^([A-Za-z0-9-]+):([^\n]*)$")
 _LENGTH = re.compile(rb"^[0-9]{1,18}$")
 _SEGMENT = ("file string, block long, rel long, size long, payload long, length long, kind string, record string, "
             "refers string, declared string, digest string, whole boolean")
@@ -71,8 +71,9 @@ _SEGMENT = ("file string, block long, rel long, size long, payload long, length
 
 def _header(value: bytes) -> tuple[int, dict] | None:
     """Where the block starts and the header fields, if ``value`` starts with a
-    well-formed header that gives its length and type."""
-    end = value.find(b"\r\n\r\n", 0, 65_536)
+    well-formed header that gives its length and type. A header has no magic inside,
+    so it ends within ``value``, however long its url is."""
+    end = value.find(b"\r\n\r\n")
     if end < 0:
         return None
     fields = {}
@@ -80,7 +81,7 @@ def _header(value: bytes) -> tuple[int, dict] | None:
         m = _FIELD.match(x)
         if not m:
             return None
-        fields[m[1].lower()] = m[2]
+        fields[m[1].lower()] = m[2].strip(b" \t")
     if not _LENGTH.match(fields.get(b"content-length", b"")) or b"warc-type" not in fields:
         return None
     return end + 4, fields

@@ -310,6 +310,15 @@ def test_warc_rejects_magic_in_payloads(spark, frame):
     assert sorted(n) == sorted((w[3], 0 if w[3] == "revisit" else w[1]) for w in want)
 
 
+def test_warc_long_urls(frame):
+    pages = [(i, "http://h/", f"<p>{i} " + "x" * 200) for i in range(6)] + [(6, "http://h/", "<p>0 " + "x" * 200)]
+    pages[2] = (2, "data:text/html," + "é" * 50_000, pages[2][2])
+    pages[3] = (3, "http://h/?" + " " * 100_000 + "q", "")
+    got = rows_of(warc.page_records(frame(pages, ("page_id", "url", "html"), ("long", "string", "string"))))
+    assert sorted(r[:3] for r in got) == [(i, len(h), hashlib.sha256(h.encode()).hexdigest()) for i, _, h in pages]
+    assert [r[0] for r in got if r[3] == "revisit"] == [6]
+
+
 def test_html():
     page = ("<html><head><title>no</title><style>.x, #y {display: none}</style></head><body>Hi <b>the</b>re<p>one<p>two &amp; three<div hidden>no</div><i class='a x'>no</i>"
             "<ul><li>a<li>b<ol start=3><li>c<li>d</ol></ul><table><tr><th>Name<th>Age<tr><td>Bo<td>5<tr><td rowspan=2>R<td>1<tr><td>2</table>"
