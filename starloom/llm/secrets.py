@@ -4,7 +4,8 @@ Text in a language is cheap under a byte-pair vocabulary: its tokens hold
 several characters. Random strings fall apart into short tokens. A run of
 ``SHORTEST`` or more key characters with under ``RATIO`` characters a token is
 reported as ``random``, unless it is a known digest (hex of a usual length), a
-UUID, a number or an identifier made of words, or overlaps a pattern's match.
+UUID, a number or an identifier made of words that the vocabulary spells cheaply,
+or overlaps a pattern's match.
 """
 
 from __future__ import annotations
@@ -32,17 +33,25 @@ _DIGEST = re.compile(r"[0-9a-f]+|[0-9A-F]+")
 _DIGEST_LENGTHS = {32, 40, 56, 64, 96, 128}  # MD5, SHA-1, SHA-2
 _UUID = re.compile(r"[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
 _PART = re.compile(r"[+/_=-]+")
-_WORDS = re.compile(r"([A-Z]?[a-z]+|[A-Z]+)+[0-9]{0,4}|[0-9]+")
+_WORDS = re.compile(r"([A-Za-z]+)[0-9]{0,4}|[0-9]+")
 
 
-def _known(run: str) -> bool:
-    """A digest, UUID, number or identifier."""
+def _cheap(text: str, ratio: float, ranks: str) -> bool:
+    return len(text) >= ratio * len(encoding(ranks).encode_ordinary(text))
+
+
+def _known(run: str, ratio: float, ranks: str) -> bool:
+    """A digest, UUID, number or identifier; letters alone don't make one, each part
+    of it passes the token test too."""
     if _DIGEST.fullmatch(run) and len(run) in _DIGEST_LENGTHS or _UUID.fullmatch(run):
         return True
     parts = [p for p in _PART.split(run) if p]
     mixed = [p for p in parts if not p.isdigit() and not p.islower() and not p.isupper()]
     capitals = sum(c.isupper() for p in mixed for c in p)
-    return all(_WORDS.fullmatch(p) for p in parts) and capitals * 4 <= sum(map(len, mixed))
+    if capitals * 4 > sum(map(len, mixed)):
+        return False
+    words = [_WORDS.fullmatch(p) for p in parts]
+    return all(words) and all(_cheap(w[1], ratio, ranks) for w in words if w[1])
 
 
 def spans(text: str, ratio: float = RATIO, ranks: str = RANKS) -> list[tuple[str, int, int]]:
@@ -52,7 +61,7 @@ def spans(text: str, ratio: float = RATIO, ranks: str = RANKS) -> list[tuple[str
     found += [("hex", m.start(), m.end()) for m in LONG_HEX.finditer(text)]
     for m in _RUN.finditer(text):
         run, a, z = m[0], m.start(), m.end()
-        if not _known(run) and len(run) < ratio * len(encoding(ranks).encode_ordinary(run)) \
+        if not _cheap(run, ratio, ranks) and not _known(run, ratio, ranks) \
                 and not any(x < z and a < y for _, x, y in found):
             found.append(("random", a, z))
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0])))

@@ -4,6 +4,7 @@ texts, ties, repeated rows, empty tables and clashing columns."""
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import duckdb
@@ -172,6 +173,22 @@ def test_secrets(frame):
     assert red[0] is None and red[2] == texts[2] and token not in red[7] and digest not in red[7] and red[8] == texts[8]
 
 
+def test_secrets_of_one_case(frame):
+    rng = random.Random(12)
+    bad = ["".join(rng.choices(abc, k=32)) for abc in ("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ") for _ in range(200)]
+    found = [secrets.spans(f"key {t} end") for t in bad]
+    assert sum(f == [("random", 4, 36)] for f in found) >= 0.95 * len(bad)
+    keys = ["QWXZ-KPLM-VBNT-RTYU-HJKD", "xkqz7281-vjwp3390-fhgt1102"]
+    assert [secrets.spans(t) for t in keys] == [[("random", 0, len(t))] for t in keys]
+    assert [r.text for r in secrets.redact(frame(list(enumerate(keys)))).collect()] == ["[SECRET]"] * 2
+    for t in ("some-very-long-identifier-name2024", "MAX_NUMBER_OF_CONNECTIONS", "internationalization_settings", "2024-01-02-03-04-05-06-07",
+              "someVeryLongIdentifierName", "550e8400-e29b-41d4-a716-446655440000", "-" * 40):
+        assert not secrets.spans(t)
+    began = time.process_time()
+    secrets.spans("A" * 40 + "12345 " + "Ab" * 5_000 + "12345")  # words with nested repeats take years
+    assert time.process_time() - began < 5
+
+
 @pytest.mark.parametrize("chunk,overlap", [(32_768, 512), (37, 20)])
 def test_bpe_equals_tiktoken(frame, chunk, overlap):
     texts = [None, "", " ", "\n\n  a  b\n\n\nc", "don't we'll I'M 'tis", "x" * 300, " " * 200 + "y", "日本語のテキスト" * 30, "é́ 😀😀 \u00a0\u2003 z 12 345", "<|endoftext|> ok",
