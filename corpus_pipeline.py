@@ -10,11 +10,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import wraps
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.llm import packing, secrets, toxicity
-from starloom.llm.common import release, scratch_path, scratch_paths
+from starloom.llm.common import release, scratch_path, scratch_paths, stored
 from starloom.llm.exact import exact_duplicates
 from starloom.llm.minhash import near_duplicates
 
@@ -22,6 +22,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 _left: list[str] = []
 #: Similarity of near copies in the near stage; the 85 of op1 is that query's contract.
 NEAR_PERCENT = 80
+_ROW, _SIZE = "__row", "__size"
 
 
 def stage(fn: Stage) -> Stage:
@@ -38,10 +39,15 @@ def stage(fn: Stage) -> Stage:
     return run
 
 
-def _without(docs: DataFrame, verdict: DataFrame) -> DataFrame:
-    """The rows of docs but those of ids that the verdict keeps nowhere."""
-    gone = verdict.groupBy("doc_id").agg(F.max("kept").alias("kept")).where("not kept").select("doc_id")
-    return docs.join(gone.hint("merge"), "doc_id", "left_anti").select(docs.columns)
+def _one_of_each(docs: DataFrame, judge: Callable[[DataFrame], DataFrame], group: str, *order: Column) -> DataFrame:
+    """One row of each ``group`` that ``judge`` finds, whatever the rows' doc_id: the
+    operator gets a key of the row in its place (null and repeated ids are judged like
+    any other row). The first by ``order``, then the smallest doc_id stays; null comes last."""
+    rows = stored(docs.withColumn(_ROW, F.monotonically_increasing_id()).withColumn(_SIZE, F.length(F.coalesce("text", F.lit("")))), "rows")
+    verdict = judge(rows.select(F.col(_ROW).alias("doc_id"), "text")).select(F.col("doc_id").alias(_ROW), F.col(group).alias("group"))
+    first = F.struct(*order, F.col("doc_id").isNull().alias("none"), "doc_id", _ROW)
+    kept = verdict.join(rows.select(_ROW, _SIZE, "doc_id").hint("merge"), _ROW).groupBy("group").agg(F.min_by(_ROW, first).alias(_ROW))
+    return rows.join(kept.select(_ROW).hint("merge"), _ROW, "left_semi").select(docs.columns)
 
 
 @stage
@@ -54,14 +60,14 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 @stage
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts stays."""
-    return _without(docs, exact_duplicates(docs))
+    """One document of each group of equal texts stays, the one with the most code points."""
+    return _one_of_each(docs, exact_duplicates, "text_sha256", -F.col(_SIZE))
 
 
 @stage
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays (five words, 0.80)."""
-    return _without(docs, near_duplicates(docs, NEAR_PERCENT))
+    return _one_of_each(docs, lambda rows: near_duplicates(rows, NEAR_PERCENT), "component_id")
 
 
 @stage

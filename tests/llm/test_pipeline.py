@@ -42,6 +42,22 @@ def test_near_stage_links_from_080(spark):
     assert {r.doc_id for r in P.near_stage(spark, docs, SF).collect()} == {1, 3}
 
 
+def test_dedup_stages_judge_rows(spark):
+    words = [f"w{i}" for i in range(100)]
+    near = " ".join(words[:50] + ["x"] + words[51:])
+    rows = [(None, "a b"), (None, "a b"), (None, "c"), (1, "a b"), (1, "other"), (2, "a  b"), (3, "d"), (3, "d"), (4, "other"), (5, "d"), (None, None), (6, ""),
+            (7, " ".join(words)), (7, " ".join(words)), (8, near), (9, near), (None, near), (9, "alone")]
+    docs = spark.createDataFrame([(*r, "z") for r in rows], "doc_id long, text string, label string").repartition(5)
+    out = P.exact_stage(spark, docs, SF)
+    got = sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
+    assert out.columns == docs.columns
+    assert got == sorted([(2, "a  b"), (None, "c"), (1, "other"), (3, "d"), (6, ""), (7, " ".join(words)), (8, near), (9, "alone")], key=str)
+    full = [r for r in rows if r[1]]
+    docs = spark.createDataFrame([(*r, "z") for r in full], "doc_id long, text string, label string").repartition(5)
+    got = sorted(((r.doc_id, r.text) for r in P.near_stage(spark, docs, SF).collect()), key=str)
+    assert [(d, t if len(t) < 9 else "long") for d, t in got] == sorted([(1, "a b"), (None, "c"), (1, "other"), (3, "d"), (7, "long"), (9, "alone")], key=str)
+
+
 def test_run_equals_stages_and_leaves_only_its_result(spark):
     out = P.run(spark, "/root/testdata/sf0.001")
     assert out.count() and out.columns[0] == "doc_id"
