@@ -124,7 +124,8 @@ def build(markup: str) -> tuple[Node, set[str]]:
                 end_open({"p"}, ("td", "th", "button", "caption", "object"))
             if tag in IMPLIED:
                 end_open(*IMPLIED[tag])
-            if tag in ("td", "th") and stack[-1].tag in ("table", "thead", "tbody", "tfoot"):
+            if tag in ("td", "th") and next(y.tag for y in reversed(stack) if y.tag in ("tr", "table")) == "table":
+                end_open(*IMPLIED["tr"])
                 push("tr", {})
             push(tag, attrs)
             if tag in RAW:

@@ -345,6 +345,12 @@ def test_html():
     assert html.render("<div>" * 20_000 + "deep") == "deep"
 
 
+@pytest.mark.parametrize("tag", ["form", "div", "center", "caption", "thead", "b"])
+def test_html_cells_without_a_row(tag):
+    assert html.render(f"<table><{tag}><td>x<td>y</table>z") == "x  y\n\nz"
+    assert html.render(f"<table><tr><td>a<table><{tag}><th>x</table><td>b</table>").split() == ["a", "b", "x"]
+
+
 def test_html_words_equal_a_plain_parser(spark):
     from html.parser import HTMLParser
 
