@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import re
 from html import unescape
+from itertools import count
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -48,8 +49,11 @@ _TOKEN = re.compile(r"""<!--(?:>|->|.*?(?:--!?>|\Z))|<[!?][^>]*(?:>|\Z)|</([a-zA
  |<([a-zA-Z][^\s/>]*)((?:[^>"'=]|=\s*(?:"[^"]*(?:"|\Z)|'[^']*(?:'|\Z))|["'=])*)(?:>|\Z)""", re.S | re.X)
 _ATTR = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'=<>`]+)))?""")
 _SPACE = re.compile(r"[ \t\n\f\r]+")
-_RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
-_HIDES = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\b", re.I)
+_CSS = re.compile(r"""/\*.*?(?:\*/|\Z)|"(?:[^"\\\n]|\\.)*"?|'(?:[^'\\\n]|\\.)*'?|[{};]|<!--|-->|[^"'{};/<-]+|.""", re.S)
+_SHOWS = re.compile(r"\s*(display|visibility)\s*:\s*([a-z-]+)[^!]*(!\s*important)?\s*", re.I)
+_MEDIA = re.compile(r"@media\b(.*)", re.I | re.S)
+ON_SCREEN = frozenset(["", "all", "screen", "only all", "only screen", "not print"])
+_ORDER = count(1)
 _SIMPLE = re.compile(r"[.#]?[a-zA-Z_][\w-]*")
 
 
@@ -60,9 +64,65 @@ class Node:
         self.tag, self.attrs, self.kids = tag, attrs, []
 
 
-def build(markup: str) -> tuple[Node, set[str]]:
-    """The tree, and the simple selectors that style elements hide."""
-    root, rules = Node("#root", {}), set()
+def on_screen(media: str) -> bool:
+    """Whether a media query holds on every screen."""
+    return any(" ".join(q.lower().split()) in ON_SCREEN for q in media.split(","))
+
+
+def declared(parts: list[str]) -> dict[str, tuple[bool, bool]]:
+    """Declarations -> property (display, visibility): (important, hides); the last holds."""
+    out: dict[str, tuple[bool, bool]] = {}
+    for m in filter(None, map(_SHOWS.fullmatch, parts)):
+        name, new = m[1].lower(), (bool(m[3]), m[2].lower() in (("none",) if m[1].lower() == "display" else ("hidden", "collapse")))
+        if new[0] >= out.get(name, new)[0]:
+            out[name] = new
+    return out
+
+
+def read_style(css: str, rules: dict) -> None:
+    """Add to ``rules`` what the style rules for simple selectors say: selector ->
+    property -> (important, weight, order, hides). Blocks of at-rules don't count,
+    save @media that holds on every screen; nor do rules nested in rules."""
+    now: list[str] = []
+    stack: list[tuple[list[str] | None, bool, list[str]]] = []  # selectors (None: at-rule), whether it counts, declarations
+
+    def end() -> None:
+        selectors, counts, parts = stack.pop()
+        if selectors and counts:
+            for name, (important, hides) in declared([*parts, "".join(now)]).items():
+                for s in selectors:
+                    own = rules.setdefault(s, {})
+                    new = (important, " .#".find(s[0]) if s[0] in ".#" else 0, next(_ORDER), hides)
+                    own[name] = max(own.get(name, new), new)
+
+    for m in _CSS.finditer(css):
+        x = m[0]
+        if x == "{":
+            head, counts = "".join(now).strip(), not stack or stack[-1][0] is None and stack[-1][1]
+            if head.startswith("@"):
+                media = _MEDIA.fullmatch(head)
+                stack.append((None, counts and media is not None and on_screen(media[1]), []))
+            else:
+                stack.append(([s for s in map(str.strip, head.split(",")) if _SIMPLE.fullmatch(s)], counts, []))
+            now.clear()
+        elif x == "}":
+            if stack:
+                end()
+            now.clear()
+        elif x == ";":
+            if stack:
+                stack[-1][2].append("".join(now))
+            now.clear()
+        elif not x.startswith("/*") and x not in ("<!--", "-->"):
+            now.append(x)
+    while stack:  # the end of the sheet ends its blocks
+        end()
+        now.clear()
+
+
+def build(markup: str) -> tuple[Node, dict]:
+    """The tree, and what style elements say of visibility (see read_style)."""
+    root, rules = Node("#root", {}), {}
     stack, opened = [root], {}
 
     def close(n: int) -> None:
@@ -133,24 +193,27 @@ def build(markup: str) -> tuple[Node, set[str]]:
                 text = markup[at:e.start() if e else size]
                 at = e.start() if e else size
                 stack[-1].kids.append(unescape(text) if tag in ("textarea", "title") else text)
-                if tag == "style":
-                    for r in _RULE.finditer(re.sub(r"/\*.*?\*/", "", text, flags=re.S)):
-                        if _HIDES.search(r[2]):
-                            rules.update(s for s in map(str.strip, r[1].split(",")) if _SIMPLE.fullmatch(s))
+                if tag == "style" and on_screen(attrs.get("media", "")):
+                    read_style(text, rules)
                 if e is None:
                     close(len(stack) - 1)
     return root, rules
 
 
-def unseen(x: Node, rules: set[str], parent: Node) -> bool:
+def unseen(x: Node, rules: dict, parent: Node) -> bool:
     a = x.attrs
     if x.tag in UNSEEN or x.tag == "dialog" and "open" not in a:
         return True
     if parent.tag == "details" and "open" not in parent.attrs and x.tag != "summary":
         return True
-    if a and ("hidden" in a or "style" in a and _HIDES.search(a["style"])):
+    if "hidden" in a:
         return True
-    return bool(rules) and (x.tag in rules or "#" + a.get("id", "") in rules or any("." + c in rules for c in a.get("class", "").split()))
+    if not rules and "style" not in a:
+        return False
+    said = [rules[s] for s in (x.tag, "#" + a.get("id", ""), *("." + c for c in a.get("class", "").split())) if s in rules]
+    if "style" in a:  # weighs more than any selector
+        said.append({k: (important, 3, 0, hides) for k, (important, hides) in declared(a["style"].split(";")).items()})
+    return any(max(s[k] for s in said if k in s)[3] for k in {k for s in said for k in s})
 
 
 class Page:

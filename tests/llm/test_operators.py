@@ -345,6 +345,21 @@ def test_html():
     assert html.render("<div>" * 20_000 + "deep") == "deep"
 
 
+@pytest.mark.parametrize("css,seen", [
+    ("@media print { nav, .x { display:none } }", True), ("@media (max-width:600px){.x{display:none}}", True), ("@supports (a:b){@media all{.x{display:none}}}", True),
+    (".x{display:none} .x{display:block}", True), (".x{display:none !important} .x{display:block}", False), (".x{visibility:hidden} .x{display:block}", False),
+    ("#i{display:block} .x{display:none}", True), ("@import 'a;b'; @media screen, print {.x{color:red;display:none}}", False), ("@font-face{a:b} .x { display : none }", False),
+    (".y::after{content:'}'} /* .x{} */ .x{display:none", False), ("@media print{.x{a:b}} .x{display:none}", False), (".x{color:red; .z{display:none}}", True)])
+def test_html_style_rules(css, seen):
+    assert html.render(f"<style>{css}</style>a <b class=x id=i>b</b>") == ("a b" if seen else "a")
+
+
+def test_html_style_media_and_inline():
+    assert html.render("<style media=print>.x{display:none}</style><style>.y{display:none}</style><b class=x>a</b><b class=y style='display:inline'>b</b><i style='x:y;Display:None'>c</i>") == "ab"
+    css = "".join(f".c{i}{{display:none}}" for i in range(3000))
+    assert html.render(f"<style>{css}</style><p class=c2999>no<p>yes") == "yes"
+
+
 @pytest.mark.parametrize("tag", ["form", "div", "center", "caption", "thead", "b"])
 def test_html_cells_without_a_row(tag):
     assert html.render(f"<table><{tag}><td>x<td>y</table>z") == "x  y\n\nz"
