@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from starloom.llm import bpe, html, packing, secrets, substring, toxicity
+from starloom.llm.collocation import collocations
 from starloom.llm.common import table
 from starloom.llm.exact import exact_duplicates
 from starloom.llm.lattice import near_vectors
@@ -76,6 +77,11 @@ def op10_html_extraction(spark, sf_dir):
     return html.extract(table(spark, sf_dir, "pages", "page_id", "html"))
 
 
+@query
+def op12_collocations(spark, sf_dir):
+    return collocations(table(spark, sf_dir, "documents", "lang", "text"))
+
+
 # Words as the contract defines them, in DuckDB: cut at the six blanks, drop empty parts.
 _WORDS = "list_filter(regexp_split_to_array({0}, '[\\x20\\x09-\\x0D]+'), lambda w: w <> '')"
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -138,3 +144,25 @@ WITH t AS (SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS n, sha2
 f AS (SELECT *, CASE WHEN n >= 100 THEN min(page_id) OVER (PARTITION BY h) ELSE page_id END AS f FROM t)
 SELECT page_id, n AS payload_bytes, h AS payload_digest, CASE WHEN f = page_id THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN f <> page_id THEN f END AS refers_to FROM f"""
+
+ORACLE["op12_collocations"] = f"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\\x0A-\\x0D]')) AS p FROM documents),
+words AS (SELECT lang, list_filter(regexp_split_to_array(p, '[\\x20\\x09]+'), lambda w: w <> '') AS w FROM pieces),
+f AS (
+  SELECT lang, list_slice(w, i, i + k - 1) AS g, count(*) AS a
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM words CROSS JOIN range(1, 5) t(k) WHERE len(w) >= k) GROUP BY 1, 2),
+cand AS (SELECT lang, g, a FROM f WHERE len(g) > 1 AND a >= 30),
+inside AS (
+  SELECT lang, list_slice(g, i, i + m - 1) AS g, max(a) AS a
+  FROM (SELECT lang, g, a, m, unnest(range(1, len(g) - m + 2)) AS i FROM cand CROSS JOIN range(2, 4) t(m) WHERE len(g) > m) GROUP BY 1, 2),
+cuts AS (
+  SELECT c.lang, c.g, c.a, c.k, l.a AS l, r.a AS r, CAST((2000000::HUGEINT * c.a) // (l.a::HUGEINT + r.a) AS BIGINT) AS score
+  FROM (SELECT lang, g, a, unnest(range(1, len(g))) AS k FROM cand) c
+  JOIN f l ON l.lang = c.lang AND l.g = list_slice(c.g, 1, c.k) JOIN f r ON r.lang = c.lang AND r.g = list_slice(c.g, c.k + 1, len(c.g))),
+best AS (
+  SELECT c.* FROM (SELECT *, row_number() OVER (PARTITION BY lang, g ORDER BY score, k) AS o FROM cuts) c
+  LEFT JOIN inside i ON i.lang = c.lang AND i.g = c.g WHERE o = 1 AND (i.a IS NULL OR 100::HUGEINT * i.a < 80::HUGEINT * c.a)),
+ranked AS (
+  SELECT *, array_to_string(g, ' ') AS phrase, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(g, ' ')) AS rank FROM best)
+SELECT lang, rank, phrase, a, l, r, CAST(n.n AS BIGINT) AS n, score
+FROM ranked JOIN (SELECT lang, sum(a) AS n FROM f WHERE len(g) = 1 GROUP BY 1) n USING (lang) WHERE rank <= 2000"""
