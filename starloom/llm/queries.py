@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import bpe, html, packing, secrets, substring, toxicity
+from starloom.llm import bpe, html, packing, secrets, sharding, substring, toxicity
 from starloom.llm.collocation import collocations
 from starloom.llm.common import table
 from starloom.llm.exact import exact_duplicates
@@ -77,6 +77,11 @@ def op10_html_extraction(spark, sf_dir):
     return html.extract(table(spark, sf_dir, "pages", "page_id", "html"))
 
 
+@query
+def op11_sharding(spark, sf_dir):
+    return sharding.assign(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 @query
 def op12_collocations(spark, sf_dir):
     return collocations(table(spark, sf_dir, "documents", "lang", "text"))
@@ -145,6 +150,26 @@ f AS (SELECT *, CASE WHEN n >= 100 THEN min(page_id) OVER (PARTITION BY h) ELSE
 SELECT page_id, n AS payload_bytes, h AS payload_digest, CASE WHEN f = page_id THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN f <> page_id THEN f END AS refers_to FROM f"""
 
+ORACLE["op11_sharding"] = """
+WITH crc AS (
+  SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+    FROM range(256) r(i))),
+d AS (
+  SELECT doc_id, coalesce(text, '') AS x, CAST(strlen(coalesce(text, '')) + 16 AS BIGINT) AS size,
+    CAST('0x' || substr(md5(coalesce(text, '')), 1, 15) AS BIGINT) AS k FROM documents),
+p AS (SELECT doc_id, x, size, k, sum(size) OVER w - size AS s, sum(size) OVER w AS e, sum(size) OVER () AS t
+      FROM d WINDOW w AS (ORDER BY k, doc_id ROWS UNBOUNDED PRECEDING)),
+g AS (SELECT *, min(s) OVER (PARTITION BY k) AS g0, max(e) OVER (PARTITION BY k) AS g1 FROM p),
+ends AS (SELECT i * t // 40 AS c, CASE WHEN (g1 - g0) * 2560 <= t THEN g0 ELSE s END AS lo, CASE WHEN (g1 - g0) * 2560 <= t THEN g1 ELSE e END AS hi
+         FROM range(1, 40) r(i) JOIN g ON i * t // 40 >= s AND i * t // 40 < e),
+cuts AS (SELECT list(CASE WHEN c - lo <= hi - c THEN lo ELSE hi END) AS cuts FROM ends),
+placed AS (SELECT doc_id, x, size, k, s, CAST(len(list_filter(cuts, lambda c: c <= s)) AS INTEGER) AS shard FROM g CROSS JOIN cuts)
+SELECT doc_id, size, xor(list_reduce(list_prepend(4294967295, list_transform(regexp_extract_all(hex(x), '..'), lambda b: CAST('0x' || b AS BIGINT))),
+    lambda c, b: xor(c >> 8, crc.t[1 + (xor(c, b) & 255)])), 4294967295) AS text_crc32,
+  'bytes' AS law, shard, row_number() OVER (PARTITION BY shard ORDER BY k, doc_id) - 1 AS slot, CAST(NULL AS INTEGER) AS grown_shard
+FROM placed CROSS JOIN crc"""
+
 ORACLE["op12_collocations"] = f"""
 WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\\x0A-\\x0D]')) AS p FROM documents),
 words AS (SELECT lang, list_filter(regexp_split_to_array(p, '[\\x20\\x09]+'), lambda w: w <> '') AS w FROM pieces),
