@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from starloom.llm import bpe, html, packing, secrets, sharding, substring, toxicity
 from starloom.llm.collocation import collocations
@@ -16,6 +17,7 @@ from starloom.llm.common import table
 from starloom.llm.exact import exact_duplicates
 from starloom.llm.lattice import near_vectors
 from starloom.llm.minhash import near_duplicates
+from starloom.llm.negatives import hard_negatives
 from starloom.llm.warc import page_records
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,6 +89,13 @@ def op12_collocations(spark, sf_dir):
     return collocations(table(spark, sf_dir, "documents", "lang", "text"))
 
 
+@query
+def op13_hard_negatives(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(rows.withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
 # Words as the contract defines them, in DuckDB: cut at the six blanks, drop empty parts.
 _WORDS = "list_filter(regexp_split_to_array({0}, '[\\x20\\x09-\\x0D]+'), lambda w: w <> '')"
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -191,3 +200,18 @@ ranked AS (
   SELECT *, array_to_string(g, ' ') AS phrase, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(g, ' ')) AS rank FROM best)
 SELECT lang, rank, phrase, a, l, r, CAST(n.n AS BIGINT) AS n, score
 FROM ranked JOIN (SELECT lang, sum(a) AS n FROM f WHERE len(g) = 1 GROUP BY 1) n USING (lang) WHERE rank <= 2000"""
+
+ORACLE["op13_hard_negatives"] = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(CAST(embedding AS DOUBLE[]), lambda x: CAST(floor(256 * x) AS BIGINT)) AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT a.vec_id AS a, b.vec_id AS b, a.label = b.label AS same, CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2])) AS BIGINT) AS s
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+good AS (SELECT a, b, s FROM (SELECT *, row_number() OVER (PARTITION BY a ORDER BY s DESC, b) AS o FROM scores WHERE same) WHERE o <= 5),
+bad AS (
+  SELECT g.a, g.b AS p, g.s AS ps, x.b AS n, x.s AS ns, CAST(row_number() OVER (PARTITION BY g.a, g.b ORDER BY x.s DESC, x.b) AS INTEGER) AS rank
+  FROM good g JOIN scores x ON x.a = g.a AND NOT x.same AND 30 * g.s <= 100 * x.s AND 100 * x.s <= 90 * g.s)
+SELECT a AS anchor_id, p AS positive_id, rank, n AS negative_id, ps AS positive_score, ns AS negative_score FROM bad WHERE rank <= 10"""
