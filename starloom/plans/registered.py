@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from starloom.operators import dedup, quality, scd2
 from starloom.operators.keys import surrogate_key
+from starloom.operators.scan import scan
 from starloom.plans import calendar, dims, facts, generate, library, retail
+from starloom.functions.scalar import net_amount
 from starloom.registry import register
 from starloom.sources.tables import PAST_QUARTER_START, PAST_YEAR_START, REPORT_END
 
@@ -232,6 +234,35 @@ def _lines_with_rec(wh):
     return surrogate_key(lines.select(*cols), order, "rec_no", 1)
 
 
+@register("running_totals")
+def _q(wh):  # noqa: F811
+    """Quantity and amount of all lines up to each, in the natural order."""
+    order = wh.line_order
+    lines = wh.order_lines().withColumn("_net", net_amount("gross", "discount"))
+    run = scan(lines, [], order, number="rec_no", sums={"total_quantity": "quantity", "total_net": "_net"})
+    return run.select("rec_no", *order[:4], "total_quantity", F.col("total_net").cast("double").alias("total_net"))
+
+
+@register("previous_line")
+def _q(wh):  # noqa: F811
+    """The source's sorted cursor: each line beside the one before it, and whether it
+    repeats that one's order and product."""
+    order = wh.line_order
+    run = scan(wh.order_lines().select(*order), [], order, number="rec_no", previous={"prev_orderid": "orderid", "prev_productid": "productid"})
+    same = (F.col("orderid") == F.col("prev_orderid")) & (F.col("productid") == F.col("prev_productid"))
+    return run.select("rec_no", *order[:4], "prev_orderid", "prev_productid", F.when(same, "Y").otherwise("N").alias("repeated"))
+
+
+@register("customer_running_spend")
+def _q(wh):  # noqa: F811
+    """Each customer's orders in time: number, running amount, days since the one before."""
+    net = wh.order_details().groupBy("orderid").agg(F.sum("net").alias("net"))
+    o = wh.orders().select("orderid", "customerid", "orderdate").join(net, "orderid")
+    run = scan(o, ["customerid"], ["orderdate", "orderid"], number="order_no", sums={"spent": "net"}, previous={"before": "orderdate"})
+    return run.select("customerid", "orderid", "orderdate", "order_no", F.col("spent").cast("double").alias("spent"),
+                      F.datediff("orderdate", "before").cast("bigint").alias("days_since"))
+
+
 @register("orders_with_duplicates")
 def _q(wh):  # noqa: F811
     return dedup.orders_with_duplicates(wh.order_details())
@@ -351,6 +382,35 @@ def _q(wh):  # noqa: F811
     return j.select("se_id", *line_ids, "course_id", "register_date", "version")
 
 
+@register("scd2_merge_lookup")
+def _q(wh):  # noqa: F811
+    """scd2_lookup again, as an ordered merge of enrollments and course versions."""
+    e = wh.enrollments().withColumn("register_date", F.to_date("register_ts"))
+    j = scd2.scd2_merge_lookup(e, wh.courses().select("course_id", "version", "effective_start_date", "effective_end_date"),
+                               "course_id", "register_date")
+    line_ids = [c for c in ("linenumber", "suppkey") if c in e.columns]
+    return j.select("se_id", *line_ids, "course_id", "register_date", "version")
+
+
+@register("scd2_changes")
+def _q(wh):  # noqa: F811
+    """Course titles: the versions of the catalogue (the second one in capitals), then
+    every enrollment as a dated change of its course: a new edition, or for some
+    of those graded R a deletion. One in fifty is of a course that the catalogue lacks."""
+    c = wh.courses().withColumn("course_title", F.when(F.col("version") == 2, F.upper("course_title")).otherwise(F.col("course_title")))
+    dim = surrogate_key(c.select("course_id", "course_title", "effective_start_date", "effective_end_date"),
+                        ["course_id", "effective_start_date"], "sk", 1)
+    dim = dim.withColumn("current_flag", F.when(F.col("effective_end_date") == F.lit(scd2.OPEN_END), "Y").otherwise("N"))
+    e = wh.enrollments()
+    number = F.col("linenumber") if "linenumber" in e.columns else F.lit(0)
+    gone = (F.col("grade") == "R") & (F.col("se_id") % 4 == 0)
+    log = e.select(F.when(F.col("se_id") % 50 == 0, F.col("course_id") + 1_000_000_000).otherwise(F.col("course_id")).alias("course_id"),
+                   F.to_date("register_ts").alias("change_date"), F.when(gone, "D").otherwise("U").alias("op"),
+                   (F.col("se_id") * 8 + number).alias("change_seq"),
+                   F.concat(F.lit("Edition "), (F.col("se_id") % 3).cast("string")).alias("course_title"))
+    return scd2.scd2_changes(dim, log, ["course_id"], ["course_title"], "sk")
+
+
 @register("scd2_apply")
 def _q(wh):  # noqa: F811
     """Course titles as a type-2 dimension: first load as of 1900-01-01,

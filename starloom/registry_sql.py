@@ -659,3 +659,43 @@ SELECT rec_no, orderid, productid, quantity, l_discount AS discount
 FROM recs WHERE rec_no NOT IN (
   SELECT rec_no FROM (SELECT rec_no, row_number() OVER (PARTITION BY orderid, productid ORDER BY rec_no) AS rn
                       FROM recs) x WHERE rn > 1)""", "recs")
+
+ORACLE["scd2_merge_lookup"] = ORACLE["scd2_lookup"]
+# every touched key's days in order: what holds from each of them on, runs of equal values as one
+ORACLE["scd2_changes"] = sql("""
+, dim AS (SELECT CAST(row_number() OVER (ORDER BY course_id, effective_start_date) AS BIGINT) AS sk, course_id,
+                 CASE WHEN version = 2 THEN upper(course_title) ELSE course_title END AS title,
+                 effective_start_date AS f, effective_end_date AS t FROM cver),
+log AS (SELECT course_id + CASE WHEN se_id % 50 = 0 THEN 1000000000 ELSE 0 END AS course_id, register_date AS d, se_id * 8 + linenumber AS seq,
+               CASE WHEN grade = 'R' AND se_id % 4 = 0 THEN NULL ELSE 'Edition ' || se_id % 3 END AS title FROM enr),
+last AS (SELECT course_id, d, arg_max(coalesce(title, chr(0)), seq) AS title FROM log GROUP BY ALL),
+known AS (SELECT * FROM dim WHERE course_id IN (SELECT course_id FROM log)),
+days AS (SELECT course_id, d FROM last UNION SELECT course_id, f FROM known UNION SELECT course_id, t + 1 FROM known WHERE t < DATE '9999-12-31'),
+state AS (
+  SELECT days.course_id, days.d, k.sk, CASE WHEN l.title IS NOT NULL THEN nullif(l.title, chr(0)) ELSE k.title END AS title
+  FROM days LEFT JOIN last l ON l.course_id = days.course_id AND l.d = days.d LEFT JOIN known k ON k.course_id = days.course_id AND k.f = days.d),
+steps AS (SELECT * FROM state QUALIFY title IS DISTINCT FROM lag(title) OVER (PARTITION BY course_id ORDER BY d)),
+spans AS (SELECT *, lead(d) OVER (PARTITION BY course_id ORDER BY d) AS nd FROM steps),
+found AS (SELECT sk, course_id, title, d AS f, coalesce(CAST(nd - 1 AS DATE), DATE '9999-12-31') AS t FROM spans WHERE title IS NOT NULL),
+numbered AS (
+  SELECT sk, course_id, title, f, t FROM found WHERE sk IS NOT NULL
+  UNION ALL SELECT * FROM dim WHERE course_id NOT IN (SELECT course_id FROM log)
+  UNION ALL SELECT CAST((SELECT max(sk) FROM dim) + row_number() OVER (ORDER BY course_id, f) AS BIGINT), course_id, title, f, t FROM found WHERE sk IS NULL)
+SELECT sk, course_id, title AS course_title, f AS effective_start_date, t AS effective_end_date,
+       CASE WHEN t = DATE '9999-12-31' THEN 'Y' ELSE 'N' END AS current_flag FROM numbered""", "enr", "cver", extra=_ENR)
+
+ORACLE["running_totals"] = sql(f"""
+SELECT row_number() OVER w AS rec_no, orderid, productid, suppkey, linenumber,
+       CAST(sum(quantity) OVER w AS BIGINT) AS total_quantity,
+       CAST(sum(CAST(round(gross * (1 - discount), 2) AS DECIMAL(18,2))) OVER w AS DOUBLE) AS total_net
+FROM lines WINDOW w AS (ORDER BY {_LINE_ORDER_SQL} ROWS UNBOUNDED PRECEDING)""", "lines")
+ORACLE["previous_line"] = sql(f"""
+SELECT row_number() OVER w AS rec_no, orderid, productid, suppkey, linenumber, lag(orderid) OVER w AS prev_orderid,
+       lag(productid) OVER w AS prev_productid,
+       CASE WHEN (orderid, productid) = (lag(orderid) OVER w, lag(productid) OVER w) THEN 'Y' ELSE 'N' END AS repeated
+FROM lines WINDOW w AS (ORDER BY {_LINE_ORDER_SQL})""", "lines")
+ORACLE["customer_running_spend"] = sql("""
+SELECT customerid, orderid, orderdate, row_number() OVER w AS order_no, CAST(sum(net) OVER w AS DOUBLE) AS spent,
+       orderdate - lag(orderdate) OVER w AS days_since
+FROM ord JOIN (SELECT orderid, sum(net) AS net FROM det GROUP BY 1) USING (orderid)
+WINDOW w AS (PARTITION BY customerid ORDER BY orderdate, orderid ROWS UNBOUNDED PRECEDING)""", "ord", "det")
