@@ -25,6 +25,10 @@ from pyspark.sql import functions as F
 from starloom.llm.common import small_batches, stored, text_of
 
 CHUNK, OVERLAP = 32_768, 512
+#: White space from this length on goes around the library's pattern, which keeps a
+#: state for each of its characters. Behind such a run the pattern leaves its last
+#: character to what follows; the rest of it is one match.
+BLANKS = regex.compile(r"\s{10000,}")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
@@ -36,6 +40,17 @@ def encoding(ranks: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
 
 
+def ids_of(enc: tiktoken.Encoding, text: str) -> list[int]:
+    """As encode_ordinary gives them, also where white space is very long."""
+    out, at = [], 0
+    for m in BLANKS.finditer(text):
+        end = m.end() - (m.end() < len(text))
+        out += enc.encode_ordinary(text[at:m.start()])
+        out += enc._encode_single_piece(text[m.start():end])
+        at = end
+    return out + enc.encode_ordinary(text[at:])
+
+
 def _cut(chunk: int, overlap: int):
     def run(batches):
         for b in batches:
@@ -80,7 +95,7 @@ def _encode(ranks: str, keys: int):
     def run(batches):
         enc = encoding(ranks)
         for b in batches:
-            ids = [np.asarray(enc.encode_ordinary(t), np.int32) for t in text_of(b.column(keys))]
+            ids = [np.asarray(ids_of(enc, t), np.int32) for t in text_of(b.column(keys))]
             off = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
             flat = pa.array(np.concatenate([np.zeros(0, np.int32), *ids]))
             yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(keys)), pa.ListArray.from_arrays(off, flat)],

@@ -9,8 +9,11 @@ import zlib
 
 import duckdb
 import numpy as np
+import public_tokenizers
 import pytest
+import regex
 from conftest import SMALL  # noqa: F401
+from tokenizers import Tokenizer
 
 from compare import assert_same
 from starloom.llm import bpe, html, lattice, packing, queries, secrets, substring, toxicity, warc
@@ -203,6 +206,39 @@ def test_bpe_equals_tiktoken(frame, chunk, overlap):
     assert got == sorted(want, key=str)
 
 
+def encoded_by_match(ranks, text):
+    """Match by match, each by merging the pair of the lowest rank; equal matches once."""
+    def piece(b):
+        parts = [b[i:i + 1] for i in range(len(b))]
+        while len(parts) > 1:
+            low, i = min((ranks.get(x + y, 1 << 30), i) for i, (x, y) in enumerate(zip(parts, parts[1:])))
+            if low == 1 << 30:
+                break
+            parts[i:i + 2] = [parts[i] + parts[i + 1]]
+        return [ranks[p] for p in parts]
+    return [i for m in regex.finditer(public_tokenizers.PATTERN, text) for i in piece(m[0].encode())]
+
+
+@pytest.mark.parametrize("tail", ["", "b", " b", "\n", "é 12"])
+def test_bpe_around_white_space(monkeypatch, tail):
+    """The way round the library's pattern gives what the pattern gives."""
+    enc = bpe.encoding(bpe.RANKS)
+    monkeypatch.setattr(bpe, "BLANKS", regex.compile(r"\s{4,}"))
+    for blank in (" ", "\t", "\n", "\r\n", " \n", "\u3000", "\u00a0 ", "\x1c "):
+        for n in (2, 3, 4, 5, 8, 30):
+            text = "a" + blank * n + "'s" + blank * n + "x" + blank * n + tail
+            assert bpe.ids_of(enc, text) == enc.encode_ordinary(text) == encoded_by_match(enc._mergeable_ranks, text)
+
+
+def test_bpe_of_a_million_blanks(frame):
+    enc = bpe.encoding(bpe.RANKS)
+    texts = ["a" + blank * 1_200_000 + "b" for blank in (" ", "\t", "\n", "\r\n")]
+    got = {r["doc_id"]: (r["ids"], bytes(r["bytes"])) for r in bpe.decode(bpe.encode(frame(list(enumerate(texts))))).collect()}
+    for i, t in enumerate(texts):
+        want = enc.encode_ordinary("a") + enc._encode_single_piece(t[1:-2]) + enc.encode_ordinary(t[-2:])
+        assert got[i] == (want, t.encode())
+
+
 def removed_by_hand(docs, span=50):
     first = {}
     words = [(d, (t or "").encode().split()) for d, t in docs]
@@ -230,10 +266,11 @@ def test_substrings_by_brute_force(frame):
 
 
 def test_packing(frame):
-    texts = [None, "", "Σας ΣΑΣ don't 12345 漢字", "ȺB, İstanbul. x., .. a.. É. 5.", prose(1, 9000)] + [prose(i, 10 + 7 * i % 300) for i in range(120)]
+    texts = [None, "", "Σας ΣΑΣ don't 12345 漢字", "ȺB, İstanbul. x., .. a.. É. 5.", prose(1, 9000), "hello <|endoftext|>", "<|ENDOFTEXT|> <|endoftext|>",
+             "a<|startoftext|>B, <|endoftext|>. É<|endoftext|>é <|StartOfText|>x,", "<|endoftext|><|endoftext|>,\n<| endoftext |>"] + [prose(i, 10 + 7 * i % 300) for i in range(120)]
     docs = list(enumerate(texts)) + [(None, texts[4])]
     got = rows_of(packing.pack(frame(docs).coalesce(1)))
-    model = packing.word_tokens(packing.TOKENIZER).model
+    model = Tokenizer.from_file(packing.TOKENIZER)  # as the library reads it, without the operator
     by = {}
     for r in got:
         by.setdefault(r[0], []).append(r)
