@@ -1,78 +1,82 @@
 """Dense surrogate keys (the role of an Oracle sequence in a bulk load).
 
 ``row_number().over(Window.orderBy(...))`` without a partition moves every
-row into one task. Instead:
-
-1. range-partition on the order columns and sort inside each partition, so
-   partition i holds only rows that sort before those of partition i+1
-   (AQE may merge adjacent small partitions, which keeps the order);
-2. tag every row with its partition id and its running position inside the
-   partition, and write the tagged rows as parquet under the shared
-   checkpoint folder. This cuts the lineage, and because the tags are
-   stored, the numbering cannot change if a task, an executor or the read
-   order changes later. A retried write task recomputes the same
-   partition: the range bounds are fixed once sampled, and the order
-   columns are a total order;
-3. count rows per partition id (a one-column scan), and turn the counts
-   into starting offsets; that table has one row per partition, so
-   broadcasting it is size-safe;
-4. key = start + offset(partition) + position inside the partition.
+row into one task. Here the rows are numbered by a scan over their global
+order (see ``scan``): written once, cut into ranges, numbered range by range,
+each range moved by the count of the rows before it. The stored copy fixes the
+numbering, so a lost executor or another read order cannot renumber rows.
 
 The order columns must form a total order (append a unique column when
 they do not), otherwise ties are numbered in an unspecified order.
+
+``KeyMap`` is the sequence across loads: a stored table of natural and surrogate
+keys that later loads extend.
 """
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.session import ensure_checkpoint_dir
+from starloom.operators.scan import scan
+from starloom.operators.store import materialize, release_stored
 
-PID, POS = "_sk_pid", "_sk_pos"
-_STORED: list[str] = []
+__all__ = ["KeyMap", "materialize", "release_stored", "surrogate_key"]
 
 
-def materialize(df: DataFrame, tag: str = "table") -> DataFrame:
-    """Write ``df`` as parquet under the shared checkpoint folder and read it
-    back: a lineage cut that survives executor loss."""
-    spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/starloom-{tag}-{uuid.uuid4().hex}"
-    _STORED.append(path)
-    df.write.mode("error").parquet(path)
-    return spark.read.parquet(path)
+def surrogate_key(df: DataFrame, order_cols: list, key_col: str = "sk", start: int = 1,
+                  num_partitions: int | None = None) -> DataFrame:
+    """Add ``key_col`` = start, start+1, ... following ``order_cols``."""
+    numbered = scan(df, [], list(order_cols), number=key_col, ranges=num_partitions)
+    return numbered.withColumn(key_col, F.col(key_col) + (start - 1))
 
 
-def release_stored(spark) -> int:
-    """Delete the copies that ``materialize`` and ``surrogate_key`` have written
-    so far in this process. Call it when the results that read them are stored;
-    frames that still read them fail afterwards. Returns how many there were."""
-    jvm, n = spark.sparkContext._jvm, 0
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    while _STORED:
-        p = jvm.org.apache.hadoop.fs.Path(_STORED.pop())
-        n += bool(p.getFileSystem(conf).delete(p, True))
-    return n
+class KeyMap:
+    """Stored map from a natural key to a dense surrogate key that loads extend.
 
+    ``name`` is a table of the session's catalog, bucketed and sorted by the natural
+    key; ``buckets`` is set when it is first written (about one for ``BUCKET_ROWS`` keys of
+    the first load, unless given) and stored with it. A load anti-joins its keys with
+    the map (the map's side is read bucket by bucket, without a shuffle), numbers the new
+    ones densely above the highest number in use, in the order of the natural key, and
+    appends them. Keys that are there never change. ``path`` puts the table's files
+    into a folder of the caller's choice.
+    """
 
-def surrogate_key(df: DataFrame, order_cols: list, key_col: str = "sk", start: int = 1,
-                  num_partitions: int | None = None) -> DataFrame:
-    """Add ``key_col`` = start, start+1, ... following ``order_cols``."""
-    ranged = (df.repartitionByRange(num_partitions, *order_cols) if num_partitions
-              else df.repartitionByRange(*order_cols))
-    tagged = (ranged.sortWithinPartitions(*order_cols)
-              .withColumn(PID, F.spark_partition_id())
-              .withColumn(POS, F.monotonically_increasing_id()
-                          - F.shiftleft(F.spark_partition_id().cast("bigint"), 33)))
-    stored = materialize(tagged, "keys")
-    counts = stored.groupBy(PID).agg(F.count(F.lit(1)).alias("_sk_n"))
-    # one row per partition: a global window over it is trivially small
-    offsets = counts.select(
-        PID, F.coalesce(F.sum("_sk_n").over(Window.orderBy(PID).rowsBetween(
-            Window.unboundedPreceding, -1)), F.lit(0)).alias("_sk_off"))
-    return (stored.join(F.broadcast(offsets), PID)
-            .withColumn(key_col, (F.lit(start) + F.col("_sk_off") + F.col(POS)).cast("bigint"))
-            .drop(PID, POS, "_sk_off"))
+    BUCKET_ROWS = 1_000_000
+
+    def __init__(self, spark, name: str, keys: list[str], key_col: str = "sk", start: int = 1,
+                 buckets: int | None = None, path: str | None = None):
+        self.spark, self.name, self.keys, self.key_col = spark, name, keys, key_col
+        self.start, self.buckets, self.path = start, buckets, path
+
+    def read(self) -> DataFrame | None:
+        """The map as it is, or None before the first load."""
+        return self.spark.table(self.name) if self.spark.catalog.tableExists(self.name) else None
+
+    def _buckets(self, rows: int) -> int:
+        if not self.spark.catalog.tableExists(self.name):
+            return self.buckets or max(1, -(-rows // self.BUCKET_ROWS))
+        told = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name}").where("col_name = 'Num Buckets'").first()
+        return int(told["data_type"])
+
+    def load(self, rows: DataFrame) -> int:
+        """Give every natural key of ``rows`` that has none a number; returns how many
+        were new. Repeated keys count once; rows with a NULL in the key get none."""
+        known = self.read()
+        wanted = rows.select(*self.keys).where(" AND ".join(f"{c} IS NOT NULL" for c in self.keys)).distinct()
+        top = self.start - 1
+        if known is not None:
+            wanted = wanted.join(known.hint("merge"), self.keys, "left_anti")
+            top = known.agg(F.coalesce(F.max(self.key_col), F.lit(top))).first()[0]
+        fresh = materialize(surrogate_key(wanted, self.keys, self.key_col, top + 1), "new-keys")
+        n = fresh.count()
+        if n or known is None:
+            size = self._buckets(n)
+            writer = fresh.repartition(size, *self.keys).write.format("parquet").mode("append").bucketBy(size, *self.keys).sortBy(*self.keys)
+            (writer.option("path", self.path) if self.path else writer).saveAsTable(self.name)
+        return n
+
+    def attach(self, rows: DataFrame) -> DataFrame:
+        """``rows`` with their surrogate key (NULL where the map has none)."""
+        return rows.join(self.read(), self.keys, "left")

@@ -6,8 +6,8 @@ into one task. Here the order is cut into ranges:
 
 1. the rows are written once; a sample of the written rows bounds the ranges, so
    the child plan runs once;
-2. each row finds its range by binary search over the bounds, and one shuffle deals
-   the rows by range, so a group of any size is spread over many tasks;
+2. each row finds its range by binary search over the bounds, and one shuffle sends
+   each range to a task of its own, so a group of any size is spread over many tasks;
 3. each range is scanned by itself (a window within the range);
 4. what a range hands to its neighbours is one state for each group that reaches
    its edge, two at the most: a count, a sum, a first or a last row. A prefix scan
@@ -25,37 +25,52 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starloom.operators.keys import materialize
+from starloom.operators.store import materialize
 
 RANGE, TIE = "_scan_range", "_scan_tie"
 #: Fewest rows that are worth a range, and sampled rows for each range.
 RANGE_ROWS, SAMPLED = 20_000, 100
 
 
-def with_ranges(rows: DataFrame, order: list[str], ranges: int | None = None) -> DataFrame:
-    """Add ``RANGE``: rows of a range come before those of the next one by ``order``.
-    ``rows`` are stored and ``order`` is total. About twice the session's shuffle
-    partitions unless ``ranges`` says how many; the bounds are columns of the plan."""
+def with_ranges(rows: DataFrame, order: list[str], ranges: int | None = None) -> tuple[DataFrame, int]:
+    """Add ``RANGE`` (0, 1, ...): rows of a range come before those of the next one by
+    ``order``; and how many there are. ``rows`` are stored and ``order`` is total. About twice
+    the session's shuffle partitions unless ``ranges`` says how many."""
     n = rows.count()
     if ranges is None:
         ranges = min(2 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), n // RANGE_ROWS)
     if ranges < 2 or n < 2:
-        return rows.withColumn(RANGE, F.lit(0))
+        return rows.withColumn(RANGE, F.lit(0)), 1
     point = F.struct(*order)
     few = rows.select(point.alias("p")).sample(min(1.0, ranges * SAMPLED / n), seed=1)
     nth = F.row_number().over(Window.orderBy("p"))  # a bounded sample
     cut = materialize(few.withColumn("i", nth).where(F.pmod("i", F.lit(max(2, min(n, ranges * SAMPLED) // ranges))) == 0).select("p"), "bounds")
     size = cut.count()
     if not size:
-        return rows.withColumn(RANGE, F.lit(0))
+        return rows.withColumn(RANGE, F.lit(0)), 1
     steps = F.array(*(F.lit(1 << i) for i in reversed(range(size.bit_length()))))
     found = F.aggregate(steps, F.lit(0), lambda i, s: F.when(F.coalesce(F.get("_scan_cuts", i + s - 1) <= point, F.lit(False)), i + s).otherwise(i))
     cuts = cut.agg(F.sort_array(F.collect_list("p")).alias("c"))
-    return rows.withColumn("_scan_cuts", cuts.scalar()).withColumn(RANGE, found).drop("_scan_cuts")
+    return rows.withColumn("_scan_cuts", cuts.scalar()).withColumn(RANGE, found).drop("_scan_cuts"), size + 1
 
 
-def _same(a: list[Column], b: list[Column]) -> Column:
-    return reduce(and_, [x.eqNullSafe(y) for x, y in zip(a, b)], F.lit(True))
+def _carried(out: DataFrame, rows: DataFrame, by: list[str], inner: list[str], state: dict[str, Column]) -> DataFrame:
+    """``out`` with what the ranges before (behind, for ``_f``) hand to each row's group."""
+    edge = rows
+    if by:  # the groups at the ranges' edges
+        group = F.struct(*by)
+        ends = rows.groupBy(RANGE).agg(F.min(group).alias("_lo"), F.max(group).alias("_hi"))
+        edge = rows.join(F.broadcast(ends), RANGE).where(group.eqNullSafe(F.col("_lo")) | group.eqNullSafe(F.col("_hi")))
+    state = {"_n": F.count(F.lit(1))} | state
+    states = edge.groupBy(RANGE, *by).agg(*(x.alias(c) for c, x in state.items()))
+    # the prefix scan over them: a row or two for each range
+    along = Window.partitionBy(*by).orderBy(RANGE)
+    up, down = along.rowsBetween(Window.unboundedPreceding, -1), along.rowsBetween(1, Window.unboundedFollowing)
+    over = {"_n": lambda c: F.sum(c).over(up), "_s": lambda c: F.sum(c).over(up), "_f": lambda c: F.first(c, True).over(down)}
+    carry = [over.get(c[:2], lambda c: F.last(c, True).over(up))(c).alias(f"{c}_") for c in state]
+    carried = states.select(F.col(RANGE).alias("_r"), *(F.col(c).alias(f"_by{i}") for i, c in enumerate(by)), *carry)
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_by{i}")) for i, c in enumerate(by)], F.col(RANGE) == F.col("_r"))
+    return out.join(F.broadcast(carried), same, "left")
 
 
 def scan(df: DataFrame, by: list[str], order: list[str], number: str | None = None, sums: dict[str, str] | None = None,
@@ -77,29 +92,9 @@ def scan(df: DataFrame, by: list[str], order: list[str], number: str | None = No
     rows = materialize(df.withColumn(TIE, F.monotonically_increasing_id()), "scan")
     inner = [*dict.fromkeys([*order, TIE])]
     full = [*dict.fromkeys([*by, *inner])]
-    rows = with_ranges(rows, full, ranges)
+    rows, parts = with_ranges(rows, full, ranges)
     place = F.struct(*inner)
 
-    # what each range holds of the groups at its edges
-    edge = rows
-    if by:
-        group = F.struct(*by)
-        ends = rows.groupBy(RANGE).agg(F.min(group).alias("_lo"), F.max(group).alias("_hi"))
-        edge = rows.join(F.broadcast(ends), RANGE).where(group.eqNullSafe(F.col("_lo")) | group.eqNullSafe(F.col("_hi")))
-    state = {"_n": F.count(F.lit(1))}
-    state |= {f"_s{i}": F.sum(c) for i, c in enumerate(sums.values())}
-    state |= {f"_p{i}": F.max_by(F.struct(c), place) for i, c in enumerate(previous.values())}
-    state |= {f"_f{i}": F.min_by(F.struct(c), place) for i, c in enumerate(following.values())}
-    state |= {f"_l{i}": F.max_by(F.col(c), F.when(F.col(c).isNotNull(), place)) for i, c in enumerate(last.values())}
-    states = edge.groupBy(RANGE, *by).agg(*(x.alias(c) for c, x in state.items()))
-    # the prefix scan over them: a row or two for each range
-    along = Window.partitionBy(*by).orderBy(RANGE)
-    up, down = along.rowsBetween(Window.unboundedPreceding, -1), along.rowsBetween(1, Window.unboundedFollowing)
-    carry = [F.sum(c).over(up).alias(f"{c}_") if c[:2] in ("_n", "_s") else F.first(c, True).over(down).alias(f"{c}_") if c[:2] == "_f"
-             else F.last(c, True).over(up).alias(f"{c}_") for c in state]
-    carried = states.select(F.col(RANGE).alias("_r"), *(F.col(c).alias(f"_by{i}") for i, c in enumerate(by)), *carry)
-    on = (F.col(RANGE) == F.col("_r")) & _same([F.col(c) for c in by], [F.col(f"_by{i}") for i in range(len(by))])
-
     own = Window.partitionBy(RANGE, *by).orderBy(*inner)
     upto = own.rowsBetween(Window.unboundedPreceding, 0)
     local = {"_n": F.row_number().over(own)} if number else {}
@@ -107,12 +102,18 @@ def scan(df: DataFrame, by: list[str], order: list[str], number: str | None = No
     local |= {f"_p{i}": F.lag(F.struct(c)).over(own) for i, c in enumerate(previous.values())}
     local |= {f"_f{i}": F.lead(F.struct(c)).over(own) for i, c in enumerate(following.values())}
     local |= {f"_l{i}": F.last(c, True).over(upto) for i, c in enumerate(last.values())}
-    out = rows.select("*", *(x.alias(c) for c, x in local.items())).join(F.broadcast(carried), on, "left")
-    made = {}
-    if number:
-        made[number] = (F.col("_n") + F.coalesce(F.col("_n_"), F.lit(0))).cast("bigint")
-    made |= {c: F.coalesce(F.col(f"_s{i}") + F.col(f"_s{i}_"), f"_s{i}", f"_s{i}_") for i, c in enumerate(sums)}
-    made |= {c: F.coalesce(f"_p{i}", f"_p{i}_")[previous[c]] for i, c in enumerate(previous)}
-    made |= {c: F.coalesce(f"_f{i}", f"_f{i}_")[following[c]] for i, c in enumerate(following)}
-    made |= {c: F.coalesce(f"_l{i}", f"_l{i}_") for i, c in enumerate(last)}
+    out = rows.repartitionById(parts, F.col(RANGE)).select("*", *(x.alias(c) for c, x in local.items()))
+    if parts > 1:  # else there is nothing to carry
+        out = _carried(out, rows, by, inner, {
+            **{f"_s{i}": F.sum(c) for i, c in enumerate(sums.values())},
+            **{f"_p{i}": F.max_by(F.struct(c), place) for i, c in enumerate(previous.values())},
+            **{f"_f{i}": F.min_by(F.struct(c), place) for i, c in enumerate(following.values())},
+            **{f"_l{i}": F.max_by(F.col(c), F.when(F.col(c).isNotNull(), place)) for i, c in enumerate(last.values())}})
+    near = lambda c: F.coalesce(c, f"{c}_") if parts > 1 else F.col(c)
+    total = lambda c: F.coalesce(F.col(c) + F.col(f"{c}_"), c, f"{c}_") if parts > 1 else F.col(c)
+    made = {number: total("_n").cast("bigint")} if number else {}
+    made |= {c: total(f"_s{i}") for i, c in enumerate(sums)}
+    made |= {c: near(f"_p{i}")[previous[c]] for i, c in enumerate(previous)}
+    made |= {c: near(f"_f{i}")[following[c]] for i, c in enumerate(following)}
+    made |= {c: near(f"_l{i}") for i, c in enumerate(last)}
     return out.select(*df.columns, *(x.alias(c) for c, x in made.items()))

@@ -125,6 +125,8 @@ def test_collocations_with_a_full_bitmap_tiny_spans_and_a_seed_anew(frame, monke
     under which words share keys change nothing."""
     docs = some_prose()
     monkeypatch.setattr(collocation, "HELD", 50)
+    monkeypatch.setattr(collocation, "HELD_WORDS", 10)
+    monkeypatch.setattr(collocation, "SLICE", 30)
     monkeypatch.setattr(collocation, "SPAN", 7)
     monkeypatch.setattr(collocation, "ROW_WORDS", 4)
     monkeypatch.setattr(collocation, "_holds", lambda bits, h: h == h)
