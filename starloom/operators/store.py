@@ -11,15 +11,19 @@ from starloom.session import ensure_checkpoint_dir
 _STORED: list[str] = []
 
 
+def scratch_path(spark, tag: str) -> str:
+    """A new folder name under the shared checkpoint folder; ``release_stored`` deletes it."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/starloom-{tag}-{uuid.uuid4().hex}"
+    _STORED.append(path)
+    return path
+
+
 def materialize(df: DataFrame, tag: str = "table") -> DataFrame:
     """Write ``df`` as parquet under the shared checkpoint folder and read it
     back: a lineage cut that survives executor loss."""
-    spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/starloom-{tag}-{uuid.uuid4().hex}"
-    _STORED.append(path)
+    path = scratch_path(df.sparkSession, tag)
     df.write.mode("error").parquet(path)
-    return spark.read.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def release_stored(spark) -> int:

@@ -6,13 +6,16 @@ surrogate key starting at 1234, numbered in natural-key order.
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions.scalar import concat_nullsafe
-from starloom.operators.keys import surrogate_key
+from starloom.operators.keys import KeyMap, surrogate_key
+from starloom.operators.store import scratch_path
 from starloom.sources.tables import Warehouse
 
 DIM_KEY_START = 1234
@@ -86,3 +89,15 @@ def build_dims(wh: Warehouse, names=("customer_dim", "product_dim", "employee_di
     with ThreadPoolExecutor(max_workers=len(names)) as pool:
         for f in [pool.submit(builders[n], wh) for n in names]:
             f.result()
+
+
+def customer_keys_over_loads(wh: Warehouse, first_until: dt.date) -> DataFrame:
+    """Two loads of a stored key map: the customers that have ordered up to a day,
+    then all. The first load's keys stay, the others go on from there."""
+    path = scratch_path(wh.spark, "key-map")
+    table = KeyMap(wh.spark, f"starloom_keys_{uuid.uuid4().hex}", ["customerid"], "customer_key", DIM_KEY_START, path=path)
+    n = table.load(wh.orders(end=first_until).select("customerid"))
+    table.load(wh.customers().select("customerid"))
+    wh.spark.sql(f"DROP TABLE {table.name}")  # the files stay
+    load = F.when(F.col("customer_key") < DIM_KEY_START + n, 1).otherwise(2).cast("bigint")
+    return wh.spark.read.parquet(path).select("customerid", "customer_key", load.alias("load"))

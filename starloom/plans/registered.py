@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from starloom.operators import dedup, quality, scd2
+from starloom.operators import dedup, gate, quality, scd2
 from starloom.operators.keys import surrogate_key
 from starloom.operators.scan import scan
 from starloom.plans import calendar, dims, facts, generate, library, retail
@@ -164,6 +164,26 @@ def _q(wh):  # noqa: F811
         "city", "region", "postalcode", "country")
 
 
+@register("key_map")
+def _q(wh):  # noqa: F811
+    """Customer keys over two loads: those with an order up to June 1995, then all."""
+    return dims.customer_keys_over_loads(wh, dt.date(1995, 6, 30))
+
+
+@register("load_gate")
+def _q(wh):  # noqa: F811
+    """All lines as one batch against a table that holds those of the orders up to 1995, with
+    the orders up to 2000 as parents: the rules that each line breaks."""
+    order = wh.line_order
+    day = F.col("orderdate")
+    lines = wh.order_lines().join(wh.orders().select("orderid", "orderdate"), "orderid")
+    target = lines.where(day <= F.lit(dt.date(1995, 12, 31))).select("orderid", "productid")
+    marks = gate.marked(lines, checks={"quantity": F.col("quantity") <= 48, "discount": F.col("discount") > 0}, required=["orderdate"],
+                        key=["orderid", "productid"], target=target, first_by=order,
+                        parents={"order": (wh.orders(end=dt.date(2000, 12, 31)), ["orderid"], ["orderid"])})
+    return marks.select(*order[:4], F.array_join(gate.BROKEN, ", ").alias("broken_rules"))
+
+
 @register("pk_violations")
 def _q(wh):  # noqa: F811
     return quality.pk_violations(wh.order_details(), ["orderid", "productid"])

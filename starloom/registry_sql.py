@@ -699,3 +699,15 @@ SELECT customerid, orderid, orderdate, row_number() OVER w AS order_no, CAST(sum
        orderdate - lag(orderdate) OVER w AS days_since
 FROM ord JOIN (SELECT orderid, sum(net) AS net FROM det GROUP BY 1) USING (orderid)
 WINDOW w AS (PARTITION BY customerid ORDER BY orderdate, orderid ROWS UNBOUNDED PRECEDING)""", "ord", "det")
+
+ORACLE["key_map"] = sql("""
+, old AS (SELECT DISTINCT customerid FROM ord WHERE orderdate <= DATE '1995-06-30')
+SELECT customerid, load, CAST(1233 + row_number() OVER (ORDER BY load, customerid) AS BIGINT) AS customer_key
+FROM (SELECT customerid, CAST(1 AS BIGINT) AS load FROM old
+      UNION ALL SELECT customerid, 2 FROM cust WHERE customerid NOT IN (SELECT customerid FROM old))""", "ord", "cust")
+ORACLE["load_gate"] = sql(f"""
+SELECT orderid, productid, suppkey, linenumber, concat_ws(', ',
+    CASE WHEN discount <= 0 THEN 'discount' END, CASE WHEN orderdate <= DATE '1995-12-31' THEN 'key:exists' END,
+    CASE WHEN row_number() OVER (PARTITION BY orderid, productid ORDER BY {_LINE_ORDER_SQL}) > 1 THEN 'key:repeated' END,
+    CASE WHEN orderdate > DATE '2000-12-31' THEN 'parent:order' END, CASE WHEN quantity > 48 THEN 'quantity' END) AS broken_rules
+FROM lines JOIN ord USING (orderid)""", "lines", "ord")
