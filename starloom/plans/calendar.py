@@ -46,9 +46,11 @@ ACADEMIC_EXAMPLE = [
 
 
 def calendar_bounds(wh: Warehouse) -> DataFrame:
-    """One row (start, end): whole years spanning every day that a fact uses."""
-    return wh.fact_days().agg(F.make_date(F.year(F.min("day")), F.lit(1), F.lit(1)).alias("start"),
-                              F.make_date(F.year(F.max("day")), F.lit(12), F.lit(31)).alias("end"))
+    """One row (start, end): whole years spanning every day that a fact uses. The plan
+    holds the two dates, no scan of the facts."""
+    low, high = wh.fact_bounds()
+    start, end = (None, None) if low is None else (dt.date(low.year, 1, 1), dt.date(high.year, 12, 31))
+    return wh.spark.range(1).select(F.lit(start).cast("date").alias("start"), F.lit(end).cast("date").alias("end"))
 
 
 def date_dim_from_bounds(bounds: DataFrame) -> DataFrame:

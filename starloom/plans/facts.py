@@ -21,7 +21,7 @@ from starloom.functions.scalar import net_amount
 from starloom.operators.dedup import first_per_pair
 from starloom.operators.keys import surrogate_key
 from starloom.operators.scd2 import scd2_lookup
-from starloom.plans.calendar import date_dim
+from starloom.plans.calendar import date_dim, date_dim_between
 from starloom.plans.dims import (DIM_KEY_START, build_dims, customer_dim, employee_dim,
                                  product_dim)
 from starloom.sources.tables import Warehouse
@@ -81,13 +81,12 @@ def star_sales(wh: Warehouse, years=(1998, 2000), countries=("NATION_1", "NATION
     along the key lookups, so the fact is never re-joined to its dimensions.
     """
     build_dims(wh)
-    d = (date_dim(wh).filter(F.col("cal_year").between(*years))
-         .select("date_key", "cal_date", "cal_year"))
+    window = (dt.date(years[0], 1, 1), dt.date(years[1], 12, 31))
+    d = date_dim_between(wh.spark, *window).select("date_key", "cal_date", "cal_year")
     c = (customer_dim(wh).filter(F.col("country").isin(list(countries)))
          .select("customer_key", "customerid", "country"))
     p = (product_dim(wh).filter(F.col("categoryname").isin(list(categories)))
          .select("product_key", "productid", "categoryname"))
-    window = (dt.date(years[0], 1, 1), dt.date(years[1], 12, 31))
     lines = (wh.order_lines().join(p.select("productid"), "productid", "left_semi")
              .join(wh.orders(*window).select("orderid"), "orderid", "left_semi"))
     f = sales_fact(wh, dedup_order_details(wh, lines), cal=d, cust=c, prod=p, order_window=window)

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from starloom.functions.scalar import (age_band, age_years, avg_round, pct_round, round_ratio,
                                        scalar_row, year_month)
 from starloom.operators.keys import materialize
-from starloom.plans.calendar import academic_year_rule, date_dim, date_dim_holidays, holiday_table
+from starloom.plans.calendar import academic_year_rule, apply_holidays, date_dim_between, holiday_table
 from starloom.sources.tables import REFERENCE_DATE, REPORT_END, REPORT_START, Warehouse
 
 # Display order of the membership types
@@ -253,15 +253,16 @@ def overdue_by_period(wh: Warehouse, period: str = "quarter", by_type: bool = Tr
     loans of a day count for each event of that day."""
     l = loans(wh, start, end)
     if period == "event":
-        # a few events a year of a bounded calendar
-        days = holiday_table(date_dim(wh)).select(F.col("holiday_date").alias("loan_date"), F.col("festive_event").alias("period"))
+        # a few events a year, on the days of the window
+        days = holiday_table(date_dim_between(wh.spark, start, end)).select(F.col("holiday_date").alias("loan_date"), F.col("festive_event").alias("period"))
         l = l.join(F.broadcast(days.distinct()), "loan_date")
     elif period in ("holiday", "academic_year"):
-        cal = date_dim_holidays(wh)
+        days = date_dim_between(wh.spark, start, end)
+        cal = apply_holidays(days, holiday_table(days))
         if period == "academic_year":
             cal = academic_year_rule(cal)
         col = "holiday_ind" if period == "holiday" else "acad_year"
-        # calendar days of the order years: bounded, broadcast
+        # calendar days of the window: bounded, broadcast
         l = l.join(F.broadcast(cal.select(F.col("cal_date").alias("loan_date"),
                                           F.col(col).alias("period"))), "loan_date", "left")
     else:
@@ -431,7 +432,7 @@ def reservation_processing(wh: Warehouse, start=REPORT_START, end=REPORT_END) ->
 
 def staff_member_interactions(wh: Warehouse, start=REPORT_START, end=REPORT_END) -> DataFrame:
     """Distinct members served per staff over loans and reservations."""
-    lo = wh.book_loans(start, end).select("staff_key", "member_key")
+    lo = wh.loan_keys(start, end)
     rs = wh.reservations(start, end).select("staff_key", "member_key")
     pairs = lo.unionByName(rs).distinct()
     ids = (pairs.join(wh.members().select("member_key", "memberid"), "member_key")

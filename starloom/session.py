@@ -59,7 +59,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
-    if sc.master.startswith("local"):
+    if sc.master == "local" or sc.master.startswith("local["):  # not local-cluster: its executors are processes of their own
         path = tempfile.mkdtemp(prefix="starloom-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", path)
         sc.setCheckpointDir(path)

@@ -3,7 +3,9 @@
 Outputs are parquet directories. Spark deletes the old files of an
 ``overwrite`` before it writes the new ones, so ``write_table`` first writes
 next to the table and swaps the folders when that has succeeded: a write that
-fails leaves the old rows.
+fails leaves the old rows. The swap is two renames. On a file system they are quick,
+and a reader between them finds no table; on an object store each rename copies all
+files, so there write to a new path and tell readers of it instead.
 """
 
 from __future__ import annotations
@@ -13,6 +15,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+def _file_system(spark: SparkSession, path: str):
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
                 mode: str = "overwrite") -> None:
     """``CREATE TABLE t AS SELECT`` / ``DELETE FROM t`` + reload."""
@@ -23,7 +29,7 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
         w = w.partitionBy(*partition_by)
     spark = df.sparkSession
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    fs = hadoop(target).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs = _file_system(spark, target)
     try:
         w.parquet(target)
     except BaseException:
@@ -32,8 +38,9 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
         raise
     if swap:
         old = f"{target}.old"
-        if fs.exists(hadoop(path)):
-            fs.rename(hadoop(path), hadoop(old))
+        if fs.exists(hadoop(path)) and not fs.rename(hadoop(path), hadoop(old)):
+            # Hadoop says so instead of raising; the next rename would move the new folder into the old one
+            raise OSError(f"the new table is complete at {target} but the old one at {path} can't be moved aside")
         if not fs.rename(hadoop(target), hadoop(path)):
             raise OSError(f"the new table is complete at {target} but can't take the place of {path}")
         fs.delete(hadoop(old), True)

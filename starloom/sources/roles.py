@@ -117,17 +117,20 @@ class RoleWarehouse(Warehouse):
     def staff_loans(self, start: dt.date | None = None, end: dt.date | None = None):
         return _between(self.role("book_loans"), "loan_date", start, end).select("staff_key", "loan_date")
 
-    def fact_days(self):
-        """Days of the fact roles that are there (a retail system has no loans)."""
+    def loan_keys(self, start: dt.date | None = None, end: dt.date | None = None):
+        return _between(self.role("book_loans"), "loan_date", start, end).select("staff_key", "member_key")
+
+    def _day_columns(self):
+        """The fact roles that are there (a retail system has no loans)."""
         from pyspark.errors import AnalysisException
-        days = self.role("orders").select(F.to_date("orderdate").alias("day"))
+        found = [(self.role("orders"), "orderdate")]
         for role, day in (("book_loans", "loan_date"), ("reservations", "resv_date"), ("enrollments", "register_date")):
             try:
-                days = days.unionByName(self.role(role).select(F.to_date(day).alias("day")))
+                found.append((self.role(role), day))
             except AnalysisException as e:
                 if "PATH_NOT_FOUND" not in str(e):
                     raise
-        return days
+        return found
 
     def reservations(self, start: dt.date | None = None, end: dt.date | None = None):
         r = self.role("reservations")

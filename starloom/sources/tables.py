@@ -80,9 +80,12 @@ class Warehouse:
     # columns that put order lines in a total order (record numbers, "first" line)
     line_order = LINE_ORDER
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, days: tuple[dt.date, dt.date] | None = None):
+        """``days``: first and last day of the facts, where they are known (say, from a
+        stored calendar); else they are looked up when a plan needs them."""
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._days = days
         self._memo: dict = {}
         self._locks: dict = {}
 
@@ -114,10 +117,19 @@ class Warehouse:
         """How many suppliers there are: products and desks are spread over all of them."""
         return F.nullif(self.raw("supplier").agg(F.count(F.lit(1))).scalar(), F.lit(0))
 
-    def fact_days(self) -> DataFrame:
-        """Every day that a fact refers to (``day``): order and ship days."""
-        o = self.raw("orders").select(F.to_date("o_orderdate").alias("day"))
-        return o.unionByName(self.raw("lineitem").select(F.to_date("l_shipdate").alias("day")))
+    def _day_columns(self) -> list[tuple[DataFrame, str]]:
+        """Tables and their columns of days that a fact refers to: order and ship days."""
+        return [(self.raw("orders"), "o_orderdate"), (self.raw("lineitem"), "l_shipdate")]
+
+    def fact_bounds(self) -> tuple[dt.date | None, dt.date | None]:
+        """First and last day that a fact refers to. Each table's raw column is
+        aggregated once for a warehouse object, so plans that need a calendar hold two
+        dates and no scan of the facts."""
+        def find():
+            ends = [t.agg(F.to_date(F.min(c)), F.to_date(F.max(c))).first() for t, c in self._day_columns()]
+            low, high = ([x for x in side if x is not None] for side in zip(*ends))
+            return min(low, default=None), max(high, default=None)
+        return self._days or self.memo("fact_bounds", find)
 
     # -------------------------------------------------------------- retail
     def customers(self) -> DataFrame:
@@ -284,6 +296,15 @@ class Warehouse:
              .otherwise(F.greatest(loandays - F.col("loanduration"), F.lit(0))).cast("bigint")
              .alias("overduedays"))
 
+    def loan_keys(self, start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:
+        """(staff_key, member_key) of each loan: no member lookup."""
+        li = self.raw("lineitem").select("l_orderkey", "l_suppkey", "l_shipdate")
+        cond = day_window("l_shipdate", start, end)
+        li = li if cond is None else li.filter(cond)
+        o = self.raw("orders").select("o_orderkey", "o_custkey")
+        return li.join(o, li.l_orderkey == o.o_orderkey).select(
+            F.col("l_suppkey").alias("staff_key"), self._member_key(F.col("o_custkey"), F.to_date("l_shipdate")).alias("member_key"))
+
     def staff_loans(self, start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:
         """(staff_key, loan_date) of each loan: the loan fact alone, no member lookup."""
         li = self.raw("lineitem").select("l_suppkey", "l_shipdate")

@@ -138,3 +138,26 @@ def test_processing_times_and_reservations_over_the_limit(spark, tmp_path):
     assert (u.avg_loan_limit, u.loan_utilisation_pct, u.avg_resv_limit, u.resv_utilisation_pct) == (2.0, 50.0, 3.0, 50.0)
     times = {r.reservationstatus: tuple(r)[1:] for r in library.reservation_processing(wh, *span).collect()}
     assert times == {"Success": (2, 3.5, 2.0, 5.5), "success": (1, 2.0, 2.0, 4.0), "Cancelled": (1, 2.0, None, 2.0)}
+
+
+def test_a_refused_rename_leaves_both_tables(spark, tmp_path, monkeypatch):
+    """Hadoop's rename returns False instead of raising: the new table must not end up
+    inside the old one."""
+    from starloom.sources import io
+    path = str(tmp_path / "t")
+    io.write_table(spark.range(3), path)
+
+    class Stubborn:
+        def __init__(self, fs):
+            self.fs = fs
+
+        def rename(self, a, b):
+            return False
+
+        def __getattr__(self, name):
+            return getattr(self.fs, name)
+    monkeypatch.setattr(io, "_file_system", lambda spark, p, real=io._file_system: Stubborn(real(spark, p)))
+    with pytest.raises(OSError, match="complete at"):
+        io.write_table(spark.range(9), path)
+    assert spark.read.parquet(path).count() == 3
+    assert sorted(x.name.split("-")[0] for x in tmp_path.iterdir()) == ["t", "t.new"]

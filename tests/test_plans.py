@@ -68,3 +68,29 @@ def test_no_cartesian_nested_loop_or_python_in_any_query(spark):
         p = plan(fn(spark, SMALL), "simple")
         found = [b for b in BAD if b in p]
         assert not found, f"{name}: {found}"
+
+
+def test_calendars_hold_dates_and_no_scan_of_the_facts(spark):
+    import datetime as dt
+
+    from starloom.plans import calendar
+    known = Warehouse(spark, SMALL, days=(dt.date(1995, 1, 1), dt.date(2001, 12, 31)))
+    looked = Warehouse(spark, SMALL)
+    for wh in (known, looked):
+        for df in (calendar.date_dim(wh), calendar.date_dim_holidays(wh), retail.dates_of_year(wh, 1998), calendar.mark_holiday(calendar.date_dim(wh), dt.date(2001, 1, 1)),
+                   calendar.academic_year(calendar.date_dim(wh))):
+            assert "FileScan" not in plan(df, "simple")
+    assert calendar.date_dim(known).collect() == calendar.date_dim(looked).collect()
+
+
+def test_star_and_window_reports_scan_the_lines_as_often_as_they_need(spark):
+    scans = [x for x in plan(facts.star_sales(Warehouse(spark, SMALL)), "simple").splitlines() if "FileScan" in x and "lineitem.parquet" in x]
+    assert len(scans) == 1
+    for period in ("event", "holiday", "academic_year"):
+        text = plan(library.overdue_by_period(Warehouse(spark, SMALL), period, False), "simple")
+        assert len([x for x in text.splitlines() if "FileScan" in x and "lineitem.parquet" in x]) == 1
+
+
+def test_interactions_look_members_up_once(spark):
+    text = plan(library.staff_member_interactions(Warehouse(spark, SMALL)), "simple")
+    assert len([x for x in text.splitlines() if "FileScan" in x and "customer.parquet" in x]) == 1

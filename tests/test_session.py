@@ -62,3 +62,13 @@ def test_materialize_writes_under_the_checkpoint_folder(spark):
     assert files and all(f.startswith(base) or f.replace("file://", "file:").startswith(base)
                          for f in files)
     assert df.count() == 10
+
+
+@pytest.mark.parametrize("master,ok", [("local", True), ("local[*]", True), ("local-cluster[2,1,1024]", False)])
+def test_only_a_single_process_gets_a_private_folder(master, ok):
+    """The executors of local-cluster are processes of their own."""
+    if ok:
+        assert ensure_checkpoint_dir(_Spark(master))
+    else:
+        with pytest.raises(RuntimeError):
+            ensure_checkpoint_dir(_Spark(master))
