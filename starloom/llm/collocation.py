@@ -30,8 +30,9 @@ from starloom.llm.common import mix, release, scratch_paths, small_batches, stor
 LEAST, LONGEST, TOP, CONTAINED = 30, 4, 2000, 80
 #: Size of the semi-join's bitmap as a power of two (8 MiB).
 BITS = 26
-#: Groups that a task sums before it hands them on, and words of a stored row of runs.
-HELD, ROW_WORDS = 1_000_000, 4096
+#: Words and groups that a task sums before it hands them on, words of a stored row
+#: of runs, and bytes of text and positions that a task looks at together.
+HELD_WORDS, HELD, ROW_WORDS, SLICE, SPAN = 300_000, 1_500_000, 256, 400_000, 1 << 17
 SALTS = 32
 #: A piece ends at these, a word also at a blank or a tab.
 PIECE_END, WORD_END = b".,;:!?\n\x0b\x0c\r", b" \t"
@@ -55,7 +56,7 @@ def words_of(texts: pa.Array, langs: list[str | None], seed: int) -> Iterator[tu
     """For slices of the texts: word keys, a second hash, whether a word begins a
     piece, and where its bytes are (bytes, starts, lengths, row of the word)."""
     known: dict[str | None, int] = {}
-    for row, data, off in text_slices(texts):
+    for row, data, off in text_slices(texts, SLICE):
         kind = _KIND[data]
         at = np.flatnonzero(kind == 0)
         if not len(at):
@@ -92,7 +93,7 @@ def gram_hash(*columns: np.ndarray) -> np.ndarray:
 
 def grouped(columns: list[np.ndarray], n: np.ndarray) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
     """Distinct rows of the columns, their summed ``n``, and a place of each."""
-    order = np.argsort(gram_hash(*columns), kind="stable")
+    order = np.argsort(gram_hash(*columns))
     columns = [c[order] for c in columns]
     new = np.ones(len(order), bool)
     new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
@@ -109,29 +110,30 @@ def _taken(data: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> pa.Array:
 
 
 def _count_words(seed: int):
-    """lang, text -> id, lang, word, n; one row for a word of about HELD that a task holds."""
+    """lang, text -> id, lang, word, n; one row for a word of about HELD_WORDS that a task holds."""
     def run(batches):
         parts: list[tuple] = []
+        names: dict[str, int] = {}
 
         def summed():
-            ids, check, n = (np.concatenate([p[i] for p in parts]) for i in range(3))
-            (ids, _), n, place = grouped([ids, check], n)
-            place = pa.array(place)
-            return ids, _, n, pa.concat_arrays([p[3] for p in parts]).take(place), pa.concat_arrays([p[4] for p in parts]).take(place)
+            ids, check, n, lang = (np.concatenate([p[i] for p in parts]) for i in range(4))
+            (ids, check), n, place = grouped([ids, check], n)
+            return ids, check, n, lang[place], pa.concat_arrays([p[4] for p in parts]).take(pa.array(place))
 
         def batch(x):
-            return pa.RecordBatch.from_arrays([pa.array(x[0].view(np.int64)), x[4].cast(pa.string()), x[3].cast(pa.string()), pa.array(x[2])],
+            lang = pa.array(list(names), pa.string()).take(pa.array(x[3]))
+            return pa.RecordBatch.from_arrays([pa.array(x[0].view(np.int64)), lang, x[4].cast(pa.string()), pa.array(x[2])],
                                               names=["id", "lang", "word", "n"])
         for b in batches:
             langs = b.column(0).to_pylist()
+            code = np.array([names.setdefault(x or "und", len(names)) for x in langs], np.int32)
             for key, check, _, (data, starts, lens, row) in words_of(b.column(1), langs, seed):
                 (key, check), n, place = grouped([key, check], np.ones(len(key), np.int64))
-                named = pa.array([x or "und" for x in langs], pa.large_string()).take(pa.array(row[place]))
-                parts.append((key, check, n, _taken(data, starts[place], lens[place]), named))
-            if sum(len(p[0]) for p in parts) > HELD:
-                parts = [summed()]
-                if len(parts[0][0]) > HELD // 2:
-                    yield batch(parts.pop())
+                parts.append((key, check, n, code[row[place]], _taken(data, starts[place], lens[place])))
+                if sum(len(p[0]) for p in parts) > HELD_WORDS:
+                    parts = [summed()]
+                    if len(parts[0][0]) > HELD_WORDS * 2 // 3:
+                        yield batch(parts.pop())
         if parts:
             yield batch(summed())
     return run
@@ -181,15 +183,18 @@ def _first_runs(seed: int, frequent):
     return run
 
 
-def _grams(b: pa.RecordBatch, k: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-    """Merge join of the relation with itself at adjacent positions: all words,
-    where a group of ``k`` begins, and the groups' words."""
-    x = b.column(0).flatten().to_numpy().view(np.uint64)
-    n = len(x) - k + 1
-    if n <= 0:
-        return x, np.zeros(0, np.int64), [x[:0]] * k
-    at = np.flatnonzero(np.logical_and.reduce([x[i:i + n] != 0 for i in range(k)]))
-    return x, at, [x[at + i] for i in range(k)]
+def _grams(x: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, list[np.ndarray]]]:
+    """Merge join of the relation with itself at adjacent positions, a span at a
+    time: where a group of ``k`` words begins, and the groups' words."""
+    for begin in range(0, len(x) - k + 1, SPAN):
+        n = min(SPAN, len(x) - k + 1 - begin)
+        at = begin + np.flatnonzero(np.logical_and.reduce([x[begin + i:begin + i + n] != 0 for i in range(k)]))
+        if len(at):
+            yield at, [x[at + i] for i in range(k)]
+
+
+def _flat(b: pa.RecordBatch) -> np.ndarray:
+    return b.column(0).flatten().to_numpy().view(np.uint64)
 
 
 def _count_grams(k: int):
@@ -204,13 +209,16 @@ def _count_grams(k: int):
         def batch(x):
             return pa.RecordBatch.from_arrays([*(pa.array(w.view(np.int64)) for w in x[0]), pa.array(x[1])], names=[*(f"w{i}" for i in range(k)), "n"])
         for b in batches:
-            _, at, words = _grams(b, k)
-            if len(at):
+            for at, words in _grams(_flat(b), k):
                 parts.append((words, np.ones(len(at), np.int64)))
-            if sum(len(p[1]) for p in parts) > HELD:
-                parts = [summed()]
-                if len(parts[0][1]) > HELD // 2:
-                    yield batch(parts.pop())
+                if sum(len(p[1]) for p in parts) > HELD:
+                    words, n = summed()
+                    parts = [(words, n)]
+                    if len(n) > HELD * 2 // 3:  # the frequent ones stay: they go on growing
+                        often = np.zeros(len(n), bool)
+                        often[np.argpartition(n, -len(n) // 4)[-len(n) // 4:]] = True
+                        yield batch(([w[~often] for w in words], n[~often]))
+                        parts = [([w[often] for w in words], n[often])]
         if parts:
             yield batch(summed())
     return run
@@ -221,9 +229,9 @@ def _next_runs(k: int, frequent):
     def run(batches):
         bits = np.frombuffer(frequent.value, np.uint8)
         for b in batches:
-            x, at, words = _grams(b, k)
+            x = _flat(b)
             mark = np.zeros(len(x), bool)
-            if len(at):
+            for at, words in _grams(x, k):
                 mark[at[_holds(bits, gram_hash(*words))]] = True
             yield from _rows(chains(x, mark, k))
     return run

@@ -85,8 +85,8 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def text_slices(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Yield (first row, bytes, offsets) for runs of rows of about SLICE_BYTES;
+def text_slices(column: pa.Array, size: int = SLICE_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Yield (first row, bytes, offsets) for runs of rows of about ``size`` bytes;
     a null is an empty text. A longer single text is a run of its own."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     column = column.fill_null("").cast(pa.large_string())
@@ -98,7 +98,7 @@ def text_slices(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]
     data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
     i = 0
     while i < n:
-        j = max(i + 1, int(np.searchsorted(off, off[i] + SLICE_BYTES, "right")) - 1)
+        j = max(i + 1, int(np.searchsorted(off, off[i] + size, "right")) - 1)
         j = min(j, n)
         yield i, data[off[i]:off[j]], off[i:j + 1] - off[i]
         i = j
