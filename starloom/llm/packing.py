@@ -42,13 +42,16 @@ class WordTokens:
     """Ids of texts, word by word: this tokenizer drops white space and never
     joins across it, so the ids of a text are those of its words in turn. A comma
     or full stop behind an ASCII letter or digit is a token of its own, and case
-    makes no difference, so such words are learnt by their stems."""
+    makes no difference, so such words are learnt by their stems. A word that holds an
+    added token (such as ``<|endoftext|>``, in whatever case) is learnt as it is."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         self.known: dict[bytes, bytes] = {}
         self.model = Tokenizer.from_file(path)
-        self.model.encode_special_tokens = True
+        # what the tokenizer takes out of a text before anything else, as it stands
+        self.added = [t.content.lower().encode() for t in self.model.get_added_tokens_decoder().values()]
+        self.sign = os.path.commonprefix(self.added)
         vocab = self.model.get_vocab()
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
@@ -65,7 +68,9 @@ class WordTokens:
             else:  # letters whose small form is one letter, whatever stands beside them
                 t = w.decode("utf-8", "replace")
                 stem = t.lower().encode() if max(t) < "\u0250" and "\u0130" not in t else w
-            if stem[-1:] in marks and stem[-2:-1].isalnum():  # of bytes: an ASCII letter or digit
+            if self.sign in w.lower() and any(a in w.lower() for a in self.added):
+                stems[w] = (w, b"")
+            elif stem[-1:] in marks and stem[-2:-1].isalnum():  # of bytes: an ASCII letter or digit
                 stems[w] = (stem[:-1], stem[-1:])
             else:
                 stems[w] = (stem, b"")
