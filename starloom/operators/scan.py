@@ -32,6 +32,13 @@ RANGE, TIE = "_scan_range", "_scan_tie"
 RANGE_ROWS, SAMPLED = 20_000, 100
 
 
+def at_or_below(points: Column, x: Column, most: int) -> Column:
+    """How many of the sorted array ``points`` (``most`` at the most) are not above ``x``: a
+    binary search, as one expression."""
+    steps = F.array(*(F.lit(1 << i) for i in reversed(range(max(1, most.bit_length())))))
+    return F.aggregate(steps, F.lit(0), lambda i, s: F.when(F.coalesce(F.get(points, i + s - 1) <= x, F.lit(False)), i + s).otherwise(i))
+
+
 def with_ranges(rows: DataFrame, order: list[str], ranges: int | None = None) -> tuple[DataFrame, int]:
     """Add ``RANGE`` (0, 1, ...): rows of a range come before those of the next one by
     ``order``; and how many there are. ``rows`` are stored and ``order`` is total. About twice
@@ -48,10 +55,8 @@ def with_ranges(rows: DataFrame, order: list[str], ranges: int | None = None) ->
     size = cut.count()
     if not size:
         return rows.withColumn(RANGE, F.lit(0)), 1
-    steps = F.array(*(F.lit(1 << i) for i in reversed(range(size.bit_length()))))
-    found = F.aggregate(steps, F.lit(0), lambda i, s: F.when(F.coalesce(F.get("_scan_cuts", i + s - 1) <= point, F.lit(False)), i + s).otherwise(i))
     cuts = cut.agg(F.sort_array(F.collect_list("p")).alias("c"))
-    return rows.withColumn("_scan_cuts", cuts.scalar()).withColumn(RANGE, found).drop("_scan_cuts"), size + 1
+    return rows.withColumn("_scan_cuts", cuts.scalar()).withColumn(RANGE, at_or_below(F.col("_scan_cuts"), point, size)).drop("_scan_cuts"), size + 1
 
 
 def _carried(out: DataFrame, rows: DataFrame, by: list[str], inner: list[str], state: dict[str, Column]) -> DataFrame:

@@ -9,6 +9,7 @@ the lineage of the surrogate-key and de-duplication steps.
 
 from __future__ import annotations
 
+import datetime as dt
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
@@ -17,7 +18,9 @@ from pyspark.sql import functions as F
 from starloom.plans.calendar import date_dim_holidays
 from starloom.plans.dims import build_dims, customer_dim, employee_dim, product_dim
 from starloom.plans.facts import sales_fact
+from starloom.operators.store import scratch_path
 from starloom.sources.io import read_table, write_table
+from starloom.sources.partitions import delete_rows, merge_rows, update_rows
 from starloom.sources.tables import Warehouse
 
 STAR_TABLES = ["date_dim", "customer_dim", "employee_dim", "product_dim", "sales_fact"]
@@ -56,3 +59,19 @@ def star_sales_from_tables(spark, paths: dict[str, str], years=(1998, 2000),
     return (j.groupBy("country", "cal_year", "categoryname")
             .agg(F.sum("line_total").cast("double").alias("total_sales"))
             .select("country", F.col("cal_year").cast("bigint"), "categoryname", "total_sales"))
+
+
+def orders_after_changes(wh: Warehouse) -> DataFrame:
+    """A stored order table by year, after a merge of one month (changed and new orders), an
+    update of another and a delete of a third; each rewrites one year's files."""
+    spark, by = wh.spark, ["order_year"]
+    path = scratch_path(spark, "orders")
+    day = F.col("orderdate")
+    orders = wh.orders().select("orderid", "customerid", "orderdate", F.year("orderdate").alias("order_year"))
+    write_table(orders.repartitionByRange("order_year", "orderid"), path, by)
+    month = orders.where(day.between(F.lit(dt.date(1997, 3, 1)), F.lit(dt.date(1997, 3, 31))))
+    changes = month.withColumn("customerid", F.col("customerid") + 1).unionByName(month.withColumn("orderid", F.col("orderid") + 1_000_000_000))
+    merge_rows(spark, path, changes, ["orderid"], by)
+    update_rows(spark, path, day.between(F.lit(dt.date(1998, 2, 1)), F.lit(dt.date(1998, 2, 28))), {"customerid": F.lit(0)}, by)
+    delete_rows(spark, path, day.between(F.lit(dt.date(1999, 1, 1)), F.lit(dt.date(1999, 1, 31))), by)
+    return read_table(spark, path).select("orderid", "customerid", "orderdate", F.col("order_year").cast("bigint").alias("order_year"))

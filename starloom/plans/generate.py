@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.functions.scalar import hash_int, hash_random, scalar_row
+from starloom.operators.islands import islands_and_count, pick
 from starloom.operators.keys import surrogate_key
 from starloom.sources.tables import Warehouse
 
@@ -56,6 +57,7 @@ def generate_orders(wh: Warehouse, start: dt.date | None = None, end: dt.date |
     from the replicated id range, employee 1-9, shipper 1-6, required +7 d,
     shipped +3 d, freight 5.99..99.99."""
     spark = wh.spark
+    ids = None
     if start is None or end is None:
         o = wh.orders().select("orderdate")
         bounds = o.agg(F.min("orderdate").alias("s"), F.max("orderdate").alias("e"))
@@ -67,9 +69,8 @@ def generate_orders(wh: Warehouse, start: dt.date | None = None, end: dt.date |
         lo = F.lit(NEW_ID_START).cast("bigint")
         span = wh.customers().agg(F.count(F.lit(1)) * (2 ** doublings)).scalar()
     else:
-        st = scalar_row(customers, lo=F.min("new_customerid"),
-                        span=F.max("new_customerid") - F.min("new_customerid") + 1)
-        lo, span = st["lo"], st["span"]
+        ids, span = islands_and_count(customers, "new_customerid")
+        lo = F.lit(0).cast("bigint")
     days = bounds.select(F.explode(F.sequence("s", "e")).alias("orderdate"))
     days = days.withColumn("n", hash_random("orders_per_day", per_day[0], per_day[1] + 1, "orderdate"))
     # one row per day of the range: a running sum over it is small by construction
@@ -84,7 +85,7 @@ def generate_orders(wh: Warehouse, start: dt.date | None = None, end: dt.date |
     gen = parts.select("orderdate", "before", F.explode(F.sequence(
         F.col("part") * DAY_PART + 1, F.least("n", (F.col("part") + 1) * DAY_PART))).alias("i"))
     d, i = F.col("orderdate"), F.col("i")
-    return gen.select(
+    out = gen.select(
         (F.lit(NEW_ID_START) + F.col("before") + i - 1).cast("bigint").alias("orderid"),
         (lo + F.pmod(hash_int("customer", d, i), span)).cast("bigint").alias("customerid"),
         hash_random("employee", 1, 10, d, i).alias("employeeid"),
@@ -93,6 +94,8 @@ def generate_orders(wh: Warehouse, start: dt.date | None = None, end: dt.date |
         F.date_add(d, 3).alias("shippeddate"),
         hash_random("shipper", 1, 7, d, i).alias("shipvia"),
         (hash_random("freight", 599, 10000, d, i) / F.lit(100)).cast("decimal(6,2)").alias("freight"))
+    # of given customers the draw is a rank among their ids, which may have gaps
+    return out if ids is None else pick(out.withColumnRenamed("customerid", "_rank"), ids, "_rank", "customerid").select(out.columns)
 
 
 def generate_order_details(wh: Warehouse, orders: DataFrame | None = None,
@@ -101,20 +104,25 @@ def generate_order_details(wh: Warehouse, orders: DataFrame | None = None,
     """Lines for every order: product drawn from the product id range,
     quantity 1-10, discount 0.05-0.70, unit price from the product.
 
-    The price lookup is an inner key join. The source's per-row lookup
-    fails on an id without a product; ``check_missing=True`` keeps that
-    contract: a left join whose missing price raises an error, in the same
-    pass, instead of silently dropping the line."""
+    Products are drawn by rank among their ids, so each draw hits one, gaps or
+    not. The source draws from the id range, and its per-row lookup fails on an id
+    without a product; ``check_missing=True`` keeps that contract: a left join whose missing
+    price raises an error, in the same pass, instead of silently dropping the line."""
     o = generate_orders(wh) if orders is None else orders
     p = wh.products().select("productid", "unitprice")
-    st = scalar_row(p, lo=F.min("productid"), span=F.max("productid") - F.min("productid") + 1)
+    if check_missing:
+        st = scalar_row(p, lo=F.min("productid"), span=F.max("productid") - F.min("productid") + 1)
+        lo, span = st["lo"], st["span"]
+    else:
+        ids, span = islands_and_count(p, "productid")
+        lo = F.lit(0).cast("bigint")
     per = o.select("orderid").withColumn(
         "n", hash_random("lines_per_order", lines_per_order[0], lines_per_order[1] + 1, "orderid"))
     lines = per.select("orderid", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))).alias("ctr"))
     k, c = F.col("orderid"), F.col("ctr")
     drawn = lines.select(
         "orderid", "ctr",
-        (st["lo"] + F.pmod(hash_int("product", k, c), st["span"])).cast("bigint").alias("productid"),
+        (lo + F.pmod(hash_int("product", k, c), span)).cast("bigint").alias("productid"),
         hash_random("quantity", quantity[0], quantity[1] + 1, k, c).alias("quantity"),
         (hash_random("discount", discount_cents[0], discount_cents[1] + 1, k, c) / F.lit(100))
         .cast("decimal(3,2)").alias("discount"))
@@ -123,6 +131,6 @@ def generate_order_details(wh: Warehouse, orders: DataFrame | None = None,
             "unitprice", F.when(F.col("found"), F.col("unitprice")).otherwise(
                 F.raise_error(F.lit("a drawn product id has no product (gap in the product id range)")))).drop("found")
     else:
-        priced = drawn.join(p, "productid")
+        priced = pick(drawn.withColumnRenamed("productid", "_rank"), ids, "_rank", "productid").drop("_rank").join(p, "productid")
     keyed = surrogate_key(priced, ["orderid", "ctr"], "rec_no", 1)
     return keyed.select("rec_no", "orderid", "productid", "unitprice", "quantity", "discount")

@@ -6,10 +6,10 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from starloom.operators import dedup, gate, quality, scd2
+from starloom.operators import dedup, gate, islands, quality, scd2
 from starloom.operators.keys import surrogate_key
 from starloom.operators.scan import scan
-from starloom.plans import calendar, dims, facts, generate, library, retail
+from starloom.plans import build, calendar, dims, facts, generate, library, retail
 from starloom.functions.scalar import net_amount
 from starloom.registry import register
 from starloom.sources.tables import PAST_QUARTER_START, PAST_YEAR_START, REPORT_END
@@ -224,6 +224,22 @@ def _q(wh):  # noqa: F811
     return quality.key_coverage(wh.orders(), "customerid")
 
 
+@register("key_islands")
+def _q(wh):  # noqa: F811
+    """Runs of contiguous customer ids among those that have ordered."""
+    return islands.key_islands(wh.orders(), "customerid")
+
+
+@register("active_customer_draws")
+def _q(wh):  # noqa: F811
+    return retail.active_customer_draws(wh)
+
+
+@register("rewrite_partitions")
+def _q(wh):  # noqa: F811
+    return build.orders_after_changes(wh)
+
+
 # ------------------------------------------------------------ dimensions
 @register("clean_customers")
 def _q(wh):  # noqa: F811

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.functions.scalar import hash_int, round_ratio, scalar_row, to_double_money
+from starloom.operators.islands import islands_and_count, pick
 from starloom.operators.keys import materialize
 from starloom.plans.calendar import date_dim
 from starloom.sources.tables import Warehouse
@@ -233,3 +234,11 @@ def random_customers(wh: Warehouse, k: int = 100, salt: str = "cust") -> DataFra
         (st["lo"] + F.pmod(hash_int(salt, F.col("id")), st["span"])).alias("customerid"))
     return draws.join(c, "customerid").select("draw", "customerid", "companyname")
 
+
+
+def active_customer_draws(wh: Warehouse, salt: str = "active") -> DataFrame:
+    """For each order a customer drawn from those who have ordered at all: their ids have
+    gaps, and every draw hits one."""
+    orders = wh.orders().select("orderid", "customerid")
+    ids, n = islands_and_count(orders, "customerid")
+    return pick(orders.select("orderid", F.pmod(hash_int(salt, F.col("orderid")), n).alias("rank")), ids, "rank", "customerid")

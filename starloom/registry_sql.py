@@ -711,3 +711,16 @@ SELECT orderid, productid, suppkey, linenumber, concat_ws(', ',
     CASE WHEN row_number() OVER (PARTITION BY orderid, productid ORDER BY {_LINE_ORDER_SQL}) > 1 THEN 'key:repeated' END,
     CASE WHEN orderdate > DATE '2000-12-31' THEN 'parent:order' END, CASE WHEN quantity > 48 THEN 'quantity' END) AS broken_rules
 FROM lines JOIN ord USING (orderid)""", "lines", "ord")
+
+ORACLE["key_islands"] = sql("""
+SELECT min(customerid) AS low_id, max(customerid) AS high_id, count(*) AS n_ids, min(n) - 1 AS ids_before
+FROM (SELECT customerid, row_number() OVER (ORDER BY customerid) AS n FROM (SELECT DISTINCT customerid FROM ord)) GROUP BY customerid - n""", "ord")
+ORACLE["active_customer_draws"] = sql("""
+SELECT orderid, rank, a.customerid
+FROM (SELECT orderid, CAST('0x' || substr(md5('active|' || CAST(orderid AS VARCHAR)), 1, 15) AS BIGINT) % (SELECT count(DISTINCT customerid) FROM ord) AS rank FROM ord) d
+JOIN (SELECT customerid, row_number() OVER (ORDER BY customerid) - 1 AS n FROM (SELECT DISTINCT customerid FROM ord)) a ON a.n = d.rank""", "ord")
+ORACLE["rewrite_partitions"] = sql("""
+, m AS (SELECT orderid, customerid, orderdate, strftime(orderdate, '%Y-%m') AS ym FROM ord)
+SELECT orderid, CASE ym WHEN '1997-03' THEN customerid + 1 WHEN '1998-02' THEN 0 ELSE customerid END AS customerid, orderdate, year(orderdate) AS order_year
+FROM m WHERE ym <> '1999-01'
+UNION ALL SELECT orderid + 1000000000, customerid, orderdate, year(orderdate) FROM m WHERE ym = '1997-03'""", "ord")

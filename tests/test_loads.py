@@ -91,3 +91,98 @@ def test_load_through_the_gate(spark, tmp_path):
     assert sorted(map(tuple, spark.read.parquet(table).collect())) == [(1, "a"), (2, "b"), (3, "d")]
     got = sorted(((r["k"], r["v"], tuple(r[gate.BROKEN])) for r in spark.read.parquet(rejects).collect()), key=str)
     assert got == sorted([(2, "c", ("key:repeated",)), (3, None, ("null:v",)), (2, "z", ("key:exists",)), (None, "e", ("key:null",))], key=str)
+
+
+# ---- partitions
+
+def files(path):
+    return {str(p.relative_to(path)) for p in path.rglob("part-*")}
+
+
+@pytest.fixture
+def orders_table(spark, tmp_path):
+    from starloom.sources.io import write_table
+    path = tmp_path / "orders"
+    rows = [(i, i % 5, f"1998-{1 + i % 12:02d}") for i in range(240)] + [(900, 1, None), (901, 2, "a b/c=%")]
+    write_table(spark.createDataFrame(rows, "id long, v int, month string").repartition(1), str(path), ["month"])
+    return path, {r[0]: r[1:] for r in rows}
+
+
+def stored_rows(spark, path):
+    return {r["id"]: (r["v"], r["month"]) for r in spark.read.parquet(str(path)).collect()}
+
+
+def test_a_month_is_merged_and_others_keep_their_files(spark, orders_table):
+    """Changed, new and moved rows; a key of another month takes that month along."""
+    from starloom.sources.partitions import merge_rows
+    path, want = orders_table
+    before = files(path)
+    changes = [(2, 77, "1998-03"), (1000, 5, "1998-03"), (14, 9, "1998-03"), (3, 1, "1998-03")]  # 3 was in April
+    n = merge_rows(spark, str(path), spark.createDataFrame(changes, "id long, v int, month string"), ["id"], ["month"])
+    assert n == 2 and stored_rows(spark, path) == want | {c[0]: c[1:] for c in changes}
+    kept = {f for f in before if not f.startswith(("month=1998-03", "month=1998-04"))}
+    assert len(kept) == 12 and kept <= files(path) and not (before - kept) & files(path)
+    with pytest.raises(ValueError):
+        merge_rows(spark, str(path), spark.createDataFrame([(1, 1, "x"), (1, 2, "x")], "id long, v int, month string"), ["id"], ["month"])
+
+
+def test_update_and_delete_touch_their_partitions(spark, orders_table):
+    from starloom.sources.partitions import delete_rows, update_rows
+    path, want = orders_table
+    before = files(path)
+    assert update_rows(spark, str(path), F.col("month") == "1998-05", {"v": F.col("v") + 100}, ["month"]) == 1
+    want = {k: (v + 100, m) if m == "1998-05" else (v, m) for k, (v, m) in want.items()}
+    assert stored_rows(spark, path) == want
+    assert {f for f in before if not f.startswith("month=1998-05")} <= files(path)
+    # a row that moves, from a partition with a strange name and from the null one
+    assert update_rows(spark, str(path), F.col("id").isin(901, 900), {"month": F.lit("1998-07")}, ["month"]) == 3
+    want |= {901: (2, "1998-07"), 900: (1, "1998-07")}
+    assert stored_rows(spark, path) == want
+    before = files(path)
+    assert delete_rows(spark, str(path), (F.col("month") == "1998-09") | (F.col("id") == 0), ["month"]) == 2
+    want = {k: x for k, x in want.items() if x[1] != "1998-09" and k != 0}
+    assert stored_rows(spark, path) == want
+    assert {f for f in before if not f.startswith(("month=1998-09", "month=1998-01"))} <= files(path)
+    assert not any(f.startswith("month=1998-09") for f in files(path))
+    before = files(path)
+    assert delete_rows(spark, str(path), F.col("id") < 0, ["month"]) == 0 and update_rows(spark, str(path), F.lit(None).cast("boolean"), {}, ["month"]) == 0
+    assert files(path) == before
+
+
+# ---- order-keyed layout
+
+@pytest.fixture(scope="module")
+def bucketed(spark, tmp_path_factory):
+    from conftest import SMALL
+    from starloom.sources.layout import ORDER_KEYED, write_order_buckets
+    from starloom.sources.tables import Warehouse
+    prefix = f"small_{uuid.uuid4().hex}"
+    yield write_order_buckets(Warehouse(spark, SMALL), prefix, str(tmp_path_factory.mktemp("buckets")))
+    for name in ORDER_KEYED:
+        spark.sql(f"DROP TABLE IF EXISTS {prefix}_{name}")
+
+
+LAYOUT_KEYS = ["overdue_month", "overdue_member_behaviour", "repeat_offenders", "membership_utilisation_month", "staff_workload", "staff_report", "overdue_by_region",
+               "overdue_by_category", "staff_member_interactions", "duration_vs_overdue", "avg_utilisation", "overdue_by_holiday", "enrollment_fact", "star_sales"]
+
+
+@pytest.mark.parametrize("key", LAYOUT_KEYS)
+def test_reports_are_the_same_on_the_order_layout(spark, duck, bucketed, key):
+    from compare import assert_same
+    from starloom.registry import ORACLE, PLANS
+    assert_same(PLANS[key](bucketed), duck, ORACLE[key])
+
+
+def test_the_loan_join_needs_no_shuffle(spark, bucketed):
+    size = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        loans = plan(bucketed.loan_keys(), "simple")
+        assert "SortMergeJoin" in loans and "Exchange" not in loans and loans.count("Bucketed: true") == 2
+        text = plan(bucketed.book_loans(), "simple")
+        lines = text.splitlines()
+        low = max(i for i, line in enumerate(lines) if "SortMergeJoin" in line and "l_orderkey" in line)
+        scans = [line for line in lines if "Bucketed: true" in line]
+        assert len(scans) == 2 and not any("Exchange" in line for line in lines[low:max(i for i, x in enumerate(lines) if "Bucketed: true" in x)])
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", size)
