@@ -3,8 +3,9 @@
 A tree builder reads the markup as browsers do where it matters for text: void
 elements, raw text, implied end tags (p, li, dt, dd, option, table parts, head)
 and implied rows. Visibility rules then drop what a reader can't see: head,
-scripts, templates, closed dialogs and details, ``hidden``, and elements that an
-inline style or a simple rule (tag, .class, #id) of a style element hides. What
+scripts, templates, closed dialogs and details, ``hidden``, and what inline styles
+and the rules of style elements hide: ``display: none`` takes all that is in an element,
+``visibility`` is inherited, so an element can show itself again (see ``css``). What
 is left is written in order, all of it: blocks on lines of their own, paragraphs,
 headings, lists and tables set off by a blank line, list items with bullets or
 numbers and indented, preformatted text as it stands, and the cells of a table in
@@ -13,15 +14,17 @@ aligned columns.
 
 from __future__ import annotations
 
+import heapq
 import re
+from bisect import bisect_right
 from html import unescape
-from itertools import count
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm.common import small_batches, text_of
+from starloom.llm.css import Styles, Walk, on_screen
 
 # Fixed values of HTML: element kinds.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -42,20 +45,14 @@ IMPLIED = {
 } | {x: ({"thead", "tbody", "tfoot", "tr", "td", "th", "caption", "colgroup"}, {"table"}) for x in ("thead", "tbody", "tfoot", "caption")}
 TABLE_PARTS = frozenset("caption thead tbody tfoot tr td th".split())
 
-#: Widest cell that columns are aligned for; spans as browsers limit them.
-ALIGN, MOST_SPAN = 60, 1000
+#: Spans as browsers limit them. A table's columns are padded to at most ``PADDING`` times
+#: the length of its text; where whole alignment would take more, the widest lines give way.
+MOST_ACROSS, MOST_DOWN, PADDING = 1000, 65_534, 16
 
 _TOKEN = re.compile(r"""<!--(?:>|->|.*?(?:--!?>|\Z))|<[!?][^>]*(?:>|\Z)|</([a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)
  |<([a-zA-Z][^\s/>]*)((?:[^>"'=]|=\s*(?:"[^"]*(?:"|\Z)|'[^']*(?:'|\Z))|["'=])*)(?:>|\Z)""", re.S | re.X)
 _ATTR = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'=<>`]+)))?""")
 _SPACE = re.compile(r"[ \t\n\f\r]+")
-_CSS = re.compile(r"""/\*.*?(?:\*/|\Z)|"(?:[^"\\\n]|\\.)*"?|'(?:[^'\\\n]|\\.)*'?|[{};]|<!--|-->|[^"'{};/<-]+|.""", re.S)
-_SHOWS = re.compile(r"\s*(display|visibility)\s*:\s*([a-z-]+)[^!]*(!\s*important)?\s*", re.I)
-_MEDIA = re.compile(r"@media\b(.*)", re.I | re.S)
-ON_SCREEN = frozenset(["", "all", "screen", "only all", "only screen", "not print"])
-_ORDER = count(1)
-_SIMPLE = re.compile(r"[.#]?[a-zA-Z_][\w-]*")
-
 
 class Node:
     __slots__ = ("tag", "attrs", "kids")
@@ -64,90 +61,33 @@ class Node:
         self.tag, self.attrs, self.kids = tag, attrs, []
 
 
-def on_screen(media: str) -> bool:
-    """Whether a media query holds on every screen."""
-    return any(" ".join(q.lower().split()) in ON_SCREEN for q in media.split(","))
-
-
-def declared(parts: list[str]) -> dict[str, tuple[bool, bool]]:
-    """Declarations -> property (display, visibility): (important, hides); the last holds."""
-    out: dict[str, tuple[bool, bool]] = {}
-    for m in filter(None, map(_SHOWS.fullmatch, parts)):
-        name, new = m[1].lower(), (bool(m[3]), m[2].lower() in (("none",) if m[1].lower() == "display" else ("hidden", "collapse")))
-        if new[0] >= out.get(name, new)[0]:
-            out[name] = new
-    return out
-
-
-def read_style(css: str, rules: dict) -> None:
-    """Add to ``rules`` what the style rules for simple selectors say: selector ->
-    property -> (important, weight, order, hides). Blocks of at-rules don't count,
-    save @media that holds on every screen; nor do rules nested in rules."""
-    now: list[str] = []
-    stack: list[tuple[list[str] | None, bool, list[str]]] = []  # selectors (None: at-rule), whether it counts, declarations
-
-    def end() -> None:
-        selectors, counts, parts = stack.pop()
-        if selectors and counts:
-            for name, (important, hides) in declared([*parts, "".join(now)]).items():
-                for s in selectors:
-                    own = rules.setdefault(s, {})
-                    new = (important, " .#".find(s[0]) if s[0] in ".#" else 0, next(_ORDER), hides)
-                    own[name] = max(own.get(name, new), new)
-
-    for m in _CSS.finditer(css):
-        x = m[0]
-        if x == "{":
-            head, counts = "".join(now).strip(), not stack or stack[-1][0] is None and stack[-1][1]
-            if head.startswith("@"):
-                media = _MEDIA.fullmatch(head)
-                stack.append((None, counts and media is not None and on_screen(media[1]), []))
-            else:
-                stack.append(([s for s in map(str.strip, head.split(",")) if _SIMPLE.fullmatch(s)], counts, []))
-            now.clear()
-        elif x == "}":
-            if stack:
-                end()
-            now.clear()
-        elif x == ";":
-            if stack:
-                stack[-1][2].append("".join(now))
-            now.clear()
-        elif not x.startswith("/*") and x not in ("<!--", "-->"):
-            now.append(x)
-    while stack:  # the end of the sheet ends its blocks
-        end()
-        now.clear()
-
-
-def build(markup: str) -> tuple[Node, dict]:
-    """The tree, and what style elements say of visibility (see read_style)."""
-    root, rules = Node("#root", {}), {}
+def build(markup: str) -> tuple[Node, Styles]:
+    """The tree, and what style elements say of visibility. The places of the open
+    elements are kept by tag, so no tag makes it walk the stack."""
+    root, styles = Node("#root", {}), Styles()
     stack, opened = [root], {}
 
     def close(n: int) -> None:
         for x in stack[n:]:
-            opened[x.tag] -= 1
+            opened[x.tag].pop()
         del stack[n:]
 
+    def innermost(tags) -> int:
+        return max((opened[t][-1] for t in tags if opened.get(t)), default=0)
+
     def end_open(tags, until) -> None:
         """Close the open elements ``tags`` down to the next of ``until``."""
-        if any(opened.get(t) for t in tags):
-            lowest = 0
-            for n in range(len(stack) - 1, 0, -1):
-                if stack[n].tag in until:
-                    break
-                if stack[n].tag in tags:
-                    lowest = n
-            if lowest:
-                close(lowest)
+        fence = innermost(until)
+        found = [p[k] for p in map(opened.get, tags) if p and (k := bisect_right(p, fence)) < len(p)]
+        if found:
+            close(min(found))
 
     def push(tag: str, attrs: dict) -> None:
         x = Node(tag, attrs)
         stack[-1].kids.append(x)
         if tag not in VOID:
+            opened.setdefault(tag, []).append(len(stack))
             stack.append(x)
-            opened[tag] = opened.get(tag, 0) + 1
 
     at, size = 0, len(markup)
     while at < size:
@@ -166,13 +106,9 @@ def build(markup: str) -> tuple[Node, dict]:
             if tag == "br":
                 push("br", {})
             elif opened.get(tag):
-                inner = tag not in BLOCK
-                for n in range(len(stack) - 1, 0, -1):
-                    if stack[n].tag == tag:
-                        close(n)
-                        break
-                    if inner and stack[n].tag in ("td", "th", "table", "caption") or tag != "table" and stack[n].tag == "table":
-                        break
+                fences = () if tag == "table" else ("table",) if tag in BLOCK else ("td", "th", "table", "caption")
+                if opened[tag][-1] >= innermost(fences):
+                    close(opened[tag][-1])
         elif m[2]:
             tag = m[2].lower()
             attrs = {a[1].lower(): unescape(a[2] or a[3] or a[4] or "") for a in _ATTR.finditer(m[3])} if m[3] else {}
@@ -184,7 +120,7 @@ def build(markup: str) -> tuple[Node, dict]:
                 end_open({"p"}, ("td", "th", "button", "caption", "object"))
             if tag in IMPLIED:
                 end_open(*IMPLIED[tag])
-            if tag in ("td", "th") and next(y.tag for y in reversed(stack) if y.tag in ("tr", "table")) == "table":
+            if tag in ("td", "th") and innermost(("tr",)) < innermost(("table",)):
                 end_open(*IMPLIED["tr"])
                 push("tr", {})
             push(tag, attrs)
@@ -194,26 +130,29 @@ def build(markup: str) -> tuple[Node, dict]:
                 at = e.start() if e else size
                 stack[-1].kids.append(unescape(text) if tag in ("textarea", "title") else text)
                 if tag == "style" and on_screen(attrs.get("media", "")):
-                    read_style(text, rules)
+                    styles.read(text)
                 if e is None:
                     close(len(stack) - 1)
-    return root, rules
+    return root, styles
 
 
-def unseen(x: Node, rules: dict, parent: Node) -> bool:
+def unseen(x: Node, parent: Node, said: dict) -> bool:
+    """Whether an element and all in it have no place on the page."""
     a = x.attrs
     if x.tag in UNSEEN or x.tag == "dialog" and "open" not in a:
         return True
     if parent.tag == "details" and "open" not in parent.attrs and x.tag != "summary":
         return True
-    if "hidden" in a:
-        return True
-    if not rules and "style" not in a:
-        return False
-    said = [rules[s] for s in (x.tag, "#" + a.get("id", ""), *("." + c for c in a.get("class", "").split())) if s in rules]
-    if "style" in a:  # weighs more than any selector
-        said.append({k: (important, 3, 0, hides) for k, (important, hides) in declared(a["style"].split(";")).items()})
-    return any(max(s[k] for s in said if k in s)[3] for k in {k for s in said for k in s})
+    return said.get("display", "hidden" in a)
+
+
+def shown(x: Node) -> list:
+    """The kids of an element that are on the page; of a closed select the chosen option."""
+    if x.tag != "select":
+        return x.kids
+    own = [k for k in x.kids if isinstance(k, Node)]
+    own = [o for k in own for o in ([g for g in k.kids if isinstance(g, Node)] if k.tag == "optgroup" else [k])]
+    return ([k for k in own if "selected" in k.attrs] or own)[:1]
 
 
 class Page:
@@ -250,57 +189,104 @@ class Page:
 
 
 def _whole(text: str, most: int) -> int:
-    return min(int(text), most) if text.isascii() and text.isdigit() and len(text) < 9 and int(text) else 1
+    """The number that a text begins with, as browsers read it; 1 if there is none."""
+    m = re.match(r"[ \t\n\f\r]*\+?([0-9]+)", text)
+    return 1 if m is None else min(int(m[1][-20:]) if len(m[1].lstrip("0")) < 10 else most, most)
+
+
+class _Free:
+    """The columns that no cell of an earlier row reaches down into, as gaps in order."""
+
+    def __init__(self):
+        self.starts, self.ends = [0], [1 << 60]
+        self.held: list[tuple[int, int, int]] = []  # heap: (last row, first column, column behind)
+
+    def first(self, c: int) -> int:
+        """The first free column from ``c`` on."""
+        i = bisect_right(self.ends, c)
+        return max(c, self.starts[i])
+
+    def take(self, a: int, z: int, last: int) -> None:
+        """Hold what is free of a to z until the row ``last`` is done."""
+        i = j = bisect_right(self.ends, a)
+        left = []
+        while j < len(self.starts) and self.starts[j] < z:
+            s, e = self.starts[j], self.ends[j]
+            heapq.heappush(self.held, (last, max(s, a), min(e, z)))
+            left += [(x, y) for x, y in ((s, a), (z, e)) if x < y]
+            j += 1
+        self.starts[i:j], self.ends[i:j] = [x for x, _ in left], [y for _, y in left]
+
+    def until(self, row: int) -> None:
+        """Give back what was held up to a row before ``row``."""
+        while self.held and self.held[0][0] < row:
+            _, a, z = heapq.heappop(self.held)
+            i = bisect_right(self.starts, a)
+            j = i
+            if i and self.ends[i - 1] == a:
+                i, a = i - 1, self.starts[i - 1]
+            if j < len(self.starts) and self.starts[j] == z:
+                j, z = j + 1, self.ends[j]
+            self.starts[i:j], self.ends[i:j] = [a], [z]
 
 
 def table_lines(rows: list[list[tuple[list[str], int, int]]]) -> list[str]:
     """Rows of (lines, colspan, rowspan) in aligned columns, two blanks between."""
-    placed, taken = [], {}
-    for row in rows:
+    placed, free = [], _Free()
+    for r, row in enumerate(rows):
         cells, c = [], 0
-        below = {k: n - 1 for k, n in taken.items() if n > 1}
         for lines, across, down in row:
-            while c in taken:
-                c += 1
-            cells.append((c, lines, across))
-            if down > 1:
-                below.update((k, down - 1) for k in range(c, c + across))
+            c = free.first(c)
+            cells.append((c, lines, across, down))
             c += across
-        placed.append(cells)
-        taken = below
-    wide: dict[int, int] = {}
+        free.until(r + 1)
+        for c, _, across, down in cells:
+            if down > 1:
+                free.take(c, c + across, r + down - 1)
+        placed.append([cell[:3] for cell in cells])
+    wide: dict[int, list[int]] = {}
+    text = tall = 0
     for cells in placed:
         for c, lines, across in cells:
             if across == 1:
-                wide[c] = max(wide.get(c, 0), max((len(x) for x in lines if len(x) <= ALIGN), default=0))
+                wide.setdefault(c, []).extend(map(len, lines))
+            text += sum(map(len, lines))
+        tall += max((len(lines) for _, lines, _ in cells), default=0)
     used = sorted({c for cells in placed for c, _, _ in cells})
+    full = {c: max(wide.get(c, ()), default=0) for c in used}
+    # whole alignment unless it would blow the page up: then lines wider than ``most`` don't count
+    most = max(full.values(), default=0)
+    while most and tall * sum(min(x, most) + 2 for x in full.values()) > PADDING * text + 100_000:
+        most //= 2
     place, x = {}, 0
     for c in used:
         place[c] = x
-        x += wide.get(c, 0) + 2
+        x += (full[c] if full[c] <= most else max((n for n in wide[c] if n <= most), default=0)) + 2 if most else 0
     out = []
     for cells in placed:
         for k in range(max((len(lines) for _, lines, _ in cells), default=0)):
-            line = ""
+            parts, at = [], 0
             for c, lines, _ in cells:
                 if k < len(lines) and lines[k]:
-                    line = line.rstrip() + "  " if len(line.rstrip()) + 2 > place[c] and line.strip() else line.ljust(place[c])
-                    line += lines[k]
-            out.append(line.rstrip())
+                    gap = max(place[c] - at, 2 if at else 0)
+                    parts += [" " * gap, lines[k]]
+                    at += gap + len(lines[k])
+            out.append("".join(parts).rstrip())
     return out
 
 
 def render(markup: str) -> str:
     """All visible text of a page."""
-    root, rules = build(markup)
+    root, styles = build(markup)
+    walk = Walk(styles)
     pages, tables, lists = [Page()], [], []
     pre = 0
-    todo: list[tuple] = [(root, None, True)]
+    todo: list[tuple] = [(root, None, True, True)]
     while todo:
-        x, parent, enter = todo.pop()
+        x, parent, enter, seen = todo.pop()
         page = pages[-1]
         if isinstance(x, str):
-            if parent.tag == "details" and "open" not in parent.attrs:
+            if not seen or parent.tag == "details" and "open" not in parent.attrs:
                 continue
             if pre:
                 first, *more = x.split("\n")
@@ -313,19 +299,25 @@ def render(markup: str) -> str:
             continue
         tag = x.tag
         if enter:
-            if parent is not None and unseen(x, rules, parent):
-                continue
+            met = []
+            if parent is not None:
+                said, met = walk.at(tag, x.attrs) if styles.steps or "style" in x.attrs else ({}, [])
+                if unseen(x, parent, said):
+                    continue
+                if said.get("visibility") is not None:  # inherited unless an element says otherwise
+                    seen = not said["visibility"]
             if tag == "br":
                 page.end_line(True)
                 continue
-            if tag == "input" and x.attrs.get("type", "").lower() in ("submit", "button", "reset"):
+            if seen and tag == "input" and x.attrs.get("type", "").lower() in ("submit", "button", "reset"):
                 page.now.append(" " + x.attrs.get("value", "") + " ")
-            if tag == "q":
+            if seen and tag == "q":
                 page.now.append("“")
             if tag in BLOCK and tag not in ("td", "th"):
                 page.space() if tag in SPACED and not (lists and tag in LISTS) else page.end_line()
             if tag == "hr":
-                page.put("---")
+                if seen:
+                    page.put("---")
                 page.gap = True
             elif tag in LISTS:
                 lists.append([tag == "ol", _whole(x.attrs.get("start", ""), 10**8)])
@@ -334,7 +326,7 @@ def render(markup: str) -> str:
                 if lists and lists[-1][0]:
                     mark = f"{lists[-1][1]}. "
                     lists[-1][1] += 1
-                page.mark = mark
+                page.mark = mark if seen else None
                 page.indent.append(" " * len(mark))
             elif tag in ("blockquote", "dd"):
                 page.indent.append("    ")
@@ -349,14 +341,12 @@ def render(markup: str) -> str:
             elif tag in ("td", "th"):
                 pages.append(Page())
             if tag not in VOID:
-                todo.append((x, parent, False))
-                kids = x.kids
-                if tag == "select":  # closed: what is chosen
-                    own = [k for k in kids if isinstance(k, Node)]
-                    kids = ([k for k in own if "selected" in k.attrs] or own)[:1]
-                todo.extend((k, x, True) for k in reversed(kids))
+                walk.enter(met)
+                todo.append((x, parent, False, seen))
+                todo.extend((k, x, True, seen) for k in reversed(shown(x)))
             continue
-        if tag == "q":
+        walk.leave()
+        if seen and tag == "q":
             page.now.append("”")
         if tag in ("pre", "xmp"):
             if "".join(page.now).strip():
@@ -366,7 +356,7 @@ def render(markup: str) -> str:
         if tag in ("td", "th"):
             page.end_line()
             pages.pop()
-            tables[-1][-1].append((page.lines, _whole(x.attrs.get("colspan", ""), MOST_SPAN), _whole(x.attrs.get("rowspan", ""), MOST_SPAN)))
+            tables[-1][-1].append((page.lines, _whole(x.attrs.get("colspan", ""), MOST_ACROSS), _whole(x.attrs.get("rowspan", ""), MOST_DOWN)))
             continue
         if tag in BLOCK:
             page.end_line()

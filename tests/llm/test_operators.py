@@ -339,6 +339,42 @@ def test_exact_index(spark, frame):
     spark.sql("DROP TABLE test_digests")
 
 
+@pytest.mark.parametrize("batches", [1, 2, 5])
+def test_exact_over_batches_by_brute_force(frame, batches):
+    """Best row and group size hold over all batches, whichever of them a copy is in."""
+    rng = random.Random(batches)
+    docs = [(i, rng.choice(("a", "b c", "", None)) if i % 3 == 0 else " " * rng.randrange(4) + f"t{rng.randrange(60)}" + "\n" * rng.randrange(3)) for i in range(300)]
+    docs += [(5, docs[5][1]), (None, docs[7][1]), (None, "only here")]
+    groups = {}
+    for d, t in docs:
+        groups.setdefault(re.sub(r"[\x20\x09-\x0D]", "", t or ""), []).append((-len(t or ""), d is None, d or 0, d))
+    want = []
+    for d, t in docs:
+        bare = re.sub(r"[\x20\x09-\x0D]", "", t or "")
+        keep = min(groups[bare])[3]  # a null id comes last among texts of one length
+        want.append((d, keep, len(groups[bare]), d == keep, hashlib.sha256(bare.encode()).hexdigest()))
+    assert sorted(rows_of(exact_duplicates(frame(docs), batches=batches)), key=str) == sorted(want, key=str)
+
+
+def test_exact_anti_join_reads_a_filled_index_in_its_buckets(spark, frame, monkeypatch):
+    import contextlib
+    import io
+    plans, real = [], DigestIndex.unknown
+
+    def seen(self, groups):
+        out = real(self, groups)
+        with contextlib.redirect_stdout(buf := io.StringIO()):
+            out.explain("simple")
+        plans.append((self.spark.table(self.name).count(), buf.getvalue()))
+        return out
+    monkeypatch.setattr(DigestIndex, "unknown", seen)
+    exact_duplicates(frame([(i, f"t{i % 40}") for i in range(200)]), batches=3).count()
+    assert len(plans) == 2 and plans[0][0] > 0 and plans[1][0] > plans[0][0] - 1
+    for _, text in plans:
+        join = text[text.index("SortMergeJoin"):]
+        assert "LeftAnti" in join and "Bucketed: true" in join and join.count("Exchange") == 1  # the batch's side
+
+
 def test_warc_rejects_magic_in_payloads(spark, frame):
     fake = "WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:999>\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
     html_ = ["<p>" + "x" * 200, "<p>" + "x" * 200, "short", "short", None, "", "é" * 60 + fake + "tail" + fake, fake, "WARC/1.0\r\n" * 5, "a\r\n\r\nb" * 50, fake * 40, fake * 40]
@@ -463,3 +499,90 @@ def test_near_duplicates_at_other_thresholds(frame):
     for percent in (85, 80):
         got = sorted(((r[0], r[1], r[2]) for r in rows_of(near_duplicates(frame(docs), percent))), key=str)
         assert got == near_by_hand(docs, percent) and sum(d != c for d, _, c in got) == (60 if percent == 80 else 0)
+
+
+HOSTILE = {
+    "fenced end tags": "<table><tr><td><i><table><tr><td>" + "<span>" * 100_000 + "</i>" * 100_000 + "end",
+    "open paragraphs": "<b>" * 50_000 + "</p>" * 50_000 + "<p>" * 50_000 + "end", "items": "<li>" * 100_000 + "end", "lists": "<ul>" * 30_000 + "<li>end" * 3000,
+    "definitions": "<dl>" + "<dt>a<dd>end" * 50_000, "long spans": "<table>" + "<tr><td rowspan=65534 colspan=1000>end" * 20_000,
+    "spans of all lengths": "<table><tr>" + "".join(f"<td rowspan={i + 2}>x" for i in range(20_000)) + "<tr><td>end" * 20_000,
+    "descendants": "<style>.a .b{visibility:hidden} .b > .c{display:none}</style><div class=a>" + "<b class=b>no" * 100_000 + "<b style='visibility:visible'>end",
+    "wide cells": "<table>" + "<tr><td>" + "x" * 5000 + "<td>y" + "<tr><td>a<td>end" * 20_000}
+
+
+@pytest.mark.parametrize("name", sorted(HOSTILE))
+def test_html_in_linear_time(name):
+    began = time.process_time()
+    out = html.render(HOSTILE[name])
+    assert "end" in out and time.process_time() - began < 8 and len(out) < 20 * len(HOSTILE[name])
+
+
+@pytest.mark.parametrize("markup,text", [
+    ("<div style='visibility:hidden'>a<b style='visibility:visible'>b</b><i>c</i></div>d", "b\nd"),
+    ("<style>i{visibility:hidden} i.x{visibility:inherit}</style><b>a<i>b<i class=x>c</i></i></b>", "a"),
+    ("<style>div.x{display:none} .a .b{display:none}</style><div class=x>no</div><b class=x>1</b><div class=a><p><b class=b>no</b>2</div><b class=b>3</b>", "1\n\n2\n\n3"),
+    ("<style>ul > li.q{display:none}</style><ul><li class=q>no<li><b><i class=q>a</i></b></ul>", "- a"),
+    ("<style>#m .x .y{display:none} .y{display:block!important}</style><p id=m><b class=x><i class=y>a</i></b>", "a"),
+    ("<style>.a > .b > .c{display:none}</style><p class=a><b class=b><i class=c>no</i></b><b><i class=c>1</i></b><u><b class=b><i class=c>2</i></b></u>", "12"),
+    ("<style>b:hover, b + i, b[x] {display:none} u, b ~ i{display:none}</style><b x>1</b><i>2</i><u>no</u>", "12"),
+    ("<style>.x{display:block}</style><p hidden>no<p hidden class=x>a<p style='display:block' hidden>b", "a\n\nb"),
+    ("<style>p.x.y{display:none} p.x{display:block}</style><p class='x y'>no<p class=x>a", "a"),
+    ("<select><optgroup><option>a<option>b</optgroup><option>c</select>", "a"), ("<select><option>a<optgroup><option selected>b</optgroup></select>", "b"),
+    ("<ol><li style='visibility:hidden'>no<li>a</ol>", "2. a"), ("<q style='visibility:hidden'>no</q><q>a</q>", "“a”")])
+def test_html_visibility(markup, text):
+    assert re.sub(r"\n+", "\n", html.render(markup)) == re.sub(r"\n+", "\n", text)
+
+
+def test_html_wide_cells_keep_their_columns():
+    assert html.render("<table><tr><td>" + "w" * 70 + "<td>x<tr><td>a<td>y</table>") == "w" * 70 + "  x\n" + "a" + " " * 71 + "y"
+    assert html.render("<table><tr><td rowspan=2000>r<td>0" + "".join(f"<tr><td>{i}" for i in range(1, 2100)) + "</table>").splitlines()[1998:2002] == \
+        ["      1998", "      1999", "2000", "2001"]
+    assert html.render("<table><tr><td colspan=2000000000>a<tr><td>b<td colspan='2x'>c<td>d") == "a\nb  c  d"
+
+
+def placed_by_hand(rows):
+    """Columns of the cells, slot by slot; None where spans overlap."""
+    taken, out = set(), []
+    for r, row in enumerate(rows):
+        c, mine = 0, []
+        for _, across, down in row:
+            while (r, c) in taken:
+                c += 1
+            mine.append((c, across, down))
+            c += across
+        for c, across, down in mine:
+            new = {(r + i, c + j) for i in range(1, down) for j in range(across)}
+            if new & taken:
+                return None
+            taken |= new
+        out.append([c for c, *_ in mine])
+    return out
+
+
+def test_html_spans_by_brute_force():
+    rng, checked = random.Random(6), 0
+    for _ in range(400):
+        rows = [[([f"{r}.{k}"], rng.choice((1, 1, 2, 3)), rng.choice((1, 1, 1, 2, 3, 5))) for k in range(rng.randrange(5))] for r in range(8)]
+        free, got = html._Free(), []
+        for r, row in enumerate(rows):
+            c, mine = 0, []
+            for _, across, down in row:
+                c = free.first(c)
+                mine.append((c, across, down))
+                c += across
+            free.until(r + 1)
+            for c, across, down in mine:
+                if down > 1:
+                    free.take(c, c + across, r + down - 1)
+            got.append([c for c, *_ in mine])
+        if (want := placed_by_hand(rows)) is not None:
+            assert got == want
+            checked += 1
+        assert sorted(" ".join(html.table_lines(rows)).split()) == sorted(x[0][0] for row in rows for x in row)
+    assert checked > 50
+
+
+def test_html_nulls_repeats_and_clashing_columns(frame):
+    rows = [(1, None), (1, "<p>a"), (None, "<p>b"), (1, "<p>a"), (2, ""), (None, None)]
+    got = rows_of(html.extract(frame(rows, ("page_id", "html")).withColumn("text", __import__("pyspark.sql.functions").sql.functions.lit("clash"))))
+    assert sorted(got, key=str) == sorted([(1, ""), (1, "a"), (None, "b"), (1, "a"), (2, ""), (None, "")], key=str)
