@@ -31,6 +31,20 @@ HOLIDAY_RULES = [
     (12, 25, "Christmas Day"),
 ]
 
+# Holidays by region (region, month, day, event); without a region all
+# regions keep it. Some regions keep several events on one day.
+REGIONAL_RULES = [
+    (None, 1, 1, "New Year's Day"),
+    (None, 5, 1, "Labour Day"),
+    ("ASIA", 5, 1, "Wesak Day"),
+    ("ASIA", 8, 31, "National Day"),
+    ("AMERICA", 7, 4, "Independence Day"),
+    ("EUROPE", 12, 26, "Second Day of Christmas"),
+    ("EUROPE", 5, 1, "Spring Day"),
+    ("AFRICA", 5, 25, "Africa Day"),
+    ("MIDDLE EAST", 3, 21, "New Year"),
+]
+
 # The two academic-year windows of the enrollment mart
 ACADEMIC_WINDOWS = [
     (dt.date(2025, 6, 16), dt.date(2026, 4, 25), "2025/26"),
@@ -126,6 +140,18 @@ def apply_holidays(dim: DataFrame, holidays: DataFrame) -> DataFrame:
             .select(*dim.columns))
 
 
+def regional_holidays(days: DataFrame, events: DataFrame) -> DataFrame:
+    """Bridge of days and regions: (cal_date, region, festive_event), one row for each
+    event that a region keeps on a day. ``events`` has a region (NULL: all regions keep
+    it), month, day and event; regions come from it. Equal events count once, days that the
+    calendar lacks drop out. Its size is bounded by the calendar and the rules."""
+    # every region keeps the common events: a row each
+    regions = events.agg(F.collect_set("region")).scalar()
+    kept = events.withColumn("region", F.explode(F.when(F.col("region").isNull(), regions).otherwise(F.array("region"))))
+    return (days.select("cal_date").join(F.broadcast(kept), (F.month("cal_date") == F.col("h_month")) & (F.dayofmonth("cal_date") == F.col("h_day")))
+            .select("cal_date", "region", F.substring("festive_event", 1, EVENT_CUT).alias("festive_event")).distinct())
+
+
 def date_dim_holidays(wh: Warehouse) -> DataFrame:
     dim = date_dim(wh)
     return apply_holidays(dim, holiday_table(dim))

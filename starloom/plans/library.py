@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 from starloom.functions.scalar import (age_band, age_years, avg_round, pct_round, round_ratio,
                                        scalar_row, year_month)
 from starloom.operators.keys import materialize
-from starloom.plans.calendar import academic_year_rule, apply_holidays, date_dim_between, holiday_table
+from starloom.plans.calendar import (REGIONAL_RULES, academic_year_rule, apply_holidays, date_dim_between, holiday_table,
+                                     regional_holidays)
 from starloom.sources.tables import REFERENCE_DATE, REPORT_END, REPORT_START, Warehouse
 
 # Display order of the membership types
@@ -271,6 +272,26 @@ def overdue_by_period(wh: Warehouse, period: str = "quarter", by_type: bool = Tr
     return _loan_stats(l.groupBy(*keys)).select(*_overdue_cols(keys))
 
 
+def overdue_by_regional_holiday(wh: Warehouse, start=REPORT_START, end=REPORT_END) -> DataFrame:
+    """Overdue rate per region, on its own holidays and on other days. The bridge has a row
+    for each event of a day, so it only says whether there is one: a loan counts once."""
+    days = date_dim_between(wh.spark, start, end)
+    events = wh.spark.createDataFrame(REGIONAL_RULES, "region string, h_month int, h_day int, festive_event string")
+    kept = regional_holidays(days, events).select(F.col("cal_date").alias("loan_date"), "region", F.lit("Y").alias("_kept")).distinct()
+    l = loans(wh, start, end).join(F.broadcast(kept), ["loan_date", "region"], "left")  # days of the window, few regions
+    l = l.withColumn("region", F.coalesce("region", F.lit("Unknown"))).withColumn("holiday", F.coalesce("_kept", F.lit("N")))
+    return _loan_stats(l.groupBy("region", "holiday")).select(*_overdue_cols(["region", "holiday"]))
+
+
+def overdue_by_regional_event(wh: Warehouse, start=REPORT_START, end=REPORT_END) -> DataFrame:
+    """Overdue rate per region and event: a loan counts for each event of its region's day."""
+    days = date_dim_between(wh.spark, start, end)
+    events = wh.spark.createDataFrame(REGIONAL_RULES, "region string, h_month int, h_day int, festive_event string")
+    kept = regional_holidays(days, events).withColumnRenamed("cal_date", "loan_date")
+    l = loans(wh, start, end).join(F.broadcast(kept), ["loan_date", "region"])
+    return _loan_stats(l.groupBy("region", "festive_event")).select(*_overdue_cols(["region", "festive_event"]))
+
+
 def overdue_peak(wh: Warehouse, period: str = "month", start=REPORT_START, end=REPORT_END) -> DataFrame:
     """The period with the highest overdue rate (ties: more overdue loans,
     then the earlier period)."""

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from starloom.operators import dedup, gate, islands, quality, scd2
 from starloom.operators.keys import surrogate_key
 from starloom.operators.scan import scan
-from starloom.plans import build, calendar, dims, facts, generate, library, retail
+from starloom.plans import build, calendar, dims, facts, generate, library, retail, rollup
 from starloom.functions.scalar import net_amount
 from starloom.registry import register
 from starloom.sources.tables import PAST_QUARTER_START, PAST_YEAR_START, REPORT_END
@@ -487,3 +487,9 @@ def _q(wh):  # noqa: F811
     disc = "l_discount" if "l_discount" in kept.columns else "discount"   # source value
     return kept.select("rec_no", "orderid", "productid", "quantity",
                        F.col(disc).cast("double").alias("discount"))
+
+
+_lib("overdue_by_regional_holiday", library.overdue_by_regional_holiday)
+_lib("overdue_by_regional_event", library.overdue_by_regional_event)
+_lib("avg_utilisation_rollup", lambda wh: rollup.avg_utilisation(rollup.stored_rollup(wh)))
+_lib("active_members_quarter", lambda wh: rollup.active_members(rollup.stored_rollup(wh)))

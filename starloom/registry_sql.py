@@ -4,7 +4,7 @@ same key; the warehouse roles come from ``starloom.sources.sql``."""
 
 from __future__ import annotations
 
-from starloom.plans.calendar import HOLIDAY_RULES
+from starloom.plans.calendar import HOLIDAY_RULES, REGIONAL_RULES
 from starloom.sources.sql import VIEWS, window_views, with_views
 from starloom.sources.tables import (LINE_ORDER, PAST_QUARTER_START, PAST_YEAR_START, REPORT_END,
                                     REPORT_START)
@@ -724,3 +724,25 @@ ORACLE["rewrite_partitions"] = sql("""
 SELECT orderid, CASE ym WHEN '1997-03' THEN customerid + 1 WHEN '1998-02' THEN 0 ELSE customerid END AS customerid, orderdate, year(orderdate) AS order_year
 FROM m WHERE ym <> '1999-01'
 UNION ALL SELECT orderid + 1000000000, customerid, orderdate, year(orderdate) FROM m WHERE ym = '1997-03'""", "ord")
+
+_REGIONAL = ", ".join("({}, {}, {}, '{}')".format("NULL" if r is None else f"'{r}'", m, d, _q(e)) for r, m, d, e in REGIONAL_RULES)
+_KEPT = {"kept": f"""SELECT r.region, t.m, t.d, substr(t.ev, 1, 25) AS ev
+                     FROM (VALUES {_REGIONAL}) t(region, m, d, ev)
+                     JOIN (SELECT DISTINCT region FROM (VALUES {_REGIONAL}) u(region, m, d, ev) WHERE region IS NOT NULL) r
+                       ON t.region IS NULL OR t.region = r.region"""}
+ORACLE["overdue_by_regional_holiday"] = lsql(_stats("region, holiday", """(
+    SELECT loan.* REPLACE (coalesce(region, 'Unknown') AS region),
+           CASE WHEN EXISTS (SELECT 1 FROM kept k WHERE k.region = loan.region AND k.m = month(loan_date) AND k.d = day(loan_date))
+                THEN 'Y' ELSE 'N' END AS holiday
+    FROM loan) x"""), "loan", "kept", extra=_KEPT)
+ORACLE["overdue_by_regional_event"] = lsql(_stats("region, festive_event", """(
+    SELECT loan.*, k.ev AS festive_event FROM loan JOIN kept k ON k.region = loan.region AND k.m = month(loan_date) AND k.d = day(loan_date)) x"""),
+    "loan", "kept", extra=_KEPT)
+ORACLE["avg_utilisation_rollup"] = ORACLE["avg_utilisation"]
+ORACLE["active_members_quarter"] = lsql("""
+SELECT period, kind, membershiptype, count(DISTINCT (memberid, most)) AS active_members, count(*) AS records
+FROM (SELECT year(loan_date) || '-Q' || quarter(loan_date) AS period, 'loan' AS kind, membershiptype, memberid, maxbookloan AS most FROM loan
+      UNION ALL
+      SELECT year(resv_date) || '-Q' || quarter(resv_date), 'reservation', m.membershiptype, m.memberid, m.maxreservation
+      FROM resv JOIN mem m USING (member_key) WHERE upper(reservationstatus) = 'SUCCESS')
+GROUP BY ALL""", "loan", "resv", "mem")
