@@ -32,6 +32,8 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-dig
 
 MIN_REVISIT = 100
 RECORDS_PER_FILE = 2048
+#: Size of the bitmap of files whose payloads are read again, as a power of two (1 MiB).
+FILE_BITS = 23
 DATE = "2024-01-01T00:00:00Z"
 
 
@@ -114,18 +116,35 @@ def _emit(batches):
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=names)
 
 
-def _pieces(batches):
-    """The pieces themselves with the same positions."""
-    where, rel = None, 0
-    for b in batches:
-        at = []
-        for file, block, value in zip(*(b.column(i).to_pylist() for i in range(3))):
-            if (file, block) != where:
-                where, rel = (file, block), 0
-            at.append(rel)
-            rel += len(value or b"") + len(MAGIC)
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(at, pa.int64()), b.column(2)],
-                                         names=["file", "block", "rel", "value"])
+def _pieces(wanted):
+    """The pieces themselves with the same positions, of files whose bit is set (and
+    of few others: the join on the positions drops these)."""
+    def run(batches):
+        bits, where, rel = wanted.value, None, 0
+        for b in batches:
+            at, keep = [], []
+            for file, block, value, bit in zip(*(b.column(i).to_pylist() for i in range(4))):
+                if (file, block) != where:
+                    where, rel = (file, block), 0
+                at.append(rel)
+                keep.append(bits[bit >> 3] >> (bit & 7) & 1 == 1)
+                rel += len(value or b"") + len(MAGIC)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(at, pa.int64()), b.column(2)],
+                                             names=["file", "block", "rel", "value"]).filter(pa.array(keep, pa.bool_()))
+    return run
+
+
+def _bit(file: str):
+    return F.pmod(F.xxhash64(file), F.lit(1 << FILE_BITS))
+
+
+def _file_bits(files: DataFrame):
+    """Broadcast bitmap of file names, 2 ** FILE_BITS bits at any number of files."""
+    block, bits = 1 << 15, bytearray(1 << FILE_BITS - 3)
+    parts = files.select(_bit("file").alias("p")).groupBy((F.col("p") / block).cast("long").alias("part")).agg(F.expr(f"bitmap_construct_agg(p % {block})"))
+    for part, x in parts.collect():
+        bits[part * block // 8:(part + 1) * block // 8] = x
+    return files.sparkSession.sparkContext.broadcast(bytes(bits))
 
 
 def _scan(spark: SparkSession, path: str) -> DataFrame:
@@ -151,12 +170,21 @@ def reachable(candidates: DataFrame) -> DataFrame:
                    .select("file", "start", F.col("far").alias("jump"), (F.col("on") | F.coalesce("hit", F.lit(False))).alias("on")), "chain")
 
 
-def read_archives(spark: SparkSession, path: str) -> DataFrame:
+def unexplained(segments: DataFrame, records: DataFrame) -> DataFrame:
+    """(file, bytes, reached) of files whose chain of records ends before the file does."""
+    size = segments.groupBy("file").agg((F.sum(F.col("size") + len(MAGIC)) - len(MAGIC)).alias("bytes"))
+    ends = records.groupBy("file").agg(F.max("next").alias("reached"))
+    return size.join(ends, "file", "left").withColumn("reached", F.coalesce("reached", F.lit(0))).where("reached != bytes")
+
+
+def read_archives(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
     """Records of all WARC files under ``path``: file, start, kind, record (its
     id), refers (another's id),
     declared (the digest that its header names), payload_bytes, payload_digest (SHA-256 of the
-    block as read). A file that doesn't start with a record has none; a chain
-    ends at the first place where no record starts."""
+    block as read). A chain ends at the first place where no record starts. Where that
+    isn't the end of its file (a damaged or cut archive, a file that doesn't start with
+    a record), ``strict`` raises and names the first such file and place; without it, the
+    records up to there are returned."""
     small_batches(spark)
     seg = stored(_scan(spark, path).mapInArrow(_emit, _SEGMENT), "segments")
     total = seg.groupBy("file", "block").agg(F.sum(F.col("size") + len(MAGIC)).alias("bytes"))
@@ -167,7 +195,9 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
                  .withColumn("next", begin + len(MAGIC) + F.col("payload") + F.col("length") + len(END)), "placed")
     chain = reachable(seg.where("payload is not null").select("file", "start", "next"))
     rec = seg.where("payload is not null").join(chain, ["file", "start"])
-    rec = stored(rec.select("file", "start", "kind", "record", "refers", "declared", "payload", "length", "digest", "whole"), "records")
+    rec = stored(rec.select("file", "start", "next", "kind", "record", "refers", "declared", "payload", "length", "digest", "whole"), "records")
+    if strict and (lost := unexplained(seg, rec).orderBy("file").first()):
+        raise ValueError(f"{lost['file']}: no record starts at byte {lost['reached']} of {lost['bytes']}")
     broken = rec.where("not whole")
     if not broken.isEmpty():  # payloads with a magic inside: join their pieces
         last = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, 0)
@@ -175,8 +205,8 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
             rec.select("file", "start", F.col("start").alias("own"), "whole"), ["file", "start"], "left")
         of = of.select("file", "block", "rel", "start", F.last("own", True).over(last).alias("own"), F.last("whole", True).over(last).alias("w")) \
             .where("not w").drop("w")
-        files = [r.file for r in broken.select("file").distinct().collect()]
-        pieces = _scan(spark, files).mapInArrow(_pieces, "file string, block long, rel long, value binary")
+        wanted = _file_bits(broken.select("file").distinct())
+        pieces = _scan(spark, path).withColumn("bit", _bit("file")).mapInArrow(_pieces(wanted), "file string, block long, rel long, value binary")
         joined = pieces.join(of, ["file", "block", "rel"]).groupBy("file", "own").agg(
             F.sort_array(F.collect_list(F.struct("start", "value"))).alias("p"))
         magic = F.lit(MAGIC).cast("binary")

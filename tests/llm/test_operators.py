@@ -586,3 +586,36 @@ def test_html_nulls_repeats_and_clashing_columns(frame):
     rows = [(1, None), (1, "<p>a"), (None, "<p>b"), (1, "<p>a"), (2, ""), (None, None)]
     got = rows_of(html.extract(frame(rows, ("page_id", "html")).withColumn("text", __import__("pyspark.sql.functions").sql.functions.lit("clash"))))
     assert sorted(got, key=str) == sorted([(1, ""), (1, "a"), (None, "b"), (1, "a"), (2, ""), (None, "")], key=str)
+
+
+def test_warc_damaged_archives_are_named(spark, frame, tmp_path):
+    """A chain that ends before its file does raises; without ``strict`` the records up to there come back."""
+    pages = [(i, "u", f"<p>{i}" + "x" * 50) for i in range(6)]
+    path = tmp_path / "w"
+    warc.write_archives(frame(pages, ("page_id", "url", "html"), ("long", "string", "string")).coalesce(1), str(path), compression="none")
+    (file,) = path.glob("part-*")
+    whole = file.read_bytes()
+    assert warc.read_archives(spark, str(path)).count() == 6
+
+    def put(data):
+        for crc in path.glob(".*.crc"):
+            crc.unlink()
+        file.write_bytes(data)
+    third = [m.start() for m in re.finditer(rb"WARC/1\.0", whole)][3]
+    for data in (whole[:third] + whole[third:].replace(b"Content-Length", b"Content Length", 1), whole[:-3], whole + b"tail", b"head" + whole):
+        put(data)
+        with pytest.raises(ValueError, match="no record starts at byte"):
+            warc.read_archives(spark, str(path))
+        assert warc.read_archives(spark, str(path), strict=False).count() == (0 if data[:4] == b"head" else 3 if data[:-3] != whole[:-6] and len(data) == len(whole) else 6)
+    put(b"")
+    assert warc.read_archives(spark, str(path)).count() == 0
+
+
+def test_warc_bitmap_of_files_may_hold_any(spark, frame, monkeypatch):
+    """With one bit set for all files nothing changes."""
+    monkeypatch.setattr(warc, "FILE_BITS", 15)
+    fake = "WARC/1.0\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
+    pages = [(i, "u", fake * (i % 3) + f"{i}" + "y" * 120) for i in range(40)]
+    df = frame(pages, ("page_id", "url", "html"), ("long", "string", "string")).repartition(5)
+    got = {r[0]: r[1:3] for r in rows_of(warc.page_records(df))}
+    assert got == {i: (len(h), hashlib.sha256(h.encode()).hexdigest()) for i, _, h in pages}
