@@ -153,11 +153,11 @@ ORACLE["orders_quarter_pivot"] = sql(f"""
 SELECT country, q1, q2, q3, q4
 FROM (PIVOT ({_BY_COUNTRY_Q}) ON cal_quarter IN ('Q1' AS q1, 'Q2' AS q2, 'Q3' AS q3, 'Q4' AS q4)
       USING CAST(sum(no_of_orders) AS BIGINT) GROUP BY country)""", "cust", "ord")
+# a customer's orders are counted first, then customers by country
 ORACLE["orders_q1_by_country"] = sql("""
-SELECT c.country, count(*) AS no_of_orders
-FROM cust c JOIN ord o ON c.customerid = o.customerid JOIN cal d ON o.orderdate = d.cal_date
-WHERE d.cal_year = 1998 AND d.cal_quarter = 'Q1'
-GROUP BY c.country""", "cust", "ord", "cal")
+, per_customer AS (SELECT customerid, count(*) AS n FROM ord WHERE orderdate >= DATE '1998-01-01' AND orderdate < DATE '1998-04-01' GROUP BY customerid)
+SELECT country, CAST(sum(n) AS BIGINT) AS no_of_orders FROM per_customer INNER JOIN cust USING (customerid) GROUP BY country""",
+    "cust", "ord")
 
 ORACLE["revenue_month_pivot"] = sql("""
 SELECT CAST(year(orderdate) AS BIGINT) AS year_no,
@@ -172,24 +172,21 @@ GROUP BY 1""", "cust", "ord", "det")
 ORACLE["dates_of_year"] = sql("SELECT * FROM cal WHERE cal_year = 1998", "cal")
 ORACLE["missing_region"] = sql("SELECT customerid FROM cust WHERE region IS NULL", "cust")
 
-_REV = """
-SELECT c.country, CAST(round(sum(d.net), 2) AS DOUBLE) AS revenue
-FROM cust c JOIN ord o ON c.customerid = o.customerid JOIN det d ON o.orderid = d.orderid
-{where}GROUP BY c.country"""
-ORACLE["revenue_by_country"] = sql(_REV.format(where=""), "cust", "ord", "det")
-ORACLE["revenue_by_country_year"] = sql(_REV.format(where="WHERE year(o.orderdate) = 1998\n"),
-                                        "cust", "ord", "det")
-
-ORACLE["revenue_q1_compare"] = sql(f"""
-SELECT country, CAST(round(vx, 2) AS DOUBLE) AS revenue_x, CAST(round(vy, 2) AS DOUBLE) AS revenue_y,
-       CAST(round(vy - vx, 2) AS DOUBLE) AS difference,
-       {rr('CAST((vy - vx) * 100 AS BIGINT) * 100', 'CAST(vx * 100 AS BIGINT)')} AS pct_change
-FROM (SELECT c.country,
-             coalesce(sum(CASE WHEN year(o.orderdate) = 1997 THEN d.net END), 0) AS vx,
-             coalesce(sum(CASE WHEN year(o.orderdate) = 1998 THEN d.net END), 0) AS vy
-      FROM cust c JOIN ord o ON c.customerid = o.customerid JOIN det d ON o.orderid = d.orderid
-      WHERE month(o.orderdate) BETWEEN 1 AND 3 AND year(o.orderdate) IN (1997, 1998)
-      GROUP BY c.country) x""", "cust", "ord", "det")
+# an order is worth its lines, a customer their orders, a country its customers
+_WORTH = """
+, worth AS (SELECT orderid, sum(net) AS net FROM det GROUP BY orderid),
+spent AS (SELECT customerid, {sums} FROM ord INNER JOIN worth USING (orderid) {only} GROUP BY customerid)
+"""
+_ALL_SPENT = "SELECT country, CAST(round(sum(net), 2) AS DOUBLE) AS revenue FROM spent INNER JOIN cust USING (customerid) GROUP BY country"
+ORACLE["revenue_by_country"] = sql(_WORTH.format(sums="sum(net) AS net", only="") + _ALL_SPENT, "cust", "ord", "det")
+ORACLE["revenue_by_country_year"] = sql(
+    _WORTH.format(sums="sum(net) AS net", only="WHERE orderdate BETWEEN DATE '1998-01-01' AND DATE '1998-12-31'") + _ALL_SPENT, "cust", "ord", "det")
+_QUARTERS = "coalesce(sum(net) FILTER (WHERE year(orderdate) = 1997), 0) AS x, coalesce(sum(net) FILTER (WHERE year(orderdate) = 1998), 0) AS y"
+ORACLE["revenue_q1_compare"] = sql(
+    _WORTH.format(sums=_QUARTERS, only="WHERE quarter(orderdate) = 1 AND year(orderdate) BETWEEN 1997 AND 1998") + f"""
+SELECT country, CAST(round(x, 2) AS DOUBLE) AS revenue_x, CAST(round(y, 2) AS DOUBLE) AS revenue_y, CAST(round(y - x, 2) AS DOUBLE) AS difference,
+       {rr('CAST((y - x) * 100 AS BIGINT) * 100', 'CAST(x * 100 AS BIGINT)')} AS pct_change
+FROM (SELECT country, sum(x) AS x, sum(y) AS y FROM spent INNER JOIN cust USING (customerid) GROUP BY country) t""", "cust", "ord", "det")
 
 ORACLE["date_parts"] = sql("""
 SELECT orderdate, CAST(dayofyear(orderdate) AS BIGINT) AS day_of_year,
