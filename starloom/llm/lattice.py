@@ -1,16 +1,20 @@
 """Embedding near-duplicates by E8 lattice hashing.
 
-In each of ``TABLES`` tables a vector's direction is projected at random to
+In each of some tables a vector's direction is projected at random to
 ``BLOCKS`` times eight dimensions, and each eight are decoded to the nearest
 point of the E8 lattice; the points together name the vector's home cell. It
 also probes the ``PROBES`` neighbouring cells (one block moved by one of the 240
 shortest lattice vectors) that are nearest to its projection. Two vectors meet
 where one's home is the other's home or probe; their cosine is then computed.
 
-Two vectors with a cosine of 0.95 meet in one table with a probability of about
-a half, so sixteen tables miss a link at the threshold with about 1e-5, and one
-at 0.99 with far less. Unrelated vectors meet in a few of 100,000 pairs a
-table; for much larger collections raise ``SCALE`` and ``TABLES``.
+How fine the lattice is follows the number of vectors (``fineness``). Unrelated vectors
+meet in a table with ``UNRELATED`` at the scale ``SCALE`` and with the sixteenth power of
+its inverse at others (two blocks of eight dimensions, cells of volume one), so the
+scale grows with the sixteenth root of the collection and a vector goes on meeting
+about ``MEETS`` unrelated ones in a table (at that number, pairs cost about as much as
+the table's keys). Links meet more rarely in finer cells: the rate at the
+threshold is measured on random pairs, and there are as many tables as keep the chance
+to miss such a link in all of them under ``MISS``.
 
 Small cells are compared pair by pair. Cells with more than ``SMALL`` vectors are
 first compared with one leader; members outside the cell's largest component are
@@ -30,7 +34,8 @@ from pyspark.sql import functions as F
 from starloom.llm.common import mix, small_batches, stored
 from starloom.llm.components import components
 
-TABLES, BLOCKS, SCALE, PROBES, SMALL, BLOCK = 16, 2, 0.6, 8, 32, 1024
+BLOCKS, SCALE, PROBES, SMALL, BLOCK = 2, 0.6, 8, 32, 1024
+UNRELATED, MEETS, MISS = 4.5e-5, 1, 1e-5
 
 
 def _shortest() -> np.ndarray:
@@ -63,7 +68,7 @@ def decode(x: np.ndarray) -> np.ndarray:
     return np.where((((x - a) ** 2).sum(1) <= ((x - b) ** 2).sum(1))[:, None], a, b)
 
 
-def cells(x: np.ndarray, tables: int = TABLES, blocks: int = BLOCKS, scale: float = SCALE, probes: int = PROBES):
+def cells(x: np.ndarray, tables: int, blocks: int = BLOCKS, scale: float = SCALE, probes: int = PROBES):
     """For unit rows: (table, n x (1 + probes) cell keys, home first)."""
     for t in range(tables):
         rng = np.random.default_rng([t, x.shape[1]])
@@ -81,25 +86,49 @@ def cells(x: np.ndarray, tables: int = TABLES, blocks: int = BLOCKS, scale: floa
         yield t, key.view(np.int64)
 
 
+def met(x: np.ndarray, y: np.ndarray, tables: int, scale: float) -> np.ndarray:
+    """In which tables (columns) the pairs of rows meet: the home of one is the home or a probe of the other."""
+    both = zip(cells(x, tables, scale=scale), cells(y, tables, scale=scale))
+    return np.column_stack([(a == b[:, :1]).any(1) | (b == a[:, :1]).any(1) for (_, a), (_, b) in both])
+
+
+def pairs_at(cosine: float, n: int, dim: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Random unit vectors, and others at exactly this cosine to them."""
+    x, y = np.random.default_rng(seed).normal(size=(2, n, dim))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    y -= (x * y).sum(1)[:, None] * x
+    y /= np.linalg.norm(y, axis=1)[:, None]
+    return x, cosine * x + np.sqrt(1 - cosine * cosine) * y
+
+
+def fineness(n: int, cosine: float) -> tuple[float, int]:
+    """Scale and number of tables for ``n`` different vectors (see above)."""
+    scale = SCALE * max(1.0, n * UNRELATED / MEETS) ** (1 / (8 * BLOCKS))
+    rate = float(met(*pairs_at(cosine, 2000, 64, 1), 4, scale).mean())
+    return scale, max(1, int(np.ceil(np.log(MISS) / np.log1p(-min(max(rate, 1e-4), 0.99)))))
+
+
 def _matrix(column: pa.Array, dim: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
 
 
-def _keys(batches):
+def _keys(scale: float, tables: int):
     """id, unit vector -> key, id, home."""
-    for b in batches:
-        if not b.num_rows:
-            continue
-        dims = np.diff(b.column(1).offsets.to_numpy())
-        for dim in np.unique(dims).tolist():
-            at = np.flatnonzero(dims == dim)
-            x = _matrix(b.column(1).take(pa.array(at)), dim)
-            ids = b.column(0).to_numpy()[at]
-            for _, key in cells(x):
-                home = np.zeros(key.shape, bool)
-                home[:, 0] = True
-                yield pa.RecordBatch.from_arrays([pa.array(key.ravel()), pa.array(np.repeat(ids, key.shape[1])), pa.array(home.ravel())],
-                                                 names=["key", "id", "home"])
+    def run(batches):
+        for b in batches:
+            if not b.num_rows:
+                continue
+            dims = np.diff(b.column(1).offsets.to_numpy())
+            for dim in np.unique(dims).tolist():
+                at = np.flatnonzero(dims == dim)
+                x = _matrix(b.column(1).take(pa.array(at)), dim)
+                ids = b.column(0).to_numpy()[at]
+                for _, key in cells(x, tables, scale=scale):
+                    home = np.zeros(key.shape, bool)
+                    home[:, 0] = True
+                    yield pa.RecordBatch.from_arrays([pa.array(key.ravel()), pa.array(np.repeat(ids, key.shape[1])), pa.array(home.ravel())],
+                                                     names=["key", "id", "home"])
+    return run
 
 
 def _groups(batches, keys: int):
@@ -166,7 +195,7 @@ def _counted(least: float):
     return run
 
 
-def near_vectors(vectors: DataFrame, cosine: float = 0.95) -> DataFrame:
+def near_vectors(vectors: DataFrame, cosine: float = 0.95, scale: float | None = None, tables: int | None = None) -> DataFrame:
     """``vectors`` (vec_id, embedding; other columns are ignored) -> vec_id,
     n_links, component_id, kept, a row per row.
 
@@ -174,7 +203,8 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.95) -> DataFrame:
     with nothing, nor do vectors of different lengths. Equal vectors are one class
     (each links with the others). Rows that repeat a vec_id are linked vectors if
     their vectors are; a null vec_id has no identity: its row gets no links and a
-    null component and is kept. Empty table: empty result.
+    null component and is kept. Empty table: empty result. ``scale`` and ``tables`` follow
+    the number of different vectors unless both are given.
     """
     small_batches(vectors.sparkSession)
     v = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("e"))
@@ -191,7 +221,9 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.95) -> DataFrame:
     classes = stored(good.groupBy("f1", "f2").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("size"), F.first("v").alias("v")), "classes")
     reps = classes.select(F.monotonically_increasing_id().alias("id"), "f1", "f2", "rep", "size", "v")
     reps = stored(reps, "reps")
-    found = stored(reps.select("id", "v").mapInArrow(_keys, "key long, id long, home boolean"), "cells")
+    if scale is None or tables is None:
+        scale, tables = fineness(reps.count(), cosine)
+    found = stored(reps.select("id", "v").mapInArrow(_keys(scale, tables), "key long, id long, home boolean"), "cells")
     count = found.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.max("home").alias("h")).where("c > 1 and h").select("key", "c")
     live = stored(found.join(count, "key"), "live")
     small = live.where(F.col("c") <= SMALL).groupBy("key").agg(F.collect_list(F.struct("id", "home")).alias("g"))

@@ -31,66 +31,79 @@ def query(fn):
 
 @query
 def op1_minhash_near_dedup(spark, sf_dir):
+    """Near copies of documents: component and verdict of each."""
     return near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
 @query
 def op2_lattice_near_dedup(spark, sf_dir):
+    """Near copies among embeddings: links, component and verdict of each."""
     return near_vectors(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
 
 
 @query
 def op3_secret_scan(spark, sf_dir):
+    """Secrets in each document: counts, spans and the digest of the base spans."""
     return secrets.digests(secrets.scan(table(spark, sf_dir, "documents", "doc_id", "text")))
 
 
 @query
 def op4_byte_bpe(spark, sf_dir):
+    """Each document's byte-level BPE ids and their decoding, as digests."""
     return bpe.digests(bpe.decode(bpe.encode(table(spark, sf_dir, "documents", "doc_id", "text"))))
 
 
 @query
 def op5_substring_dedup(spark, sf_dir):
+    """Words removed from each document because their window starts in an earlier one."""
     return substring.digests(substring.remove_repeats(table(spark, sf_dir, "documents", "doc_id", "text")))
 
 
 @query
 def op6_packing(spark, sf_dir):
+    """The pieces of all documents in sequences of 2048 tokens."""
     return packing.pack(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
 @query
 def op7_toxicity(spark, sf_dir):
+    """Each document's toxicity, learnt from the labels outside the held-out third."""
     return toxicity.judge(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels", "doc_id", "toxic"))
 
 
 @query
 def op8_exact_dedup(spark, sf_dir):
+    """Each document's group of equal texts and its verdict, by a digest index."""
     return exact_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
 @query
 def op9_warc(spark, sf_dir):
+    """Each page's record after writing archives and reading them back."""
     return page_records(table(spark, sf_dir, "pages", "page_id", "url", "html"))
 
 
 @query
 def op10_html_extraction(spark, sf_dir):
+    """All visible text of each page."""
     return html.extract(table(spark, sf_dir, "pages", "page_id", "html"))
 
 
 @query
 def op11_sharding(spark, sf_dir):
+    """The shard and slot of each document, 40 shards of near equal bytes."""
     return sharding.assign(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
 @query
 def op12_collocations(spark, sf_dir):
+    """The best 2000 phrases of each language."""
     return collocations(table(spark, sf_dir, "documents", "lang", "text"))
 
 
 @query
 def op13_hard_negatives(spark, sf_dir):
+    """The hard negatives of each anchor and positive among the embeddings."""
     rows = table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hard_negatives(rows.withColumn("label", label), F.col("vec_id") % 100 == 0)
