@@ -245,3 +245,15 @@ def test_hard_negatives_of_nothing(spark):
         assert rows_of(out) == [] and tuple(out.columns) == shape
     with pytest.raises(ValueError):
         hard_negatives(negative_frame(spark, [(0, [1e300], 1)]), F.col("vec_id") % 100 == 0)
+
+
+@pytest.mark.parametrize("n", [10_000, 1_000_000, 100_000_000])
+def test_lattice_recall_holds_as_the_lattice_gets_finer(n):
+    """Links at exactly the threshold meet in some table, at any size and dimension."""
+    from starloom.llm import lattice
+    scale, tables = lattice.fineness(n, 0.95)
+    for dim in (32, 128):
+        x, y = lattice.pairs_at(0.95, 500, dim, 7)
+        assert abs((x * y).sum(1) - 0.95).max() < 1e-9
+        assert lattice.met(x, y, tables, scale).any(1).mean() > 0.999
+    assert n <= 22_000 or scale > lattice.SCALE
