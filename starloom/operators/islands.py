@@ -33,9 +33,8 @@ def pick(draws: DataFrame, islands: DataFrame, rank: str, into: str, searched: i
     n = islands.count()
     if n <= searched:
         tables = islands.agg(F.sort_array(F.collect_list(F.struct("ids_before", "low_id", "n_ids"))).alias("t"))
-        out = draws.withColumn("_islands", tables.scalar()).withColumn(
-            "_at", F.get("_islands", at_or_below(F.transform("_islands", lambda x: x["ids_before"]), F.col(rank).cast("bigint"), n) - 1))
-        out = out.drop("_islands")
+        befores = islands.agg(F.sort_array(F.collect_list("ids_before")).alias("b"))
+        out = at_or_below(draws, befores.scalar(), F.col(rank).cast("bigint"), n, "_nth").withColumn("_at", F.get(tables.scalar(), F.col("_nth") - 1)).drop("_nth")
     else:
         tops = islands.select(F.col("ids_before").alias("_rank"), F.lit(0).alias("_kind"), F.struct("ids_before", "low_id", "n_ids").alias("_island"))
         rows = draws.select(F.col(rank).cast("bigint").alias("_rank"), F.lit(1).alias("_kind"), F.struct(*draws.columns).alias("_draw"))

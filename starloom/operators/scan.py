@@ -9,9 +9,9 @@ into one task. Here the order is cut into ranges:
 2. each row finds its range by binary search over the bounds, and one shuffle sends
    each range to a task of its own, so a group of any size is spread over many tasks;
 3. each range is scanned by itself (a window within the range);
-4. what a range hands to its neighbours is one state for each group that reaches
-   its edge, two at the most: a count, a sum, a first or a last row. A prefix scan
-   over these few rows combines them, and they are broadcast back to the
+4. what a range hands to its neighbours is one state for each group that a bound
+   cuts: a count, a sum, a first or a last row. Only the rows of these groups are read
+   again for it. A prefix scan over these few states combines them, and they are broadcast back to the
    rows that begin (or end) inside a range.
 
 Nulls come first in the order and are equal to each other, in groups too.
@@ -28,44 +28,59 @@ from pyspark.sql import functions as F
 from starloom.operators.store import materialize
 
 RANGE, TIE = "_scan_range", "_scan_tie"
-#: Fewest rows that are worth a range, and sampled rows for each range.
-RANGE_ROWS, SAMPLED = 20_000, 100
-
-
-def at_or_below(points: Column, x: Column, most: int) -> Column:
-    """How many of the sorted array ``points`` (``most`` at the most) are not above ``x``: a
-    binary search, as one expression."""
-    steps = F.array(*(F.lit(1 << i) for i in reversed(range(max(1, most.bit_length())))))
-    return F.aggregate(steps, F.lit(0), lambda i, s: F.when(F.coalesce(F.get(points, i + s - 1) <= x, F.lit(False)), i + s).otherwise(i))
-
-
-def with_ranges(rows: DataFrame, order: list[str], ranges: int | None = None) -> tuple[DataFrame, int]:
-    """Add ``RANGE`` (0, 1, ...): rows of a range come before those of the next one by
-    ``order``; and how many there are. ``rows`` are stored and ``order`` is total. About twice
-    the session's shuffle partitions unless ``ranges`` says how many."""
+#: Fewest rows that are worth a range, most rows that one should have (its sort stays
+#: in memory), and sampled rows for each range.
+RANGE_ROWS, MOST_ROWS, SAMPLED = 20_000, 1_000_000, 100
+
+
+def at_or_below(rows: DataFrame, points: Column, x: Column, most: int, name: str) -> DataFrame:
+    """``rows`` with column ``name``: how many of the sorted array ``points`` (``most`` at the most)
+    are not above ``x``. A binary search with a column for each step, so that all of it
+    is compiled and ``x`` is built once for a row."""
+    out, at = rows.select("*", points.alias("_scan_cuts"), x.alias("_scan_point")), F.lit(0)
+    for s in (1 << i for i in reversed(range(max(1, most.bit_length())))):
+        reached = F.coalesce(F.get("_scan_cuts", at + s - 1) <= F.col("_scan_point"), F.lit(False))
+        out, at = out.withColumn(name, F.when(reached, at + s).otherwise(at)), F.col(name)
+    return out.drop("_scan_cuts", "_scan_point")
+
+
+def bounds(rows: DataFrame, order: list[str], ranges: int | None = None) -> tuple[DataFrame | None, int]:
+    """Rows (stored as one column ``p``) of ``rows`` at which ranges of equal size begin, but
+    for the first, and how many; None for one range. ``rows`` are stored and ``order`` is total.
+    About twice the session's shuffle partitions, more where a range would exceed
+    ``MOST_ROWS``, unless ``ranges`` says how many."""
     n = rows.count()
     if ranges is None:
-        ranges = min(2 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), n // RANGE_ROWS)
+        ranges = min(max(2 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), n // MOST_ROWS), n // RANGE_ROWS)
     if ranges < 2 or n < 2:
-        return rows.withColumn(RANGE, F.lit(0)), 1
-    point = F.struct(*order)
-    few = rows.select(point.alias("p")).sample(min(1.0, ranges * SAMPLED / n), seed=1)
+        return None, 0
+    few = rows.select(F.struct(*order).alias("p")).sample(min(1.0, ranges * SAMPLED / n), seed=1)
     nth = F.row_number().over(Window.orderBy("p"))  # a bounded sample
     cut = materialize(few.withColumn("i", nth).where(F.pmod("i", F.lit(max(2, min(n, ranges * SAMPLED) // ranges))) == 0).select("p"), "bounds")
     size = cut.count()
-    if not size:
-        return rows.withColumn(RANGE, F.lit(0)), 1
-    cuts = cut.agg(F.sort_array(F.collect_list("p")).alias("c"))
-    return rows.withColumn("_scan_cuts", cuts.scalar()).withColumn(RANGE, at_or_below(F.col("_scan_cuts"), point, size)).drop("_scan_cuts"), size + 1
+    return (cut, size) if size else (None, 0)
+
+
+def placed(rows: DataFrame, order: list[str], cut: DataFrame | None, size: int) -> DataFrame:
+    """``rows`` with their ``RANGE`` (0, 1, ...): how many bounds are not above them."""
+    if cut is None:
+        return rows.withColumn(RANGE, F.lit(0))
+    return at_or_below(rows, cut.agg(F.sort_array(F.collect_list("p"))).scalar(), F.struct(*order), size, RANGE)
+
+
+def with_ranges(rows: DataFrame, order: list[str], ranges: int | None = None) -> tuple[DataFrame, int]:
+    """Add ``RANGE``: rows of a range come before those of the next one by ``order``; and how
+    many there are (see ``bounds``)."""
+    cut, size = bounds(rows, order, ranges)
+    return placed(rows, order, cut, size), size + 1
 
 
-def _carried(out: DataFrame, rows: DataFrame, by: list[str], inner: list[str], state: dict[str, Column]) -> DataFrame:
+def _carried(out: DataFrame, rows: DataFrame, by: list[str], full: list[str], cut: DataFrame, size: int, state: dict[str, Column]) -> DataFrame:
     """``out`` with what the ranges before (behind, for ``_f``) hand to each row's group."""
-    edge = rows
-    if by:  # the groups at the ranges' edges
-        group = F.struct(*by)
-        ends = rows.groupBy(RANGE).agg(F.min(group).alias("_lo"), F.max(group).alias("_hi"))
-        edge = rows.join(F.broadcast(ends), RANGE).where(group.eqNullSafe(F.col("_lo")) | group.eqNullSafe(F.col("_hi")))
+    if by:  # a group that goes on in the next range holds the row at which that begins
+        ends = cut.select(*(F.col(f"p.{c}").alias(f"_end{i}") for i, c in enumerate(by))).distinct()
+        rows = rows.join(F.broadcast(ends), reduce(and_, [F.col(c).eqNullSafe(F.col(f"_end{i}")) for i, c in enumerate(by)]), "left_semi")
+    edge = placed(rows, full, cut, size)
     state = {"_n": F.count(F.lit(1))} | state
     states = edge.groupBy(RANGE, *by).agg(*(x.alias(c) for c, x in state.items()))
     # the prefix scan over them: a row or two for each range
@@ -97,7 +112,8 @@ def scan(df: DataFrame, by: list[str], order: list[str], number: str | None = No
     rows = materialize(df.withColumn(TIE, F.monotonically_increasing_id()), "scan")
     inner = [*dict.fromkeys([*order, TIE])]
     full = [*dict.fromkeys([*by, *inner])]
-    rows, parts = with_ranges(rows, full, ranges)
+    cut, size = bounds(rows, full, ranges)
+    parts = size + 1
     place = F.struct(*inner)
 
     own = Window.partitionBy(RANGE, *by).orderBy(*inner)
@@ -107,9 +123,9 @@ def scan(df: DataFrame, by: list[str], order: list[str], number: str | None = No
     local |= {f"_p{i}": F.lag(F.struct(c)).over(own) for i, c in enumerate(previous.values())}
     local |= {f"_f{i}": F.lead(F.struct(c)).over(own) for i, c in enumerate(following.values())}
     local |= {f"_l{i}": F.last(c, True).over(upto) for i, c in enumerate(last.values())}
-    out = rows.repartitionById(parts, F.col(RANGE)).select("*", *(x.alias(c) for c, x in local.items()))
+    out = placed(rows, full, cut, size).repartitionById(parts, F.col(RANGE)).select("*", *(x.alias(c) for c, x in local.items()))
     if parts > 1:  # else there is nothing to carry
-        out = _carried(out, rows, by, inner, {
+        out = _carried(out, rows, by, full, cut, size, {
             **{f"_s{i}": F.sum(c) for i, c in enumerate(sums.values())},
             **{f"_p{i}": F.max_by(F.struct(c), place) for i, c in enumerate(previous.values())},
             **{f"_f{i}": F.min_by(F.struct(c), place) for i, c in enumerate(following.values())},

@@ -68,7 +68,7 @@ def scd2_changes(dim: DataFrame, changes: DataFrame, keys: list[str], tracked: l
     as they are. Changes without a key or a day are left out (a load gate lists them).
     """
     log = changes.where(" AND ".join(f"{c} IS NOT NULL" for c in [*keys, day]))
-    hit = log.select(*keys).distinct()
+    hit = materialize(log.select(*keys).distinct(), "scd2-hit")
     dim = dim.select(key_col, *keys, *tracked, "effective_start_date", "effective_end_date", "current_flag")
     own = dim.join(hit, keys, "left_semi")
     value, none, first = F.struct(*tracked), F.lit(None), F.lit(0).cast("bigint")

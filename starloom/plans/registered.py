@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from starloom.operators import dedup, gate, islands, quality, scd2
 from starloom.operators.keys import surrogate_key
 from starloom.operators.scan import scan
+from starloom.operators.store import materialize
 from starloom.plans import build, calendar, dims, facts, generate, library, retail, rollup
 from starloom.functions.scalar import net_amount
 from starloom.registry import register
@@ -436,7 +437,7 @@ def _q(wh):  # noqa: F811
     c = wh.courses().withColumn("course_title", F.when(F.col("version") == 2, F.upper("course_title")).otherwise(F.col("course_title")))
     dim = surrogate_key(c.select("course_id", "course_title", "effective_start_date", "effective_end_date"),
                         ["course_id", "effective_start_date"], "sk", 1)
-    dim = dim.withColumn("current_flag", F.when(F.col("effective_end_date") == F.lit(scd2.OPEN_END), "Y").otherwise("N"))
+    dim = materialize(dim.withColumn("current_flag", F.when(F.col("effective_end_date") == F.lit(scd2.OPEN_END), "Y").otherwise("N")), "versions")
     e = wh.enrollments()
     number = F.col("linenumber") if "linenumber" in e.columns else F.lit(0)
     gone = (F.col("grade") == "R") & (F.col("se_id") % 4 == 0)

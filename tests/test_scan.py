@@ -194,3 +194,12 @@ def test_a_hot_key_makes_no_pairs(spark):
     assert "direct_shuffle_partition_id(" + RANGE in text  # by key alone go only the ranges' states, after their partial sums
     lines = text.splitlines()
     assert all("Aggregate(key=[" + RANGE in lines[i + 1] for i, line in enumerate(lines) if "hashpartitioning(_key" in line)
+
+
+def test_the_search_for_ranges_is_compiled(spark, tmp_path):
+    """A column for each step; a lambda over the steps would be interpreted for every row."""
+    spark.range(1000).withColumn("g", F.col("id") % 3).write.parquet(str(tmp_path / "r"))
+    rows, n = with_ranges(spark.read.parquet(str(tmp_path / "r")), ["g", "id"], 10)
+    text = rows._jdf.queryExecution().toString()
+    assert n > 4 and "lambda" not in text
+    assert [r[RANGE] for r in rows.orderBy("g", "id").collect()] == sorted(r[RANGE] for r in rows.collect())
