@@ -177,7 +177,7 @@ def _q(wh):  # noqa: F811
     the orders up to 2000 as parents: the rules that each line breaks."""
     order = wh.line_order
     day = F.col("orderdate")
-    lines = wh.order_lines().join(wh.orders().select("orderid", "orderdate"), "orderid")
+    lines = wh.order_lines().select(*dict.fromkeys([*order, "quantity", "discount"])).join(wh.orders().select("orderid", "orderdate"), "orderid")
     target = lines.where(day <= F.lit(dt.date(1995, 12, 31))).select("orderid", "productid")
     marks = gate.marked(lines, checks={"quantity": F.col("quantity") <= 48, "discount": F.col("discount") > 0}, required=["orderdate"],
                         key=["orderid", "productid"], target=target, first_by=order,

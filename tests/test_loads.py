@@ -186,3 +186,10 @@ def test_the_loan_join_needs_no_shuffle(spark, bucketed):
         assert len(scans) == 2 and not any("Exchange" in line for line in lines[low:max(i for i, x in enumerate(lines) if "Bucketed: true" in x)])
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", size)
+
+
+def test_a_gate_without_broken_keys_moves_no_rows(spark):
+    df = spark.range(200).select(F.col("id").alias("k"), (F.col("id") % 9).alias("p"), F.lit("wide").alias("w"))
+    out = gate.marked(df, key=["k"], first_by=["w"], parents={"p": (spark.range(9), ["p"], ["id"])})
+    assert "hashpartitioning" not in out._jdf.queryExecution().executedPlan().toString()
+    assert {tuple(r[gate.BROKEN]) for r in out.collect()} == {()}
