@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starloom.operators.store import materialize
+
 PAIR = ["orderid", "productid"]
 
 
@@ -33,10 +35,11 @@ def duplicate_candidates(lines_with_rec: DataFrame) -> DataFrame:
 
 
 def duplicate_rec_nos(lines_with_rec: DataFrame) -> DataFrame:
-    """Record numbers of every line after the first of its (order, product)."""
-    firsts = (lines_with_rec.groupBy(*PAIR)
-              .agg(F.min("rec_no").alias("first_rec"), F.count(F.lit(1)).alias("n"))
-              .filter(F.col("n") > 1))
+    """Record numbers of every line after the first of its (order, product).
+    The repeated pairs are stored, so their size is known before the lines move."""
+    firsts = materialize(lines_with_rec.groupBy(*PAIR)
+                         .agg(F.min("rec_no").alias("first_rec"), F.count(F.lit(1)).alias("n"))
+                         .filter(F.col("n") > 1), "repeated-pairs")
     return (lines_with_rec.join(firsts, PAIR)
             .filter(F.col("rec_no") > F.col("first_rec"))
             .select("rec_no"))

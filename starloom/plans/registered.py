@@ -263,12 +263,14 @@ def _q(wh):  # noqa: F811
 
 
 # ------------------------------------------------------- de-duplication
-def _lines_with_rec(wh):
+def _lines_with_rec(wh, *more):
+    """Numbered lines: rec_no, the pair and ``more``. They are stored, since the numbering
+    (a sort of all lines) would run again for each read of them."""
     order = wh.line_order
     lines = wh.order_lines()
     cols = order + [c for c in ("quantity", "l_discount", "discount")
                     if c not in order and c in lines.columns]
-    return surrogate_key(lines.select(*cols), order, "rec_no", 1)
+    return materialize(surrogate_key(lines.select(*cols), order, "rec_no", 1).select("rec_no", *dedup.PAIR, *more), "numbered-lines")
 
 
 @register("running_totals")
@@ -483,9 +485,9 @@ _lib("overdue_by_academic_year", lambda wh: library.overdue_by_period(wh, "acade
 def _q(wh):  # noqa: F811
     """The source's literal path: number the lines, mark every line after
     the first of its (order, product), delete the marked record numbers."""
-    rec = _lines_with_rec(wh)
-    kept = dedup.delete_by_rec_no(rec, dedup.duplicate_rec_nos(rec))
-    disc = "l_discount" if "l_discount" in kept.columns else "discount"   # source value
+    disc = "l_discount" if "l_discount" in wh.order_lines().columns else "discount"   # source value
+    rec = _lines_with_rec(wh, "quantity", disc)
+    kept = dedup.delete_by_rec_no(rec, materialize(dedup.duplicate_rec_nos(rec), "marked-lines"))
     return kept.select("rec_no", "orderid", "productid", "quantity",
                        F.col(disc).cast("double").alias("discount"))
 

@@ -42,3 +42,11 @@ def test_hot_pair_dedup_and_keys(spark):
 
     s = duplicate_summary(lines).first()
     assert s.total_rows == total and s.duplicate_rows == total - first.count()
+
+
+def test_lines_are_numbered_once(spark):
+    """Deleting reads the numbered lines twice; their numbering (a window) is not in its plan."""
+    from starloom.registry import QUERIES
+
+    out = QUERIES["delete_duplicates"](spark, "/root/testdata/sf0.001")
+    assert "Window" not in out._jdf.queryExecution().optimizedPlan().toString()
