@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from starloom.llm.common import scratch_path, small_batches, stored
+from starloom.llm.common import release, scratch_path, scratch_paths, small_batches, stored
 
 # Fixed values of the WARC format.
 MAGIC = "WARC/1.0\r\n"
@@ -46,8 +46,9 @@ def write_archives(pages: DataFrame, path: str, records_per_file: int = RECORDS_
                               F.sha2(F.col("html").cast("binary"), 256).alias("digest")), "payloads")
     first = own.where(f"n >= {MIN_REVISIT}").groupBy("digest").agg(F.min("page_id").alias("first"), F.max("page_id").alias("last")) \
         .where("first != last").select("digest", "first")
-    refs = own.where(f"n >= {MIN_REVISIT}").join(first, "digest").where("page_id != first") \
-        .select("page_id", "digest", "first").distinct()
+    # stored, so that its size is known before the payloads move: they stay where they are if it is small
+    refs = stored(own.where(f"n >= {MIN_REVISIT}").join(first, "digest").where("page_id != first")
+                  .select("page_id", "digest", "first").distinct(), "refs")
     rows = pages.withColumn("digest", F.sha2(F.col("html").cast("binary"), 256)).join(refs, ["page_id", "digest"], "left")
     again = F.col("first").isNotNull()
     block = F.when(again, F.lit("")).otherwise(F.col("html"))
@@ -155,15 +156,27 @@ def _scan(spark: SparkSession, path: str) -> DataFrame:
 
 def reachable(candidates: DataFrame) -> DataFrame:
     """``candidates`` (file, start, next) -> (file, start) of those on the chain
-    from start 0 of their file, by pointer jumping: each round follows links of
-    twice the length."""
+    from start 0 of their file. Where every other candidate of a file is the next of one,
+    all of them are: links lead forward, so going back ends at 0. The other files
+    (a magic within a payload, a damaged place) take pointer jumping: each round
+    follows links of twice the length."""
+    t = candidates.select("file", "start", "next")
+    loose = t.where("start != 0").join(t.select("file", F.col("next").alias("start")), ["file", "start"], "left_anti")
+    doubtful = stored(loose.select("file").distinct(), "doubtful")
+    if doubtful.isEmpty():
+        return t.select("file", "start")
+    return t.join(doubtful, "file", "left_anti").select("file", "start").unionByName(_jumped(t.join(doubtful, "file", "left_semi")))
+
+
+def _jumped(candidates: DataFrame) -> DataFrame:
     t = stored(candidates.select("file", "start", F.col("next").alias("jump"), (F.col("start") == 0).alias("on")), "chain")
-    seen = -1
+    seen, old = -1, []
     while True:
         on = t.where("on").count()
+        release(candidates.sparkSession, old)
         if on == seen:
             return t.where("on").select("file", "start")
-        seen = on
+        seen, old = on, scratch_paths()[-1:]
         ahead = t.select("file", F.col("start").alias("jump"), F.col("jump").alias("far"))
         hit = t.where("on").select("file", F.col("jump").alias("start"), F.lit(True).alias("hit"))
         t = stored(t.join(hit, ["file", "start"], "left").join(ahead, ["file", "jump"], "left")
