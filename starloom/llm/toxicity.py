@@ -30,6 +30,7 @@ from __future__ import annotations
 import heapq
 import re
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import combinations
 
@@ -47,8 +48,8 @@ STRINGS, LANDMARKS, PARTS, ROUNDS, HARD = 4000, 400, 2000, 3, 1500
 THRESHOLD, HELD_OUT = 0.7, 1
 #: Strings of a text that count, and the score in place of one that is missing.
 WORST, NONE = 3, -2.0
-#: Words whose score a worker remembers.
-MEMORY = 1_000_000
+#: Words whose score a worker remembers (some 200 bytes each), and words scored together.
+MEMORY, TOGETHER = 500_000, 5_000
 
 _EDGE = re.compile(r"^\W+|\W+$")
 _LETTERS = re.compile(r"(?<!\S)\w(?:[^\S\n]+\w(?!\S)){2,}")
@@ -71,27 +72,32 @@ def plain(word: str) -> str:
     return _EDGE.sub("", word.lower())
 
 
-def features(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(string number, subsequence number, weight) of all subsequences; weights
-    hold the norm of the string's length."""
+def _subsequences(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(string number, subsequence number, weight) of one step after the other."""
     texts = [f"^{w}$" for w in words]
     n = np.array([len(t) for t in texts], np.int64)
     flat = _CODE[np.frombuffer("".join(texts).encode("utf-32-le", "replace"), "<u4")]
     own = np.repeat(np.arange(len(texts)), n)
     left = np.repeat(np.cumsum(n), n) - np.arange(len(flat)) - 1  # characters behind this one
-    who, what, weight = [], [], []
     norm = np.zeros(len(texts))
     for step in _STEPS:
+        norm += np.maximum(n - step[-1], 0) * DECAY ** (2 * (step[-1] + 1))
+    norm = np.sqrt(np.maximum(norm, 1e-12))
+
+    def made(step):
         at = np.flatnonzero(left >= step[-1])
         code = flat[at]
         for i in step:
             code = code * 64 + flat[at + i]
-        who.append(own[at])
-        what.append((code * 0x9E3779B1 & 0xFFFFFFFF) >> 32 - BITS)
-        weight.append(np.full(len(at), DECAY ** (step[-1] + 1)))
-        norm += np.maximum(n - step[-1], 0) * DECAY ** (2 * (step[-1] + 1))
-    who = np.concatenate(who)
-    return who, np.concatenate(what), np.concatenate(weight) / np.sqrt(np.maximum(norm, 1e-12))[who]
+        who = own[at]
+        return who, (code * 0x9E3779B1 & 0xFFFFFFFF) >> 32 - BITS, np.full(len(at), DECAY ** (step[-1] + 1)) / norm[who]
+    return map(made, _STEPS)
+
+
+def features(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(string number, subsequence number, weight) of all subsequences; weights
+    hold the norm of the string's length."""
+    return tuple(map(np.concatenate, zip(*_subsequences(words))))
 
 
 @dataclass
@@ -104,10 +110,13 @@ class Model:
     shift: float = 0.0
 
     def strings(self, words: list[str]) -> np.ndarray:
-        if not words:
-            return np.zeros(0)
-        who, what, weight = features(words)
-        return np.bincount(who, self.weights[what] * weight, len(words)) + self.bias
+        """Their scores, step by step: all subsequences at once take 800 bytes a character."""
+        out = np.zeros(len(words))
+        for i in range(0, len(words), TOGETHER):
+            part = out[i:i + TOGETHER]
+            for who, what, weight in _subsequences(words[i:i + TOGETHER]):
+                np.add.at(part, who, self.weights[what] * weight)
+        return out + self.bias
 
 
 #: What every text gets where there is nothing to learn from.
@@ -312,8 +321,8 @@ def _worst(model: Model, ids: int):
                     if len(seen) + len(new) > MEMORY:
                         seen.clear()
                         new = list(set().union(*held))
-                    for i in range(0, len(new), 20_000):
-                        seen.update(zip(new[i:i + 20_000], model.strings([plain(w) for w in new[i:i + 20_000]]).tolist()))
+                    for i in range(0, len(new), TOGETHER):
+                        seen.update(zip(new[i:i + TOGETHER], model.strings([plain(w) for w in new[i:i + TOGETHER]]).tolist()))
                     out += [(heapq.nlargest(WORST, map(seen.__getitem__, x)) + [NONE] * WORST)[:WORST] for x in held]
                     held, size = [], 0
             yield pa.RecordBatch.from_arrays([b.column(ids), pa.array(out, pa.list_(pa.float64()))], names=["id", "worst"])
